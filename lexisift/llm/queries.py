@@ -11,13 +11,17 @@ from lexisift.llm.html_density import op4_html_density
 from lexisift.llm.jpeg_media import op5_jpeg_media
 from lexisift.llm.secret_scan import op3_secret_scan
 from lexisift.llm.token_counts import op1_token_counts
+from lexisift.llm.warc import OP2_SQL, op2_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_warc": op2_warc,
     "op3_secret_scan": op3_secret_scan,
     "op4_html_density": op4_html_density,
     "op5_jpeg_media": op5_jpeg_media,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_warc": OP2_SQL,
+}
