@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexisift.llm.common import block_slices, without
+from lexisift.llm.common import block_slices, small_batches, without
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-SLICE_BYTES = 4 << 20
-REMEMBERED = 300_000
-LONGEST_REMEMBERED = 40
+SLICE_BYTES = 1 << 20
+REMEMBERED = 150_000
+LONGEST_REMEMBERED = 32
 
 
 def byte_characters() -> list[str]:
@@ -57,20 +57,24 @@ def last_merge(token: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes]:
 
 
 class Vocabulary:
-    """Ranks, split pattern and merges: all a worker needs to build its tokenizer; picklable."""
+    """Ranks, split pattern and merges, packed: tokens by id, and for each merge the ids of its two parts."""
 
     def __init__(self, path: str = RANKS, pattern: str = public_tokenizers.PATTERN):
-        self.path, self.pattern, self.ranks = path, pattern, read_ranks(path)
-        shown = byte_characters()
-        named = {t: "".join(shown[b] for b in t) for t in self.ranks}
-        self.vocab = {named[t]: r for t, r in self.ranks.items()}
-        long = sorted((t for t in self.ranks if len(t) > 1), key=self.ranks.__getitem__)
-        self.merges = [tuple("".join(shown[b] for b in x) for x in last_merge(t, self.ranks)) for t in long]
+        ranks = read_ranks(path)
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.path, self.pattern, self.flat = path, pattern, b"".join(tokens)
+        self.lengths = np.array([len(t) for t in tokens], dtype=np.int32)
+        self.merges = np.array([[ranks[x] for x in last_merge(t, ranks)] for t in tokens if len(t) > 1], dtype=np.int32)
 
     def tokenizer(self):
         from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-        made = Tokenizer(models.BPE(vocab=self.vocab, merges=self.merges))
+        shown, ends = byte_characters(), np.cumsum(self.lengths).tolist()
+        names = ["".join(shown[b] for b in self.flat[e - n : e]) for e, n in zip(ends, self.lengths.tolist())]
+        vocab = {name: i for i, name in enumerate(names) if name}
+        made = Tokenizer(models.BPE(vocab=vocab, merges=[(names[i], names[j]) for i, j in self.merges.tolist()]))
         made.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.Split(Regex(self.pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
@@ -127,14 +131,11 @@ class Decoder:
     """Reverses the byte table: ids to the bytes of their tokens, by flat lookups."""
 
     def __init__(self, vocabulary: Vocabulary):
-        value = {c: b for b, c in enumerate(byte_characters())}
-        size = max(vocabulary.vocab.values()) + 1
-        tokens = [b""] * size
-        for shown, i in vocabulary.vocab.items():
-            tokens[i] = bytes(value[c] for c in shown)
-        self.lengths = np.array([len(t) for t in tokens], dtype=np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
-        self.flat = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        value, shown = {c: b for b, c in enumerate(byte_characters())}, byte_characters()
+        names = "".join(shown[b] for b in vocabulary.flat)  # tokens as the vocabulary shows them
+        self.flat = np.frombuffer(bytes(value[c] for c in names), dtype=np.uint8)
+        self.lengths = vocabulary.lengths.astype(np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     def __call__(self, ids: np.ndarray) -> np.ndarray:
         n = self.lengths[ids]
@@ -218,6 +219,7 @@ def decode(df: DataFrame, ids: str = "ids_le", ranks: str = RANKS, pattern: str
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document, as digests: one pass, no shuffle."""
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     shared = share(spark)
     rows = decode(encode(docs, shared=shared).select("doc_id", "n_tokens", "ids_le"), shared=shared)

@@ -44,6 +44,11 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in made])
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Arrow batches of fewer rows for stages whose rows are whole texts: a Python worker holds one batch at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def block_slices(sizes, limit: int):
     """Ranges of consecutive rows whose sizes sum to about limit at most; a larger row stands alone."""
     start, total = 0, 0

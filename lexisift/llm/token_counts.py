@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexisift.llm.byte_bpe import Encoder, in_worker, share
-from lexisift.llm.common import block_slices, fresh_path, table
+from lexisift.llm.common import block_slices, fresh_path, small_batches, table
 
 END_OF_DOCUMENT = 50256
 BLOCK_TOKENS = 1 << 20
@@ -50,7 +50,7 @@ def write_token_files(docs: DataFrame, folder: str, text: str = "text", key: str
         with store.open_output_stream(f"{root}/{name}") as out:
             for batch in batches:
                 texts = batch.column("text")
-                for a, b in block_slices(pa.compute.binary_length(texts).to_pylist(), 4 << 20):
+                for a, b in block_slices(pa.compute.binary_length(texts).to_pylist(), 1 << 20):
                     for ids in encoder(texts.slice(a, b - a).to_pylist()):
                         out.write(ids)
                         out.write(end)
@@ -115,6 +115,7 @@ def scan_token_files(files: DataFrame, folder: str, end_id: int = END_OF_DOCUMEN
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to flat token files, and the scan's token counts by doc_id."""
+    small_batches(spark)
     folder = fresh_path(spark, "token-files")
     placed = write_token_files(table(spark, sf_dir, "documents"), folder)
     counted = scan_token_files(placed, folder)
