@@ -17,6 +17,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -180,7 +181,7 @@ def encode(df: DataFrame, text: str = "text", ranks: str = RANKS, pattern: str =
         encoder = in_worker(shared, Encoder)
         for batch in batches:
             texts = batch.column("_bpe_text")
-            for a, b in block_slices(pa.compute.binary_length(texts).to_pylist(), SLICE_BYTES):
+            for a, b in block_slices(pc.binary_length(texts).to_pylist(), SLICE_BYTES):
                 ids = encoder(texts.slice(a, b - a).to_pylist())
                 cols = [batch.column(f.name).slice(a, b - a) for f in kept]
                 yield pa.RecordBatch.from_arrays(
@@ -205,7 +206,7 @@ def decode(df: DataFrame, ids: str = "ids_le", ranks: str = RANKS, pattern: str
         decoder = in_worker(shared, Decoder)
         for batch in batches:
             values = batch.column(ids)
-            for a, b in block_slices([x or 0 for x in pa.compute.binary_length(values).to_pylist()], SLICE_BYTES):
+            for a, b in block_slices([x or 0 for x in pc.binary_length(values).to_pylist()], SLICE_BYTES):
                 each = [np.frombuffer(x or b"", dtype="<u4") for x in values.slice(a, b - a).to_pylist()]
                 data = [decoder(x) for x in each]
                 cols = [batch.column(c).slice(a, b - a) for c in batch.schema.names] + [pa.array([x.tobytes() for x in data], pa.binary())]

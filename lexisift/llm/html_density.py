@@ -20,6 +20,7 @@ import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -225,7 +226,7 @@ def extract_main_text(df: DataFrame, html: str = "html", text: str = "text") ->
     def run(batches):
         for batch in batches:
             pages = batch.column("_page")
-            for a, b in block_slices(pa.compute.binary_length(pages).to_pylist(), SLICE_BYTES):
+            for a, b in block_slices(pc.binary_length(pages).to_pylist(), SLICE_BYTES):
                 found = [main_text(x) for x in pages.slice(a, b - a).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*[batch.column(f.name).slice(a, b - a) for f in kept], pa.array(found, pa.string())], names=out.names)
 

@@ -16,6 +16,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -324,7 +325,7 @@ def write_media(df: DataFrame, payload: str, media: str = "media") -> DataFrame:
     def run(batches):
         for batch in batches:
             values = batch.column(payload)
-            for a, b in block_slices([n or 0 for n in pa.compute.binary_length(values).to_pylist()], SLICE_BYTES):
+            for a, b in block_slices([n or 0 for n in pc.binary_length(values).to_pylist()], SLICE_BYTES):
                 own = [x or b"" for x in values.slice(a, b - a).to_pylist()]
                 if any(len(x) % WIDTH for x in own):
                     raise ValueError(f"payloads must be multiples of {WIDTH} bytes")
@@ -358,7 +359,7 @@ def read_media(df: DataFrame, media: str = "media") -> DataFrame:
     def run(batches):
         for batch in batches:
             values = batch.column(media)
-            for a, b in block_slices([n or 0 for n in pa.compute.binary_length(values).to_pylist()], SLICE_BYTES):
+            for a, b in block_slices([n or 0 for n in pc.binary_length(values).to_pylist()], SLICE_BYTES):
                 found = [describe(x) for x in read_pictures([x or b"" for x in values.slice(a, b - a).to_pylist()])]
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array([f[i] for f in found], k) for i, k in enumerate(kinds)]], names=out.names)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexisift.llm.byte_bpe import op10_byte_bpe
 from lexisift.llm.html_density import op4_html_density
+from lexisift.llm.jaccard_join import op7_jaccard_join
 from lexisift.llm.jpeg_media import op5_jpeg_media
 from lexisift.llm.secret_scan import op3_secret_scan
 from lexisift.llm.token_counts import op1_token_counts
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_html_density": op4_html_density,
     "op5_jpeg_media": op5_jpeg_media,
+    "op7_jaccard_join": op7_jaccard_join,
     "op10_byte_bpe": op10_byte_bpe,
 }
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ def write_token_files(docs: DataFrame, folder: str, text: str = "text", key: str
         with store.open_output_stream(f"{root}/{name}") as out:
             for batch in batches:
                 texts = batch.column("text")
-                for a, b in block_slices(pa.compute.binary_length(texts).to_pylist(), 1 << 20):
+                for a, b in block_slices(pc.binary_length(texts).to_pylist(), 1 << 20):
                     for ids in encoder(texts.slice(a, b - a).to_pylist()):
                         out.write(ids)
                         out.write(end)
