@@ -81,22 +81,34 @@ class Vocabulary:
         )
         return made
 
+    def rank_encoding(self):
+        """The same vocabulary for tiktoken, which gives the same ids in less time."""
+        import tiktoken
+
+        ends = np.cumsum(self.lengths).tolist()
+        ranks = {self.flat[e - n : e]: i for i, (e, n) in enumerate(zip(ends, self.lengths.tolist())) if n}
+        return tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
+
 
 class Encoder:
     """Encodes texts to little-endian unsigned ids as bytes, remembering the ids of short pieces."""
 
     SPACE_AFTER_SPACE = re.compile(r"\s ")
 
-    def __init__(self, vocabulary: Vocabulary, dtype: str = "<u4"):
+    def __init__(self, vocabulary: Vocabulary, dtype: str = "<u4", library: str = "tokenizers"):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        self.tokenizer, self.dtype = vocabulary.tokenizer(), np.dtype(dtype)
+        self.tokenizer = vocabulary.tokenizer() if library == "tokenizers" else None
+        self.rank_encoding = vocabulary.rank_encoding() if library == "tiktoken" else None
+        self.dtype = np.dtype(dtype)
         self.by_piece = vocabulary.pattern == public_tokenizers.PATTERN
         self.heads: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
+        if self.rank_encoding is not None:
+            return [np.array(self.rank_encoding.encode_ordinary(t), dtype=self.dtype).tobytes() for t in texts]
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, known: dict[str, bytes], pieces: set[str], before: str) -> dict[str, bytes]:

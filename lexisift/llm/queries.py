@@ -10,6 +10,8 @@ from lexisift.llm.byte_bpe import op10_byte_bpe
 from lexisift.llm.html_density import op4_html_density
 from lexisift.llm.jaccard_join import op7_jaccard_join
 from lexisift.llm.jpeg_media import op5_jpeg_media
+from lexisift.llm.langid_crf import op8_langid_crf
+from lexisift.llm.packing import op6_retrieval_packing
 from lexisift.llm.secret_scan import op3_secret_scan
 from lexisift.llm.token_counts import op1_token_counts
 from lexisift.llm.warc import OP2_SQL, op2_warc
@@ -20,7 +22,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_html_density": op4_html_density,
     "op5_jpeg_media": op5_jpeg_media,
+    "op6_retrieval_packing": op6_retrieval_packing,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_langid_crf": op8_langid_crf,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
