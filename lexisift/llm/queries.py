@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexisift.llm.additive_ann import OP9_SQL, op9_additive_ann
 from lexisift.llm.byte_bpe import op10_byte_bpe
 from lexisift.llm.html_density import op4_html_density
 from lexisift.llm.jaccard_join import op7_jaccard_join
@@ -25,9 +26,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_retrieval_packing": op6_retrieval_packing,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_langid_crf": op8_langid_crf,
+    "op9_additive_ann": op9_additive_ann,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {
     "op2_warc": OP2_SQL,
+    "op9_additive_ann": OP9_SQL,
 }

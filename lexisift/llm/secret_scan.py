@@ -111,12 +111,12 @@ def _listed(spots: Column) -> Column:
 
 def redact(
     df: DataFrame, text: str = "text", key: str = "doc_id", owner: str = "source", repository: str = "lang",
-    live_mask: str = "[SECRET]", example_mask: str = "[EXAMPLE]", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES,
+    length: str = "n_chars", live_mask: str = "[SECRET]", example_mask: str = "[EXAMPLE]", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """df with every candidate in its text masked, live ones and copied examples by masks of their own.
 
     Overlapping spans get one mask, that of the first. Rows without candidates, null and empty texts are as they were;
-    no row is added or dropped, and the columns are those of df. Only rows with candidates are joined.
+    no row is added or dropped, and the columns are those of df; a column of text lengths follows the change. Only rows with candidates are joined.
     """
     marked = find_candidates(df, text, "_spots").withColumn("_sha", F.when(F.size("_spots") > 0, F.sha2(F.col(text), 256)))
     hit = marked.where(F.size("_spots") > 0)
@@ -137,7 +137,8 @@ def redact(
 
     made = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("done")), step)
     masked = F.concat(made["done"], F.substring(F.col(text), made["at"] + 1, F.char_length(text)))
-    changed = joined.select(*[masked.alias(c) if c == text else F.col(f"`{c}`") for c in df.columns])
+    made_columns = {text: masked, **({length: F.char_length(masked).cast(df.schema[length].dataType)} if length in df.columns else {})}
+    changed = joined.select(*[made_columns.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns])
     return marked.where(F.size("_spots") == 0).select(*df.columns).unionByName(changed)
 
 
