@@ -127,7 +127,7 @@ class Encoder:
         return known
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.by_piece:
+        if not self.by_piece or self.rank_encoding is not None:  # tiktoken is faster than the memory of pieces
             return self.whole(texts)
         cut = [None if self.SPACE_AFTER_SPACE.search(t) else t.split(" ") for t in texts]
         rest: set[str] = set()
