@@ -37,8 +37,8 @@ def all_strings(df: DataFrame) -> DataFrame:
 
 
 def label_encode(df: DataFrame, column: str, code: str) -> DataFrame:
-    """0, 1, ... for a column's values in order; the order is taken over distinct values only."""
-    values = df.select(column).distinct()
+    """0, 1, ... for a column's values in order; rows with a null are left out; the order is over distinct values only."""
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
     return df.join(values.withColumn(code, F.row_number().over(Window.orderBy(column)).cast("long") - 1), column)
 
 
