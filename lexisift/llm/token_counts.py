@@ -101,7 +101,7 @@ def scan_token_files(files: DataFrame, folder: str, end_id: int = END_OF_DOCUMEN
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     stitched = (
         found.withColumn("base", F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)))
-        .withColumn("previous", F.coalesce(F.max(F.element_at("ends", -1)).over(before), F.lit(-1)))
+        .withColumn("previous", F.coalesce(F.max(F.try_element_at("ends", F.lit(-1))).over(before), F.lit(-1)))
         # the last block also closes what has no end id
         .withColumn("closed", F.coalesce(F.try_element_at("ends", F.lit(-1)), "previous") == F.col("n") - 1)
         .withColumn("ends", F.when((F.col("block") == F.expr(f"(n - 1) div {block_tokens}")) & ~F.col("closed"), F.concat("ends", F.array("n"))).otherwise(F.col("ends")))

@@ -107,6 +107,7 @@ def read_records(stream):
         if raw[:4] == b"\x28\xb5\x2f\xfd":
             raw = zstandard.ZstdDecompressor().decompressobj().decompress(raw)
         trained = zstandard.ZstdCompressionDict(raw)
+    else:
         stream.seek(0)
     reader = zstandard.ZstdDecompressor(dict_data=trained).stream_reader(stream, read_across_frames=True)
     data = bytearray()
