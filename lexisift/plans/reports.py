@@ -90,7 +90,7 @@ query("R4_open_to_close", "SELECT user_id, round(epoch_us(max(ts)) / 1e6 - epoch
     lambda t: t.events.groupBy("user_id").agg(F.round(F.unix_micros(F.max("ts").cast("timestamp")) / 1e6 - F.unix_micros(F.min("ts").cast("timestamp")) / 1e6, 3).alias("seconds"))
 )
 
-# regression shapes of the reference's reports
+# shapes of campaign reports
 
 query("Shape6_hardest_names", "SELECT c_mktsegment, count(*) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE o_orderkey IS NULL GROUP BY 1 ORDER BY n DESC")(
     lambda t: t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti").groupBy("c_mktsegment").agg(F.count("*").alias("n"))
