@@ -377,3 +377,16 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     small_batches(spark)
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w
+), each AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c FROM each a JOIN each b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs WHERE 100 * c >= 75 * (na + nb - c)),
+reach(d, m) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.d, links.b FROM reach JOIN links ON reach.m = links.a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(reach.m) AS component_id FROM s JOIN reach ON s.doc_id = reach.d GROUP BY s.doc_id, s.s
+"""

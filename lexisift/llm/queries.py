@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from lexisift.llm.additive_ann import OP9_SQL, op9_additive_ann
 from lexisift.llm.byte_bpe import op10_byte_bpe
 from lexisift.llm.html_density import op4_html_density
-from lexisift.llm.jaccard_join import op7_jaccard_join
+from lexisift.llm.jaccard_join import OP7_SQL, op7_jaccard_join
 from lexisift.llm.jpeg_media import op5_jpeg_media
 from lexisift.llm.langid_crf import op8_langid_crf
 from lexisift.llm.packing import op6_retrieval_packing
-from lexisift.llm.secret_scan import op3_secret_scan
+from lexisift.llm.secret_scan import OP3_SQL, op3_secret_scan
 from lexisift.llm.token_counts import op1_token_counts
 from lexisift.llm.warc import OP2_SQL, op2_warc
 
@@ -32,5 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_warc": OP2_SQL,
+    "op3_secret_scan": OP3_SQL,
+    "op7_jaccard_join": OP7_SQL,
     "op9_additive_ann": OP9_SQL,
 }

@@ -148,3 +148,27 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     every = F.array_sort(F.concat("base", "live"))
     return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(every).alias("spans"))
+
+
+def _sql_spots(kind: str) -> str:
+    """SQL for a kind's candidates as a list of struct(s, r, e, k, v)."""
+    pattern, group, least = PATTERNS[kind]
+    quoted = pattern.replace("'", "''")
+    size = "coalesce(list_sum(list_transform({}, lambda x: length(x))), 0)"
+    start = size.format("g[1:i]") + " + " + size.format("m[1:i - 1]")
+    spot = f"{{'s': CAST({start} AS INTEGER), 'r': {KINDS.index(kind)}, 'e': CAST({start} + length(m[i]) AS INTEGER), 'k': '{kind}', 'v': v[i]}}"
+    found = f"SELECT string_split_regex(t, '{quoted}') AS g, regexp_extract_all(t, '{quoted}') AS m, regexp_extract_all(t, '{quoted}', {group}) AS v"
+    return f"(SELECT list_filter(list_transform(range(1, len(m) + 1), lambda i: {spot}), lambda x: length(x.v) >= {least}) FROM ({found}))"
+
+
+OP3_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS o, coalesce(lang, '') AS l, coalesce("text", '') AS t, row_number() OVER () AS n FROM documents),
+b AS (SELECT doc_id, o, l, n, list_sort(list_concat({", ".join(_sql_spots(k) for k in KINDS)})) AS base FROM d),
+x AS (SELECT n, o, l, unnest(base) AS c FROM b),
+live AS (SELECT c.v AS v FROM x GROUP BY c.v HAVING count(DISTINCT o) <= {MAX_OWNERS} AND count(DISTINCT l) <= {MAX_REPOSITORIES}),
+f AS (SELECT n, list(DISTINCT {{'s': CAST(c.e - length(c.v) AS INTEGER), 'r': {len(KINDS)}, 'e': c.e, 'k': 'live', 'v': c.v}}) AS live FROM x JOIN live ON c.v = live.v GROUP BY n),
+a AS (SELECT doc_id, base, list_sort(list_concat(base, coalesce(f.live, []))) AS every FROM b LEFT JOIN f ON b.n = f.n)
+SELECT doc_id, {", ".join(f"CAST(len(list_filter(base, lambda s: s.k = '{k}')) AS BIGINT) AS n_{k}" for k in KINDS)},
+sha256(array_to_string(list_transform(base, lambda s: s.k || ':' || s.s || ':' || s.e), ',')) AS base_sha256,
+array_to_string(list_transform(every, lambda s: s.k || ':' || s.s || ':' || s.e), ',') AS spans FROM a
+"""
