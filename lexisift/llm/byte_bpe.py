@@ -6,8 +6,9 @@ Python worker builds one tokenizer from it.
 
 Most texts are words between single spaces, and a match of the split pattern never crosses the place
 before a space that follows a non-space. So a text is cut there and the ids of a piece are remembered
-per worker; only pieces not met yet reach the tokenizer. Texts with other white space before a space,
-and any other pattern, are encoded whole.
+per worker; only pieces not met lately reach the tokenizer, joined to one text whose ids are cut again by
+the lengths of their tokens. Texts with other white space before a space, and any other pattern, are
+encoded whole.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from lexisift.llm.common import block_slices, small_batches, without
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SLICE_BYTES = 1 << 20
-REMEMBERED = 150_000
+#: Pieces in each of the two generations that a worker remembers.
+REMEMBERED = 100_000
 LONGEST_REMEMBERED = 32
 
 
@@ -81,63 +83,83 @@ class Vocabulary:
         )
         return made
 
-    def rank_encoding(self):
-        """The same vocabulary for tiktoken, which gives the same ids in less time."""
-        import tiktoken
 
-        ends = np.cumsum(self.lengths).tolist()
-        ranks = {self.flat[e - n : e]: i for i, (e, n) in enumerate(zip(ends, self.lengths.tolist())) if n}
-        return tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
+class FileVocabulary:
+    """A byte-level vocabulary file of the tokenizers library, as its text; special tokens' strings are ordinary text."""
+
+    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as f:
+            self.path, self.pattern, self.text = path, pattern, f.read()
+        names = Tokenizer.from_str(self.text).get_vocab()
+        self.lengths = np.zeros(max(names.values()) + 1, dtype=np.int32)
+        self.lengths[list(names.values())] = [len(n) for n in names]  # a character stands for a byte
+
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_str(self.text)
+        made.encode_special_tokens = True
+        return made
 
 
 class Encoder:
-    """Encodes texts to little-endian unsigned ids as bytes, remembering the ids of short pieces."""
+    """Encodes texts to little-endian unsigned ids as bytes, remembering the ids of short pieces met lately."""
 
     SPACE_AFTER_SPACE = re.compile(r"\s ")
 
-    def __init__(self, vocabulary: Vocabulary, dtype: str = "<u4", library: str = "tokenizers"):
+    def __init__(self, vocabulary: Vocabulary | FileVocabulary, dtype: str = "<u4"):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        self.tokenizer = vocabulary.tokenizer() if library == "tokenizers" else None
-        self.rank_encoding = vocabulary.rank_encoding() if library == "tiktoken" else None
-        self.dtype = np.dtype(dtype)
+        self.tokenizer, self.lengths, self.dtype = vocabulary.tokenizer(), vocabulary.lengths, np.dtype(dtype)
         self.by_piece = vocabulary.pattern == public_tokenizers.PATTERN
-        self.heads: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        if self.rank_encoding is not None:
-            return [np.array(self.rank_encoding.encode_ordinary(t), dtype=self.dtype).tobytes() for t in texts]
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, known: dict[str, bytes], pieces: set[str], before: str) -> dict[str, bytes]:
-        """The ids of all pieces; short ones are remembered."""
-        new = [p for p in pieces if p not in known]
-        if not new:
-            return known
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(pieces)
-        ids = dict(zip(new, self.whole([before + p for p in new])))
-        if any(len(p) > LONGEST_REMEMBERED for p in new):
-            known.update((p, v) for p, v in ids.items() if len(p) <= LONGEST_REMEMBERED)
-            return {**known, **ids}
-        known.update(ids)
-        return known
+    def after_spaces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece with a space before it, by encoding them as one text."""
+        if not pieces:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(pieces)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+        ends, stops = np.cumsum(self.lengths[ids]), np.cumsum(pc.binary_length(pa.array(pieces, pa.large_string())).to_numpy() + 1)
+        if ends[-1] != stops[-1] or (ends[last := np.searchsorted(ends, stops)] != stops).any():
+            return self.whole([" " + p for p in pieces])
+        raw, cuts = ids.tobytes(), ((last + 1) * self.dtype.itemsize).tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+
+    def learn(self, pieces: set[str]) -> None:
+        """Make recent hold all pieces; what was not met while a generation filled is forgotten."""
+        new = [p for p in pieces if p not in self.recent]
+        if len(self.recent) + len(new) > REMEMBERED:
+            self.recent, self.older, new = {}, self.recent, list(pieces)
+        missing = [p for p in new if p not in self.older]
+        self.recent.update((p, self.older[p]) for p in new if p in self.older)
+        joined, alone = [], []
+        for p in missing:
+            (alone if not p or p[-1].isspace() else joined).append(p)
+        self.recent.update(zip(joined, self.after_spaces(joined)))
+        self.recent.update(zip(alone, self.whole([" " + p for p in alone])))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.by_piece or self.rank_encoding is not None:  # tiktoken is faster than the memory of pieces
+        if not self.by_piece:
             return self.whole(texts)
         cut = [None if self.SPACE_AFTER_SPACE.search(t) else t.split(" ") for t in texts]
-        rest: set[str] = set()
-        for pieces in cut:
-            if pieces:
-                rest.update(pieces[1:])
-        heads = self.learn(self.heads, {p[0] for p in cut if p}, "")
-        rest = self.learn(self.rest, rest, " ")
-        odd = iter(self.whole([t for t, p in zip(texts, cut) if p is None]))
-        return [next(odd) if p is None else heads[p[0]] + b"".join(map(rest.__getitem__, p[1:])) for p in cut]
+        pieces: set[str] = set()
+        for own in cut:
+            if own:
+                pieces.update(own[1:])
+        self.learn(pieces)
+        begins = self.whole([t if own is None else own[0] for t, own in zip(texts, cut)])
+        ids = [x if own is None else x + b"".join(map(self.recent.__getitem__, own[1:])) for x, own in zip(begins, cut)]
+        for p in pieces:
+            if len(p) > LONGEST_REMEMBERED:
+                del self.recent[p]
+        return ids
 
 
 class Decoder:
@@ -175,7 +197,8 @@ def in_worker(shared, kind, *args):
 
 
 def share(spark: SparkSession, path: str = RANKS, pattern: str = public_tokenizers.PATTERN):
-    return spark.sparkContext.broadcast(Vocabulary(path, pattern))
+    """Broadcast a vocabulary, from ranks or from a .json file of the tokenizers library."""
+    return spark.sparkContext.broadcast((FileVocabulary if path.endswith(".json") else Vocabulary)(path, pattern))
 
 
 def encode(df: DataFrame, text: str = "text", ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN, shared=None) -> DataFrame:

@@ -17,13 +17,15 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisift.llm.byte_bpe import RANKS, Encoder, in_worker, share
+from lexisift.llm.byte_bpe import Encoder, in_worker, share
 from lexisift.llm.common import block_slices, materialise, small_batches, table
 from lexisift.llm.jaccard_join import _runs
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WINDOW = 1024
 END = 0
 SHARD_DOCUMENTS = 1024
@@ -37,7 +39,7 @@ def encoded(docs: DataFrame, shared, text: str, key: str, window: int = WINDOW,
     end = np.array([end_id], dtype="<u2").tobytes()
 
     def run(batches):
-        encoder = in_worker(shared, Encoder, "<u2", "tiktoken")
+        encoder = in_worker(shared, Encoder, "<u2")
         for batch in batches:
             texts = batch.column("text")
             for a, b in block_slices(pc.binary_length(texts).to_pylist(), 1 << 20):
@@ -134,7 +136,7 @@ def fill_windows(lengths: np.ndarray, index: ShardIndex, window: int = WINDOW) -
     return windows
 
 
-def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", ranks: str = RANKS, window: int = WINDOW, end_id: int = END) -> DataFrame:
+def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: str = VOCABULARY, window: int = WINDOW, end_id: int = END) -> DataFrame:
     """One row for each piece: the key, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document's ids are followed by the end id; a null or empty text is that id alone. Each id lies in just one piece;
@@ -142,7 +144,7 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", ranks: str =
     each on its own; the column of an equal name is the key.
     """
     spark = docs.sparkSession
-    rows = materialise(encoded(docs, share(spark, ranks), text, key, window, end_id).withColumn("row", F.monotonically_increasing_id()), "encoded")
+    rows = materialise(encoded(docs, share(spark, vocabulary), text, key, window, end_id).withColumn("row", F.monotonically_increasing_id()), "encoded")
     total = rows.agg(F.count("*").alias("rows"), F.count(F.when(F.octet_length("tail") > 0, 1)).alias("n"), F.avg(F.when(F.octet_length("tail") > 0, F.col("n"))).alias("mean")).first()
     frequency = document_frequencies(rows)
     idf = np.log(1 + (total["n"] - frequency + 0.5) / (frequency + 0.5))

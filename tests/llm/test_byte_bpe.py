@@ -11,7 +11,7 @@ from lexisift.llm import byte_bpe, token_counts
 
 TEXTS = [None, "", " ", "  a  b ", "a\n b", "a \n\nb", "don't stop", "<|endoftext|> x", "été 東京 🙂🙂", "x" * 3000, "1234 !!! ??", "\t\tq\r\n", "a  b", "a  b"]
 VOCABULARY = byte_bpe.Vocabulary()
-ENCODERS = [byte_bpe.Encoder(VOCABULARY), byte_bpe.Encoder(VOCABULARY, library="tiktoken")]
+ENCODERS = [byte_bpe.Encoder(VOCABULARY), byte_bpe.Encoder(byte_bpe.FileVocabulary(public_tokenizers.path("byte_bpe_50k.json")))]
 RANKS = byte_bpe.read_ranks(byte_bpe.RANKS)
 REFERENCE = tiktoken.Encoding("reference", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 
@@ -35,6 +35,14 @@ def test_ids_equal_those_of_the_vocabulary_file():
         assert np.frombuffer(ENCODERS[0]([t])[0], "<u4").tolist() == other.encode(t, add_special_tokens=False).ids
 
 
+def test_forgotten_pieces_give_the_same_ids(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 20)
+    encoder = byte_bpe.Encoder(VOCABULARY)
+    texts = [" ".join(f"w{(i * 7 + j) % 31}{'y' * (i % 40)}" for j in range(9)) + " " * (i % 2) + "\n" * (i % 3) for i in range(200)]
+    for a in range(0, len(texts), 5):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder(texts[a : a + 5])] == [REFERENCE.encode_ordinary(t) for t in texts[a : a + 5]]
+
+
 def test_round_trip_with_offsets(spark):
     df = spark.createDataFrame([(i, t, "kept") for i, t in enumerate(TEXTS)] + [(1, "", "kept")], "doc_id long, text string, N_Tokens string")
     rows = byte_bpe.decode(byte_bpe.encode(df), offsets=True)
