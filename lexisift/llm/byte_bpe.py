@@ -6,15 +6,17 @@ Python worker builds one tokenizer from it.
 
 Most texts are words between single spaces, and a match of the split pattern never crosses the place
 before a space that follows a non-space. So a text is cut there and the ids of a piece are remembered
-per worker; only pieces not met lately reach the tokenizer, joined to one text whose ids are cut again by
-the lengths of their tokens. Texts with other white space before a space, and any other pattern, are
-encoded whole.
+per worker; only pieces not met lately reach the library. A piece of Latin letters with marks after them is
+two matches at most, mapped to byte characters here and given to the merges at once; all others are joined
+to one text whose ids are cut again by the lengths of their tokens. Texts with other white space before a
+space, and any other pattern, are encoded whole.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,8 @@ from lexisift.llm.common import block_slices, small_batches, without
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SLICE_BYTES = 1 << 20
-#: Pieces in each of the two generations that a worker remembers.
-REMEMBERED = 100_000
+#: Pieces in each of the two generations that a worker remembers, unless an encoder is given another number.
+REMEMBERED = 75_000
 LONGEST_REMEMBERED = 32
 
 
@@ -108,19 +110,36 @@ class Encoder:
     """Encodes texts to little-endian unsigned ids as bytes, remembering the ids of short pieces met lately."""
 
     SPACE_AFTER_SPACE = re.compile(r"\s ")
+    #: Letters and then ASCII marks: one match of the split pattern each (an apostrophe could begin a match of its own).
+    PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 
-    def __init__(self, vocabulary: Vocabulary | FileVocabulary, dtype: str = "<u4"):
+    def __init__(self, vocabulary: Vocabulary | FileVocabulary, dtype: str = "<u4", remembered: int = REMEMBERED):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer, self.lengths, self.dtype = vocabulary.tokenizer(), vocabulary.lengths, np.dtype(dtype)
         self.by_piece = vocabulary.pattern == public_tokenizers.PATTERN
+        self.model, self.shown = self.tokenizer.model, byte_characters()
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
+        self.remembered = remembered
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def merged(self, match: str) -> bytes:
+        """The ids of one match of the split pattern, as byte characters."""
+        found = self.model.tokenize(match)
+        return struct.pack(f"<{len(found)}{self.code}", *[t.id for t in found])
+
+    def letters(self, word: str, marks: str) -> bytes:
+        """The ids of letters after a space and of the marks that follow them."""
+        known = self.recent.get(word) or self.older.get(word)
+        if not known:
+            known = self.merged(self.shown[32] + (word if word.isascii() else "".join([self.shown[b] for b in word.encode()])))
+        return known + self.merged(marks) if marks else known
+
     def after_spaces(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece with a space before it, by encoding them as one text."""
         if not pieces:
@@ -135,12 +154,16 @@ class Encoder:
     def learn(self, pieces: set[str]) -> None:
         """Make recent hold all pieces; what was not met while a generation filled is forgotten."""
         new = [p for p in pieces if p not in self.recent]
-        if len(self.recent) + len(new) > REMEMBERED:
+        if len(self.recent) + len(new) > self.remembered:
             self.recent, self.older, new = {}, self.recent, list(pieces)
         missing = [p for p in new if p not in self.older]
         self.recent.update((p, self.older[p]) for p in new if p in self.older)
         joined, alone = [], []
         for p in missing:
+            plain = self.PLAIN.fullmatch(p)
+            if plain:
+                self.recent[p] = self.letters(*plain.groups())
+                continue
             (alone if not p or p[-1].isspace() else joined).append(p)
         self.recent.update(zip(joined, self.after_spaces(joined)))
         self.recent.update(zip(alone, self.whole([" " + p for p in alone])))

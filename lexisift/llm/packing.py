@@ -29,6 +29,8 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WINDOW = 1024
 END = 0
 SHARD_DOCUMENTS = 1024
+#: Pieces in each generation of an encoder's memory.
+REMEMBERED = 300_000
 K1, B = 1.2, 0.75
 PIECES = "key {key}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -39,7 +41,7 @@ def encoded(docs: DataFrame, shared, text: str, key: str, window: int = WINDOW,
     end = np.array([end_id], dtype="<u2").tobytes()
 
     def run(batches):
-        encoder = in_worker(shared, Encoder, "<u2")
+        encoder = in_worker(shared, Encoder, "<u2", REMEMBERED)
         for batch in batches:
             texts = batch.column("text")
             for a, b in block_slices(pc.binary_length(texts).to_pylist(), 1 << 20):

@@ -35,10 +35,9 @@ def test_ids_equal_those_of_the_vocabulary_file():
         assert np.frombuffer(ENCODERS[0]([t])[0], "<u4").tolist() == other.encode(t, add_special_tokens=False).ids
 
 
-def test_forgotten_pieces_give_the_same_ids(monkeypatch):
-    monkeypatch.setattr(byte_bpe, "REMEMBERED", 20)
-    encoder = byte_bpe.Encoder(VOCABULARY)
-    texts = [" ".join(f"w{(i * 7 + j) % 31}{'y' * (i % 40)}" for j in range(9)) + " " * (i % 2) + "\n" * (i % 3) for i in range(200)]
+def test_forgotten_pieces_give_the_same_ids():
+    encoder = byte_bpe.Encoder(VOCABULARY, remembered=20)
+    texts = [" ".join(f"w{(i * 7 + j) % 31}{'yé'[i % 2] * (i % 40)}{'.,!'[: i % 4]}" for j in range(9)) + " " * (i % 2) + "\n" * (i % 3) for i in range(200)]
     for a in range(0, len(texts), 5):
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder(texts[a : a + 5])] == [REFERENCE.encode_ordinary(t) for t in texts[a : a + 5]]
 
