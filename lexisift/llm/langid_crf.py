@@ -108,10 +108,23 @@ def _scaled(x: np.ndarray) -> np.ndarray:
 
 
 def marginals(scores: np.ndarray, bounds: np.ndarray, transitions: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Forward-backward: each word's probability of each language; bounds cut the words into chains."""
+    """Each word's probability of each language; bounds cut the words into chains."""
+    alpha, beta = forward_backward(scores, bounds, transitions, begin)
+    return _scaled(alpha * beta)
+
+
+def pair_counts(scores: np.ndarray, alpha: np.ndarray, beta: np.ndarray, transitions: np.ndarray, follows: np.ndarray) -> np.ndarray:
+    """Expected number of each transition into the words ``follows``, from forward and backward messages."""
+    step = np.exp(transitions - transitions.max())
+    before, after = alpha[follows - 1], np.exp(scores - scores.max(axis=1, keepdims=True))[follows] * beta[follows]
+    return step * ((before / ((before @ step) * after).sum(axis=1, keepdims=True)).T @ after)
+
+
+def forward_backward(scores: np.ndarray, bounds: np.ndarray, transitions: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward messages (with a word's own score) and backward messages (without it), each scaled to sum to 1."""
     n, k = scores.shape
     if not n:
-        return np.zeros((0, k))
+        return np.zeros((0, k)), np.zeros((0, k))
     e = np.exp(scores - scores.max(axis=1, keepdims=True)) + 1e-30
     step, first = np.exp(transitions - transitions.max()), np.exp(begin - begin.max())
     sizes = np.diff(bounds)
@@ -171,7 +184,7 @@ def marginals(scores: np.ndarray, bounds: np.ndarray, transitions: np.ndarray, b
             continue
         beta[s[:m] + t] = message[:m]
         message[:m] = _scaled((message[:m] * e[s[:m] + t]) @ step.T)
-    return _scaled(alpha * beta)
+    return alpha, beta
 
 
 def _first_block(e, start, length, step, first):
@@ -231,13 +244,13 @@ def fit(texts: list[str], labels: list[str], bits: int = BITS, rounds: int = ROU
     spread = np.repeat(np.arange(len(first)), sizes)
     for _ in range(rounds):
         scores = emissions(weights, cells, first)[order]
-        p = marginals(scores, cuts, transitions, begin)
+        alpha, beta = forward_backward(scores, cuts, transitions, begin)
+        p = _scaled(alpha * beta)
         off = -p
         off[np.arange(total), truth] += 1
         by_word = np.stack([np.bincount(order, off[:, j], minlength=len(first)) for j in range(k)], axis=1)
         g_weights = np.stack([np.bincount(cells, by_word[spread, j], minlength=1 << bits) for j in range(k)], axis=1) / total - 1e-7 * weights
-        # pair marginals by neighbouring marginals: exact where the words are certain, and cheap
-        expected = p[follows - 1].T @ p[follows]
+        expected = pair_counts(scores, alpha, beta, transitions, follows)
         seen = np.zeros((k, k))
         np.add.at(seen, (truth[follows - 1], truth[follows]), 1)
         g_transitions = (seen - expected) / total - 1e-4 * transitions

@@ -31,6 +31,18 @@ def test_marginals_equal_plain_forward_backward(sizes, k, seed):
             assert np.allclose(got[s:e], want / want.sum(axis=1, keepdims=True))
 
 
+def test_pair_counts_equal_those_over_all_labellings():
+    random = np.random.default_rng(3)
+    n, k = 5, 3
+    scores, a, b = random.normal(size=(n, k)) * 2, random.normal(size=(k, k)), random.normal(size=k)
+    paths = np.stack(np.meshgrid(*[range(k)] * n, indexing="ij"), -1).reshape(-1, n)
+    weight = np.exp(b[paths[:, 0]] + scores[np.arange(n), paths].sum(1) + a[paths[:, :-1], paths[:, 1:]].sum(1))
+    want = np.zeros((k, k))
+    np.add.at(want, (paths[:, :-1], paths[:, 1:]), np.broadcast_to((weight / weight.sum())[:, None], (len(paths), n - 1)))
+    messages = L.forward_backward(scores, np.array([0, n]), a, b)
+    assert np.allclose(L.pair_counts(scores, *messages, a, np.arange(1, n)), want)
+
+
 def test_features_depend_on_the_word_alone():
     def cells(text):
         data = np.frombuffer(text.encode(), np.uint8)
