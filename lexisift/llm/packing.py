@@ -4,7 +4,10 @@ Documents are encoded once, and what packing needs of them is kept in the shared
 checksums, the ids of the tail that doesn't fill a window, and the document's distinct ids with counts. The
 ids serve as terms; how many documents hold each, over the whole corpus, is a table of the vocabulary's size.
 
-Tails are dealt by a hash of the row into shards of about ``SHARD_DOCUMENTS``; each shard is a BM25 inverted
+Tails are dealt by their terms into shards of about ``SHARD_DOCUMENTS``, so that lexical neighbours share one: the
+weighted terms of a document are projected to ``DIMENSIONS`` random directions, and a tree of splits between
+two means, learned from a sample, leads to the shard. What can't be split by terms (many copies) is dealt
+by a hash of the row within its leaf. Neighbours that a split parts are not retrieved. Each shard is a BM25 inverted
 index of its own. The longest unused tail seeds a window, its document is the query, and the unused
 neighbours fill the window in order of score; the one that doesn't fit is cut, and its rest stays unused. So
 every window of a shard but its last is full. No shard grows with the corpus, a source or a group of copies.
@@ -29,6 +32,10 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WINDOW = 1024
 END = 0
 SHARD_DOCUMENTS = 1024
+DIMENSIONS = 128
+#: Sampled documents for each leaf of the tree that deals documents to shards, and of all leaves.
+LEAF_SAMPLES, MOST_SAMPLES = 32, 1 << 17
+LEAST_GAP = 1e-4
 #: Pieces in each generation of an encoder's memory.
 REMEMBERED = 300_000
 K1, B = 1.2, 0.75
@@ -86,6 +93,132 @@ def document_frequencies(rows: DataFrame) -> np.ndarray:
     return out
 
 
+def projected(terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, mean_length: float, signs: np.ndarray) -> np.ndarray:
+    """Unit vectors whose products are near those of the BM25-weighted terms; documents must have terms."""
+    out = np.empty((len(terms), signs.shape[1]), dtype=np.float32)
+    for i, (t, c) in enumerate(zip(terms, counts)):
+        tf = c.astype(np.float64)
+        weight = np.sqrt(idf[t] * tf / (tf + K1 * (1 - B + B * tf.sum() / mean_length)))
+        out[i] = weight.astype(np.float32) @ signs[t]
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+def random_signs() -> np.ndarray:
+    return np.random.default_rng(5).integers(0, 2, (1 << 16, DIMENSIONS), dtype=np.int8).astype(np.float32) * 2 - 1
+
+
+def split(vectors: np.ndarray, rounds: int = 4) -> tuple[np.ndarray, float | None]:
+    """A direction and a limit on it: two means from the principal direction, parted where the middle is thinnest.
+
+    The limit is None where the vectors are equal.
+    """
+    if not len(vectors):
+        return np.zeros(vectors.shape[1], np.float32), None
+    own = vectors - vectors.mean(axis=0)
+    direction = np.linalg.eigh((own.T @ own).astype(np.float64))[1][:, -1].astype(np.float32)
+    for i in range(rounds):
+        along = vectors @ direction
+        order = np.sort(along)
+        near, a, b = max(len(order) // 50, 1), int(len(order) * 0.3), int(len(order) * 0.7)
+        at = np.arange(max(a, near), max(b, near) + 1)
+        at = at[at + near - 1 < len(order)]
+        best = at[np.argmax(order[at + near - 1] - order[at - near])] if len(at) else len(order) // 2
+        gaps = np.diff(order)
+        inner = gaps[max(best - near, 0) : best + near]
+        cut = int(np.argmax(inner)) + max(best - near, 0) if len(inner) and inner.max() > LEAST_GAP else int(np.argmax(gaps)) if len(gaps) else 0
+        if not len(gaps) or gaps[cut] <= LEAST_GAP:
+            return direction, None
+        limit = (order[cut] + order[cut + 1]) / 2  # never between copies
+        right = along >= limit
+        if i == rounds - 1:
+            break
+        direction = vectors[right].mean(axis=0) - vectors[~right].mean(axis=0)
+    return direction, float(limit)
+
+
+class Dealer:
+    """A tree of splits of a sample's vectors, each side with leaves for its share; its leaves are shards, or several."""
+
+    def __init__(self, sample: np.ndarray, leaves: int):
+        self.direction, self.limit, self.child, self.depth = [], [], [], 0
+        held = np.zeros(leaves, dtype=np.int64)
+        open_ = [(np.arange(len(sample)), 0, leaves, 0, None)]  # sampled rows, first leaf, leaves, depth, slot in the parent
+        while open_:
+            rows, first, n, depth, slot = open_.pop()
+            direction, limit = split(sample[rows]) if n > 1 else (None, None)
+            if limit is None:
+                held[first] = len(rows)
+                name = -1 - first
+            else:
+                right = sample[rows] @ direction >= limit
+                lower = min(max(round(n * float(np.mean(~right))), 1), n - 1)
+                name = len(self.limit)
+                self.direction.append(direction)
+                self.limit.append(limit)
+                self.child.append([0, 0])
+                self.depth = max(self.depth, depth + 1)
+                open_ += [(rows[~right], first, lower, depth + 1, (name, 0)), (rows[right], first + lower, n - lower, depth + 1, (name, 1))]
+            if slot:
+                self.child[slot[0]][slot[1]] = name
+        self.direction, self.limit, self.child = (np.array(x) for x in (self.direction, self.limit, self.child))
+        # a leaf that holds much more than its share of the sample, for equal vectors, is several shards
+        self.pieces = np.maximum(np.rint(held * leaves / max(len(sample), 1)).astype(np.int64), 1)
+        self.first = np.cumsum(self.pieces) - self.pieces
+        self.shards = int(self.pieces.sum())
+
+    def leaf(self, vectors: np.ndarray) -> np.ndarray:
+        at = np.full(len(vectors), 0 if self.depth else -1)
+        for _ in range(self.depth):
+            inner = np.flatnonzero(at >= 0)
+            node = at[inner]
+            along = np.einsum("ij,ij->i", vectors[inner], self.direction[node])
+            at[inner] = self.child[node, (along >= self.limit[node]).astype(int)]
+        return -1 - at
+
+    def shard(self, vectors: np.ndarray, mixed: np.ndarray) -> np.ndarray:
+        leaf = self.leaf(vectors)
+        return self.first[leaf] + mixed % self.pieces[leaf]
+
+
+def deal(rows: DataFrame, idf, mean: float, documents: int) -> DataFrame:
+    """Add shard to rows of row, terms, counts; idf is broadcast, documents of the rows have terms."""
+    leaves = max(1, -(-documents // SHARD_DOCUMENTS))
+    made: dict = {}  # of a task
+
+    def vectors(batch, at):
+        terms, counts = ([np.frombuffer(x, dtype="<u2") for x in batch.column(c).take(at).to_pylist()] for c in ("terms", "counts"))
+        if not made:
+            made["signs"] = random_signs()
+        return projected(terms, counts, idf.value, mean, made["signs"])
+
+    def sampled(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"vector": pa.array([v.tobytes() for v in vectors(batch, pa.array(range(batch.num_rows)))], pa.binary())})
+
+    if leaves > 1:
+        share = min(leaves * LEAF_SAMPLES, MOST_SAMPLES) / documents
+        chosen = rows.where(F.octet_length("terms") > 0).select("row", "terms", "counts")
+        if share < 1:
+            chosen = chosen.where(F.pmod(F.xxhash64("row", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000))
+        found = chosen.mapInArrow(sampled, "vector binary").collect()
+        sample = np.frombuffer(b"".join(r["vector"] for r in found), dtype=np.float32).reshape(-1, DIMENSIONS)
+    else:
+        sample = np.zeros((0, DIMENSIONS), np.float32)
+    dealer = rows.sparkSession.sparkContext.broadcast(Dealer(sample, leaves))
+
+    def run(batches):
+        for batch in batches:
+            mixed = ((batch.column("row").to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
+            shard = mixed % dealer.value.shards
+            some = np.flatnonzero(np.array(pc.binary_length(batch.column("terms")).to_pylist() or [0]) > 0) if batch.num_rows else []
+            if len(some) and dealer.value.shards > 1:
+                shard[some] = dealer.value.shard(vectors(batch, pa.array(some)), mixed[some])
+            yield batch.append_column("shard", pa.array(shard, pa.int64()))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.mapInArrow(run, f"{fields}, shard long")
+
+
 class ShardIndex:
     """The BM25 inverted index of one shard's documents."""
 
@@ -151,7 +284,6 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: s
     frequency = document_frequencies(rows)
     idf = np.log(1 + (total["n"] - frequency + 0.5) / (frequency + 0.5))
     shared, mean = spark.sparkContext.broadcast(idf), float(total["mean"] or 1)
-    shards = max(1, -(-total["rows"] // SHARD_DOCUMENTS))
     kind = rows.schema["key"].dataType.simpleString()
 
     def run(batches):
@@ -188,7 +320,7 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: s
             names=["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
         )
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("long")).drop("row")
+    dealt = deal(rows, shared, mean, total["n"]).drop("row")
     packed = dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, PIECES.format(key=kind))
     return packed.withColumnRenamed("key", key)
 

@@ -92,3 +92,24 @@ def test_windows_are_full_but_the_last(lengths):
     for d, n in enumerate(lengths):
         own = sorted((b, k) for w in made for x, b, k in w if x == d)
         assert [b for b, _ in own] == [sum(k for _, k in own[:i]) for i in range(len(own))] and sum(k for _, k in own) == n
+
+
+def test_neighbours_are_retrieved_over_many_shards(spark, monkeypatch):
+    """The nearest documents by brute-force BM25 over all are in a document's shard, whatever their row."""
+    monkeypatch.setattr(packing, "SHARD_DOCUMENTS", 32)
+    random = np.random.default_rng(1)
+    terms, counts = [], []
+    for i in range(1024):  # 32 topics of 40 terms of their own, and terms of all
+        own = np.concatenate([random.choice(40, 20, replace=False) + 1000 + 40 * (i % 32), random.choice(400, 30, replace=False) + 1])
+        terms.append(np.sort(own).astype("<u2"))
+        counts.append(np.ones(50, "<u2"))
+    terms += [terms[0]] * 300  # copies don't fill one shard
+    counts += [counts[0]] * 300
+    n = np.bincount(np.concatenate(terms), minlength=1 << 16)
+    idf = np.log(1 + (len(terms) - n + 0.5) / (n + 0.5))
+    df = spark.createDataFrame([(i, bytearray(t.tobytes()), bytearray(c.tobytes())) for i, (t, c) in enumerate(zip(terms, counts))], "row long, terms binary, counts binary")
+    got = {r["row"]: r["shard"] for r in packing.deal(df, spark.sparkContext.broadcast(idf), 50.0, len(terms)).collect()}
+    shard = np.array([got[i] for i in range(len(terms))])
+    index = packing.ShardIndex(terms, counts, idf, 50.0)
+    near = [shard[np.argsort(-index.scores(q)[:1024], kind="stable")[1:6]] == shard[q] for q in range(1, 300)]
+    assert np.mean(near) > 0.4 and np.bincount(shard).max() <= 4 * 32
