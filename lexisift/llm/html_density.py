@@ -7,7 +7,9 @@ A page is read into a tree of its block elements (inline formatting is transpare
 
 and each node's density sum adds the densities of its children. The subtree with the largest sum is the
 main one. The least density on the path from it to the body is the threshold: whatever hangs off that path
-and is at least as dense belongs to the text too. What by its element, role or class is navigation, header,
+and is at least as dense belongs to the text too. Within the outermost article or main on that path, or in all of
+the page where there is none, it also belongs to the text if less than half of its characters are in links; so does
+an h1 anywhere off the path. A page without article and main so keeps boilerplate that nothing marks. What by its element, role or class is navigation, header,
 footer, sidebar, notice, advert, form, comment or code is no part of the tree.
 
 One mapInArrow stage, no shuffle; a page is held at a time, its tree as flat arrays without recursion.
@@ -68,7 +70,7 @@ class Tree(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.parent, self.own_tags, self.own_links = [-1], [0], [0]
+        self.parent, self.own_tags, self.own_links, self.tag = [-1], [0], [0], [""]
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         self.open: list[tuple[str, int, bool]] = []  # tag, node, whether left out
         self.counts: dict[str, int] = {}
@@ -132,6 +134,7 @@ class Tree(HTMLParser):
             self.own_tags[node] += 1
             self.own_tags.append(0)
             self.own_links.append(0)
+            self.tag.append(tag)
             node = len(self.parent) - 1
         self.open.append((tag, node, out))
         self.counts[tag] = self.counts.get(tag, 0) + 1
@@ -203,11 +206,20 @@ def main_blocks(html: str) -> list[str]:
         at = tree.parent[at]
     least = min(dense[i] for i in path)
     on_path = set(path)
+    whole = next((k for k in range(len(path) - 1, -1, -1) if tree.tag[path[k]] in ("article", "main")), len(path) - 1)
+    within = set(path[: whole + 1])  # nodes of the path of which all goes in but links
     taken = [False] * n
     for i in range(n):
         up = tree.parent[i]
-        taken[i] = i == best or (up >= 0 and (taken[up] or (up in on_path and i not in on_path and dense[i] >= least and dense[i] > 0)))
-    return [text for node, text, in_links in tree.blocks if taken[node] or (node in on_path and density(len(text), in_links, 1, 1, ratio) >= least)]
+        if i == best or up >= 0 and taken[up]:
+            taken[i] = True
+        elif up in on_path and i not in on_path and chars[i]:
+            plain = linked[i] * 2 < chars[i] and (up in within or tree.tag[i] == "h1")
+            taken[i] = plain or dense[i] >= least and dense[i] > 0
+    return [
+        text for node, text, in_links in tree.blocks
+        if taken[node] or node in on_path and (node in within and in_links * 2 < len(text) or density(len(text), in_links, 1, 1, ratio) >= least)
+    ]
 
 
 def main_text(html: str | None) -> str:

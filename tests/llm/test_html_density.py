@@ -40,3 +40,17 @@ def test_frame(spark):
     assert got.columns == ["page_id", "html", "text"]
     assert sorted((str(r["page_id"]), r["text"]) for r in got.collect()) == [("1", "a"), ("1", "a"), ("2", ""), ("None", "")]
     assert extract_main_text(df.where("false")).count() == 0
+
+
+def test_titles_and_short_sections_stay():
+    part = lambda n, size, c: "".join(f"<p>{(c * 7 + ' ') * (size // 8)}</p>" for _ in range(n))
+    sections = f"<section>{part(3, 80, 'a')}</section><section>{part(10, 300, 'b')}</section><ul><li><a href='/x'>a linked story elsewhere</a></ul>"
+    links = "<div><a href='/1'>one of the links</a> <a href='/2'>two of the links</a></div>"
+    for page in (
+        f"<body>{links}<article><h1>A title of thirty characters..</h1>{sections}</article><div>unmarked small print</div>",
+        f"<body>{links}<main><header><h1>A title of thirty characters..</h1></header><div>{sections}</div></main>",
+        f"<body>{links}<h1>A title of thirty characters..</h1><article>{sections}</article>",
+        f"<body>{links}<div><h2>A title of thirty characters..</h2>{sections}</div>",
+    ):
+        got = main_text(page).split("\n\n")
+        assert got[0] == "A title of thirty characters.." and len(got) == 14 and not any("link" in x or "print" in x for x in got)
