@@ -10,7 +10,9 @@ main one. The least density on the path from it to the body is the threshold: wh
 and is at least as dense belongs to the text too. Within the outermost article or main on that path, or in all of
 the page where there is none, it also belongs to the text if less than half of its characters are in links; so does
 an h1 anywhere off the path. A page without article and main so keeps boilerplate that nothing marks. What by its element, role or class is navigation, header,
-footer, sidebar, notice, advert, form, comment or code is no part of the tree.
+footer, sidebar, notice, advert, form, comment or code is no part of the tree; where a class name says so only in
+part, the element goes if half of its text is in links, or if it has under a tenth of the page's and stands outside
+an article.
 
 One mapInArrow stage, no shuffle; a page is held at a time, its tree as flat arrays without recursion.
 """
@@ -49,6 +51,30 @@ CLOSES = {
 }
 SPACES = re.compile(r"\s+")
 WORDS = re.compile(r"[a-z]+")
+#: What may stand in a head; anything else ends one that isn't closed.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: First words of class names that speak of the layout around an element.
+LAYOUT = frozenset("has have no not with without show hide".split())
+
+
+def class_role(attrs) -> str:
+    """What the class and id say of an element: "out", "last" or "part" by which words of a name are in SKIPPED_CLASSES, or "".
+
+    Names all of whose words are in it leave the element out. Others only make it suspect: those that end in such a
+    word ("last") or have one elsewhere ("part"). Names that begin with a layout word say nothing.
+    """
+    role = ""
+    for name, value in attrs:
+        if name in ("class", "id") and value:
+            for token in value.lower().split():
+                words = WORDS.findall(token)
+                if not words or words[0] in LAYOUT:
+                    continue
+                known = [w in SKIPPED_CLASSES for w in words]
+                if all(known):
+                    return "out"
+                role = "last" if known[-1] else role or ("part" if any(known) else "")
+    return role
 
 
 def is_skipped(tag: str, attrs, within: bool) -> bool:
@@ -60,9 +86,7 @@ def is_skipped(tag: str, attrs, within: bool) -> bool:
             continue
         if name == "role" and value.strip().lower() in SKIPPED_ROLES:
             return True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main") and not SKIPPED_CLASSES.isdisjoint(WORDS.findall(value.lower())):
-            return True
-    return False
+    return tag not in ("body", "html", "article", "main") and class_role(attrs) == "out"
 
 
 class Tree(HTMLParser):
@@ -73,6 +97,7 @@ class Tree(HTMLParser):
         self.parent, self.own_tags, self.own_links, self.tag = [-1], [0], [0], [""]
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         self.open: list[tuple[str, int, bool]] = []  # tag, node, whether left out
+        self.suspects: dict[int, bool] = {}  # nodes of suspect class names: whether they go for little text as well
         self.counts: dict[str, int] = {}
         self.text: list[str] = []
         self.linked: list[str] = []
@@ -106,6 +131,8 @@ class Tree(HTMLParser):
                 return
 
     def handle_starttag(self, tag, attrs):
+        if tag == "body" or self.open and self.open[-1][0] == "head" and tag not in IN_HEAD and tag not in ("head", "html"):
+            self.close_upto(("head",), ())
         if tag in INLINE:
             if tag == "br":
                 self.text.append(" ")
@@ -127,7 +154,8 @@ class Tree(HTMLParser):
         out = self.open[-1][2] if self.open else False
         if tag in VOID:
             return
-        out = out or is_skipped(tag, attrs, bool(self.counts.get("article") or self.counts.get("main")))
+        within = bool(self.counts.get("article") or self.counts.get("main"))
+        out = out or is_skipped(tag, attrs, within)
         node = self.node()
         if not out:
             self.parent.append(node)
@@ -136,6 +164,9 @@ class Tree(HTMLParser):
             self.own_links.append(0)
             self.tag.append(tag)
             node = len(self.parent) - 1
+            role = "" if tag in ("article", "main") else class_role(attrs)
+            if role:
+                self.suspects[node] = role == "last" and not within
         self.open.append((tag, node, out))
         self.counts[tag] = self.counts.get(tag, 0) + 1
 
@@ -151,6 +182,8 @@ class Tree(HTMLParser):
             self.flush()
 
     def handle_data(self, data):
+        if self.open and self.open[-1][0] == "head" and data.strip():
+            self.close_upto(("head",), ())
         if self.open and self.open[-1][2]:
             return
         self.text.append(data)
@@ -164,6 +197,26 @@ class Tree(HTMLParser):
         self.flush()
 
 
+def without_suspects(tree: Tree) -> None:
+    """Take out suspect elements with half of their text in links, or where that counts with under a tenth of the page's."""
+    n = len(tree.parent)
+    chars, linked = [0] * n, [0] * n
+    for node, text, in_links in tree.blocks:
+        chars[node] += len(text)
+        linked[node] += min(in_links, len(text))
+    for i in range(n - 1, 0, -1):
+        chars[tree.parent[i]] += chars[i]
+        linked[tree.parent[i]] += linked[i]
+    gone = [False] * n
+    for i in range(1, n):
+        up = tree.parent[i]
+        gone[i] = gone[up] or i in tree.suspects and (linked[i] * 2 >= chars[i] or tree.suspects[i] and chars[i] * 10 < chars[0])
+        if gone[i]:
+            tree.own_tags[i] = tree.own_links[i] = 0
+            tree.own_tags[up] -= not gone[up]
+    tree.blocks = [x for x in tree.blocks if not gone[x[0]]]
+
+
 def density(chars: int, linked: int, tags: int, link_tags: int, body_ratio: float) -> float:
     if not chars:
         return 0.0
@@ -177,6 +230,8 @@ def main_blocks(html: str) -> list[str]:
     tree = Tree()
     tree.feed(html)
     tree.close()
+    if tree.suspects:
+        without_suspects(tree)
     n = len(tree.parent)
     if not tree.blocks:
         return []

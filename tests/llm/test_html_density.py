@@ -54,3 +54,16 @@ def test_titles_and_short_sections_stay():
     ):
         got = main_text(page).split("\n\n")
         assert got[0] == "A title of thirty characters.." and len(got) == 14 and not any("link" in x or "print" in x for x in got)
+
+
+def test_open_heads_and_layout_classes():
+    text = "A paragraph of the article that is long enough to be one. " * 4
+    want = text.strip()
+    for page in (
+        f"<html><head><title>t</title><meta charset=utf-8><body><p>{text}</html>",
+        f"<html><head><title>t</title><script>x</script><div><p>{text}</div>",
+        f"<html><head><title>t</title>{text}",
+        *[f"<body><div class='{c}'><article><p>{text}</article></div></body>" for c in ("content has-sidebar", "no-sidebar", "with-nav", "social-policy", "page-sidebar")],
+        f"<body><article><p>{text}</article><div class='main-nav'><a href='/'>Home page</a></div><div class='site-footer'>small</div></body>",
+    ):
+        assert main_text(page) == want
