@@ -15,15 +15,21 @@ from lexisift.llm.langid_crf import UNKNOWN, held_out, identify, train
 from lexisift.llm.packing import pack
 from lexisift.llm.secret_scan import redact
 
-#: A text whose words are on average less likely than this to be in its language has none that can be told.
+#: A text whose words are on average less likely than this to be in any one language, each in its own, has none that can be told.
 LEAST_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told: texts that are null, without letters, or of no clear language go."""
+    """Documents whose words' languages are told: texts that are null, without letters, or of no clear language go.
+
+    Texts of several languages stay. Where no language is learned, for want of labels, all texts with letters stay.
+    """
     small_batches(spark)
-    labelled = identify(docs, train(docs.where(~held_out())))
-    return labelled.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    model = train(docs.where(~held_out()))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    labelled = identify(docs, model, confidence=True)
+    return labelled.where((F.col("lang_pred") != UNKNOWN) & (F.col("confidence") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -271,8 +271,10 @@ def training_sample(df: DataFrame, text: str = "text", lang: str = "lang", key:
     return [r["text"] for r in rows], [r["lang"] for r in rows]
 
 
-def identify(df: DataFrame, model: Model, text: str = "text", segments: bool = False) -> DataFrame:
-    """Add ``lang_pred`` and ``score``, and with segments the stretches of words of one language.
+def identify(df: DataFrame, model: Model, text: str = "text", segments: bool = False, confidence: bool = False) -> DataFrame:
+    """Add ``lang_pred`` and ``score``, with segments the stretches of words of one language, and with confidence that.
+
+    confidence is the mean over a text's words of the largest probability of each, whatever its language; 0 for ``und``.
 
     score is the mean over a text's words of the probability of the predicted language. A null text, and a text
     without letters, gets ``und`` and 0. segments: array of struct(start, stop, label), in words, end exclusive; empty
@@ -280,12 +282,14 @@ def identify(df: DataFrame, model: Model, text: str = "text", segments: bool = F
     """
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    rows = without(df, ["lang_pred", "score", "segments", "_words"]).withColumn("_words", F.when(F.col(text).rlike(r"\p{L}"), F.col(text)).otherwise(F.lit("")))
+    rows = without(df, ["lang_pred", "score", "segments", "_words", *["confidence"] * confidence]).withColumn("_words", F.when(F.col(text).rlike(r"\p{L}"), F.col(text)).otherwise(F.lit("")))
     kept = [f for f in rows.schema.fields if f.name != "_words"]
     more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     spans = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("label", T.StringType())]))
     if segments:
         more.append(T.StructField("segments", spans))
+    if confidence:
+        more.append(T.StructField("confidence", T.DoubleType()))
     out = T.StructType([*kept, *more])
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("label", pa.string())]))
 
@@ -315,6 +319,11 @@ def identify(df: DataFrame, model: Model, text: str = "text", segments: bool = F
                         cuts = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1, [len(own)]]).tolist() if len(own) else [0]
                         listed.append([{"start": x, "stop": y, "label": found.languages[own[x]]} for x, y in zip(cuts[:-1], cuts[1:])] if some[i] else [])
                     cols.append(pa.array(listed, span_type))
+                if confidence:
+                    sure = np.zeros(b - a)
+                    if some.any():
+                        sure[some] = np.add.reduceat(p.max(axis=1), at[:-1][some]) / n[some]
+                    cols.append(pa.array(np.clip(sure, 0, 1), pa.float64()))
                 yield pa.RecordBatch.from_arrays(cols, names=out.names)
                 a = b
 

@@ -39,3 +39,18 @@ def test_repeated_rows_count_once(spark):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_texts_of_several_languages_stay(spark):
+    said = {
+        "en": WORDS,
+        "fr": "le vif renard brun saute par dessus ce chien paresseux avec cette chose et puis encore quelques mots qui sont ici pour tous",
+        "de": "der schnelle braune fuchs springt ueber den faulen hund mit diesem ding und dann noch einige worte davon sind hier zum lesen",
+    }
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    mixed = [(500, f"{said['en']} {said['fr']}"), (501, f"{said['de']} {said['fr']}"), (502, " ".join(said.values())), (503, " ".join(t for x in zip(*map(str.split, said.values())) for t in x))]
+    rows = [(i, said[x], x, "s", 1) for i, x in enumerate([*said] * 20)] + [(i, t, None, "s", 1) for i, t in mixed]
+    got = {r["doc_id"] for r in corpus_pipeline.language_id(spark, spark.createDataFrame(rows, schema), "").collect()}
+    assert got >= {500, 501, 502} and len(got) >= len(rows) - 1
+    bare = spark.createDataFrame([(1, WORDS, None, "s", 1), (2, "12 !!", None, "s", 1), (3, None, None, "s", 1)], schema)
+    assert [r["doc_id"] for r in corpus_pipeline.language_id(spark, bare, "").collect()] == [1]
