@@ -7,7 +7,8 @@ Two documents link when their sets of word shingles overlap enough. The steps:
 2. Each document is reduced to its size, a digest, a parity bitmap of 1 to 2 bits a shingle, and its
    prefix: the rarest n - T + 1 shingles, T the least overlap with any partner. That is DivideSkip's split:
    two documents that reach T must meet in one of those short lists. Equal sets are joined by digest.
-3. Inverted lists of the prefixes (lists of one are dropped). In each list, pairs are tested by bitmaps: the
+3. Inverted lists of the prefixes of distinct sets (lists of one are dropped). Lists over a size are split in pairs of
+   blocks, so that no task grows with a list; the number of pairs to test still does. In each list, pairs are tested by bitmaps: the
    bits in which two differ are no more than the elements in which the sets differ, so a pair with too many
    is out for certain. What survives is emitted as a spanning forest of the list, never as all pairs.
 4. The components of what survived are the clusters; no link leaves one. Clusters are small: unrelated
@@ -25,7 +26,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexisift.llm.common import materialise, small_batches, table
@@ -39,6 +40,8 @@ LEAST_BITS, MOST_BITS = 64, 4096
 BLOCK_DOCS = 4096
 BLOCK_SHINGLES = 4 << 20
 PAIRWISE = 8
+#: A longer list of a shingle is tested in pairs of blocks of about so many members.
+LIST_BLOCK = 4096
 
 
 def least_overlap(n, percent: int = PERCENT):
@@ -286,14 +289,23 @@ def _runs(batches, key: str):
 
 
 def candidate_forest(entries: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) of spanning forests of what survives in each list; entries: h, doc_id, n, bitmap."""
+    """Edges (a, b) of spanning forests of what survives in each list; entries: h, doc_id, n, bitmap, side.
+
+    Members of side 0 and 1 are tested only against the other side, those of side -1 against all.
+    """
 
     def run(batches):
         for some in _runs(batches, "h"):
             if some is None:
                 continue
-            h, ids, n = (some.column(c).to_numpy() for c in ("h", "doc_id", "n"))
+            h, ids, n, side = (some.column(c).to_numpy() for c in ("h", "doc_id", "n", "side"))
             bitmaps = Bitmaps(some.column("bitmap").to_pylist())
+
+            def test(i, j, bitmaps=bitmaps, n=n, side=side):
+                out = (side[i] < 0) | (side[i] != side[j])
+                out[out] = bitmaps.test(i[out], j[out], n, percent)
+                return out
+
             starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             sizes = np.diff(np.append(starts, len(h)))
             pairs = []
@@ -302,10 +314,10 @@ def candidate_forest(entries: DataFrame, percent: int) -> DataFrame:
                 i, j = np.triu_indices(m, 1)
                 if len(at):
                     i, j = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
-                    keep = bitmaps.test(i, j, n, percent)
+                    keep = test(i, j)
                     pairs.append(np.stack([ids[i[keep]], ids[j[keep]]], 1))
             for s, m in zip(starts[sizes > PAIRWISE].tolist(), sizes[sizes > PAIRWISE].tolist()):
-                made = list_forest(m, lambda i, j, s=s: bitmaps.test(i + s, j + s, n, percent))
+                made = list_forest(m, lambda i, j, s=s: test(i + s, j + s))
                 if made:
                     pairs.append(ids[s + np.array(made)])
             if pairs and any(map(len, pairs)):
@@ -315,6 +327,17 @@ def candidate_forest(entries: DataFrame, percent: int) -> DataFrame:
     return entries.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long")
 
 
+def prefix_lists(reps: DataFrame) -> DataFrame:
+    """h, doc_id, side of the lists of two and more; reps: rep, prefix. A long list is one h for each pair of blocks."""
+    each = reps.select(F.col("rep").alias("doc_id"), F.explode("prefix").alias("h"))
+    lists = each.join(each.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "h")
+    short = lists.where(F.col("m") <= LIST_BLOCK).select("h", "doc_id", F.lit(-1).alias("side"))
+    long = lists.where(F.col("m") > LIST_BLOCK).withColumn("blocks", F.ceil(F.col("m") / LIST_BLOCK).cast("int"))
+    long = long.withColumn("block", F.pmod(F.xxhash64("doc_id", "h"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = F.when(F.col("block") == F.col("other"), -1).otherwise((F.col("block") > F.col("other")).cast("int"))
+    return short.unionByName(long.select(F.xxhash64("h", F.least("block", "other"), F.greatest("block", "other")).alias("h"), "doc_id", side.alias("side")))
+
+
 def exact_links(members: DataFrame, k: int, percent: int) -> DataFrame:
     """Exact links (a, b), a spanning forest of each block pair; members: doc_id, text, unit, side (0 or 1), crossed."""
 
@@ -349,10 +372,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k:
     sketch = spark.sparkContext.broadcast(frequency_sketch(rows, k))
     signed = materialise(signatures(rows, sketch, k, percent), "signatures")
     slim = signed.select("doc_id", "n", "digest", "bitmap")
-    reps = materialise(slim.where("n > 0 and doc_id is not null").groupBy("digest", "n", "bitmap").agg(F.min("doc_id").alias("rep")), "distinct-sets")
-    lists = signed.where("doc_id is not null").select("doc_id", F.explode("prefix").alias("h"))
-    lists = lists.withColumn("m", F.count("*").over(Window.partitionBy("h"))).where("m > 1").select("h", "doc_id")
-    entries = lists.join(reps.select(F.col("rep").alias("doc_id"), "n", "bitmap"), "doc_id")
+    reps = materialise(signed.where("n > 0 and doc_id is not null").groupBy("digest", "n", "bitmap", "prefix").agg(F.min("doc_id").alias("rep")), "distinct-sets")
+    entries = prefix_lists(reps).join(reps.select(F.col("rep").alias("doc_id"), "n", "bitmap"), "doc_id")
     clusters = connected_components(candidate_forest(entries, percent), "clusters")
     sized = clusters.join(reps.groupBy(F.col("rep").alias("node")).agg(F.max("n").alias("n")), "node")
     blocks = sized.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))

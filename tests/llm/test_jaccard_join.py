@@ -124,3 +124,20 @@ def test_components_of_a_path(spark, n):
     nodes = {i * 7919 % 1009 for i in range(n + 1)}
     got = {r["node"]: r["component"] for r in components.connected_components(edges).collect()}
     assert got == {x: min(nodes) for x in nodes}
+
+
+def test_long_lists_in_blocks_of_distinct_sets(spark, monkeypatch):
+    """Documents of one template that do not link, and copies: no list has more than two blocks, results are exact."""
+    monkeypatch.setattr(jaccard_join, "LIST_BLOCK", 8)
+    random = np.random.default_rng(3)
+    common = " ".join(f"c{i}" for i in range(80))
+    rows = [(i, common + " " + " ".join(f"o{i // 2 if i < 30 else i}x{j}" for j in range(20)) + " e" * (i % 2)) for i in range(60)]
+    rows += [(100 + i, rows[0][1]) for i in range(200)]
+    df = spark.createDataFrame([rows[i] for i in random.permutation(len(rows)).tolist()], "doc_id long, text string")
+    seen = []
+    real = jaccard_join.prefix_lists
+    monkeypatch.setattr(jaccard_join, "prefix_lists", lambda reps: seen.append(real(reps)) or seen[0])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(df).collect()}
+    assert got == brute(rows)
+    sizes = [r["count"] for r in seen[0].groupBy("h").count().collect()]
+    assert 8 < max(sizes) < 40
