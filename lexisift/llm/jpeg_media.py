@@ -338,8 +338,8 @@ def write_media(df: DataFrame, payload: str, media: str = "media") -> DataFrame:
 def read_media(df: DataFrame, media: str = "media") -> DataFrame:
     """Add what a binary column of JPEG streams holds: width, height, n_pictures, thumbnail, thumbnail_hash, status.
 
-    width and height are those of the first picture in pixels; thumbnail is the DC-only luminance, row by row, of all
-    pictures in turn; the hash is of the first. status is ok, empty (null or no bytes) or unsupported (progressive,
+    width is that of the widest picture and height that of all below each other, in pixels; thumbnail is the DC-only
+    luminance, row by row, of all pictures in turn; the hash is that of each, joined by "-". status is ok, empty (null or no bytes) or unsupported (progressive,
     broken: all else null). Columns named like an output are replaced.
     """
     fields = [("width", T.IntegerType()), ("height", T.IntegerType()), ("n_pictures", T.IntegerType()), ("thumbnail", T.BinaryType()), ("thumbnail_hash", T.StringType()), ("status", T.StringType())]
@@ -351,8 +351,8 @@ def read_media(df: DataFrame, media: str = "media") -> DataFrame:
             return None, None, None, None, None, "unsupported"
         if not pictures:
             return None, None, 0, b"", None, "empty"
-        p, pixels = pictures[0]
-        return p.width, p.height, len(pictures), b"".join(x.tobytes() for _, x in pictures), thumbnail_hash(pixels), "ok"
+        width, height = max(p.width for p, _ in pictures), sum(p.height for p, _ in pictures)
+        return width, height, len(pictures), b"".join(x.tobytes() for _, x in pictures), "-".join(thumbnail_hash(x) for _, x in pictures), "ok"
 
     kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.string()]
 

@@ -115,3 +115,12 @@ def test_columns_and_empty_table(spark):
     got = J.read_media(J.write_media(df, "payload"))
     assert sorted((r["k"], r["status"]) for r in got.collect()) == [(1, "ok"), (2, "empty")] and "Media" not in got.columns
     assert J.read_media(J.write_media(df.where("false"), "payload")).count() == 0
+
+
+def test_feature_covers_all_pictures(spark, tmp_path):
+    first, most = "a" * (J.WIDTH * J.HIGHEST), J.WIDTH * 8
+    texts = [first + "b" * most + "c" * most, first + "c" * most + "b" * most, first + "b" * most]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    features = [r["feature"] for r in J.op5_jpeg_media(spark, str(tmp_path)).orderBy("doc_id").collect()]
+    assert len(set(features)) == 3
+    assert [f.split(":")[0] for f in features] == [f"{8 * J.WIDTH}x{8 * (J.HIGHEST + rows)}" for rows in (16, 16, 8)]
