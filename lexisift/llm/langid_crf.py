@@ -262,12 +262,21 @@ def fit(texts: list[str], labels: list[str], bits: int = BITS, rounds: int = ROU
 
 
 def training_sample(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = TEXTS_PER_LANGUAGE, longest: int = LONGEST_TEXT) -> tuple[list[str], list[str]]:
-    """Up to so many labelled texts of each language, those whose keys hash lowest; ties keep whichever comes first."""
-    usable = df.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & (F.char_length(text) <= longest))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("key", F.lit(11)), "key"))
-    chosen = usable.select(F.col(lang).alias("lang"), F.col(key).alias("key")).withColumn("rank", rank).where(F.col("rank") <= per_language)
+    """Up to so many labelled texts of each language, those whose keys hash lowest; ties keep whichever comes first.
+
+    Texts up to the longest length are taken; a language that has none is learned from the shortest of its longer ones,
+    each cut to that length from its first letter on.
+    """
+    size = F.char_length(text)
+    usable = df.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"), F.greatest(size - longest, F.lit(0)).alias("over"))
+    of_language = Window.partitionBy("lang")
+    rank = F.row_number().over(of_language.orderBy("over", F.xxhash64("key", F.lit(11)), "key"))
+    least = F.min("over").over(of_language.orderBy("over"))
+    chosen = usable.select("lang", "key", "over").withColumn("rank", rank).withColumn("least", least).where((F.col("rank") <= per_language) & ((F.col("over") == 0) | (F.col("least") > 0)))
     # the sample's keys are bounded by the number of languages, so they go to every task
-    rows = usable.join(F.broadcast(chosen.select(F.col("key").alias(key)).distinct()), key, "left_semi").select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key).alias("k")).orderBy("k", "text").collect()
+    rows = usable.join(F.broadcast(chosen.select("lang", "key", "over").distinct()), ["lang", "key", "over"], "left_semi")
+    cut = F.when(F.col("over") == 0, F.col("text")).otherwise(F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, longest))
+    rows = rows.select("lang", cut.alias("text"), F.xxhash64("key").alias("k")).orderBy("k", "text").collect()
     return [r["text"] for r in rows], [r["lang"] for r in rows]
 
 

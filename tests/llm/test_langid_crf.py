@@ -90,3 +90,10 @@ def test_held_out_accuracy(spark):
 def test_query_with_odd_rows(spark, tmp_path):
     spark.createDataFrame([(1, None, "en"), (2, "", None), (None, "abc", None), (4, "the text", "en"), (4, "the text", "en")], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     assert L.op8_langid_crf(spark, str(tmp_path)).count() == 5
+
+
+def test_language_of_long_texts_only_is_learned(spark):
+    rows = [(i, EN, "en") for i in range(5)] + [(9, EN * 400, "en")] + [(10 + i, "12 " * 9000 + FR * (400 + i), "fr") for i in range(4)]
+    texts, labels = L.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=3)
+    assert sorted(labels) == ["en"] * 3 + ["fr"] * 3 and all(t == EN for t, x in zip(texts, labels) if x == "en")
+    assert all(len(t) == L.LONGEST_TEXT and FR.startswith(t[:20]) for t, x in zip(texts, labels) if x == "fr")
