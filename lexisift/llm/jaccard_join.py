@@ -1,27 +1,31 @@
 """N-gram Jaccard self-join by T-occurrence search, as components.
 
-Two documents link when their sets of word shingles overlap enough. The steps:
-
-1. A frequency sketch: counts of shingles by hash cell, over all documents, of a fixed size. It only orders
-   shingles, rare cells first; any order is right, this one keeps common passages out of prefixes.
-2. Each document is reduced to its size, a digest, a parity bitmap of 1 to 2 bits a shingle, and its
-   prefix: the rarest n - T + 1 shingles, T the least overlap with any partner. That is DivideSkip's split:
-   two documents that reach T must meet in one of those short lists. Equal sets are joined by digest.
-3. Inverted lists of the prefixes of distinct sets (lists of one are dropped). Lists over a size are split in pairs of
-   blocks, so that no task grows with a list; the number of pairs to test still does. In each list, pairs are tested by bitmaps: the
-   bits in which two differ are no more than the elements in which the sets differ, so a pair with too many
-   is out for certain. What survives is emitted as a spanning forest of the list, never as all pairs.
-4. The components of what survived are the clusters; no link leaves one. Clusters are small: unrelated
-   documents that share a passage fail the bitmap test. Each is searched exactly (``t_occurrence``), with
-   whole sets; clusters over a size are searched in pairs of blocks, so that no task grows with a cluster.
-5. The components of the exact links are the result.
-
-Only distinct sets take part from 3 on, and only documents of clusters are read again for their texts.
+Two documents link when their sets of word shingles overlap enough. The unit of the search is a distinct set, named by
+a 64-bit digest; copies are told apart again only in the result. The steps:
+
+1. Short lists. Shingles are ordered by their hashes. Of a set of n whose partners share T with it at least, the first
+   n - T + l go into inverted lists (l = n/16): two sets that link meet in l of those lists at least. That is
+   DivideSkip's split; merging the short lists is Spark's shuffle by shingle. Lists of one set go, and so do the
+   sets that are left in fewer than l lists, which are most.
+2. The texts are read a second time for the sets left: a filter of fixed size finds them, then they are exact.
+3. Links of a list's neighbours. Neighbours in size within each list are counted over all lists, and each set is held
+   against the one it neighbours most often: one pair for each set. Pairs are searched exactly (``InvertedLists``: heap
+   merge of the short lists, binary probes into the long ones). Near copies are now joined in components.
+4. What is left. Only lists that still hold several components matter, and of their sets only those in enough
+   such lists. In each, pairs of different components are tested by parity bitmaps: the bits in which two differ
+   are no more than the elements in which the sets differ, so a pair with too many is out for certain. Pairs that
+   survive in l lists are searched exactly. A long list is split in pairs of blocks, so that no task grows with it.
+5. The components of all exact links are the result.
+
+Every step but 4 is linear in the sets' sizes; 4 tests pairs of a list only where its members are not joined yet.
+Shingles and sets are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -29,19 +33,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisift.llm.common import materialise, small_batches, table
+from lexisift.llm.common import block_slices, materialise, small_batches, table
 from lexisift.llm.components import connected_components
-from lexisift.llm.shingles import WORDS, shingle_sets, text_buffer
+from lexisift.llm.shingles import WORDS, mix, shingle_sets, text_buffer
 
 PERCENT = 75
-SKETCH_BITS = 20
-SKETCH_BLOCKS = 64
 LEAST_BITS, MOST_BITS = 64, 4096
-BLOCK_DOCS = 4096
-BLOCK_SHINGLES = 4 << 20
 PAIRWISE = 8
 #: A longer list of a shingle is tested in pairs of blocks of about so many members.
-LIST_BLOCK = 4096
+LIST_BLOCK = 1024
+#: Bits of the filter by which the second reading finds the sets it needs: fuller at larger inputs, never wrong.
+FILTER_BITS = 26
 
 
 def least_overlap(n, percent: int = PERCENT):
@@ -49,9 +51,23 @@ def least_overlap(n, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
+def needed_overlap(total, percent: int = PERCENT):
+    """The least overlap of two sets of this total size at the threshold."""
+    return -(-percent * total // (100 + percent))
+
+
+def least_lists(n):
+    """How many short lists a set of n shares with any partner that is not smaller, at least."""
+    return np.maximum(n // 16, 1)
+
+
 def most_difference(total, percent: int = PERCENT):
     """The largest symmetric difference of two sets of this total size at the threshold."""
-    return total - 2 * -(-percent * total // (100 + percent))
+    return total - 2 * needed_overlap(total, percent)
+
+
+def near_sizes(x, y, percent: int = PERCENT):
+    return np.minimum(x, y) * 100 >= percent * np.maximum(x, y)
 
 
 def parity_bitmap(hashes: np.ndarray) -> bytes:
@@ -105,108 +121,82 @@ class Bitmaps:
         return out
 
 
-def _root(parent: list[int], x: int) -> int:
-    while parent[x] != x:
-        parent[x] = parent[parent[x]]
-        x = parent[x]
-    return x
-
-
-def list_forest(m: int, test) -> list[tuple[int, int]]:
-    """A spanning forest of the surviving pairs among m members of a list; test(i, j) tests pairs of indices.
-
-    Members are taken as pivots until each has survived against one; then only members of different trees are left
-    to test, which in a list of near copies are few.
-    """
-    parent, edges = list(range(m)), []
-    free = np.ones(m, dtype=bool)
-    everyone = np.arange(m)
-
-    def join(a: int, b: int):
-        x, y = _root(parent, a), _root(parent, b)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            edges.append((a, b))
-
-    for p in range(m):
-        if free[p]:
-            found = everyone[test(np.full(m, p), everyone)]
-            free[found] = False
-            free[p] = False
-            for q in found.tolist():
-                if q != p:
-                    join(p, q)
-    roots = np.array([_root(parent, x) for x in range(m)])
-    if (roots != roots[0]).any():
-        counts = np.bincount(roots, minlength=m)
-        for x in np.argsort(counts[roots], kind="stable").tolist():  # members of small trees first
-            if counts[roots[x]] == 1 or counts[roots[x]] == m:
-                continue  # alone: it was a pivot and has met everyone
-            mine = _root(parent, x)
-            others = everyone[(roots != roots[x]) & (counts[roots] > 1)]
-            others = others[np.array([_root(parent, o) != mine for o in others.tolist()], dtype=bool)] if len(others) else others
-            for q in others[test(np.full(len(others), x), others)].tolist():
-                join(x, q)
-    return edges
-
-
-def t_occurrence(sets: list[np.ndarray], split: int | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Exact links among sets of shingles as a spanning forest: pairs of indices, smaller first.
-
-    With split only pairs of one set before and one from it on are searched. For each set the inverted lists of its
-    shingles are ordered by length; the shorter ones, all but L, are merged and occurrences counted, sets with
-    T - L or more are probed by binary search in the long lists, shortest first, until they reach the overlap or
-    can't any more. Sets already joined are not probed. Empty sets link with nothing.
-    """
-    n = np.array([len(s) for s in sets], dtype=np.int64)
-    owner = np.repeat(np.arange(len(sets)), n)
-    values = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
-    order = np.argsort(values, kind="stable")  # stable: each list is in order of its sets
-    values, members = values[order], owner[order]
-    begins = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
-    ends = np.append(begins[1:], len(values))
-    keys = values[begins]
-    parent, edges = list(range(len(sets))), []
-    roots = np.arange(len(sets))
-    for x in range(len(sets)):
-        if split is not None and x < split:
-            continue
-        if not n[x]:
-            continue
-        lists = np.searchsorted(keys, sets[x])
-        a, b = begins[lists], ends[lists]
-        by_length = np.argsort(b - a, kind="stable")
-        a, b = a[by_length], b[by_length]
-        least = int(least_overlap(n[x], percent))
-        long = least // 2
-        short = int(n[x]) - long
-        merged = np.concatenate([members[p:q] for p, q in zip(a[:short].tolist(), b[:short].tolist()) if q - p > 1] or [np.zeros(0, np.int64)])
-        merged = merged[merged < (x if split is None else split)]
-        if not len(merged):
-            continue
-        counts = np.bincount(merged)
-        found = np.flatnonzero(counts >= max(least - long, 1))
-        found = found[(np.minimum(n[found], n[x]) * 100 >= percent * np.maximum(n[found], n[x]))]
-        found = found[roots[found] != roots[x]]
-        if not len(found):
-            continue
-        count, need = counts[found], -(-percent * (n[found] + n[x]) // (100 + percent))
-        for left, p, q in zip(range(long, 0, -1), a[short:].tolist(), b[short:].tolist()):
-            keep = count + left >= need
-            if not keep.all():
-                found, count, need = found[keep], count[keep], need[keep]
-                if not len(found):
+class InvertedLists:
+    """The inverted lists of a few sets: which of them hold each shingle."""
+
+    def __init__(self, sets: list[np.ndarray], percent: int = PERCENT):
+        self.n, self.percent = np.array([len(s) for s in sets], dtype=np.int64), percent
+        values = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
+        order = np.argsort(values, kind="stable")  # stable: each list is in order of its sets
+        values, self.members = values[order], np.repeat(np.arange(len(sets)), self.n)[order].tolist()
+        self.begins = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+        self.ends = np.append(self.begins[1:], len(values))
+        self.keys = values[self.begins]
+
+    def search(self, query: np.ndarray) -> list[int]:
+        """The sets that link with the query, by DivideSkip.
+
+        With T the least overlap of any that can, the longest lists, up to T/2, are set apart. The others are merged by a
+        heap of their heads that skips what occurs too rarely; sets that occur often enough are probed by binary
+        search in the long lists, shortest first, until they reach their overlap or can't any more.
+        """
+        if not len(query) or not len(self.keys):
+            return []
+        at = np.minimum(np.searchsorted(self.keys, query), len(self.keys) - 1)
+        at = at[self.keys[at] == query]
+        near = near_sizes(self.n, len(query), self.percent) & (self.n > 0)
+        if not near.any():
+            return []
+        needs = needed_overlap(self.n + len(query), self.percent)
+        least = int(needs[near].min())
+        if len(at) < least:
+            return []
+        at = at[np.argsort(self.ends[at] - self.begins[at], kind="stable")]
+        lists = list(zip(self.begins[at].tolist(), self.ends[at].tolist()))
+        n_long = least // 2
+        short, long = lists[: len(lists) - n_long], lists[len(lists) - n_long :]
+        found = []
+        for y, count in self.merge(short, least - n_long):
+            if not near[y]:
+                continue
+            need = int(needs[y])
+            for left, (p, q) in zip(range(len(long), 0, -1), long):
+                if count >= need or count + left < need:
                     break
-            own = members[p:q]
-            at = np.searchsorted(own, found)
-            count = count + ((at < len(own)) & (own[np.minimum(at, len(own) - 1)] == found))
-        for y in found[count >= need].tolist():
-            r, s = _root(parent, x), _root(parent, y)
-            if r != s:
-                parent[max(r, s)] = min(r, s)
-                roots[(roots == max(r, s)) | (roots == r) | (roots == s)] = min(r, s)
-                edges.append((min(x, y), max(x, y)))
-    return edges
+                i = bisect_left(self.members, y, p, q)
+                count += i < q and self.members[i] == y
+            if count >= need:
+                found.append(y)
+        return found
+
+    def merge(self, lists: list[tuple[int, int]], least: int):
+        """(set, count) of those in at least ``least`` of the lists, by a heap of heads with skips."""
+        members = self.members
+        heap = [(members[p], p, q) for p, q in lists]
+        heapq.heapify(heap)
+        while len(heap) >= least:
+            head, popped = heap[0][0], []
+            while heap and heap[0][0] == head:
+                popped.append(heapq.heappop(heap))
+            if len(popped) >= least:
+                yield head, len(popped)
+                to = head + 1
+            else:  # what comes before the next head that can reach the count is skipped
+                while heap and len(popped) < least - 1:
+                    popped.append(heapq.heappop(heap))
+                if not heap:
+                    return
+                to = max(heap[0][0], head + 1)
+            for _, p, q in popped:
+                p = bisect_left(members, to, p, q)
+                if p < q:
+                    heapq.heappush(heap, (members[p], p, q))
+
+
+def t_occurrence(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
+    """All links among a few sets of shingles: pairs of indices, smaller first. Empty sets link with nothing."""
+    lists = InvertedLists(sets, percent)
+    return [(y, x) for x, s in enumerate(sets) for y in lists.search(s) if y < x]
 
 
 def _shingled(batch, k: int):
@@ -221,54 +211,6 @@ def _shingled(batch, k: int):
         at = to
 
 
-def frequency_sketch(docs: DataFrame, k: int = WORDS, bits: int = SKETCH_BITS) -> np.ndarray:
-    """A code of each hash cell's count over all documents, log-scaled to one byte: 2**bits bytes whatever the input."""
-    cells = 1 << (bits - SKETCH_BLOCKS.bit_length() + 1)
-
-    def count(batches):
-        total = np.zeros(1 << bits, dtype=np.int64)
-        for batch in batches:
-            for _, _, sets in _shingled(batch, k):
-                if any(map(len, sets)):
-                    total += np.bincount((np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-        yield pa.RecordBatch.from_pydict({"block": pa.array(range(SKETCH_BLOCKS), pa.int32()), "counts": [x.astype("<u4").tobytes() for x in total.reshape(SKETCH_BLOCKS, cells)]})
-
-    def add(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                sums[block] = sums.get(block, 0) + np.frombuffer(counts, dtype="<u4").astype(np.int64)
-        codes = {b: np.minimum(np.log2(np.maximum(s, 1)) * 6, 255).astype(np.uint8).tobytes() for b, s in sums.items()}
-        yield pa.RecordBatch.from_pydict({"block": pa.array(list(codes), pa.int32()), "codes": pa.array(list(codes.values()), pa.binary())})
-
-    summed = docs.select("text").mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, codes binary")
-    return np.frombuffer(b"".join(r["codes"] for r in sorted(summed.collect())), dtype=np.uint8)
-
-
-def signatures(docs: DataFrame, shared, k: int, percent: int, bits: int = SKETCH_BITS) -> DataFrame:
-    """doc_id, n, digest of the set, parity bitmap and prefix hashes (as array<long>) of each document."""
-
-    def run(batches):
-        codes = shared.value
-        for batch in batches:
-            for a, b, sets in _shingled(batch, k):
-                prefixes = []
-                for s in sets:
-                    keep = len(s) - int(least_overlap(len(s), percent)) + 1 if len(s) else 0
-                    cell = codes[(s >> np.uint64(64 - bits)).astype(np.int64)]
-                    prefixes.append(s[np.argsort(cell, kind="stable")[:keep]].view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                        pa.array([parity_bitmap(s) if len(s) else b"" for s in sets], pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
-                    ],
-                    names=["doc_id", "n", "digest", "bitmap", "prefix"],
-                )
-
-    return docs.mapInArrow(run, "doc_id long, n long, digest binary, bitmap binary, prefix array<long>")
-
-
 def _runs(batches, key: str):
     """Batches cut where a sorted key changes: each yielded batch holds whole runs."""
     held: list = []
@@ -288,76 +230,199 @@ def _runs(batches, key: str):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def candidate_forest(entries: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) of spanning forests of what survives in each list; entries: h, doc_id, n, bitmap, side.
+def digest_of(s: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
-    Members of side 0 and 1 are tested only against the other side, those of side -1 against all.
-    """
+
+def short_lists(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """h, d, n: the first shingles of each set (d its digest, n its size); a task gives a set once."""
+
+    def run(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            for _, _, sets in _shingled(batch, k):
+                digests = [digest_of(s) for s in sets]
+                new = [i for i, (s, d) in enumerate(zip(sets, digests)) if len(s) and not (d in seen or seen.add(d))]
+                if not new:
+                    continue
+                n = np.array([len(sets[i]) for i in new])
+                keep = n - least_overlap(n, percent) + least_lists(n)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "h": np.concatenate([sets[i][:m] for i, m in zip(new, keep.tolist())]).view(np.int64),
+                        "d": np.repeat(np.array([digests[i] for i in new]), keep), "n": np.repeat(n.astype(np.int32), keep),
+                    }
+                )
+
+    return docs.mapInArrow(run, "h long, d long, n int")
+
+
+def in_several(entries: DataFrame, column: str) -> DataFrame:
+    """The entries (once each) of the lists in which a column has several values; entries: h, d, n and the column."""
+    names = list(dict.fromkeys(["h", "d", "n", column]))
 
     def run(batches):
         for some in _runs(batches, "h"):
             if some is None:
                 continue
-            h, ids, n, side = (some.column(c).to_numpy() for c in ("h", "doc_id", "n", "side"))
-            bitmaps = Bitmaps(some.column("bitmap").to_pylist())
+            h, d, value = (some.column(c).to_numpy() for c in ("h", "d", column))
+            first = np.concatenate([[True], h[1:] != h[:-1]])
+            run_of = np.cumsum(first) - 1
+            changes = np.concatenate([[False], (value[1:] != value[:-1])]) & ~first
+            several = np.bincount(run_of, weights=changes) > 0
+            once = first | np.concatenate([[False], d[1:] != d[:-1]])
+            keep = np.flatnonzero(several[run_of] & once)
+            if len(keep):
+                yield from some.take(pa.array(keep)).to_batches()
 
-            def test(i, j, bitmaps=bitmaps, n=n, side=side):
-                out = (side[i] < 0) | (side[i] != side[j])
-                out[out] = bitmaps.test(i[out], j[out], n, percent)
-                return out
+    order = ["h", column, "d"] if column != "d" else ["h", "d"]
+    fields = ", ".join(f"{c} {'int' if c == 'n' else 'long'}" for c in names)
+    return entries.select(*names).repartition("h").sortWithinPartitions(*order).mapInArrow(run, fields)
+
+
+def in_enough_lists(entries: DataFrame, percent: int, *more: str) -> DataFrame:
+    """d, n, hs: the sets with all their lists (at most a set's own size), where these are enough for a partner of any size."""
+    every = entries.groupBy("d").agg(F.first("n").alias("n"), *[F.first(c).alias(c) for c in more], F.collect_list("h").alias("hs"))
+    smallest = F.ceil(F.col("n") * percent / 100).cast("int")
+    return every.where(F.size("hs") >= F.greatest(F.expr("1"), F.floor(smallest / 16)))
+
+
+def digest_filter(sets: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """A Bloom filter of the digests in column d, 2**bits bits whatever the input, as 64-bit words."""
+
+    def mark(batches):
+        for batch in batches:
+            at = np.unique(np.concatenate(_places(batch.column("d").to_numpy(), bits))) if batch.num_rows else np.zeros(0, np.uint64)
+            word = (at >> np.uint64(6)).astype(np.int64)
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else []
+            if len(first):
+                value = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
+                yield pa.RecordBatch.from_pydict({"word": word[first].astype(np.int32), "value": value.view(np.int64)})
+
+    words = sets.select("d").mapInArrow(mark, "word int, value long").groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
+    out[words.column("word").to_numpy()] = words.column("value").to_numpy()
+    return out.view(np.uint64)
+
+
+def _places(digests: np.ndarray, bits: int) -> list[np.ndarray]:
+    mixed = [mix(digests.view(np.uint64) + np.uint64(i)) for i in range(3)]
+    return [m >> np.uint64(64 - bits) for m in mixed]
+
+
+def read_again(docs: DataFrame, wanted, k: int, bits: int = FILTER_BITS) -> DataFrame:
+    """doc_id, n, d of each document; of sets that the filter may hold, once in a task, also bitmap and text."""
+
+    def run(batches):
+        words, seen = wanted.value, set()
+        for batch in batches:
+            for a, b, sets in _shingled(batch, k):
+                digests = np.array([digest_of(s) for s in sets], dtype=np.int64)
+                hit = np.ones(len(sets), dtype=bool)
+                for at in _places(digests, bits):
+                    hit &= (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+                hit = [bool(x) and len(s) > 0 and not (d in seen or seen.add(d)) for x, s, d in zip(hit, sets, digests.tolist())]
+                texts = batch.column("text").slice(a, b - a)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(a, b - a), pa.array([len(s) for s in sets], pa.int32()), pa.array(digests),
+                        pa.array([parity_bitmap(s) if x else None for s, x in zip(sets, hit)], pa.binary()), pc.if_else(pa.array(hit, pa.bool_()), texts, pa.scalar(None, texts.type)),
+                    ],
+                    names=["doc_id", "n", "d", "bitmap", "text"],
+                )
+
+    return docs.mapInArrow(run, "doc_id long, n int, d long, bitmap binary, text string")
 
-            starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            sizes = np.diff(np.append(starts, len(h)))
-            pairs = []
-            for m in range(2, PAIRWISE + 1):
-                at = starts[sizes == m]
-                i, j = np.triu_indices(m, 1)
-                if len(at):
-                    i, j = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
-                    keep = test(i, j)
-                    pairs.append(np.stack([ids[i[keep]], ids[j[keep]]], 1))
-            for s, m in zip(starts[sizes > PAIRWISE].tolist(), sizes[sizes > PAIRWISE].tolist()):
-                made = list_forest(m, lambda i, j, s=s: test(i + s, j + s))
-                if made:
-                    pairs.append(ids[s + np.array(made)])
-            if pairs and any(map(len, pairs)):
-                edges = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
-                yield pa.RecordBatch.from_pydict({"a": edges[:, 0], "b": edges[:, 1]})
 
-    return entries.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long")
+def counted_pairs(pairs: list[np.ndarray]):
+    """A batch a, b, c of pairs and how often each is there, if there are any."""
+    pairs = [p for p in pairs if len(p)]
+    if pairs:
+        each, times = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
+        yield pa.RecordBatch.from_pydict({"a": each[:, 0].copy(), "b": each[:, 1].copy(), "c": times})
 
 
-def prefix_lists(reps: DataFrame) -> DataFrame:
-    """h, doc_id, side of the lists of two and more; reps: rep, prefix. A long list is one h for each pair of blocks."""
-    each = reps.select(F.col("rep").alias("doc_id"), F.explode("prefix").alias("h"))
-    lists = each.join(each.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "h")
-    short = lists.where(F.col("m") <= LIST_BLOCK).select("h", "doc_id", F.lit(-1).alias("side"))
+def neighbours(entries: DataFrame, percent: int) -> DataFrame:
+    """a, b: for each set b the set a that stands next before it, in order of size, in most lists."""
+
+    def run(batches):
+        for some in _runs(batches, "h"):
+            if some is None:
+                continue
+            h, d, n = (some.column(c).to_numpy() for c in ("h", "d", "n"))
+            at = np.flatnonzero((h[1:] == h[:-1]) & near_sizes(n[1:].astype(np.int64), n[:-1].astype(np.int64), percent))
+            yield from counted_pairs([np.stack([d[at], d[at + 1]], axis=1)])
+
+    pairs = entries.repartition("h").sortWithinPartitions("h", "n", "d").mapInArrow(run, "a long, b long, c long")
+    often = pairs.groupBy("a", "b").agg(F.sum("c").alias("c"))
+    return often.groupBy("b").agg(F.max(F.struct("c", "a")).alias("best")).select("best.a", "b")
+
+
+def exact_links(pairs: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of sets that link; members: d, text. A pair is one row, so no task grows with a group."""
+
+    def run(batches):
+        for batch in batches:
+            a, b, one, two = (batch.column(c) for c in ("a", "b", "one", "two"))
+            sizes = (pc.binary_length(one).to_numpy(zero_copy_only=False) + pc.binary_length(two).to_numpy(zero_copy_only=False)).tolist()
+            for s, e in block_slices(sizes, 4 << 20):
+                others, asks = (shingle_sets(*text_buffer(x.slice(s, e - s)), k) for x in (one, two))
+                who = b.slice(s, e - s).to_numpy()
+                cuts = np.append(np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]])), e - s).tolist()
+                hits = [p + y for p, q in zip(cuts[:-1], cuts[1:]) for y in InvertedLists(others[p:q], percent).search(asks[p])]
+                if hits:
+                    yield pa.RecordBatch.from_arrays([x.slice(s, e - s).take(pa.array(hits)) for x in (a, b)], names=["a", "b"])
+
+    one, two = (members.select(F.col("d").alias(x), F.col("text").alias(y)) for x, y in (("a", "one"), ("b", "two")))
+    return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
+
+
+def prefix_lists(entries: DataFrame) -> DataFrame:
+    """h, d, side: entries (h, d) by lists; a list over LIST_BLOCK is one h for each pair of its blocks."""
+    lists = entries.select("h", "d").join(entries.groupBy("h").agg(F.count("*").alias("m")), "h")
+    short = lists.where(F.col("m") <= LIST_BLOCK).select("h", "d", F.lit(-1).alias("side"))
     long = lists.where(F.col("m") > LIST_BLOCK).withColumn("blocks", F.ceil(F.col("m") / LIST_BLOCK).cast("int"))
-    long = long.withColumn("block", F.pmod(F.xxhash64("doc_id", "h"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    long = long.withColumn("block", F.pmod(F.xxhash64("d", "h"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("block") == F.col("other"), -1).otherwise((F.col("block") > F.col("other")).cast("int"))
-    return short.unionByName(long.select(F.xxhash64("h", F.least("block", "other"), F.greatest("block", "other")).alias("h"), "doc_id", side.alias("side")))
+    return short.unionByName(long.select(F.xxhash64("h", F.least("block", "other"), F.greatest("block", "other")).alias("h"), "d", side.alias("side")))
+
 
+def crossing_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of different components that survive the bitmap test in enough lists; entries: h, side, d, n, component, bitmap.
 
-def exact_links(members: DataFrame, k: int, percent: int) -> DataFrame:
-    """Exact links (a, b), a spanning forest of each block pair; members: doc_id, text, unit, side (0 or 1), crossed."""
+    Members of side 0 and 1 are tested only against the other side, those of side -1 against all.
+    """
 
     def run(batches):
-        for some in _runs(batches, "unit"):
+        for some in _runs(batches, "h"):
             if some is None:
                 continue
-            unit = some.column("unit").to_numpy()
-            starts = np.append(np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]])), len(unit))
-            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                part = some.slice(s, e - s)
-                ids, side, crossed = part.column("doc_id").to_numpy(), part.column("side").to_numpy(), part.column("crossed")[0].as_py()
-                sets = [x for batch in part.to_batches() for _, _, own in _shingled(batch, k) for x in own]
-                order = np.argsort(side, kind="stable")
-                made = t_occurrence([sets[i] for i in order], int((side == 0).sum()) if crossed else None, percent)
-                if made:
-                    edges = ids[order][np.array(made)]
-                    yield pa.RecordBatch.from_pydict({"a": edges.min(axis=1), "b": edges.max(axis=1)})
+            h, d, n, side, component = (some.column(c).to_numpy() for c in ("h", "d", "n", "side", "component"))
+            n = n.astype(np.int64)
+            bitmaps, pairs = Bitmaps(some.column("bitmap").to_pylist()), []
+
+            def test(i, j):
+                out = (component[i] != component[j]) & ((side[i] < 0) | (side[i] != side[j]))
+                i, j = i[out], j[out]
+                out = bitmaps.test(i, j, n, percent)
+                i, j = d[i[out]], d[j[out]]
+                pairs.append(np.stack([np.minimum(i, j), np.maximum(i, j)], axis=1))
+
+            starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            sizes = np.diff(np.append(starts, len(h)))
+            for m in range(2, PAIRWISE + 1):
+                at = starts[sizes == m]
+                i, j = np.triu_indices(m, 1)
+                if len(at):
+                    test((at[:, None] + i).ravel(), (at[:, None] + j).ravel())
+            for s, m in zip(starts[sizes > PAIRWISE].tolist(), sizes[sizes > PAIRWISE].tolist()):
+                for i in range(s, s + m - 1):
+                    j = np.arange(i + 1, s + m)
+                    test(np.full(len(j), i), j)
+            yield from counted_pairs(pairs)
 
-    return members.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long")
+    pairs = entries.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long, c long")
+    return pairs.groupBy("a", "b").agg(F.sum("c").alias("c"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -367,31 +432,30 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k:
     texts, empty texts and texts without words have none and link with nothing. Keys are long; a row with a null key
     gets its own n_shingles and a null component. Rows that share a key count as one document per distinct set.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sketch = spark.sparkContext.broadcast(frequency_sketch(rows, k))
-    signed = materialise(signatures(rows, sketch, k, percent), "signatures")
-    slim = signed.select("doc_id", "n", "digest", "bitmap")
-    reps = materialise(signed.where("n > 0 and doc_id is not null").groupBy("digest", "n", "bitmap", "prefix").agg(F.min("doc_id").alias("rep")), "distinct-sets")
-    entries = prefix_lists(reps).join(reps.select(F.col("rep").alias("doc_id"), "n", "bitmap"), "doc_id")
-    clusters = connected_components(candidate_forest(entries, percent), "clusters")
-    sized = clusters.join(reps.groupBy(F.col("rep").alias("node")).agg(F.max("n").alias("n")), "node")
-    blocks = sized.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    placed = clusters.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    first, second = F.least("block", "other"), F.greatest("block", "other")
-    placed = materialise(
-        placed.select(
-            F.col("node").alias("doc_id"), F.xxhash64("component", first, second).alias("unit"), (F.col("block") > F.col("other")).cast("int").alias("side"),
-            (F.col("block") != F.col("other")).alias("crossed"),
-        ), "cluster-blocks",
-    )
-    links = exact_links(rows.join(placed, "doc_id"), k, percent)
-    found = connected_components(links, "near-duplicates")
-    joined = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", "n", F.coalesce("component", "rep").alias("component_id"))
-    # one smallest id for documents that share a key but not a set
-    own = slim.select("doc_id", "n", "digest").join(joined, ["digest", "n"], "left")
-    return own.select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    kept = materialise(in_enough_lists(in_several(short_lists(rows.where("doc_id IS NOT NULL"), k, percent), "d"), percent), "short-lists")
+    wanted = docs.sparkSession.sparkContext.broadcast(digest_filter(kept))
+    read = materialise(read_again(rows, wanted, k), "sets")
+    members = materialise(read.where("text IS NOT NULL").groupBy("d").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.first("text").alias("text")), "members")
+    each = F.explode("hs").alias("h")
+    first = materialise(exact_links(neighbours(kept.select(each, "d", "n"), percent), members, k, percent), "links")
+    joined = connected_components(first, "near-copies")
+    labelled = kept.join(joined.withColumnRenamed("node", "d"), "d", "left").select("d", "n", F.coalesce("component", "d").alias("component"), "hs")
+    left = materialise(in_enough_lists(in_several(labelled.select(each, "d", "n", "component"), "component"), percent, "component"), "crossing-lists")
+    tested = prefix_lists(left.select(each, "d")).join(left.select("d", "n", "component").join(members.select("d", "bitmap"), "d"), "d")
+    pairs = materialise(crossing_pairs(tested, percent), "pairs")
+    size = members.select(F.col("d").alias("b"), F.col("n").alias("m"))
+    often = pairs.join(members.select(F.col("d").alias("a"), "n"), "a").join(size, "b").where(F.col("c") >= F.greatest(F.lit(1), F.floor(F.least("n", "m") / 16)))
+    second = exact_links(often, members, k, percent)
+    found = connected_components(first.unionByName(second), "near-duplicates").withColumnRenamed("node", "d")
+    one = read.where("n > 0 AND doc_id IS NOT NULL").groupBy("d").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    groups = one.join(found, "d", "left").withColumn("root", F.coalesce("component", "d"))
+    least = groups.where("component IS NOT NULL").groupBy("root").agg(F.min("least").alias("component_id"))
+    # only sets of several documents or of a component need an answer other than the document itself
+    answers = groups.where("component IS NOT NULL OR copies > 1").join(least, "root", "left").select("d", F.coalesce("component_id", "least").alias("component_id"))
+    own = read.select("doc_id", "n", "d").join(answers, "d", "left")
+    component = F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
+    return own.select(F.col("doc_id").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

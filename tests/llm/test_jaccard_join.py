@@ -72,8 +72,8 @@ def test_components_equal_brute_force(spark):
     assert got == brute(rows)
 
 
-def test_large_clusters_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", 7)
+def test_lists_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LIST_BLOCK", 7)
     monkeypatch.setattr(jaccard_join, "PAIRWISE", 3)
     rows = corpus()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -88,24 +88,30 @@ def test_null_and_repeated_keys_and_empty_table(spark):
     assert jaccard_join.near_duplicates(df.where("false")).count() == 0
 
 
-@settings(max_examples=80, deadline=None)
-@given(st.lists(st.sets(st.integers(0, 30), max_size=20), min_size=1, max_size=12), st.booleans())
-def test_t_occurrence(sets, crossed):
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 30), max_size=20), min_size=1, max_size=12))
+def test_t_occurrence(sets):
     arrays = [np.array(sorted(s), dtype=np.uint64) for s in sets]
-    split = len(sets) // 2 if crossed else None
-    edges = jaccard_join.t_occurrence(arrays, split)
     linked = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
-    linked = [(i, j) for i, j in linked if split is None or (i < split <= j)]
-    assert set(edges) <= set(linked)
+    assert sorted(jaccard_join.t_occurrence(arrays)) == linked
 
-    def parts(pairs):
-        up = list(range(len(sets)))
-        for _ in sets:
-            for i, j in pairs:
-                up[i] = up[j] = min(up[i], up[j])
-        return up
 
-    assert parts(edges) == parts(linked)
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 15), max_size=12), min_size=1, max_size=9), st.integers(1, 6))
+def test_heap_merge_counts_all_that_reach_the_least(sets, least):
+    lists = jaccard_join.InvertedLists([np.array(sorted(s), dtype=np.uint64) for s in sets])
+    got = dict(lists.merge(list(zip(lists.begins.tolist(), lists.ends.tolist())), least))
+    assert got == {i: len(s) for i, s in enumerate(sets) if len(s) >= least}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=200), st.sets(st.integers(0, 2**64 - 1), max_size=20), st.integers(0, 60))
+def test_sets_that_link_share_enough_short_lists(base, more, cut):
+    a, b = sorted(base), sorted(set(sorted(base)[cut:]) | more)
+    both = len(set(a) & set(b))
+    if b and 100 * both >= 75 * (len(a) + len(b) - both):
+        first = [set(x[: len(x) - jaccard_join.least_overlap(len(x)) + int(jaccard_join.least_lists(len(x)))]) for x in (a, b)]
+        assert len(first[0] & first[1]) >= jaccard_join.least_lists(min(len(a), len(b)))
 
 
 @settings(max_examples=60, deadline=None)
