@@ -326,7 +326,7 @@ def read_again(docs: DataFrame, wanted, k: int, bits: int = FILTER_BITS) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(a, b - a), pa.array([len(s) for s in sets], pa.int32()), pa.array(digests),
-                        pa.array([parity_bitmap(s) if x else None for s, x in zip(sets, hit)], pa.binary()), pc.if_else(pa.array(hit, pa.bool_()), texts, pa.scalar(None, texts.type)),
+                        pa.array([parity_bitmap(s) if x else None for s, x in zip(sets, hit)], pa.binary()), texts.take(pa.array([i if x else None for i, x in enumerate(hit)], pa.int64())),
                     ],
                     names=["doc_id", "n", "d", "bitmap", "text"],
                 )

@@ -3,8 +3,10 @@
 A token file is nothing but little-endian unsigned ids, one document after another, each closed by the
 end-of-document id. The files are cut into blocks of a fixed number of ids wherever the cuts fall. Each
 block is searched by one numpy comparison; what a block can't know, the last separator before it and the
-number of documents before it, comes from a prefix scan (a window) over the blocks of its file. Blocks are
-dealt out evenly, so one file that holds most of the tokens is shared by all tasks.
+number of documents before it, comes from a prefix scan over the blocks of its file. The scan sees only a
+count and a last place of each block, in two levels: within ranges of ``SCAN_BLOCKS`` blocks, and over the ranges.
+Blocks are dealt out by number to as many tasks as their bytes need, so one file that holds most of the tokens is
+shared by all tasks.
 """
 
 from __future__ import annotations
@@ -17,10 +19,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexisift.llm.byte_bpe import Encoder, in_worker, share
-from lexisift.llm.common import block_slices, fresh_path, small_batches, table
+from lexisift.llm.common import block_slices, fresh_path, materialise, small_batches, table
 
 END_OF_DOCUMENT = 50256
 BLOCK_TOKENS = 1 << 20
+#: Blocks that a task searches, about, and blocks of a file that are scanned together.
+TASK_BLOCKS, SCAN_BLOCKS = 4, 4096
 
 
 def open_store(path: str):
@@ -95,16 +99,25 @@ def scan_token_files(files: DataFrame, folder: str, end_id: int = END_OF_DOCUMEN
                     names=["file", "block", "n", "ends"],
                 )
 
-    known = files.select("file").distinct().mapInArrow(sizes, "file string, n long").where("n > 0")
-    blocks = known.withColumn("block", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {block_tokens}")))).repartition("file", "block")
-    found = blocks.mapInArrow(search, "file string, block long, n long, ends array<long>")
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.expr(f"(n - 1) div {block_tokens}")
+    known = materialise(files.select("file").distinct().mapInArrow(sizes, "file string, n long").where("n > 0"), "token-file-sizes")
+    total = known.agg(F.sum(last + 1)).first()[0] or 1
+    # by a given number of partitions, which is kept however small the rows that name the blocks are
+    blocks = known.withColumn("block", F.explode(F.sequence(F.lit(0), last))).repartition(-(-total // TASK_BLOCKS), "file", "block")
+    found = materialise(blocks.mapInArrow(search, "file string, block long, n long, ends array<long>"), "separators")
+    slim = found.select("file", "block", "n", F.size("ends").alias("count"), F.try_element_at("ends", F.lit(-1)).alias("last"), F.expr(f"block div {SCAN_BLOCKS}").alias("range"))
+    before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = slim.groupBy("file", "range").agg(F.sum("count").alias("count"), F.max("last").alias("last"))
+    ranges = ranges.select("file", "range", *[f(c).over(before("file").orderBy("range")).alias(f"range_{c}") for f, c in ((F.sum, "count"), (F.max, "last"))])
+    within = slim.select("file", "block", "range", *[f(c).over(before("file", "range").orderBy("block")).alias(f"own_{c}") for f, c in ((F.sum, "count"), (F.max, "last"))])
+    scanned = within.join(ranges, ["file", "range"]).select(
+        "file", "block", (F.coalesce("own_count", F.lit(0)) + F.coalesce("range_count", F.lit(0))).alias("base"), F.coalesce("own_last", "range_last", F.lit(-1)).alias("previous")
+    )
     stitched = (
-        found.withColumn("base", F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)))
-        .withColumn("previous", F.coalesce(F.max(F.try_element_at("ends", F.lit(-1))).over(before), F.lit(-1)))
+        found.join(scanned.hint("merge"), ["file", "block"])
         # the last block also closes what has no end id
         .withColumn("closed", F.coalesce(F.try_element_at("ends", F.lit(-1)), "previous") == F.col("n") - 1)
-        .withColumn("ends", F.when((F.col("block") == F.expr(f"(n - 1) div {block_tokens}")) & ~F.col("closed"), F.concat("ends", F.array("n"))).otherwise(F.col("ends")))
+        .withColumn("ends", F.when((F.col("block") == last) & ~F.col("closed"), F.concat("ends", F.array("n"))).otherwise(F.col("ends")))
         .withColumn("begins", F.transform(F.concat(F.array("previous"), "ends"), lambda x: x + 1))
         .select("file", "n", "base", F.posexplode(F.arrays_zip("ends", F.slice("begins", 1, F.size("ends")).alias("begins"))).alias("at", "document"))
     )
@@ -120,4 +133,5 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "token-files")
     placed = write_token_files(table(spark, sf_dir, "documents"), folder)
     counted = scan_token_files(placed, folder)
-    return placed.join(counted, ["file", "ordinal"]).select("doc_id", "n_tokens", "start", "terminated")
+    # both sides grow with the documents: never broadcast
+    return placed.join(counted.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens", "start", "terminated")

@@ -3,7 +3,8 @@
 Each task writes files ``*.warc.zst``: a skippable frame (magic 0x184D2A5D) that holds a dictionary trained on
 the file's own records, and then one Zstandard frame for each record, so that records can be read alone. Of
 pages with equal payloads one is archived as a response and the others as revisits that refer to it; which
-one is settled by an aggregation over digests before anything is written, so payloads meet in no group.
+one is settled over digests and page_ids alone before anything is written: only rows of one page_id and digest
+bring their payloads together, so a page that a third of all rows hold is no group.
 """
 
 from __future__ import annotations
@@ -146,9 +147,11 @@ def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     that smallest page_id are all responses. A null page_id is never the smallest; if all are null all are responses.
     """
     rows = pages.select("page_id", "url", F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload")).withColumn("digest", F.sha2("payload", 256))
-    slim = rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    joined = rows.join(slim.select("digest", "first"), "digest", "left")
-    return joined.select("page_id", "url", "payload", "digest", F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")).alias("refers_to"))
+    slim = rows.where(F.octet_length("payload") >= least).select("page_id", "digest").distinct()
+    first = slim.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").drop("n")
+    revisits = slim.join(first, "digest").where(~F.col("first").eqNullSafe(F.col("page_id"))).select(F.col("page_id").alias("id"), F.col("digest").alias("own"), "first")
+    joined = rows.join(revisits, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("own")), "left")
+    return joined.select("page_id", "url", "payload", "digest", F.col("first").alias("refers_to"))
 
 
 def write_archives(records: DataFrame, folder: str) -> DataFrame:
@@ -223,7 +226,8 @@ def read_archives(files: DataFrame, folder: str) -> DataFrame:
             if some:
                 yield batch_of(some)
 
-    return files.select("file").repartition("file").mapInArrow(run, FIELDS)
+    # a task for each file: by number, since names are too small for Spark to leave them apart
+    return files.select("file").repartition(max(files.count(), 1), "file").mapInArrow(run, FIELDS)
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
