@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -17,11 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is what the cluster names in spark.checkpoint.dir; only where that is unset (tests on one
-    machine) a temporary folder is made and set.
+    It is what the cluster names in spark.checkpoint.dir; where that is unset a local master (tests on one machine)
+    gets a temporary folder, any other an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="lexisift-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -31,10 +34,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, **options) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage is cut, lost executors lose nothing."""
     path = fresh_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -44,6 +47,14 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in made])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name for a helper column that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Arrow batches of fewer rows for stages whose rows are whole texts: a Python worker holds one batch at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

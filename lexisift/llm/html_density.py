@@ -10,9 +10,10 @@ main one. The least density on the path from it to the body is the threshold: wh
 and is at least as dense belongs to the text too. Within the outermost article or main on that path, or in all of
 the page where there is none, it also belongs to the text if less than half of its characters are in links; so does
 an h1 anywhere off the path. A page without article and main so keeps boilerplate that nothing marks. What by its element, role or class is navigation, header,
-footer, sidebar, notice, advert, form, comment or code is no part of the tree; where a class name says so only in
+footer, sidebar, notice, advert, comment or code is no part of the tree; where a class name says so only in
 part, the element goes if half of its text is in links, or if it has under a tenth of the page's and stands outside
-an article.
+an article. A form goes unless the page is wrapped in it: it then holds an article, main or h1, or paragraphs and
+half of the page's text. Formulas are text of their block.
 
 One mapInArrow stage, no shuffle; a page is held at a time, its tree as flat arrays without recursion.
 """
@@ -29,16 +30,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexisift.llm.common import block_slices, table, without
+from lexisift.llm.common import block_slices, small_batches, table, unused, without
 
 SLICE_BYTES = 4 << 20
 
 #: Elements by their role in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr map math semantics annotation annotation-xml mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle mpadded mphantom menclose "
+    "msub msup msubsup munder mover munderover mtable mtr mtd".split()
 )
-SKIPPED = frozenset("head script style noscript template iframe object embed svg canvas math audio video map nav aside footer form button select textarea input dialog menu".split())
+SKIPPED_INLINE = frozenset("annotation annotation-xml".split())
+SKIPPED = frozenset("head script style noscript template iframe object embed svg canvas audio video nav aside footer button select textarea input dialog menu".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 SKIPPED_CLASSES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs sidebar footer "
@@ -98,6 +101,7 @@ class Tree(HTMLParser):
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         self.open: list[tuple[str, int, bool]] = []  # tag, node, whether left out
         self.suspects: dict[int, bool] = {}  # nodes of suspect class names: whether they go for little text as well
+        self.forms: set[int] = set()
         self.counts: dict[str, int] = {}
         self.text: list[str] = []
         self.linked: list[str] = []
@@ -142,7 +146,7 @@ class Tree(HTMLParser):
                 self.own_links[self.node()] += 1
                 self.own_tags[self.node()] += 1
             if tag not in VOID:
-                self.open.append((tag, self.node(), self.open[-1][2] if self.open else False))
+                self.open.append((tag, self.node(), tag in SKIPPED_INLINE or bool(self.open) and self.open[-1][2]))
                 self.counts[tag] = self.counts.get(tag, 0) + 1
             return
         self.close_upto(("p",), ("td", "th", "table", "button", "object", "template"))
@@ -167,6 +171,8 @@ class Tree(HTMLParser):
             role = "" if tag in ("article", "main") else class_role(attrs)
             if role:
                 self.suspects[node] = role == "last" and not within
+            if tag == "form":
+                self.forms.add(node)
         self.open.append((tag, node, out))
         self.counts[tag] = self.counts.get(tag, 0) + 1
 
@@ -198,19 +204,25 @@ class Tree(HTMLParser):
 
 
 def without_suspects(tree: Tree) -> None:
-    """Take out suspect elements with half of their text in links, or where that counts with under a tenth of the page's."""
+    """Take out suspect elements with half of their text in links, or where that counts with under a tenth of the page's,
+    and forms that don't wrap the page."""
     n = len(tree.parent)
     chars, linked = [0] * n, [0] * n
+    heads, paragraphs = [t in ("article", "main", "h1") for t in tree.tag], [t == "p" for t in tree.tag]
     for node, text, in_links in tree.blocks:
         chars[node] += len(text)
         linked[node] += min(in_links, len(text))
     for i in range(n - 1, 0, -1):
         chars[tree.parent[i]] += chars[i]
         linked[tree.parent[i]] += linked[i]
+        heads[tree.parent[i]] |= heads[i]
+        paragraphs[tree.parent[i]] |= paragraphs[i]
     gone = [False] * n
     for i in range(1, n):
         up = tree.parent[i]
-        gone[i] = gone[up] or i in tree.suspects and (linked[i] * 2 >= chars[i] or tree.suspects[i] and chars[i] * 10 < chars[0])
+        suspect = i in tree.suspects and (linked[i] * 2 >= chars[i] or tree.suspects[i] and chars[i] * 10 < chars[0])
+        form = i in tree.forms and not heads[i] and not (paragraphs[i] and chars[i] * 2 >= chars[0])
+        gone[i] = gone[up] or suspect or form
         if gone[i]:
             tree.own_tags[i] = tree.own_links[i] = 0
             tree.own_tags[up] -= not gone[up]
@@ -230,7 +242,7 @@ def main_blocks(html: str) -> list[str]:
     tree = Tree()
     tree.feed(html)
     tree.close()
-    if tree.suspects:
+    if tree.suspects or tree.forms:
         without_suspects(tree)
     n = len(tree.parent)
     if not tree.blocks:
@@ -286,13 +298,14 @@ def extract_main_text(df: DataFrame, html: str = "html", text: str = "text") ->
 
     Columns of df named like the output are replaced; repeated rows are kept, each with its own text.
     """
-    rows = without(df.withColumn("_page", F.coalesce(df[html].cast("string"), F.lit(""))), [text])
-    kept = [f for f in rows.schema.fields if f.name != "_page"]
+    page = unused(df, "page")
+    rows = without(df.withColumn(page, F.coalesce(df[html].cast("string"), F.lit(""))), [text])
+    kept = [f for f in rows.schema.fields if f.name != page]
     out = T.StructType([*kept, T.StructField(text, T.StringType())])
 
     def run(batches):
         for batch in batches:
-            pages = batch.column("_page")
+            pages = batch.column(page)
             for a, b in block_slices(pc.binary_length(pages).to_pylist(), SLICE_BYTES):
                 found = [main_text(x) for x in pages.slice(a, b - a).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*[batch.column(f.name).slice(a, b - a) for f in kept], pa.array(found, pa.string())], names=out.names)
@@ -302,5 +315,6 @@ def extract_main_text(df: DataFrame, html: str = "html", text: str = "text") ->
 
 def op4_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
+    small_batches(spark)
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract_main_text(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -8,9 +8,10 @@ a 64-bit digest; copies are told apart again only in the result. The steps:
    DivideSkip's split; merging the short lists is Spark's shuffle by shingle. Lists of one set go, and so do the
    sets that are left in fewer than l lists, which are most.
 2. The texts are read a second time for the sets left: a filter of fixed size finds them, then they are exact.
-3. Links of a list's neighbours. Neighbours in size within each list are counted over all lists, and each set is held
-   against the one it neighbours most often: one pair for each set. Pairs are searched exactly (``InvertedLists``: heap
-   merge of the short lists, binary probes into the long ones). Near copies are now joined in components.
+3. Links of hubs and neighbours. Each set is held against two others: of the sets that lead its lists, those that have
+   least of their own, as what copies were made from has, the one that leads most of them; and the one that stands
+   next to it by size in most of them. Pairs are searched exactly (``InvertedLists``: heap merge of the short lists,
+   binary probes into the long ones). Near copies are now joined in components.
 4. What is left. Only lists that still hold several components matter, and of their sets only those in enough
    such lists. In each, pairs of different components are tested by parity bitmaps: the bits in which two differ
    are no more than the elements in which the sets differ, so a pair with too many is out for certain. Pairs that
@@ -342,20 +343,35 @@ def counted_pairs(pairs: list[np.ndarray]):
         yield pa.RecordBatch.from_pydict({"a": each[:, 0].copy(), "b": each[:, 1].copy(), "c": times})
 
 
-def neighbours(entries: DataFrame, percent: int) -> DataFrame:
-    """a, b: for each set b the set a that stands next before it, in order of size, in most lists."""
+def near_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """a, b: for each set b at most two others: the hub that it shares most lists with, and its neighbour in most lists.
+
+    entries: h, d, n and own, the share of a set's first shingles that no other set has. A list's hub is the set with
+    the least of its own: what copies were made from lacks nothing that they share. Its neighbour stands next before it by size.
+    """
 
     def run(batches):
         for some in _runs(batches, "h"):
             if some is None:
                 continue
             h, d, n = (some.column(c).to_numpy() for c in ("h", "d", "n"))
-            at = np.flatnonzero((h[1:] == h[:-1]) & near_sizes(n[1:].astype(np.int64), n[:-1].astype(np.int64), percent))
-            yield from counted_pairs([np.stack([d[at], d[at + 1]], axis=1)])
-
-    pairs = entries.repartition("h").sortWithinPartitions("h", "n", "d").mapInArrow(run, "a long, b long, c long")
-    often = pairs.groupBy("a", "b").agg(F.sum("c").alias("c"))
-    return often.groupBy("b").agg(F.max(F.struct("c", "a")).alias("best")).select("best.a", "b")
+            n = n.astype(np.int64)
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            hub = np.repeat(first, np.diff(np.append(first, len(h))))
+            at = np.flatnonzero((hub != np.arange(len(h))) & near_sizes(n, n[hub], percent))
+            found = [(0, hub[at], at)]
+            by_size = np.lexsort((d, n, hub))
+            one, two = by_size[:-1], by_size[1:]
+            at = np.flatnonzero((hub[one] == hub[two]) & near_sizes(n[one], n[two], percent))
+            found.append((1, one[at], two[at]))
+            for kind, i, j in found:
+                for batch in counted_pairs([np.stack([d[i], d[j]], axis=1)]):
+                    yield batch.append_column("kind", pa.array(np.full(batch.num_rows, kind, np.int32)))
+
+    pairs = entries.repartition("h").sortWithinPartitions("h", "own", "d").mapInArrow(run, "a long, b long, c long, kind int")
+    often = pairs.groupBy("kind", "a", "b").agg(F.sum("c").alias("c"))
+    best = often.groupBy("kind", "b").agg(F.max(F.struct("c", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def exact_links(pairs: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
@@ -438,14 +454,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k:
     read = materialise(read_again(rows, wanted, k), "sets")
     members = materialise(read.where("text IS NOT NULL").groupBy("d").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.first("text").alias("text")), "members")
     each = F.explode("hs").alias("h")
-    first = materialise(exact_links(neighbours(kept.select(each, "d", "n"), percent), members, k, percent), "links")
+    size = F.col("n") - F.ceil(F.col("n") * percent / 100) + F.greatest(F.floor(F.col("n") / 16), F.lit(1))
+    own = (1 - F.size("hs") / size).cast("float").alias("own")
+    first = materialise(exact_links(near_pairs(kept.select(each, "d", "n", own), percent), members, k, percent), "links")
     joined = connected_components(first, "near-copies")
     labelled = kept.join(joined.withColumnRenamed("node", "d"), "d", "left").select("d", "n", F.coalesce("component", "d").alias("component"), "hs")
     left = materialise(in_enough_lists(in_several(labelled.select(each, "d", "n", "component"), "component"), percent, "component"), "crossing-lists")
     tested = prefix_lists(left.select(each, "d")).join(left.select("d", "n", "component").join(members.select("d", "bitmap"), "d"), "d")
     pairs = materialise(crossing_pairs(tested, percent), "pairs")
-    size = members.select(F.col("d").alias("b"), F.col("n").alias("m"))
-    often = pairs.join(members.select(F.col("d").alias("a"), "n"), "a").join(size, "b").where(F.col("c") >= F.greatest(F.lit(1), F.floor(F.least("n", "m") / 16)))
+    other = members.select(F.col("d").alias("b"), F.col("n").alias("m"))
+    often = pairs.join(members.select(F.col("d").alias("a"), "n"), "a").join(other, "b").where(F.col("c") >= F.greatest(F.lit(1), F.floor(F.least("n", "m") / 16)))
     second = exact_links(often, members, k, percent)
     found = connected_components(first.unionByName(second), "near-duplicates").withColumnRenamed("node", "d")
     one = read.where("n > 0 AND doc_id IS NOT NULL").groupBy("d").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
@@ -453,9 +471,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k:
     least = groups.where("component IS NOT NULL").groupBy("root").agg(F.min("least").alias("component_id"))
     # only sets of several documents or of a component need an answer other than the document itself
     answers = groups.where("component IS NOT NULL OR copies > 1").join(least, "root", "left").select("d", F.coalesce("component_id", "least").alias("component_id"))
-    own = read.select("doc_id", "n", "d").join(answers, "d", "left")
+    every = read.select("doc_id", "n", "d").join(answers, "d", "left")
     component = F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
-    return own.select(F.col("doc_id").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
+    return every.select(F.col("doc_id").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

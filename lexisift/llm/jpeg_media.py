@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexisift.llm.common import block_slices, table, without
+from lexisift.llm.common import block_slices, materialise, small_batches, table, without
 
 WIDTH = 192
 HIGHEST = 8191  # rows of blocks: 65,528 pixels, the most below the format's 65,535
@@ -368,13 +368,16 @@ def read_media(df: DataFrame, media: str = "media") -> DataFrame:
 
 
 def op5_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's text as a JPEG media column, read back: sizes, digests, dimensions and thumbnail hash."""
+    """Every document's text as a JPEG media column, stored in the shared folder and read back: sizes, digests,
+    dimensions and thumbnail hash."""
+    small_batches(spark)
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     padded = F.greatest(F.ceil(F.octet_length(data) / WIDTH), F.lit(1)) * WIDTH
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", F.octet_length(data).cast("long").alias("n_bytes"), F.rpad(data, padded.cast("int"), F.lit(b" ")).alias("payload")
     )
-    media = write_media(docs, "payload").drop("payload")
+    # pages of several pictures, since texts repeat each other more than themselves
+    media = materialise(write_media(docs, "payload").drop("payload"), "media", **{"parquet.page.size": str(8 << 20)})
     back = read_media(media)
     return back.select(
         "doc_id", "n_bytes", F.octet_length("thumbnail").cast("long").alias("payload_bytes"), F.sha2("thumbnail", 256).alias("payload_sha256"),

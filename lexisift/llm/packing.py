@@ -36,8 +36,6 @@ DIMENSIONS = 128
 #: Sampled documents for each leaf of the tree that deals documents to shards, and of all leaves.
 LEAF_SAMPLES, MOST_SAMPLES = 32, 1 << 17
 LEAST_GAP = 1e-4
-#: Pieces in each generation of an encoder's memory.
-REMEMBERED = 300_000
 K1, B = 1.2, 0.75
 PIECES = "key {key}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -48,12 +46,12 @@ def encoded(docs: DataFrame, shared, text: str, key: str, window: int = WINDOW,
     end = np.array([end_id], dtype="<u2").tobytes()
 
     def run(batches):
-        encoder = in_worker(shared, Encoder, "<u2", REMEMBERED)
+        encoder = in_worker(shared, Encoder, "<u2")
         for batch in batches:
             texts = batch.column("text")
             for a, b in block_slices(pc.binary_length(texts).to_pylist(), 1 << 20):
                 n, sums, tails, terms, counts = [], [], [], [], []
-                for raw in encoder(texts.slice(a, b - a).to_pylist()):
+                for raw in encoder(texts.slice(a, b - a)):
                     ids = np.frombuffer(raw + end, dtype="<u2")
                     whole = len(ids) // window * window
                     wide = ids[:whole].astype("<u4").tobytes()
@@ -66,7 +64,7 @@ def encoded(docs: DataFrame, shared, text: str, key: str, window: int = WINDOW,
                         continue
                     known, times = np.unique(ids, return_counts=True)
                     terms.append(known.tobytes())
-                    counts.append(np.minimum(times, 65535).astype("<u2").tobytes())
+                    counts.append(times.astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key").slice(a, b - a), pa.array(n, pa.int64()), pa.array(sums, pa.list_(pa.int64())), *[pa.array(x, pa.binary()) for x in (tails, terms, counts)]],
                     names=["key", "n", "sums", "tail", "terms", "counts"],
@@ -186,7 +184,7 @@ def deal(rows: DataFrame, idf, mean: float, documents: int) -> DataFrame:
     made: dict = {}  # of a task
 
     def vectors(batch, at):
-        terms, counts = ([np.frombuffer(x, dtype="<u2") for x in batch.column(c).take(at).to_pylist()] for c in ("terms", "counts"))
+        terms, counts = ([np.frombuffer(x, dtype=t) for x in batch.column(c).take(at).to_pylist()] for c, t in (("terms", "<u2"), ("counts", "<u4")))
         if not made:
             made["signs"] = random_signs()
         return projected(terms, counts, idf.value, mean, made["signs"])
@@ -297,7 +295,7 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: s
 
     def packed_shard(some, shard: int):
         n, sums = some.column("n").to_numpy(), some.column("sums").to_pylist()
-        tails, terms, counts = ([np.frombuffer(x, dtype="<u2") for x in some.column(c).to_pylist()] for c in ("tail", "terms", "counts"))
+        tails, terms, counts = ([np.frombuffer(x, dtype=t) for x in some.column(c).to_pylist()] for c, t in (("tail", "<u2"), ("terms", "<u2"), ("counts", "<u4")))
         pieces, sequence = [], shard << 32
         for i, own in enumerate(sums):
             for j, crc in enumerate(own):

@@ -5,8 +5,9 @@ Python: splitting a text by a pattern gives the stretches between its matches, a
 lengths of stretches and matches are the positions.
 
 A candidate's value is then hashed and counted over the whole corpus by distinct repositories and distinct
-owners. A value that many owners have is a copied example; one that stays with few owners looks live. Live
-values get a span of their own kind, ``live``, on the value itself. Counting first reduces to distinct
+owners. A value that many owners have is a copied example; one that stays with few owners looks live. A
+repository is named by one column or several: documents have ``source`` for the owner and, as an owner's repositories, its
+parts by ``lang``. Live values get a span of their own kind, ``live``, on the value itself. Counting first reduces to distinct
 (hash, owner, repository), so a value that a third of all rows carry is reduced before it is shuffled, and
 only rows with candidates, without their texts, are joined back.
 """
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisift.llm.common import materialise, table, without
+from lexisift.llm.common import materialise, table, unused, without
 
 #: The kinds in the order in which spans at one place are listed, their patterns, the group that
 #: holds the value and the least length that counts (of that group).
@@ -68,6 +69,12 @@ def find_candidates(df: DataFrame, text: str = "text", found: str = "candidates"
     return rows.withColumn(found, F.array_sort(F.concat(*[_found(whole, k) for k in KINDS])))
 
 
+def named_by(columns: str | tuple[str, ...]) -> Column:
+    """One text for a column or several; a null counts as an empty one."""
+    each = (columns,) if isinstance(columns, str) else columns
+    return F.to_json(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(str(i)) for i, c in enumerate(each)]))
+
+
 def ownership(candidates: DataFrame, owner: str, repository: str, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """For each value hash: n_rows, n_owners, n_repositories and whether it is live (held by few of both).
 
@@ -81,7 +88,7 @@ def ownership(candidates: DataFrame, owner: str, repository: str, max_owners: in
 
 
 def scan(
-    df: DataFrame, text: str = "text", key: str = "doc_id", owner: str = "source", repository: str = "lang",
+    df: DataFrame, text: str = "text", key: str = "doc_id", owner: str = "source", repository: str | tuple[str, ...] = ("source", "lang"),
     max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """One row for each row of df: the key, ``base`` (its candidates), ``live`` (those judged live, spans of the value).
@@ -91,7 +98,7 @@ def scan(
     A value may occur in any number of rows; none are dropped or capped.
     """
     base = materialise(
-        find_candidates(df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(owner).alias("owner"), F.col(repository).alias("repository")), "text", "base")
+        find_candidates(df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(owner).alias("owner"), named_by(repository).alias("repository")), "text", "base")
         .drop("text").withColumn("row", F.monotonically_increasing_id()), "secret-candidates",
     )
     each = base.where(F.size("base") > 0).select("row", "owner", "repository", F.explode("base").alias("c")).withColumn("value_hash", F.sha2("c.value", 256))
@@ -110,22 +117,22 @@ def _listed(spots: Column) -> Column:
 
 
 def redact(
-    df: DataFrame, text: str = "text", key: str = "doc_id", owner: str = "source", repository: str = "lang",
+    df: DataFrame, text: str = "text", key: str = "doc_id", owner: str = "source", repository: str | tuple[str, ...] = ("source", "lang"),
     length: str = "n_chars", live_mask: str = "[SECRET]", example_mask: str = "[EXAMPLE]", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """df with every candidate in its text masked, live ones and copied examples by masks of their own.
 
     Overlapping spans get one mask, that of the first. Rows without candidates, null and empty texts are as they were;
-    no row is added or dropped, and the columns are those of df; a column of text lengths follows the change. Only rows with candidates are joined.
+    no row is added or dropped, and the columns are those of df; a column of text lengths follows the change. Texts are
+    scanned once, and only rows with candidates are joined, each by a number of its own.
     """
-    marked = find_candidates(df, text, "_spots").withColumn("_sha", F.when(F.size("_spots") > 0, F.sha2(F.col(text), 256)))
-    hit = marked.where(F.size("_spots") > 0)
-    slim = materialise(hit.select(F.col(key).alias("key"), F.col("_sha").alias("sha"), F.col(owner).alias("owner"), F.col(repository).alias("repository"), F.col("_spots").alias("spots")), "secret-candidates")
-    each = slim.select("key", "sha", "owner", "repository", F.explode("spots").alias("c")).withColumn("value_hash", F.sha2("c.value", 256))
+    spots, spans, row, found = unused(df, "spots"), unused(df, "spans"), unused(df, "row"), unused(df, "found_in")
+    marked = materialise(find_candidates(df, text, spots).withColumn(row, F.monotonically_increasing_id()), "secret-candidates")
+    hit = marked.where(F.size(spots) > 0)
+    each = hit.select(F.col(row).alias(found), F.col(owner).alias("owner"), named_by(repository).alias("repository"), F.explode(spots).alias("c")).withColumn("value_hash", F.sha2("c.value", 256))
     judged = ownership(each, "owner", "repository", max_owners, max_repositories).select("value_hash", "live")
     spot = F.struct(F.col("c.start").alias("start"), F.col("c.rank").alias("rank"), F.col("c.end").alias("end"), "live")
-    spans = each.join(judged, "value_hash").groupBy("key", "sha").agg(F.array_sort(F.collect_set(spot)).alias("_spans"))
-    joined = hit.join(spans.withColumnsRenamed({"key": "_key", "sha": "_key_sha"}), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_sha") == F.col("_key_sha")))
+    joined = hit.join(each.join(judged, "value_hash").groupBy(found).agg(F.array_sort(F.collect_set(spot)).alias(spans)), F.col(row) == F.col(found))
 
     def step(acc, s):
         gap = F.substring(F.col(text), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
@@ -135,11 +142,11 @@ def redact(
             F.when(s["start"] >= acc["at"], F.concat(acc["done"], gap, mask)).otherwise(acc["done"]).alias("done"),
         )
 
-    made = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("done")), step)
+    made = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("done")), step)
     masked = F.concat(made["done"], F.substring(F.col(text), made["at"] + 1, F.char_length(text)))
     made_columns = {text: masked, **({length: F.char_length(masked).cast(df.schema[length].dataType)} if length in df.columns else {})}
     changed = joined.select(*[made_columns.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns])
-    return marked.where(F.size("_spots") == 0).select(*df.columns).unionByName(changed)
+    return marked.where(F.size(spots) == 0).select(*[F.col(f"`{c}`") for c in df.columns]).unionByName(changed)
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +172,7 @@ OP3_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS o, coalesce(lang, '') AS l, coalesce("text", '') AS t, row_number() OVER () AS n FROM documents),
 b AS (SELECT doc_id, o, l, n, list_sort(list_concat({", ".join(_sql_spots(k) for k in KINDS)})) AS base FROM d),
 x AS (SELECT n, o, l, unnest(base) AS c FROM b),
-live AS (SELECT c.v AS v FROM x GROUP BY c.v HAVING count(DISTINCT o) <= {MAX_OWNERS} AND count(DISTINCT l) <= {MAX_REPOSITORIES}),
+live AS (SELECT c.v AS v FROM x GROUP BY c.v HAVING count(DISTINCT o) <= {MAX_OWNERS} AND count(DISTINCT {{'o': o, 'l': l}}) <= {MAX_REPOSITORIES}),
 f AS (SELECT n, list(DISTINCT {{'s': CAST(c.e - length(c.v) AS INTEGER), 'r': {len(KINDS)}, 'e': c.e, 'k': 'live', 'v': c.v}}) AS live FROM x JOIN live ON c.v = live.v GROUP BY n),
 a AS (SELECT doc_id, base, list_sort(list_concat(base, coalesce(f.live, []))) AS every FROM b LEFT JOIN f ON b.n = f.n)
 SELECT doc_id, {", ".join(f"CAST(len(list_filter(base, lambda s: s.k = '{k}')) AS BIGINT) AS n_{k}" for k in KINDS)},

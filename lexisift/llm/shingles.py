@@ -13,8 +13,9 @@ import pyarrow as pa
 WORDS = 5
 _U = np.uint64
 _random = np.random.default_rng(20240501)
-_VALUE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_VALUE[65:91] = _VALUE[97:123]  # A-Z count as a-z
+_PLAIN = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+_VALUE = _PLAIN.copy()
+_VALUE[65:91] = _PLAIN[97:123]  # A-Z count as a-z
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -41,6 +42,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def stretch_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, values: np.ndarray = _PLAIN) -> np.ndarray:
+    """A hash of the bytes of each stretch of data, by one running sum over the buffer."""
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(values[data] * _power(_BASE, len(data)), out=sums[1:])
+    return mix((sums[stops] - sums[starts]) * _power(_INVERSE, len(data) + 1)[starts])
+
+
 def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and where each text's words begin (one more at the end)."""
     space = _SPACE[data]
@@ -53,10 +61,7 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     ends[:-1] &= space[1:]
     ends[inner[inner > 0] - 1] = ~space[inner[inner > 0] - 1]
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_VALUE[data] * _power(_BASE, len(data)), out=sums[1:])
-    words = mix((sums[stops] - sums[starts]) * _power(_INVERSE, len(data) + 1)[starts])
-    return words, np.searchsorted(starts, bounds)
+    return stretch_hashes(data, starts, stops, _VALUE), np.searchsorted(starts, bounds)
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, k: int = WORDS) -> list[np.ndarray]:

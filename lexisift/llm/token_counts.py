@@ -56,7 +56,7 @@ def write_token_files(docs: DataFrame, folder: str, text: str = "text", key: str
             for batch in batches:
                 texts = batch.column("text")
                 for a, b in block_slices(pc.binary_length(texts).to_pylist(), 1 << 20):
-                    for ids in encoder(texts.slice(a, b - a).to_pylist()):
+                    for ids in encoder(texts.slice(a, b - a)):
                         out.write(ids)
                         out.write(end)
                 n = batch.num_rows

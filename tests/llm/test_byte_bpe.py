@@ -1,4 +1,6 @@
 import base64
+import hashlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -42,6 +44,55 @@ def test_forgotten_pieces_give_the_same_ids():
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder(texts[a : a + 5])] == [REFERENCE.encode_ordinary(t) for t in texts[a : a + 5]]
 
 
+def test_equal_hashes_of_different_pieces_are_seen(monkeypatch):
+    encoder = byte_bpe.Encoder(VOCABULARY)
+    monkeypatch.setattr(byte_bpe, "stretch_hashes", lambda data, starts, stops: np.ones(len(starts), np.uint64))
+    assert np.frombuffer(encoder(["one two three"])[0], "<u4").tolist() == REFERENCE.encode_ordinary("one two three")
+
+
+def test_pattern_of_a_file():
+    own = {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}}
+    assert byte_bpe.file_pattern(own) == public_tokenizers.PATTERN
+    assert byte_bpe.file_pattern({"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}) is byte_bpe.file_pattern({"pre_tokenizer": {"type": "Whitespace"}}) is None
+    split = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": "x+"}}, {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}]}
+    assert byte_bpe.file_pattern({"pre_tokenizer": split}) == "x+"
+
+
+def test_long_texts_in_stretches(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "SLICE_BYTES", 10)
+    text = " ".join(f"word{i}, é{i}!" for i in range(200))
+    assert np.frombuffer(byte_bpe.Encoder(VOCABULARY)(["", text, "x"])[1], "<u4").tolist() == REFERENCE.encode_ordinary(text)
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = byte_bpe.op10_byte_bpe(spark, folder).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = REFERENCE.encode_ordinary(texts[r["doc_id"]])
+        assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_token_counts_query(spark, tmp_path):
+    folder = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = {r["doc_id"]: (r["n_tokens"], r["terminated"]) for r in token_counts.op1_token_counts(spark, folder).collect()}
+    assert got == {k: (len(REFERENCE.encode_ordinary(t)), True) for k, t in texts.items()}
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert token_counts.op1_token_counts(spark, str(tmp_path)).count() == 0
+
+
+def test_blocks_of_one_file_are_searched_by_several_tasks(spark, tmp_path):
+    (tmp_path / "one").write_bytes(np.array([7, 9] * 500, "<u2").tobytes())
+    files = spark.createDataFrame([("one",)], "file string")
+    counted = token_counts.scan_token_files(files, str(tmp_path), end_id=9, block_tokens=10)
+    assert counted.where("n_tokens = 1").count() == 500
+    parts = [f for f in (Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))).glob("separators-*") for f in f.glob("part-*")]
+    assert max(sum(1 for _ in d.glob("part-*")) for d in {p.parent for p in parts}) >= 20
+
+
 def test_round_trip_with_offsets(spark):
     df = spark.createDataFrame([(i, t, "kept") for i, t in enumerate(TEXTS)] + [(1, "", "kept")], "doc_id long, text string, N_Tokens string")
     rows = byte_bpe.decode(byte_bpe.encode(df), offsets=True)

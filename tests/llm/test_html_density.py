@@ -3,7 +3,7 @@ import re
 
 import duckdb
 
-from lexisift.llm.html_density import extract_main_text, main_text
+from lexisift.llm.html_density import extract_main_text, main_text, op4_html_density
 
 
 def test_boilerplate_goes_and_all_of_the_article_stays():
@@ -26,12 +26,15 @@ def test_odd_pages():
     assert len(main_text("<article>" + "<p>word word word</p>" * 20000 + "</article>").split("\n\n")) == 20000
 
 
-def test_pages_of_the_table():
-    rows = duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall()
-    for (page,) in rows:
+def test_query_over_the_table(spark):
+    rows = duckdb.sql("SELECT page_id, url, html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall()
+    got = {r["page_id"]: (r["url"], r["text"], r["n_chars"]) for r in op4_html_density(spark, "/root/testdata/sf0.01").collect()}
+    assert len(got) == len(rows)
+    for page_id, url, page in rows:
         inside = re.search(r"<article>(.*?)</article>", page, re.S)[1]
         parts = [re.sub(r"\s+", " ", library.unescape(re.sub(r"<[^>]+>", "", x.replace("<br>", " ")))).strip() for x in re.split(r"</?(?:p|h1)>", inside)]
-        assert main_text(page) == "\n\n".join(x for x in parts if x)
+        want = "\n\n".join(x for x in parts if x)
+        assert got[page_id] == (url, want, len(want))
 
 
 def test_frame(spark):
@@ -67,3 +70,16 @@ def test_open_heads_and_layout_classes():
         f"<body><article><p>{text}</article><div class='main-nav'><a href='/'>Home page</a></div><div class='site-footer'>small</div></body>",
     ):
         assert main_text(page) == want
+
+
+def test_wrapping_forms_and_names_in_articles():
+    text = "A paragraph of the article that is long enough to be one. " * 4
+    want = text.strip()
+    assert main_text(f"<body><form action='/'><input type=hidden><nav><a href='/'>Home</a></nav><article><p>{text}</article></form>") == want
+    assert main_text(f"<body><form id=aspnet><p>{text}</form><div class=ad>buy</div>") == want
+    assert main_text(f"<body><article><p>{text}</article><form><p>Name <input></p><p>Mail <input></p></form>") == want
+    for own in ("<p class='notice-of-meeting'>The board meets in May.</p>", "<div class='menu-item related-work'>The board meets in May.</div>"):
+        assert main_text(f"<body><article><p>{text}</p>{own}</article>") == f"{want}\n\nThe board meets in May."
+    math = "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation encoding='tex'>x=1</annotation></math>"
+    assert main_text(f"<body><article><p>{text}Then {math} holds.</article>") == f"{want} Then x=1 holds."
+    assert main_text(f"<body><article><p>{text}<map name=m>a<area></map> b</article>") == f"{want} a b"

@@ -102,7 +102,7 @@ def test_neighbours_are_retrieved_over_many_shards(spark, monkeypatch):
     for i in range(1024):  # 32 topics of 40 terms of their own, and terms of all
         own = np.concatenate([random.choice(40, 20, replace=False) + 1000 + 40 * (i % 32), random.choice(400, 30, replace=False) + 1])
         terms.append(np.sort(own).astype("<u2"))
-        counts.append(np.ones(50, "<u2"))
+        counts.append(np.ones(50, "<u4"))
     terms += [terms[0]] * 300  # copies don't fill one shard
     counts += [counts[0]] * 300
     n = np.bincount(np.concatenate(terms), minlength=1 << 16)
@@ -113,3 +113,30 @@ def test_neighbours_are_retrieved_over_many_shards(spark, monkeypatch):
     index = packing.ShardIndex(terms, counts, idf, 50.0)
     near = [shard[np.argsort(-index.scores(q)[:1024], kind="stable")[1:6]] == shard[q] for q in range(1, 300)]
     assert np.mean(near) > 0.4 and np.bincount(shard).max() <= 4 * 32
+
+
+def test_windows_hold_neighbours_more_often_than_random_ones(spark, monkeypatch):
+    """Documents of one topic meet in windows far more often than by chance, over several shards."""
+    monkeypatch.setattr(packing, "SHARD_DOCUMENTS", 64)
+    random = np.random.default_rng(4)
+    words = [[f"{chr(97 + t)}{chr(97 + i % 26)}{chr(97 + i // 26)}zq" for i in range(60)] for t in range(16)]
+    rows = [(i, " ".join(random.choice(words[i % 16], 30))) for i in range(480)]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), window=512).collect()
+    together: dict = {}
+    for p in pieces:
+        together.setdefault(p["sequence_id"], set()).add(p["doc_id"])
+    same = [a % 16 == b % 16 for own in together.values() for a in own for b in own if a < b]
+    assert np.mean(same) > 0.4  # 1 / 16 by chance
+
+
+def test_query(spark, tokenizer):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    sequences = check(rows, packing.op6_retrieval_packing(spark, folder).collect(), tokenizer, 1024)
+    filled = sum(p["length"] for own in sequences.values() for p in own)
+    assert filled >= 0.95 * 1024 * len(sequences)
+
+
+def test_counts_beyond_two_bytes(spark, tokenizer):
+    rows = [(1, "a" + " a" * 70_000), (2, "b")]
+    check(rows, packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect(), tokenizer, 1024)

@@ -53,3 +53,10 @@ def test_dictionary_leads_and_records_stand_alone():
 def test_broken_archive_raises():
     with pytest.raises(ValueError):
         list(warc.read_records(io.BytesIO(zstandard.ZstdCompressor().compress(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc"))))
+
+
+def test_each_archive_is_a_task(spark):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").repartition(4)
+    folder = fresh_path(spark, "warc")
+    files = warc.write_archives(warc.with_revisits(pages).repartition(4), folder)
+    assert files.count() > 1 and warc.read_archives(files, folder).rdd.getNumPartitions() == files.count()
