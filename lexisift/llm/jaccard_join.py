@@ -15,10 +15,11 @@ a 64-bit digest; copies are told apart again only in the result. The steps:
 4. What is left. Only lists that still hold several components matter, and of their sets only those in enough
    such lists. In each, pairs of different components are tested by parity bitmaps: the bits in which two differ
    are no more than the elements in which the sets differ, so a pair with too many is out for certain. Pairs that
-   survive in l lists are searched exactly. A long list is split in pairs of blocks, so that no task grows with it.
+   survive are searched exactly. A long list is split in pairs of blocks, so that no task grows with it.
 5. The components of all exact links are the result.
 
-Every step but 4 is linear in the sets' sizes; 4 tests pairs of a list only where its members are not joined yet.
+Every step but 4 is linear in the sets' sizes; 4 tests pairs of a list only where its members are not joined yet, and
+is quadratic in groups of sets that are near the threshold without being joined.
 Shingles and sets are compared by 64-bit hashes.
 """
 
@@ -394,31 +395,35 @@ def exact_links(pairs: DataFrame, members: DataFrame, k: int, percent: int) -> D
 
 
 def prefix_lists(entries: DataFrame) -> DataFrame:
-    """h, d, side: entries (h, d) by lists; a list over LIST_BLOCK is one h for each pair of its blocks."""
+    """h, shingle, d, side: entries (h, d) by lists; a list over LIST_BLOCK is one h for each pair of its blocks."""
     lists = entries.select("h", "d").join(entries.groupBy("h").agg(F.count("*").alias("m")), "h")
-    short = lists.where(F.col("m") <= LIST_BLOCK).select("h", "d", F.lit(-1).alias("side"))
+    short = lists.where(F.col("m") <= LIST_BLOCK).select("h", F.col("h").alias("shingle"), "d", F.lit(-1).alias("side"))
     long = lists.where(F.col("m") > LIST_BLOCK).withColumn("blocks", F.ceil(F.col("m") / LIST_BLOCK).cast("int"))
     long = long.withColumn("block", F.pmod(F.xxhash64("d", "h"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("block") == F.col("other"), -1).otherwise((F.col("block") > F.col("other")).cast("int"))
-    return short.unionByName(long.select(F.xxhash64("h", F.least("block", "other"), F.greatest("block", "other")).alias("h"), "d", side.alias("side")))
+    return short.unionByName(long.select(F.xxhash64("h", F.least("block", "other"), F.greatest("block", "other")).alias("h"), F.col("h").alias("shingle"), "d", side.alias("side")))
 
 
 def crossing_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of different components that survive the bitmap test in enough lists; entries: h, side, d, n, component, bitmap.
+    """a, b: pairs of different components that survive the bitmap test; entries: h, shingle, side, d, n, component, bitmap, one, two.
 
-    Members of side 0 and 1 are tested only against the other side, those of side -1 against all.
+    Members of side 0 and 1 are tested only against the other side, those of side -1 against all. one and two are the
+    first lists of a set: a pair that is known by them to meet in an earlier list is left to that one.
     """
 
     def run(batches):
         for some in _runs(batches, "h"):
             if some is None:
                 continue
-            h, d, n, side, component = (some.column(c).to_numpy() for c in ("h", "d", "n", "side", "component"))
-            n = n.astype(np.int64)
+            h, shingle, d, n, side, component = (some.column(c).to_numpy() for c in ("h", "shingle", "d", "n", "side", "component"))
+            n, firsts = n.astype(np.int64), [some.column(c).to_numpy() for c in ("one", "two")]
             bitmaps, pairs = Bitmaps(some.column("bitmap").to_pylist()), []
 
             def test(i, j):
                 out = (component[i] != component[j]) & ((side[i] < 0) | (side[i] != side[j]))
+                for x in firsts:
+                    for y in firsts:
+                        out &= (x[i] != y[j]) | (x[i] >= shingle[i])
                 i, j = i[out], j[out]
                 out = bitmaps.test(i, j, n, percent)
                 i, j = d[i[out]], d[j[out]]
@@ -435,10 +440,10 @@ def crossing_pairs(entries: DataFrame, percent: int) -> DataFrame:
                 for i in range(s, s + m - 1):
                     j = np.arange(i + 1, s + m)
                     test(np.full(len(j), i), j)
-            yield from counted_pairs(pairs)
+            for batch in counted_pairs(pairs):
+                yield batch.select(["a", "b"])
 
-    pairs = entries.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long, c long")
-    return pairs.groupBy("a", "b").agg(F.sum("c").alias("c"))
+    return entries.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -460,11 +465,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k:
     joined = connected_components(first, "near-copies")
     labelled = kept.join(joined.withColumnRenamed("node", "d"), "d", "left").select("d", "n", F.coalesce("component", "d").alias("component"), "hs")
     left = materialise(in_enough_lists(in_several(labelled.select(each, "d", "n", "component"), "component"), percent, "component"), "crossing-lists")
-    tested = prefix_lists(left.select(each, "d")).join(left.select("d", "n", "component").join(members.select("d", "bitmap"), "d"), "d")
-    pairs = materialise(crossing_pairs(tested, percent), "pairs")
-    other = members.select(F.col("d").alias("b"), F.col("n").alias("m"))
-    often = pairs.join(members.select(F.col("d").alias("a"), "n"), "a").join(other, "b").where(F.col("c") >= F.greatest(F.lit(1), F.floor(F.least("n", "m") / 16)))
-    second = exact_links(often, members, k, percent)
+    firsts = F.array_sort("hs")
+    about = left.select("d", "n", "component", firsts[0].alias("one"), F.coalesce(F.get(firsts, F.lit(1)), firsts[0]).alias("two"))
+    tested = prefix_lists(left.select(each, "d")).join(about.join(members.select("d", "bitmap"), "d"), "d")
+    second = exact_links(materialise(crossing_pairs(tested, percent), "pairs"), members, k, percent)
     found = connected_components(first.unionByName(second), "near-duplicates").withColumnRenamed("node", "d")
     one = read.where("n > 0 AND doc_id IS NOT NULL").groupBy("d").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     groups = one.join(found, "d", "left").withColumn("root", F.coalesce("component", "d"))
