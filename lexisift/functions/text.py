@@ -30,11 +30,12 @@ ELIDED = "l m t qu n s j d c".split()
 
 #: Street types and what they stand for.
 STREET_TYPES = {
-    "ALL": "Allée", "AV": "Avenue", "BD": "Boulevard", "CAR": "Carrefour", "CHE": "Chemin", "CHS": "Chaussée", "CITE": "Cité", "COR": "Corniche", "CRS": "Cours",
-    "DOM": "Domaine", "DSC": "Descente", "ECA": "Ecart", "ESP": "Esplanade", "FG": "Faubourg", "GR": "Grande Rue", "HAM": "Hameau", "HLE": "Halle", "IMP": "Impasse",
-    "LD": "Lieu-dit", "LOT": "Lotissement", "MAR": "Marché", "MTE": "Montée", "PAS": "Passage", "PL": "Place", "PLN": "Plaine", "PLT": "Plateau", "PRO": "Promenade",
-    "PRV": "Parvis", "QUA": "Quartier", "QUAI": "Quai", "RES": "Résidence", "RLE": "Ruelle", "ROC": "Rocade", "RPT": "Rond-point", "RTE": "Route", "RUE": "Rue",
-    "SEN": "Sentier", "SQ": "Square", "TPL": "Terre-plein", "TRA": "Traverse", "VLA": "Villa", "VLGE": "Village", "VOI": "Voie", "ZA": "Zone artisanale", "ZI": "Zone industrielle",
+    "ALL": "Allée", "AV": "Avenue", "BD": "Boulevard", "CAR": "Carrefour", "CD": "Chemin départemental", "CHE": "Chemin", "CHS": "Chaussée", "CITE": "Cité", "CIT": "Cité",
+    "COR": "Corniche", "CRS": "Cours", "CR": "Chemin rural", "DOM": "Domaine", "DSC": "Descente", "ECA": "Ecart", "ESP": "Esplanade", "FG": "Faubourg", "GR": "Grande Rue",
+    "HAM": "Hameau", "HLE": "Halle", "IMP": "Impasse", "LD": "Lieu-dit", "LOT": "Lotissement", "MAR": "Marché", "MTE": "Montée", "PAS": "Passage", "PLN": "Plaine",
+    "PLT": "Plateau", "PL": "Place", "PRO": "Promenade", "PRV": "Parvis", "QUAI": "Quai", "QUA": "Quartier", "QU": "Quai", "RES": "Résidence", "RLE": "Ruelle", "ROC": "Rocade",
+    "RPT": "Rond-point", "RTE": "Route", "RN": "Route nationale", "R": "Rue", "RUE": "Rue", "SEN": "Sentier", "SQ": "Square", "TPL": "Terre-plein", "TRA": "Traverse",
+    "VC": "Chemin vicinal", "VLA": "Villa", "VLGE": "Village",
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows of a block of vectors.
+DATA_BLOCK = 8192
+
+
 def doubles(v: Column) -> Column:
     return F.transform(v, lambda x: x.cast("double"))
 
@@ -53,21 +57,52 @@ def multi_signal(cosine_score: str, found: str, activity: str, beta: float, gamm
     return F.col(cosine_score) + beta * F.col(found) + gamma * F.col(activity)
 
 
-def pairs(left: DataFrame, right: DataFrame, key: str, vector: str) -> DataFrame:
-    """Cosine of all pairs of a small left side with the right, block by block of the left (a stated query set)."""
-    queries = left.select(F.col(key).alias("query_id"), F.col(vector).alias("_q"))
-    return right.select(key, vector).join(queries).select("query_id", key, cosine(F.col(vector), F.col("_q")).alias("similarity"))
+def euclidean(a: Column, b: Column) -> Column:
+    return F.sqrt(F.aggregate(F.zip_with(doubles(a), doubles(b), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+
+
+def manhattan(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(doubles(a), doubles(b), lambda x, y: F.abs(x - y)), F.lit(0.0), lambda s, x: s + x)
+
+
+def chebyshev(a: Column, b: Column) -> Column:
+    return F.array_max(F.zip_with(doubles(a), doubles(b), lambda x, y: F.abs(x - y)))
+
+
+#: Measures by name; any function of two columns will do where a measure is asked for.
+MEASURES: dict[str, Callable[[Column, Column], Column]] = {
+    "cosine": cosine, "cosine_distance": cosine_distance, "dot": dot, "euclidean": euclidean, "manhattan": manhattan, "chebyshev": chebyshev,
+}
+
+
+def measured(queries: DataFrame, vectors: DataFrame, key: str, vector: str, measure: str | Callable[[Column, Column], Column], block: int = DATA_BLOCK) -> DataFrame:
+    """query_id, key, value: a measure of a stated set of queries (one row makes it vector x matrix) with all vectors.
+
+    Vectors are dealt into blocks of about so many rows, each of which gets every query once: an equi-join by block.
+    Keys may repeat; null vectors have null values.
+    """
+    f = MEASURES[measure] if isinstance(measure, str) else measure
+    blocks = max(1, -(-vectors.count() // block))
+    there = vectors.select(F.col(key).alias("key"), F.col(vector).alias("y")).withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
+    asked = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("x"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    return there.join(asked, "block").select("query_id", F.col("key").alias(key), f(F.col("x"), F.col("y")).alias("value"))
+
+
+def pairwise(queries: DataFrame, vectors: DataFrame, key: str, vector: str, measure: str | Callable[[Column, Column], Column]) -> DataFrame:
+    """query_id, key, value of each pair once: of the queries with all vectors of smaller keys."""
+    return measured(queries, vectors, key, vector, measure).where(F.col(key) < F.col("query_id"))
 
 
 def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int, digits: int = 6, block: int = 1024) -> DataFrame:
     """query_id, key, similarity, rank: each query's k nearest by cosine, itself excluded, ties by key.
 
-    Queries are cut into blocks by their key; every task reads its vectors once, as matrices, and keeps k of them for
-    each query of each block; what the tasks keep is ranked by a window that itself starts in each task.
+    A group is a block of queries and a block of vectors, each of about a fixed number of rows whatever the tables' sizes;
+    it keeps k of its vectors for each query, and what the groups keep is ranked by a window that itself starts in each task.
     """
     spark = vectors.sparkSession
     cells = vectors.select(F.col(key).cast("long").alias("key"), doubles(F.col(vector)).alias("v")).where("v IS NOT NULL")
-    parts = max(1, spark.sparkContext.defaultParallelism)
+    n = vectors.count()
+    parts = max(1, -(-n // DATA_BLOCK), min(spark.sparkContext.defaultParallelism, -(-n // 256)))
     blocks = max(1, -(-queries.count() // block))
     asked = queries.select(F.col(key).cast("long").alias("key"), doubles(F.col(vector)).alias("v"), F.pmod(F.xxhash64(key), F.lit(blocks)).alias("block")).where("v IS NOT NULL")
     sent = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select(F.lit(True).alias("asks"), "part", "block", "key", "v")
@@ -76,7 +111,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: in
     def run(group: pa.Table) -> pa.Table:
         asks = np.array(group.column("asks").to_pylist())
         keys = group.column("key").to_numpy()
-        x = np.array(group.column("v").to_pylist())
+        x = group.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(keys), -1)
         out = pa.schema([("query_id", pa.int64()), ("key", pa.int64()), ("similarity", pa.float64())])
         if not asks.any() or asks.all():
             return pa.table([pa.array([], f.type) for f in out], schema=out)

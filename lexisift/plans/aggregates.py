@@ -91,12 +91,12 @@ def _(t):
 
 COSINE = "round(list_cosine_similarity(a.e, b.e), 6)"
 NEAREST = f"""WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-n AS (SELECT a.vec_id, a.label, b.label AS other, row_number() OVER (PARTITION BY a.vec_id ORDER BY {COSINE} DESC, b.vec_id) AS rank FROM v a JOIN v b ON a.vec_id % 10 = 0 AND a.vec_id <> b.vec_id),
+n AS (SELECT a.vec_id, a.label, b.label AS other, row_number() OVER (PARTITION BY a.vec_id ORDER BY {COSINE} DESC, b.vec_id) AS rank FROM v a JOIN v b ON a.vec_id <> b.vec_id),
 f AS (SELECT vec_id, any_value(label) AS label, min(CASE WHEN other = label THEN rank END) AS first FROM n WHERE rank <= 10 GROUP BY vec_id)"""
 
 
 def _first_hits(t):
-    near = vectors.nearest(t.embeddings.where("vec_id % 10 = 0"), t.embeddings, "vec_id", "embedding", 10)
+    near = vectors.nearest(t.embeddings, t.embeddings, "vec_id", "embedding", 10)
     labels = t.embeddings.select("vec_id", "label")
     near = near.join(labels.withColumnsRenamed({"vec_id": "query_id"}), "query_id").join(labels.withColumnsRenamed({"label": "other"}), "vec_id")
     return near.groupBy("query_id", "label").agg(F.min(F.when(F.col("other") == F.col("label"), F.col("rank"))).alias("first"))

@@ -9,6 +9,8 @@ from lexisift.functions import text as T
 from lexisift.operators import features as G
 from lexisift.operators import geocoding, relational
 from lexisift.plans.registry import query
+from lexisift.sources import tables as IO
+from lexisift.sources.shared import fresh_path
 
 WORDS = "SELECT p_partkey AS k, unnest(string_split(lower(p_name), ' ')) AS token, generate_subscripts(string_split(lower(p_name), ' '), 1) - 1 AS pos FROM part"
 FIRST = f"SELECT token, row_number() OVER (ORDER BY k, pos) AS id FROM (SELECT token, arg_min(k, (k, pos)) AS k, arg_min(pos, (k, pos)) AS pos FROM ({WORDS}) GROUP BY token)"
@@ -33,12 +35,12 @@ def _(t):
 
 @query(
     "G5_phrases",
-    """WITH w AS (SELECT doc_id AS k, list_filter(string_split(lower(text), ' '), lambda w: w <> '') AS w FROM documents WHERE lang = 'en'), s AS (SELECT token, count(*) AS c FROM (SELECT unnest(w) AS token FROM w) GROUP BY 1),
+    """WITH w AS (SELECT doc_id AS k, list_filter(string_split(lower(text), ' '), lambda w: w <> '') AS w FROM documents), s AS (SELECT token, count(*) AS c FROM (SELECT unnest(w) AS token FROM w) GROUP BY 1),
 b AS (SELECT f, g, count(*) AS n FROM (SELECT unnest(w[:-2]) AS f, unnest(w[2:]) AS g FROM w WHERE len(w) > 1) GROUP BY 1, 2), v AS (SELECT (SELECT count(*) FROM s) + (SELECT count(*) FROM b) AS v)
 SELECT f AS first, g AS second, round((n - 5) * v / CAST(x.c * y.c AS DOUBLE), 6) AS score FROM b JOIN s x ON f = x.token JOIN s y ON g = y.token, v WHERE n >= 5 AND (n - 5) * v / CAST(x.c * y.c AS DOUBLE) > 10""",
 )
 def _(t):
-    return G.phrases(t.documents.where("lang = 'en'"), "doc_id", T.words(F.lower("text"))).withColumn("score", F.round("score", 6))
+    return G.phrases(t.documents, "doc_id", T.words(F.lower("text"))).withColumn("score", F.round("score", 6))
 
 
 TFIDF = f"""WITH w AS ({WORDS}), tf AS (SELECT k, token, count(*) AS tf FROM w GROUP BY 1, 2), st AS (SELECT token, count(*) AS df, sum(tf) AS total FROM tf GROUP BY 1 ORDER BY total DESC, token LIMIT 1000),
@@ -53,10 +55,12 @@ query("D10_sparse_rows", f"SELECT key, count(*) AS n, round(sum(tfidf), 4) AS to
 def _(t):
     """Word vectors by the library's Word2Vec; no SQL gives a trained model."""
     from pyspark.ml.feature import Word2Vec
+    from pyspark.ml.functions import vector_to_array
 
     rows = t.part.select("p_partkey", items().alias("words"))
     model = Word2Vec(vectorSize=8, minCount=2, seed=3, inputCol="words", outputCol="vector", maxIter=1, numPartitions=1).fit(rows)
-    return model.getVectors().select("word")
+    vectors = model.getVectors().select("word", vector_to_array("vector").alias("v"))
+    return vectors.select("word", F.size("v").cast("long").alias("size"), F.transform("v", lambda x: F.round(x, 6)).alias("vector"))
 
 
 @query("G8_padded_matrix", f"SELECT k AS p_partkey, array_to_string(list_concat(list_resize(list(id ORDER BY pos), 4, 0), list_resize([length(any_value(p_type))], 2, 0)), ',') AS ids FROM ({WORDS}) JOIN ({FREQUENT}) USING (token) JOIN part ON p_partkey = k GROUP BY k")
@@ -78,10 +82,14 @@ def _(t):
     return t.part.join(known, "p_brand", "left_semi").select("p_partkey", F.lower(main).alias("main")).where("main IS NOT NULL")
 
 
-@query("G11_artefact_check", "SELECT true AS same, false AS other")
+@query("G11_artefact_check", "SELECT x.wanted, x.wanted IN ('SELECT n_name FROM nation|5', 'SELECT r_name FROM region|7') AS usable FROM (VALUES ('SELECT n_name FROM nation|5'), ('SELECT n_name FROM nation|6'), ('SELECT r_name FROM region|7'), ('SELECT p_name FROM part|7')) x(wanted)")
 def _(t):
-    now = relational.columns_like(t.part, ".").schema.json()
-    return t.spark.createDataFrame([(now == t.part.schema.json(), now == t.nation.schema.json())], "same boolean, other boolean")
+    """Artefacts stored with the statement and the parameters they were made by, looked up by wanted ones."""
+    folder = fresh_path(t.spark, "artefacts")
+    for statement, table, size in (("SELECT n_name FROM nation", t.nation, 5), ("SELECT r_name FROM region", t.region, 7)):
+        IO.store_artefact(table.limit(size), folder, statement, {"size": size})
+    wanted = [("SELECT n_name FROM nation", 5), ("SELECT n_name FROM nation", 6), ("SELECT r_name FROM region", 7), ("SELECT p_name FROM part", 7)]
+    return IO.usable_artefacts(t.spark, folder, [(s, {"size": n}) for s, n in wanted]).select(F.concat_ws("|", "statement", F.get_json_object("parameters", "$.size")).alias("wanted"), "usable")
 
 
 GEO = """WITH x AS (SELECT s_suppkey, CASE WHEN s_suppkey % 11 = 0 THEN 'x' ELSE lpad(CAST(s_suppkey AS VARCHAR), 5, '0') END AS commune, s_suppkey % 10 / 10.0 AS sa, s_suppkey % 7 / 7.0 AS sb, CASE WHEN s_suppkey % 3 = 0 THEN 'housenumber' WHEN s_suppkey % 3 = 1 THEN 'street' ELSE 'town' END AS ka, CASE WHEN s_suppkey % 2 = 0 THEN 'housenumber' ELSE 'street' END AS kb FROM supplier)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lexisift.operators import relational
 from lexisift.sources import tables as IO
 from lexisift.sources.shared import fresh_path
 from lexisift.plans.registry import query
@@ -19,10 +20,9 @@ query("S1_table_scan", "SELECT * FROM region")(lambda t: IO.read_table(t.spark,
 query("S2_sql_scan", "SELECT n_name FROM nation WHERE n_regionkey = 2")(lambda t: IO.read_sql(t.spark, "SELECT n_name FROM {nation} WHERE n_regionkey = 2", nation=t.nation))
 
 
-@query("S3_chunked_scan", "SELECT CAST(sum(c_custkey) AS BIGINT) AS total, count(*) AS n, CAST((count(*) + 99) // 100 AS BIGINT) AS chunks FROM customer WHERE c_custkey < 500")
+@query("S3_chunked_scan", "SELECT chunk, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS total FROM (SELECT CAST((row_number() OVER (ORDER BY c_custkey) - 1) // 100 AS BIGINT) AS chunk, c_custkey FROM customer) GROUP BY chunk")
 def _(t):
-    chunks = list(IO.in_chunks(t.customer.where("c_custkey < 500").select("c_custkey"), 100))
-    return t.spark.createDataFrame([(sum(r[0] for c in chunks for r in c), sum(map(len, chunks)), len(chunks))], "total long, n long, chunks long")
+    return relational.batches(t.customer.select("c_custkey"), ["c_custkey"], 100, "chunk").groupBy("chunk").agg(F.count("*").alias("n"), F.sum("c_custkey").alias("total"))
 
 
 query("S4_csv_scan", NATION)(lambda t: IO.round_trip(t.nation, _csv, IO.read_text_table, "csv").select("n_nationkey", "n_name", "n_regionkey"))
@@ -68,11 +68,11 @@ def _(t):
     return t.spark.createDataFrame([(refused,)], "refused boolean")
 
 
-@query("S12_array_sink", "SELECT vec_id, round(CAST(embedding[1] AS DOUBLE), 6) AS first, len(embedding) AS n FROM embeddings WHERE vec_id < 100 UNION ALL SELECT vec_id, round(CAST(embedding[1] AS DOUBLE), 6), len(embedding) FROM embeddings WHERE vec_id < 100")
+@query("S12_array_sink", "SELECT vec_id, round(CAST(embedding[1] AS DOUBLE), 6) AS first, len(embedding) AS n FROM embeddings UNION ALL SELECT vec_id, round(CAST(embedding[1] AS DOUBLE), 6), len(embedding) FROM embeddings")
 def _(t):
     path = fresh_path(t.spark, "arrays")
     for _ in range(2):
-        IO.append_table(t.embeddings.where("vec_id < 100"), path)
+        IO.append_table(t.embeddings, path)
     return t.spark.read.parquet(path).select("vec_id", F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first"), F.size("embedding").cast("long").alias("n"))
 
 

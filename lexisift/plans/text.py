@@ -43,8 +43,8 @@ _one("F12_preprocess", f"nullif(array_to_string(list_transform({CLEANED}, lambda
 _one("F13_clean_field", f"nullif(array_to_string({CLEANED}, ' '), '')", lambda: T.preprocess(F.col("text"), stem=False))
 _one("F14_concat_null_propagating", "c_name || ' ' || nullif(c_mktsegment, 'BUILDING')", lambda: F.concat("c_name", F.lit(" "), F.nullif(F.col("c_mktsegment"), F.lit("BUILDING"))), "joined", "customer", "c_custkey")
 _one("F15_join_as_text", "c_name || ' ' || CAST(c_nationkey AS VARCHAR) || ' ' || c_mktsegment", lambda: T.join_as_text("c_name", "c_nationkey", "c_mktsegment"), "joined", "customer", "c_custkey")
-NAME = "left(c_name, 12)"
-_one("F16_ngrams", f"array_to_string(list_transform(generate_series(1, greatest(length({NAME}) - 2, 1)), lambda i: substring(lpad({NAME}, CAST(greatest(length({NAME}), 3) AS INTEGER), ' '), i, 3)), '|')", lambda: F.array_join(T.ngrams(F.left("c_name", F.lit(12)), 3), "|"), "grams", "customer", "c_custkey")
+NAME = "c_name"
+_one("F16_ngrams", f"array_to_string(list_transform(generate_series(1, greatest(length({NAME}) - 2, 1)), lambda i: substring(lpad({NAME}, CAST(greatest(length({NAME}), 3) AS INTEGER), ' '), i, 3)), '|')", lambda: F.array_join(T.ngrams(F.col("c_name"), 3), "|"), "grams", "customer", "c_custkey")
 _one("F17_padded_ngrams", "array_to_string(list_transform(generate_series(1, length(n_name) + 2), lambda i: substring('##' || replace(n_name, ' ', '#') || '##', i, 3)), '|')", lambda: F.array_join(T.padded_ngrams(F.col("n_name"), 3), "|"), "grams", "nation", "n_nationkey")
 _one("F18_words", "array_to_string(list_filter(string_split(p_type, ' '), lambda w: w <> ''), '|')", lambda: F.array_join(T.words(F.col("p_type")), "|"), "words", "part", "p_partkey")
 _one("F19_slices", "substring(c_name, 6) || '/' || substring(c_name, 3)", lambda: F.concat(F.substr("c_name", F.lit(6)), F.lit("/"), F.substr("c_name", F.lit(3))), "cut", "customer", "c_custkey")
@@ -91,9 +91,12 @@ def _(t):
     return t.customer.select("c_custkey", line.alias("a")).select("c_custkey", number.alias("number"), street.alias("street"))
 
 
-@query("F27_street_types", "SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN 'Avenue' WHEN 1 THEN 'Boulevard' WHEN 2 THEN 'Place' ELSE 'xyz' END AS kind FROM nation")
+STREETS_SQL = "CASE n_nationkey % 8 WHEN 0 THEN 'Avenue' WHEN 1 THEN 'Boulevard' WHEN 2 THEN 'Place' WHEN 3 THEN 'Rue' WHEN 4 THEN 'Route nationale' WHEN 5 THEN 'Chemin vicinal' WHEN 6 THEN 'Chemin rural' ELSE 'xyz' END"
+
+
+@query("F27_street_types", f"SELECT n_nationkey, {STREETS_SQL} AS kind FROM nation")
 def _(t):
-    short = F.element_at(F.array(*[F.lit(x) for x in ("AV", "bd", "PL", "xyz")]), (F.col("n_nationkey") % 4 + 1).cast("int"))
+    short = F.element_at(F.array(*[F.lit(x) for x in ("AV", "bd", "PL", "R", "RN", "VC", "CR", "xyz")]), (F.col("n_nationkey") % 8 + 1).cast("int"))
     return t.nation.select("n_nationkey", T.street_type(short).alias("kind"))
 
 

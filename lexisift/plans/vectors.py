@@ -10,51 +10,62 @@ from lexisift.operators import vectors as V
 from lexisift.plans.registry import query
 
 VEC = "WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"
-SMALL = "a.vec_id < 20"
+#: The stated query set: ids divisible by 100, against all rows.
+ASKED = "a.vec_id % 100 = 0"
 
 
-def _pairs(t, name):
-    a = t.embeddings.where("vec_id < 20").select(F.col("vec_id").alias("a"), F.col("embedding").alias("x"), F.col("label").alias("la"))
-    b = t.embeddings.where("vec_id >= 20 AND vec_id < 60").select(F.col("vec_id").alias("b"), F.col("embedding").alias("y"), F.col("label").alias("lb"))
-    return a.join(b)
+def _measured(t, measure, name, column="embedding"):
+    rows = V.measured(t.embeddings.where("vec_id % 100 = 0"), t.embeddings, "vec_id", column, measure)
+    return rows.select(F.col("query_id").alias("a"), F.col("vec_id").alias("b"), F.col("value").alias(name))
 
 
-PAIRS = f"{VEC} SELECT a.vec_id AS a, b.vec_id AS b, {{e}} FROM v a JOIN v b ON {SMALL} AND b.vec_id BETWEEN 20 AND 59"
+def _rounded(t, measure, name="s"):
+    return _measured(t, measure, name).withColumn(name, F.round(name, 6))
+
+
+PAIRS = f"{VEC} SELECT a.vec_id AS a, b.vec_id AS b, {{e}} FROM v a JOIN v b ON {ASKED}"
 query("V1_weighted_cosine", PAIRS.format(e="round(sum_w(a.e, b.e), 6) AS s").replace("sum_w(a.e, b.e)", "list_dot_product(list_transform(list_zip(a.e, range(1, 65)), lambda z: z[1] * z[2]), b.e) / sqrt(list_dot_product(list_transform(list_zip(a.e, range(1, 65)), lambda z: z[1] * z[2]), a.e) * list_dot_product(list_transform(list_zip(b.e, range(1, 65)), lambda z: z[1] * z[2]), b.e))"))(
-    lambda t: _pairs(t, "w").select("a", "b", F.round(V.weighted_cosine(F.col("x"), F.col("y"), F.sequence(F.lit(1), F.lit(64))), 6).alias("s"))
+    lambda t: _rounded(t, lambda x, y: V.weighted_cosine(x, y, F.sequence(F.lit(1), F.lit(64))))
 )
 query("V2_vector_to_matrix", f"{VEC} SELECT b.vec_id AS b, round(list_cosine_similarity(a.e, b.e), 6) AS s FROM v a JOIN v b ON a.vec_id = 0 AND b.vec_id <> 0")(
-    lambda t: V.pairs(t.embeddings.where("vec_id = 0"), t.embeddings.where("vec_id <> 0"), "vec_id", "embedding").select(F.col("vec_id").alias("b"), F.round("similarity", 6).alias("s"))
+    lambda t: V.measured(t.embeddings.where("vec_id = 0"), t.embeddings.where("vec_id <> 0"), "vec_id", "embedding", "cosine").select(F.col("vec_id").alias("b"), F.round("value", 6).alias("s"))
+)
+query("V3_matrix_to_matrix", PAIRS.format(e="round(list_cosine_similarity(a.e, b.e), 6) AS s"))(lambda t: _rounded(t, "cosine"))
+query("V4_pairwise", f"{VEC} SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.e, b.e), 6) AS s FROM v a JOIN v b ON {ASKED} AND b.vec_id < a.vec_id")(
+    lambda t: V.pairwise(t.embeddings.where("vec_id % 100 = 0"), t.embeddings, "vec_id", "embedding", "cosine").select(F.col("query_id").alias("a"), F.col("vec_id").alias("b"), F.round("value", 6).alias("s"))
+)
+query("V5_vector_to_matrix_by_measure", f"{VEC} SELECT b.vec_id AS b, round(list_distance(a.e, b.e), 6) AS euclidean, round(list_sum(list_transform(list_zip(a.e, b.e), lambda z: abs(z[1] - z[2]))), 6) AS manhattan FROM v a JOIN v b ON a.vec_id = 0")(
+    lambda t: V.measured(t.embeddings.where("vec_id = 0"), t.embeddings, "vec_id", "embedding", lambda x, y: F.struct(V.euclidean(x, y).alias("e"), V.manhattan(x, y).alias("m"))).select(F.col("vec_id").alias("b"), F.round("value.e", 6).alias("euclidean"), F.round("value.m", 6).alias("manhattan"))
 )
-query("V3_matrix_to_matrix", PAIRS.format(e="round(list_cosine_similarity(a.e, b.e), 6) AS s"))(lambda t: _pairs(t, "c").select("a", "b", F.round(V.cosine(F.col("x"), F.col("y")), 6).alias("s")))
-query("V4_pairwise", f"{VEC} SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.e, b.e), 6) AS s FROM v a JOIN v b ON {SMALL} AND b.vec_id < a.vec_id")(
-    lambda t: V.pairs(t.embeddings.where("vec_id < 20"), t.embeddings.where("vec_id < 20"), "vec_id", "embedding").where("vec_id < query_id").select(F.col("query_id").alias("a"), F.col("vec_id").alias("b"), F.round("similarity", 6).alias("s"))
+query("V6_matrix_to_matrix_by_measure", PAIRS.format(e="round(list_sum(list_transform(list_zip(a.e, b.e), lambda z: abs(z[1] - z[2]))), 6) AS s"))(lambda t: _rounded(t, "manhattan"))
+query("V7_pairwise_by_measure", f"{VEC} SELECT a.vec_id AS a, b.vec_id AS b, round(list_max(list_transform(list_zip(a.e, b.e), lambda z: abs(z[1] - z[2]))), 6) AS s FROM v a JOIN v b ON {ASKED} AND b.vec_id < a.vec_id")(
+    lambda t: V.pairwise(t.embeddings.where("vec_id % 100 = 0"), t.embeddings, "vec_id", "embedding", "chebyshev").select(F.col("query_id").alias("a"), F.col("vec_id").alias("b"), F.round("value", 6).alias("s"))
 )
-query("V8_cosine_distance", PAIRS.format(e="round(1 - list_cosine_similarity(a.e, b.e), 6) AS d"))(lambda t: _pairs(t, "d").select("a", "b", F.round(V.cosine_distance(F.col("x"), F.col("y")), 6).alias("d")))
-query("V9_dot_product", PAIRS.format(e="round(list_dot_product(a.e, b.e), 6) AS s"))(lambda t: _pairs(t, "p").select("a", "b", F.round(V.dot(F.col("x"), F.col("y")), 6).alias("s")))
+query("V8_cosine_distance", PAIRS.format(e="round(1 - list_cosine_similarity(a.e, b.e), 6) AS d"))(lambda t: _rounded(t, "cosine_distance", "d"))
+query("V9_dot_product", PAIRS.format(e="round(list_dot_product(a.e, b.e), 6) AS s"))(lambda t: _rounded(t, "dot"))
 query("V10_normalised", f"{VEC} SELECT vec_id, round(e[1] / sqrt(list_dot_product(e, e)), 6) AS first, round(e[64] / sqrt(list_dot_product(e, e)), 6) AS last FROM v")(
     lambda t: t.embeddings.withColumn("n", V.normalised(F.col("embedding"))).select("vec_id", F.round(F.get("n", F.lit(0)), 6).alias("first"), F.round(F.get("n", F.lit(63)), 6).alias("last"))
 )
 query("V11_multi_signal", "SELECT l_orderkey, l_linenumber, l_suppkey, round(l_discount + 0.1 * l_quantity + 0.5 * l_tax, 6) AS s FROM lineitem")(
     lambda t: t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", F.round(V.multi_signal("l_discount", "l_quantity", "l_tax", 0.1, 0.5), 6).alias("s"))
 )
-query("V15_label_targets", PAIRS.format(e="CAST(a.label = b.label AS INTEGER) AS target"))(lambda t: _pairs(t, "l").select("a", "b", V.label_targets(F.col("la"), F.col("lb")).alias("target")))
+query("V15_label_targets", PAIRS.format(e="CAST(a.label = b.label AS INTEGER) AS target"))(lambda t: _measured(t, V.label_targets, "target", "label"))
 query("V16_projection", "SELECT c_custkey, round(0.5 * c_acctbal - c_nationkey, 6) AS p0, round(2e0 * c_nationkey, 6) AS p1 FROM customer")(
     lambda t: V.projected(t.customer, ["c_acctbal", "c_nationkey"], [[0.5, -1.0], [0.0, 2.0]], "p").select("c_custkey", F.round(F.get("p", F.lit(0)), 6).alias("p0"), F.round(F.get("p", F.lit(1)), 6).alias("p1"))
 )
-query("V17_topk_with_truth", f"{VEC}, n AS (SELECT a.vec_id AS query_id, a.label, b.vec_id, b.label AS other, round(list_cosine_similarity(a.e, b.e), 6) AS similarity, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.e, b.e), 6) DESC, b.vec_id) AS rank FROM v a JOIN v b ON {SMALL} AND a.vec_id <> b.vec_id) SELECT query_id, vec_id, similarity, CAST(rank AS INTEGER) AS rank, label = other AS hit FROM n WHERE rank <= 10")(
+query("V17_topk_with_truth", f"{VEC}, n AS (SELECT a.vec_id AS query_id, a.label, b.vec_id, b.label AS other, round(list_cosine_similarity(a.e, b.e), 6) AS similarity, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.e, b.e), 6) DESC, b.vec_id) AS rank FROM v a JOIN v b ON a.vec_id <> b.vec_id) SELECT query_id, vec_id, similarity, CAST(rank AS INTEGER) AS rank, label = other AS hit FROM n WHERE rank <= 10")(
     lambda t: _with_truth(t)
 )
 
 
 def _with_truth(t):
-    near = V.nearest(t.embeddings.where("vec_id < 20"), t.embeddings, "vec_id", "embedding", 10)
+    near = V.nearest(t.embeddings, t.embeddings, "vec_id", "embedding", 10)
     labels = t.embeddings.select("vec_id", "label")
     return near.join(labels.withColumnsRenamed({"vec_id": "query_id", "label": "own"}), "query_id").join(labels, "vec_id").select("query_id", "vec_id", "similarity", "rank", (F.col("own") == F.col("label")).alias("hit"))
 
 
-query("J16_all_pairs_similarity", f"{VEC} SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.e, b.e), 6) AS similarity FROM v a JOIN v b ON a.vec_id % 100 = 0 AND b.label = 1")(
-    lambda t: V.pairs(t.embeddings.where("vec_id % 100 = 0"), t.embeddings.where("label = 1"), "vec_id", "embedding").withColumn("similarity", F.round("similarity", 6))
+query("J16_all_pairs_similarity", f"{VEC} SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.e, b.e), 6) AS similarity FROM v a JOIN v b ON a.vec_id % 100 = 0")(
+    lambda t: V.measured(t.embeddings.where("vec_id % 100 = 0"), t.embeddings, "vec_id", "embedding", "cosine").select("query_id", "vec_id", F.round("value", 6).alias("similarity"))
 )
 query("J16_nearest_neighbours", f"{VEC}, n AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.e, b.e), 6) AS similarity, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.e, b.e), 6) DESC, b.vec_id) AS rank FROM v a JOIN v b ON a.vec_id <> b.vec_id) SELECT query_id, vec_id, similarity, CAST(rank AS INTEGER) AS rank FROM n WHERE rank <= 10")(
     lambda t: V.nearest(t.embeddings, t.embeddings, "vec_id", "embedding", 10)
@@ -75,11 +86,11 @@ def _nodes(t):
 
 query("D6_ancestors", f"{UP} SELECT code, ancestor, CAST(hops AS INTEGER) AS hops FROM up")(lambda t: tree.ancestors(_nodes(t)))
 query("V14_ancestor_weights", f"{UP} SELECT code, ancestor AS other, power(0.5e0, hops) AS weight FROM up UNION ALL SELECT ancestor, code, power(0.5e0, hops) FROM up WHERE hops > 0")(lambda t: tree.ancestor_weights(tree.ancestors(_nodes(t))))
-SCORES = "SELECT c_custkey AS q, 's' || s_suppkey AS code, round(s_acctbal / 1000 + c_custkey, 6) AS score FROM customer JOIN supplier ON c_custkey < 5 UNION ALL SELECT c_custkey, 'n' || n_nationkey, CAST(n_nationkey AS DOUBLE) FROM customer JOIN nation ON c_custkey < 5"
+SCORES = "SELECT c_custkey AS q, 's' || s_suppkey AS code, round(s_acctbal / 1000 + c_custkey, 6) AS score FROM customer JOIN supplier ON c_custkey % 100 = 0 UNION ALL SELECT c_custkey, 'n' || n_nationkey, CAST(n_nationkey AS DOUBLE) FROM customer JOIN nation ON c_custkey % 100 = 0"
 
 
 def _scores(t):
-    few = t.customer.where("c_custkey < 5").select(F.col("c_custkey").alias("q"))
+    few = t.customer.where("c_custkey % 100 = 0").select(F.col("c_custkey").alias("q"))
     s = few.join(t.supplier).select("q", F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("code"), F.round(F.col("s_acctbal") / 1000 + F.col("q"), 6).alias("score"))
     return s.union(few.join(t.nation).select("q", F.concat(F.lit("n"), F.col("n_nationkey").cast("string")), F.col("n_nationkey").cast("double")))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder only where that is unset, as in tests on one machine."""
+    """spark.checkpoint.dir; where that is unset a local master gets a temporary folder, any other an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="lexisift-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

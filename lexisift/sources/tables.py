@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+import json
+import uuid
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,18 +30,6 @@ def read_jdbc(spark: SparkSession, url: str, table: str, column: str, lower: int
     return spark.read.format("jdbc").options(url=url, dbtable=table, partitionColumn=column, lowerBound=lower, upperBound=upper, numPartitions=partitions, **options).load()
 
 
-def in_chunks(df: DataFrame, rows: int) -> Iterator[list]:
-    """Rows in lists of a size, for a consumer outside Spark; one partition at a time reaches the driver."""
-    chunk: list = []
-    for row in df.toLocalIterator(prefetchPartitions=True):
-        chunk.append(row)
-        if len(chunk) == rows:
-            yield chunk
-            chunk = []
-    if chunk:
-        yield chunk
-
-
 def read_text_table(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, separator: str = ";", header: bool = True) -> DataFrame:
     """CSV with every column a string; columns keeps some, and the scan reads no others."""
     df = spark.read.option("sep", separator).option("header", header).option("escape", '"').option("multiLine", False).csv(paths if isinstance(paths, str) else list(paths))
@@ -152,3 +142,20 @@ def round_trip(df: DataFrame, write: Callable[[DataFrame, str], None], read: Cal
     path = fresh_path(df.sparkSession, name)
     write(df, path)
     return read(df.sparkSession, path)
+
+
+def store_artefact(df: DataFrame, folder: str, statement: str, parameters: Mapping) -> str:
+    """Write a table under a folder of its own, with the statement and parameters that it was made by beside it."""
+    path = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/data")
+    made = [(statement, json.dumps(parameters, sort_keys=True), f"{path}/data")]
+    df.sparkSession.createDataFrame(made, "statement string, parameters string, path string").write.json(f"{path}/made_by")
+    return path
+
+
+def usable_artefacts(spark: SparkSession, folder: str, wanted: Sequence[tuple[str, Mapping]]) -> DataFrame:
+    """statement, parameters, usable, path: whether an artefact of just that statement and those parameters is stored, and where."""
+    asked = spark.createDataFrame([(s, json.dumps(p, sort_keys=True)) for s, p in wanted], "statement string, parameters string")
+    stored = spark.read.schema("statement string, parameters string, path string").json(f"{folder}/*/made_by")
+    newest = stored.groupBy("statement", "parameters").agg(F.max("path").alias("path"))
+    return asked.join(newest, ["statement", "parameters"], "left").withColumn("usable", F.col("path").isNotNull())

@@ -16,7 +16,8 @@ def file_stream(spark: SparkSession, folder: str, schema, files_per_trigger: int
 def publish(stream: DataFrame, target: str, checkpoint: str, key: str) -> StreamingQuery:
     """Append each batch's records, the last of each key, to an index table, exactly once per batch.
 
-    A batch's folder is overwritten if the batch is repeated. latest() reads the newest record of each key.
+    A batch's folder is overwritten if the batch is repeated. latest() reads the newest record of each key by ``published``,
+    whatever the order in which batches came.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -28,7 +29,7 @@ def publish(stream: DataFrame, target: str, checkpoint: str, key: str) -> Stream
 
 def latest(spark: SparkSession, target: str, key: str) -> DataFrame:
     rows = spark.read.parquet(target).drop("part")
-    return rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != key]), "batch").alias("r")).select(key, "r.*")
+    return rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != key]), F.struct("published", "batch")).alias("r")).select(key, "r.*")
 
 
 def weekly_counts(df: DataFrame, time: str, keys: tuple[str, ...] = (), lateness: str = "30 days") -> DataFrame:
