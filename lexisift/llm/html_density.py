@@ -37,7 +37,7 @@ SLICE_BYTES = 4 << 20
 #: Elements by their role in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr map math semantics annotation annotation-xml mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle mpadded mphantom menclose "
+    "a abbr acronym area b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr map math semantics annotation annotation-xml mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle mpadded mphantom menclose "
     "msub msup msubsup munder mover munderover mtable mtr mtd".split()
 )
 SKIPPED_INLINE = frozenset("annotation annotation-xml".split())
