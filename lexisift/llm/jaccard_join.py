@@ -43,7 +43,7 @@ PERCENT = 75
 LEAST_BITS, MOST_BITS = 64, 4096
 PAIRWISE = 8
 #: A longer list of a shingle is tested in pairs of blocks of about so many members.
-LIST_BLOCK = 1024
+LIST_BLOCK = 4096
 #: Bits of the filter by which the second reading finds the sets it needs: fuller at larger inputs, never wrong.
 FILTER_BITS = 26
 
