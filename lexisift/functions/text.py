@@ -1,6 +1,6 @@
 """Cleaning of short noisy texts, as column functions.
 
-All but the stemmer are built-in expressions, inside whole-stage code generation.
+All but the stemmers are built-in expressions; stems are made once for each distinct word of an Arrow batch.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexisift.functions.scalars import null_if_blank
+from lexisift.functions.stemming import each_word, french_stem
 
 #: The signs that cleaning turns into spaces, each into one.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" + "’—°€"
@@ -107,21 +108,27 @@ ENDINGS = (
 )
 
 
-def light_stem(c: Column, least: int = 4) -> Column:
+def light_stem(word: str, least: int = 4) -> str:
     """A light French stem of one word: an ending off where at least so many letters stay; shorter words are kept."""
-    out = None
     for ending, instead in ENDINGS:
-        fits = c.endswith(ending) & (F.char_length(c) - len(ending) >= least)
-        stem = F.concat(F.left(c, F.char_length(c) - len(ending)), F.lit(instead))
-        out = F.when(fits, stem) if out is None else out.when(fits, stem)
-    return out.otherwise(c)
+        if word.endswith(ending) and len(word) - len(ending) >= least:
+            return word[: len(word) - len(ending)] + instead
+    return word
+
+
+def stemmed_words(items: Column) -> Column:
+    """Words by their stems of the Snowball rules."""
+    return each_word(items, french_stem)
+
+
+def light_stemmed_words(items: Column) -> Column:
+    return each_word(items, light_stem)
 
 
 def preprocess(c: Column, stem: bool = True) -> Column:
     """Clean, drop stopwords, stem, and join again; null where nothing stays."""
     items = remove_stopwords(words(clean(c)))
-    items = F.transform(items, lambda w: light_stem(w)) if stem else items
-    return null_if_blank(F.array_join(items, " "))
+    return null_if_blank(F.array_join(stemmed_words(items) if stem else items, " "))
 
 
 def concatenate(*columns: str, separator: str = " ") -> Column:

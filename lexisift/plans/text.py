@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexisift.functions import analyzers as X
 from lexisift.functions import arrays as M
+from lexisift.functions import stemming as S
 from lexisift.functions import text as T
 from lexisift.plans.registry import query
 
@@ -38,8 +39,64 @@ def _stem_sql(w: str) -> str:
 
 
 CLEANED = f"list_filter(string_split(lower(replace(strip_accents({PUNCTUATED}), 'ß', 'ss')), ' '), lambda w: w <> '' AND NOT list_contains({STOP_SQL}, w))"
-_one("F11_stem", f"array_to_string(list_transform(list_filter(string_split(lower(text), ' '), lambda w: w <> ''), lambda w: {_stem_sql('w')}), ' ')", lambda: F.array_join(F.transform(T.words(F.lower("text")), lambda w: T.light_stem(w)), " "))
-_one("F12_preprocess", f"nullif(array_to_string(list_transform({CLEANED}, lambda w: {_stem_sql('w')}), ' '), '')", lambda: T.preprocess(F.col("text")))
+
+
+def _ends(endings: str) -> str:
+    return "'(?:" + "|".join(endings.split()) + ")$'"
+
+
+def _snowball_sql(items: str) -> str:
+    """SQL for the stems of the documents' words, step by step over the distinct words: doc_id and stems in order."""
+    v, kinds = S.VOWELS, {k: _ends(e) for k, e in S.STANDARD.items()}
+    is_v = lambda x: f"({x} <> '' AND contains('{v}', {x}))"
+    here, after, before = "c[CAST(i AS INTEGER)]", is_v("c[CAST(i AS INTEGER) + 1]"), is_v("right(acc, 1)")
+    letter = f"CASE WHEN {here} = 'u' AND ({before} AND {after} OR right(acc, 1) = 'q') THEN 'U' WHEN {here} = 'i' AND {before} AND {after} THEN 'I' WHEN {here} = 'y' AND ({before} OR {after}) THEN 'Y' ELSE {here} END"
+    places = "list_prepend('', list_transform(range(1, len(c) + 1), lambda n: CAST(n AS VARCHAR)))"
+    cut = lambda s, n: f"left({s}, length({s}) - {n})"
+    off = lambda s, e, instead=None: f"CASE WHEN ends_with({s}, '{e}') THEN CASE WHEN length({s}) - {len(e)} >= r2 THEN {cut(s, len(e))} ELSE {s if instead is None else cut(s, len(e)) + f" || '{instead}'"} END ELSE {s} END"
+    twice = lambda s, e, then: f"CASE WHEN ends_with({s}, '{e}') AND length({s}) - {len(e)} >= r2 THEN (SELECT {then.format(x='x')} FROM (SELECT {cut(s, len(e))} AS x)) ELSE {s} END"
+    ement = (
+        f"CASE WHEN ends_with(s, 'iv') THEN {twice('s', 'iv', off('{x}', 'at'))} WHEN ends_with(s, 'eus') THEN CASE WHEN length(s) - 3 >= r2 THEN {cut('s', 3)} WHEN length(s) - 3 >= r1 THEN {cut('s', 1)} || 'x' ELSE s END "
+        f"WHEN ends_with(s, 'abl') OR ends_with(s, 'iqU') THEN CASE WHEN length(s) - 3 >= r2 THEN {cut('s', 3)} ELSE s END WHEN (ends_with(s, 'ièr') OR ends_with(s, 'Ièr')) AND length(s) - 3 >= rv THEN {cut('s', 3)} || 'i' ELSE s END"
+    )
+    ite = f"CASE WHEN ends_with(s, 'abil') THEN {off('s', 'abil', 'abl')} WHEN ends_with(s, 'ic') THEN {off('s', 'ic', 'iqU')} ELSE {off('s', 'iv')} END"
+    vowel_last = is_v("right(s, 1)")
+    rules = [
+        ("delete", "far", "s"), ("ation", "far", off("s", "ic", "iqU")), ("log", "far", "s || 'log'"), ("u", "far", "s || 'u'"), ("ent", "far", "s || 'ent'"), ("ement", "cut >= rv", ement), ("ité", "far", ite),
+        ("if", "far", twice("s", "at", off("{x}", "ic", "iqU"))), ("eau", "true", "s || 'eau'"), ("al", "cut >= r1", "s || 'al'"), ("eux", "cut >= r1 OR far", "CASE WHEN far THEN s ELSE s || 'eux' END"),
+        ("issement", f"cut >= r1 AND s <> '' AND NOT {vowel_last}", "s"), ("amment", "cut >= rv", "s || 'ant'"), ("emment", "cut >= rv", "s || 'ent'"), ("ment", f"cut - 1 >= rv AND {vowel_last}", "s"),
+    ]
+    exact = lambda k: f"regexp_matches(e, '^(?:{'|'.join(S.STANDARD[k].split())})$')"
+    a_verbs = f"regexp_matches(e2, '^(?:{'|'.join(S.A_VERBS.split())})$')"
+    i_ends, other_ends, last_ends = _ends(S.I_VERBS), _ends(f"ions {S.E_VERBS} {S.A_VERBS}"), _ends("ion ier ière Ier Ière e ë")
+    return f"""WITH d AS (SELECT doc_id, {items} AS items FROM documents), each AS (SELECT doc_id, unnest(items) AS word, generate_subscripts(items, 1) AS place FROM d),
+w0 AS (SELECT DISTINCT word, string_split(word, '') AS c FROM each),
+m AS (SELECT word, list_reduce({places}, lambda acc, i: acc || {letter}) AS w FROM w0),
+r AS (SELECT word, w, CASE WHEN length(w) > 2 AND regexp_matches(w, '^[{v}][{v}]') OR left(w, 3) IN ('par', 'col', 'tap') THEN 3 WHEN regexp_matches(w, '(?s)^.[^{v}]*[{v}]') THEN length(regexp_extract(w, '(?s)^.[^{v}]*[{v}]')) ELSE length(w) END AS rv,
+CASE WHEN regexp_matches(w, '[{v}][^{v}]') THEN length(regexp_extract(w, '(?s)^.*?[{v}][^{v}]')) ELSE length(w) END AS r1 FROM m),
+q AS (SELECT *, CASE WHEN regexp_matches(substring(w, r1 + 1), '[{v}][^{v}]') THEN r1 + length(regexp_extract(substring(w, r1 + 1), '(?s)^.*?[{v}][^{v}]')) ELSE length(w) END AS r2, regexp_extract(w, {_ends(' '.join(S.KINDS))}) AS e FROM r),
+p AS (SELECT *, length(w) - length(e) AS cut, left(w, length(w) - length(e)) AS s, length(w) - length(e) >= r2 AS far FROM q),
+one AS (SELECT word, w, rv, r1, r2, CASE WHEN e = '' THEN w {' '.join(f"WHEN {exact(k)} THEN CASE WHEN {test} THEN {then} ELSE w END" for k, test, then in rules)} END AS s1,
+e <> '' AND CASE {' '.join(f"WHEN {exact(k)} THEN {test}" for k, test, _ in rules[:12])} ELSE false END AS done FROM p),
+i AS (SELECT *, regexp_extract(substring(s1, rv + 1), {i_ends}) AS ie FROM one),
+j AS (SELECT *, ie <> '' AND length(s1) - length(ie) - 1 >= rv AND NOT contains('{v}', substring(s1, length(s1) - length(ie), 1)) AS off_i, regexp_extract(substring(s1, rv + 1), {other_ends}) AS e2 FROM i),
+two AS (SELECT *, CASE WHEN done THEN s1 WHEN off_i THEN left(s1, length(s1) - length(ie)) WHEN e2 = '' OR e2 = 'ions' AND length(s1) - 4 < r2 THEN s1
+WHEN {a_verbs} AND substring(s1, length(s1) - length(e2), 1) = 'e' AND length(s1) - length(e2) - 1 >= rv THEN left(s1, length(s1) - length(e2) - 1) ELSE left(s1, length(s1) - length(e2)) END AS s2 FROM j),
+k AS (SELECT *, CASE WHEN length(s2) > 1 AND ends_with(s2, 's') AND NOT contains('aiouès', substring(s2, length(s2) - 1, 1)) THEN left(s2, length(s2) - 1) ELSE s2 END AS s3 FROM two),
+l AS (SELECT *, regexp_extract(substring(s3, rv + 1), {last_ends}) AS e4 FROM k),
+f AS (SELECT word, CASE WHEN s2 <> w THEN CASE right(s2, 1) WHEN 'Y' THEN left(s2, length(s2) - 1) || 'i' WHEN 'ç' THEN left(s2, length(s2) - 1) || 'c' ELSE s2 END
+WHEN e4 = '' THEN s3 WHEN e4 = 'ion' THEN CASE WHEN length(s3) - 3 >= r2 AND length(s3) - 4 >= rv AND contains('st', substring(s3, length(s3) - 3, 1)) THEN left(s3, length(s3) - 3) ELSE s3 END
+WHEN e4 = 'e' THEN left(s3, length(s3) - 1) WHEN e4 = 'ë' THEN CASE WHEN length(s3) - 3 >= rv AND ends_with(s3, 'guë') THEN left(s3, length(s3) - 1) ELSE s3 END ELSE left(s3, length(s3) - length(e4)) || 'i' END AS s4 FROM l),
+g AS (SELECT word, CASE WHEN regexp_matches(s4, '(?:enn|onn|ett|ell|eill)$') THEN left(s4, length(s4) - 1) ELSE s4 END AS s5 FROM f),
+st AS (SELECT word, translate(regexp_replace(s5, '[éè]([^{v}]+)$', 'e\\1'), 'IUY', 'iuy') AS stem FROM g),
+stems AS (SELECT doc_id, list(stem ORDER BY place) AS stems FROM each JOIN st USING (word) GROUP BY doc_id)"""
+
+
+SPLIT = "list_filter(string_split(lower(text), ' '), lambda w: w <> '')"
+query("F11_stem", f"{_snowball_sql(SPLIT)} SELECT d.doc_id, array_to_string(coalesce(stems, []), ' ') AS text FROM d LEFT JOIN stems USING (doc_id)")(
+    lambda t: t.documents.select("doc_id", F.array_join(T.stemmed_words(T.words(F.lower("text"))), " ").alias("text"))
+)
+query("F12_preprocess", f"{_snowball_sql(CLEANED)} SELECT d.doc_id, nullif(array_to_string(stems, ' '), '') AS text FROM d LEFT JOIN stems USING (doc_id)")(lambda t: t.documents.select("doc_id", T.preprocess(F.col("text")).alias("text")))
 _one("F13_clean_field", f"nullif(array_to_string({CLEANED}, ' '), '')", lambda: T.preprocess(F.col("text"), stem=False))
 _one("F14_concat_null_propagating", "c_name || ' ' || nullif(c_mktsegment, 'BUILDING')", lambda: F.concat("c_name", F.lit(" "), F.nullif(F.col("c_mktsegment"), F.lit("BUILDING"))), "joined", "customer", "c_custkey")
 _one("F15_join_as_text", "c_name || ' ' || CAST(c_nationkey AS VARCHAR) || ' ' || c_mktsegment", lambda: T.join_as_text("c_name", "c_nationkey", "c_mktsegment"), "joined", "customer", "c_custkey")
@@ -49,7 +106,9 @@ _one("F17_padded_ngrams", "array_to_string(list_transform(generate_series(1, len
 _one("F18_words", "array_to_string(list_filter(string_split(p_type, ' '), lambda w: w <> ''), '|')", lambda: F.array_join(T.words(F.col("p_type")), "|"), "words", "part", "p_partkey")
 _one("F19_slices", "substring(c_name, 6) || '/' || substring(c_name, 3)", lambda: F.concat(F.substr("c_name", F.lit(6)), F.lit("/"), F.substr("c_name", F.lit(3))), "cut", "customer", "c_custkey")
 _one("F20_identity", "c_name", lambda: F.col("c_name"), "c_name", "customer", "c_custkey")
-_one("F21_special_characters", f"coalesce(nullif(array_to_string(list_transform({CLEANED}, lambda w: {_stem_sql('w')}), ' '), ''), 'textinconnue')", lambda: F.coalesce(T.preprocess(F.col("text")), F.lit("textinconnue")))
+query("F21_special_characters", f"{_snowball_sql(CLEANED)} SELECT d.doc_id, coalesce(nullif(array_to_string(stems, ' '), ''), 'textinconnue') AS text FROM d LEFT JOIN stems USING (doc_id)")(
+    lambda t: t.documents.select("doc_id", F.coalesce(T.preprocess(F.col("text")), F.lit("textinconnue")).alias("text"))
+)
 _one("F22_acronym", f"(SELECT CASE WHEN len(w) > 1 THEN upper(array_to_string(list_transform(w, lambda x: x[1]), '')) END FROM (SELECT list_filter(string_split(regexp_replace(replace(lower(p_name), '-', ' '), '[^a-z0-9 ]', '', 'g'), ' '), lambda x: x <> '' AND NOT list_contains({STOP_SQL}, x)) AS w))", lambda: T.acronym(F.col("p_name")), "sigle", "part", "p_partkey")
 
 WORDS_SQL = "SELECT DISTINCT unnest(string_split(lower(p_name), ' ')) AS word FROM part"
@@ -141,7 +200,7 @@ _terms("X6_acronym", "(SELECT CASE WHEN length(l) >= 3 THEN [l] ELSE [] END FROM
 _terms("X7_folding", "[replace(strip_accents(text), 'ß', 'ss')]", lambda: F.array(X.fold(F.col("text"))))
 _terms("X8_elision", "['eau ' || n_name]", lambda: F.array(F.concat(X.elide(F.lit("l'eau ")), "n_name")), "nation", "n_nationkey")
 _terms("X9_stop", f"list_filter(string_split(lower(text), ' '), lambda w: NOT list_contains({STOP_SQL}, w))", lambda: X.stop(F.split(F.lower("text"), " ")))
-_terms("X10_light_stemmer", f"list_transform(string_split(lower(text), ' '), lambda w: {_stem_sql('w')})", lambda: F.transform(F.split(F.lower("text"), " "), lambda w: T.light_stem(w)))
+_terms("X10_light_stemmer", f"list_transform(string_split(lower(text), ' '), lambda w: {_stem_sql('w')})", lambda: T.light_stemmed_words(F.split(F.lower("text"), " ")))
 _terms("X11_truncated", "[left(lower(p_type), 2), left(lower(p_type), 5)]", lambda: F.concat(X.truncated(2)(F.col("p_type")), X.truncated(5)(F.col("p_type"))), "part", "p_partkey")
 _terms("X12_dotted", "[CASE WHEN n_nationkey % 2 = 0 THEN 'abc' ELSE lower(n_name) END]", lambda: X.dotted(F.when(F.col("n_nationkey") % 2 == 0, "A.B.C.").otherwise(F.col("n_name"))), "nation", "n_nationkey")
 _terms("X13_composite_field", "[c_name || ' ' || c_mktsegment]", lambda: F.array(X.copy_to("c_name", "c_mktsegment")), "customer", "c_custkey")

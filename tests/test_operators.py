@@ -210,3 +210,52 @@ def test_import_and_append(spark):
     tables.append_unique(spark.range(3), keyed, "id")
     with pytest.raises(ValueError, match="repeat"):
         tables.append_unique(spark.range(2, 4), keyed, "id")
+
+
+#: Words and stems of the published sample of the Snowball rules for French.
+STEMS = (
+    "continua continu continuation continu continuel continuel continuellement continuel continuité continu continuons continuon contournait contourn contractions contract "
+    "contradictoirement contradictoir contraindre contraindr maintenaient mainten maintien maintien maintint maintint mais mais maïs maï maîtresses maîtress majestueusement majestu "
+    "majeure majeur majorités major malacca malacc maladive malad"
+).split()
+
+
+def test_french_stems(spark):
+    from lexisift.functions import stemming
+
+    for word, stem in zip(STEMS[::2], STEMS[1::2]):
+        assert stemming.french_stem(word) == stem
+    assert [stemming.french_stem(w) for w in ("", "s", "é", "aa", "quille", "joyeux")] == ["", "s", "é", "aa", "quill", "joyeux"]
+    rows = [(["maladies", None, "maladies"],), ([],), (None,), (["majorité"],)]
+    df = spark.createDataFrame(rows, "w array<string>").coalesce(1)
+    got = [r[0] for r in df.select(stemming.each_word(F.col("w"), stemming.french_stem)).collect()]
+    assert got == [["malad", None, "malad"], [], None, ["major"]]
+
+
+def test_measures_in_blocks(spark):
+    import numpy as np
+
+    x = np.random.default_rng(2).normal(size=(50, 4))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(50, None)], "k long, v array<double>")
+    brute = {"euclidean": lambda a, b: np.linalg.norm(a - b), "manhattan": lambda a, b: np.abs(a - b).sum(), "chebyshev": lambda a, b: np.abs(a - b).max(), "dot": np.dot}
+    for name, f in brute.items():
+        got = vectors.measured(df.where("k < 3"), df, "k", "v", name, block=7).collect()
+        assert len(got) == 3 * 51
+        for r in got:
+            assert r["value"] is None if r["k"] == 50 else abs(r["value"] - f(x[r["query_id"]], x[r["k"]])) < 1e-9
+    assert vectors.pairwise(df.where("k < 50"), df.where("k < 50"), "k", "v", "dot").count() == 50 * 49 / 2
+    assert vectors.measured(df.where("false"), df, "k", "v", "dot").count() == 0
+
+
+def test_records_published_out_of_order(spark):
+    from lexisift.sources.shared import fresh_path
+    from lexisift.streaming import publication
+
+    path, target = fresh_path(spark, "validated"), fresh_path(spark, "published")
+    for rows in ([(1, 5), (2, 1)], [(1, 3), (3, 2)], [(2, 4)]):
+        spark.createDataFrame(rows, "user long, published long").coalesce(1).write.mode("append").parquet(path)
+    stream = publication.file_stream(spark, path, "user long, published long")
+    publication.publish(stream, target, fresh_path(spark, "state"), "user").awaitTermination()
+    assert spark.read.parquet(target).select("part").distinct().count() == 3
+    got = {r["user"]: r["published"] for r in publication.latest(spark, target, "user").collect()}
+    assert got == {1: 5, 2: 4, 3: 2}
