@@ -36,6 +36,8 @@ DIMENSIONS = 128
 #: Sampled documents for each leaf of the tree that deals documents to shards, and of all leaves.
 LEAF_SAMPLES, MOST_SAMPLES = 32, 1 << 17
 LEAST_GAP = 1e-4
+#: Seeds that are scored at once.
+SEEDS = 64
 K1, B = 1.2, 0.75
 PIECES = "key {key}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -218,44 +220,62 @@ def deal(rows: DataFrame, idf, mean: float, documents: int) -> DataFrame:
 
 
 class ShardIndex:
-    """The BM25 inverted index of one shard's documents."""
+    """The BM25 inverted index of one shard's documents; the lists of its commonest terms are dense rows."""
 
     def __init__(self, terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        self.terms, sizes = terms, np.array([len(t) for t in terms])
+        self.n, self.sizes = len(terms), np.array([len(t) for t in terms])
         flat, tf = np.concatenate(terms).astype(np.int64), np.concatenate(counts).astype(np.float64)
-        owner = np.repeat(np.arange(len(terms)), sizes)
+        owner = np.repeat(np.arange(self.n), self.sizes)
         length = np.array([c.sum(dtype=np.int64) for c in counts], dtype=np.float64)
         weight = idf[flat] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / mean_length))
+        held = np.bincount(flat, minlength=1 << 16)
+        common = np.flatnonzero(held >= max(8, self.n // 16))
+        row = np.full(1 << 16, -1)
+        row[common] = np.arange(len(common))
+        dense = row[flat] >= 0
+        self.common, self.has = np.zeros((len(common), self.n), np.float32), np.zeros((self.n, len(common)), np.float32)
+        self.common[row[flat[dense]], owner[dense]] = weight[dense]
+        self.has[owner[dense], row[flat[dense]]] = 1
+        flat, owner, weight = flat[~dense], owner[~dense], weight[~dense]
+        self.rare, self.rare_ends = flat, np.searchsorted(owner, np.arange(self.n), "right")  # in order of documents
         order = np.argsort(flat, kind="stable")
         self.owner, self.weight = owner[order], weight[order]
         self.ends = np.cumsum(np.bincount(flat, minlength=1 << 16))
-        self.n = len(terms)
 
-    def scores(self, query: int) -> np.ndarray:
-        """BM25 of every document of the shard for one of them as the query."""
-        ids = self.terms[query].astype(np.int64)
+    def scores_of(self, queries: np.ndarray) -> np.ndarray:
+        """BM25 of every document of the shard for some of them as queries: (queries, documents)."""
+        begins = np.where(queries > 0, self.rare_ends[queries - 1], 0)
+        sizes = self.rare_ends[queries] - begins
+        ids = self.rare[np.repeat(begins - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
         b = self.ends[ids]
-        a = np.where(ids > 0, self.ends[ids - 1], 0)
-        n = b - a
+        n = b - np.where(ids > 0, self.ends[ids - 1], 0)
         at = np.repeat(b - np.cumsum(n), n) + np.arange(int(n.sum()))
-        return np.bincount(self.owner[at], self.weight[at], minlength=self.n)
+        place = np.repeat(np.repeat(np.arange(len(queries)), sizes), n) * self.n + self.owner[at]
+        return np.bincount(place, self.weight[at], minlength=len(queries) * self.n).reshape(len(queries), self.n) + self.has[queries] @ self.common
+
+    def scores(self, query: int) -> np.ndarray:
+        return self.scores_of(np.array([query]))[0]
 
 
 def fill_windows(lengths: np.ndarray, index: ShardIndex, window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
     """Windows as lists of (document, begin in its tail, length); every one but the last is full."""
     left, begin = lengths.astype(np.int64).copy(), np.zeros(len(lengths), dtype=np.int64)
     windows = []
-    seeds = np.argsort(-lengths, kind="stable").tolist()
-    remaining = int(left.sum())
-    for seed in seeds:
+    seeds = np.argsort(-lengths, kind="stable")
+    remaining, scored = int(left.sum()), {}
+    for place, seed in enumerate(seeds.tolist()):
         if not left[seed]:
             continue
         made, room = [(seed, int(begin[seed]), int(left[seed]))], window - int(left[seed])
         remaining -= int(left[seed])
         left[seed] = 0
         if room and remaining:
+            if seed not in scored:  # the seeds that come next are scored with it
+                next_ = seeds[place:]
+                block = np.concatenate([[seed], next_[left[next_] > 0][: SEEDS - 1]])
+                scored = dict(zip(block.tolist(), index.scores_of(block)))
             unused = np.flatnonzero(left)
-            ranked = unused[np.argsort(-index.scores(seed)[unused], kind="stable")]
+            ranked = unused[np.argsort(-scored[seed][unused], kind="stable")]
             until = np.cumsum(left[ranked])
             k = int(np.searchsorted(until, room))
             for d in ranked[: k + 1].tolist():
@@ -318,8 +338,8 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: s
             names=["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
         )
 
-    dealt = deal(rows, shared, mean, total["n"]).drop("row")
-    packed = dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, PIECES.format(key=kind))
+    dealt = deal(rows, shared, mean, total["n"])
+    packed = dealt.repartition("shard").sortWithinPartitions("shard", "row").mapInArrow(run, PIECES.format(key=kind))
     return packed.withColumnRenamed("key", key)
 
 
