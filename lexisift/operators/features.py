@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexisift.operators.relational import numbered
+
 PAD = 0
 
 
@@ -20,13 +22,13 @@ def first_seen_vocabulary(df: DataFrame, key: str, items: Column) -> DataFrame:
     Only distinct tokens are numbered, so the ordering is over the vocabulary, not the corpus.
     """
     first = _tokens(df, key, items).groupBy("token").agg(F.min(F.struct("key", "at")).alias("first"))
-    return first.select("token", F.row_number().over(Window.orderBy("first")).cast("long").alias("id"))
+    return numbered(first, ["first.key", "first.at"], "id").select("token", "id")
 
 
 def frequent_vocabulary(df: DataFrame, key: str, items: Column, first_id: int = 2) -> DataFrame:
     """(token, id) by falling frequency, ties by token; 1 is for unknown tokens."""
     counts = _tokens(df, key, items).groupBy("token").agg(F.count("*").alias("n"))
-    return counts.select("token", (F.row_number().over(Window.orderBy(F.desc("n"), "token")) + (first_id - 1)).cast("long").alias("id"))
+    return numbered(counts, [F.desc("n"), F.col("token")], "id", first_id).select("token", "id")
 
 
 def encode(df: DataFrame, key: str, items: Column, vocabulary: DataFrame, unknown: int | None = None) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexisift.operators.relational import in_ranges
+
 
 def conditional_counts(df: DataFrame, keys: Sequence[str], tests: Mapping[str, Column]) -> DataFrame:
     """One count per test and group, in one pass."""
@@ -73,15 +75,10 @@ def confusion(df: DataFrame, truth: Column, predicted: Column, probability: Colu
 
 
 def score_steps(df: DataFrame, score: str, truth: Column) -> DataFrame:
-    """Cumulated positives and negatives from the highest score down, one row for each distinct score.
-
-    Rows are reduced to distinct scores first. The running sums are over those; a score of many distinct values
-    should be rounded by the caller.
-    """
+    """Cumulated positives and negatives from the highest score down, one row for each distinct score."""
     by = df.groupBy(score).agg(F.count(F.when(truth, 1)).alias("p"), F.count(F.when(~truth, 1)).alias("n"))
-    down = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    every = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return by.select(score, F.sum("p").over(down).alias("tp"), F.sum("n").over(down).alias("fp"), F.sum("p").over(every).alias("positives"), F.sum("n").over(every).alias("negatives"))
+    every = by.agg(F.sum("p").alias("positives"), F.sum("n").alias("negatives"))
+    return in_ranges(by, [F.desc(score)], {"tp": F.col("p"), "fp": F.col("n")}).join(F.broadcast(every))  # one row
 
 
 def curves(df: DataFrame, score: str, truth: Column) -> DataFrame:
@@ -93,8 +90,7 @@ def curves(df: DataFrame, score: str, truth: Column) -> DataFrame:
 def areas(df: DataFrame, score: str, truth: Column) -> DataFrame:
     """ROC area by trapezoids (ties count half) and average precision."""
     s = score_steps(df, score, truth)
-    order = Window.orderBy(F.desc(score))
-    s = s.withColumns({"tp0": F.coalesce(F.lag("tp").over(order), F.lit(0)), "fp0": F.coalesce(F.lag("fp").over(order), F.lit(0))})
+    s = s.withColumns({"tp0": F.col("tp") - F.col("p"), "fp0": F.col("fp") - F.col("n")})
     roc = F.sum((F.col("fp") - F.col("fp0")) * (F.col("tp") + F.col("tp0")) / 2.0) / F.max(F.col("positives") * F.col("negatives"))
     ap = F.sum((F.col("tp") - F.col("tp0")) / F.col("positives") * F.col("tp") / (F.col("tp") + F.col("fp")))
     return s.agg(roc.alias("roc_auc"), ap.alias("average_precision"))
@@ -128,5 +124,4 @@ def value_counts(df: DataFrame, column: str, dropna: bool = True) -> DataFrame:
     """Counts, shares and cumulated shares of a column's values, most frequent first."""
     counts = (df.where(F.col(column).isNotNull()) if dropna else df).groupBy(column).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("all"))
-    order = Window.orderBy(F.desc("n"), column).rowsBetween(Window.unboundedPreceding, 0)
-    return counts.withColumn("cumulated", F.sum("n").over(order)).join(F.broadcast(total)).select(column, "n", (F.col("n") / F.col("all")).alias("share"), (F.col("cumulated") / F.col("all")).alias("cumulated_share"))
+    return in_ranges(counts, [F.desc("n"), F.col(column)], {"cumulated": F.col("n")}).join(F.broadcast(total)).select(column, "n", (F.col("n") / F.col("all")).alias("share"), (F.col("cumulated") / F.col("all")).alias("cumulated_share"))

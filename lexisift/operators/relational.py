@@ -39,7 +39,7 @@ def all_strings(df: DataFrame) -> DataFrame:
 def label_encode(df: DataFrame, column: str, code: str) -> DataFrame:
     """0, 1, ... for a column's values in order; rows with a null are left out; the order is over distinct values only."""
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    return df.join(values.withColumn(code, F.row_number().over(Window.orderBy(column)).cast("long") - 1), column)
+    return df.join(numbered(values, [column], code, 0), column)
 
 
 def update_by_key(df: DataFrame, changes: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -94,18 +94,29 @@ def in_given_order(df: DataFrame, column: str, order: Sequence, place: str) -> D
     return df.withColumn(place, at).where(F.col(place) >= 0).orderBy(place)
 
 
-def batches(df: DataFrame, order: Sequence[str], size: int, batch: str) -> DataFrame:
-    """Numbers of batches of equal size in a global order, without bringing all rows to one task.
+def in_ranges(df: DataFrame, order: Sequence[str | Column], sums: Mapping[str, Column]) -> DataFrame:
+    """Rows in a global order with running totals up to and with each, without bringing all rows to one task.
 
-    Rows are range-partitioned and written; the numbers of rows before each partition are sums over partitions.
+    Rows are range-partitioned and written; what comes before a partition is a sum over partitions, of which there are few.
+    Values of the order should be distinct: rows that tie are in any order.
     """
-    mine = F.monotonically_increasing_id()
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged = written(ranged.withColumn("_part", F.spark_partition_id()).withColumn("_at", mine.bitwiseAND(F.lit((1 << 33) - 1))), "ranges")
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    numbered = ranged.join(before, "_part")
-    return numbered.withColumn(batch, F.floor((F.col("_before") + F.col("_at")) / size)).drop("_part", "_at", "_before")
+    ranged = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    totals = ranged.groupBy("_part").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("_part", *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}") for n in sums])
+    own = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    each = ranged.withColumns({n: F.sum(c).over(own) for n, c in sums.items()}).join(before, "_part")
+    return each.withColumns({n: F.col(n) + F.col(f"_{n}") for n in sums}).drop("_part", "_at", *[f"_{n}" for n in sums])
+
+
+def numbered(df: DataFrame, order: Sequence[str | Column], number: str, first: int = 1) -> DataFrame:
+    """Rows numbered from first in a global order."""
+    return in_ranges(df, order, {number: F.lit(1)}).withColumn(number, (F.col(number) + (first - 1)).cast("long"))
+
+
+def batches(df: DataFrame, order: Sequence[str], size: int, batch: str) -> DataFrame:
+    """Numbers of batches of equal size in a global order."""
+    return numbered(df, order, batch, 0).withColumn(batch, F.floor(F.col(batch) / size))
 
 
 def sample_at_most(df: DataFrame, key: str, n: int, multiplier: int = 7919, modulus: int = 10007) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexisift.operators.relational import numbered
+
 DEEPEST = 64
 
 
@@ -59,4 +61,4 @@ def display(tree: DataFrame, up: DataFrame, root: str | None = None) -> DataFram
     rows = tree.join(path, "code")
     if root is not None:
         rows = rows.join(up.where(F.col("ancestor") == root).select("code"), "code", "left_semi")
-    return rows.select(F.row_number().over(Window.orderBy("path")).alias("place"), F.concat(F.expr("repeat('  ', CAST(level AS INT))"), "code", F.lit(" "), "label").alias("line"))
+    return numbered(rows, ["path"], "place").select(F.col("place").cast("int").alias("place"), F.concat(F.expr("repeat('  ', CAST(level AS INT))"), "code", F.lit(" "), "label").alias("line"))
