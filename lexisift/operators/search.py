@@ -11,7 +11,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexisift.functions.arrays import haversine
@@ -40,6 +40,22 @@ def build_index(df: DataFrame, key: str, fields: Mapping[str, Column]) -> Index:
     return Index(postings, terms, sizes)
 
 
+def write_index(index: Index, path: str) -> None:
+    """Write an index to be searched many times: a folder for each field, its postings in order of their terms.
+
+    A search then reads only its fields' folders, and of those only row groups that may hold its terms.
+    """
+    ordered = index.postings.repartitionByRange("field", "term").sortWithinPartitions("field", "term", "key")
+    ordered.write.partitionBy("field").parquet(f"{path}/postings")
+    index.terms.write.partitionBy("field").parquet(f"{path}/terms")
+    index.fields.write.parquet(f"{path}/fields")
+
+
+def open_index(spark: SparkSession, path: str) -> Index:
+    kinds = {"postings": "term string, key long, length int, tf long, field string", "terms": "term string, idf double, field string", "fields": "field string, documents long, mean_length double"}
+    return Index(*[spark.read.schema(kind).parquet(f"{path}/{name}") for name, kind in kinds.items()])
+
+
 def query_terms(df: DataFrame, q: str, items: Column) -> DataFrame:
     """(q, term, weight): a query's terms, each once."""
     return df.select(F.col(q).alias("q"), F.explode(F.array_distinct(items)).alias("term"), F.lit(1.0).alias("weight"))

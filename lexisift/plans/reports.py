@@ -41,7 +41,7 @@ def _(t):
     truth = t.part.select(F.col("p_partkey").alias("q"), F.col("p_type").alias("own"))
     other = t.part.select(F.col("p_partkey").alias("key"), F.col("p_type").alias("found"))
     rows = rows.join(truth, "q").join(other, "key").withColumn("right", (F.col("own") == F.col("found")).cast("double"))
-    learned, held = relational.split(rows, F.col("q") / 40 % 3 < 2)
+    learned, held = relational.split(rows, F.col("q") / 100 % 3 < 2)
     judged = decisions.accept(held, decisions.fit_acceptance(learned, "right"))
     return judged.select("q", "key", F.round("probability_1", 6).alias("probability"), "accepted", (F.col("right") == 1).alias("right"))
 

@@ -1,4 +1,4 @@
-"""Search clauses, combinations and templates, with parts as the register and every fortieth part as a return."""
+"""Search clauses, combinations and templates, with parts as the register and the parts with keys divisible by 100 as returns."""
 
 from __future__ import annotations
 
@@ -8,9 +8,10 @@ from lexisift.functions import analyzers as X
 from lexisift.operators import relational
 from lexisift.operators import search as S
 from lexisift.plans.registry import query
+from lexisift.sources.shared import fresh_path
 
 FIELDS = {"name": "p_name", "type": "p_type", "every": "p_name || ' ' || p_type"}
-ASKED = "p_partkey % 40 = 0"
+ASKED = "p_partkey % 100 = 0"
 LAT, LON = "45 + p_partkey % 50 / 10.0", "1 + p_size / 10.0"
 
 
@@ -19,7 +20,7 @@ def _field(f: str) -> str:
     return f"""d_{f} AS (SELECT p_partkey AS k, {w} AS w FROM part), m_{f} AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM d_{f}),
 p_{f} AS (SELECT k, term, count(*) AS tf, any_value(dl) AS dl FROM (SELECT k, len(w) AS dl, unnest(w) AS term FROM d_{f}) GROUP BY k, term),
 t_{f} AS (SELECT term, ln(1 + (any_value(n) - count(*) + 0.5e0) / (count(*) + 0.5e0)) AS idf FROM p_{f}, m_{f} GROUP BY term),
-q_{f} AS (SELECT DISTINCT k AS q, unnest(w) AS term, 1e0 AS weight FROM d_{f} WHERE k % 40 = 0),
+q_{f} AS (SELECT DISTINCT k AS q, unnest(w) AS term, 1e0 AS weight FROM d_{f} WHERE k % 100 = 0),
 a_{f} AS (SELECT DISTINCT term, CASE WHEN length(term) <= 2 THEN 0 WHEN length(term) <= 5 THEN 1 ELSE 2 END AS allowed FROM q_{f}),
 x_{f} AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY edits, near) AS r FROM (SELECT a.term, t.term AS near, levenshtein(a.term, t.term) AS edits FROM a_{f} a JOIN t_{f} t ON left(a.term, 1) = left(t.term, 1) AND levenshtein(a.term, t.term) <= allowed)),
 f_{f} AS (SELECT q, near AS term, max(1 - edits / CAST(least(length(x.term), length(near)) AS DOUBLE)) AS weight FROM q_{f} JOIN x_{f} x USING (term) WHERE r <= 50 GROUP BY q, near),
@@ -30,12 +31,12 @@ z_{f} AS (SELECT q, p.k, sum(weight * idf * tf * 2.2e0 / (tf + 1.2e0 * (0.25e0 +
 HAVERSINE = "2 * 6371008.8e0 * asin(sqrt(power(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * power(sin(radians(b.lon - a.lon) / 2), 2)))"
 CTES = f"""WITH {", ".join(_field(f) for f in FIELDS)},
 g AS (SELECT p_partkey AS k, CAST({LAT} AS DOUBLE) AS lat, CAST({LON} AS DOUBLE) AS lon FROM part),
-dist AS (SELECT a.k AS q, b.k, {HAVERSINE} AS distance FROM g a JOIN g b ON a.k % 40 = 0),
+dist AS (SELECT a.k AS q, b.k, {HAVERSINE} AS distance FROM g a JOIN g b ON a.k % 100 = 0),
 pairs AS (SELECT a.p_partkey AS q, b.p_partkey AS k, a.p_brand AS qb, b.p_brand AS kb, a.p_size AS qs, b.p_size AS ks, a.p_type AS qt, b.p_type AS kt, lower(a.p_name) AS qn, lower(b.p_name) AS kn FROM part a JOIN part b ON a.{ASKED}),
 brand AS (SELECT q, k, 1e0 AS score FROM pairs WHERE qb = kb), size AS (SELECT q, k, 1e0 AS score FROM pairs WHERE qs = ks), kind AS (SELECT q, k, 1e0 AS score FROM pairs WHERE left(qt, 3) = left(kt, 3)),
 kw AS (SELECT q, k, 1 - levenshtein(qn, kn) / CAST(least(length(qn), length(kn)) AS DOUBLE) AS score FROM pairs WHERE left(qn, 1) = left(kn, 1) AND levenshtein(qn, kn) <= CASE WHEN length(qn) <= 2 THEN 0 WHEN length(qn) <= 5 THEN 1 ELSE 2 END),
 code AS (SELECT q, k, CASE WHEN left(qb, 7) = left(kb, 7) THEN 2e0 ELSE 0e0 END + CASE WHEN qb = kb THEN 3e0 ELSE 0e0 END AS score FROM pairs WHERE left(qb, 7) = left(kb, 7)),
-acro AS (SELECT a.k AS q, b.k, 1e0 AS score FROM (SELECT k, array_to_string(list_transform(w, lambda x: left(x, 1)), '') AS l FROM d_every) a JOIN (SELECT k, array_to_string(list_transform(w, lambda x: left(x, 1)), '') AS l FROM d_every) b ON a.k % 40 = 0 AND a.l = b.l AND length(a.l) >= 3)"""
+acro AS (SELECT a.k AS q, b.k, 1e0 AS score FROM (SELECT k, array_to_string(list_transform(w, lambda x: left(x, 1)), '') AS l FROM d_every) a JOIN (SELECT k, array_to_string(list_transform(w, lambda x: left(x, 1)), '') AS l FROM d_every) b ON a.k % 100 = 0 AND a.l = b.l AND length(a.l) >= 3)"""
 
 
 def _boosted(c: str, boost: float) -> str:
@@ -64,6 +65,20 @@ def _top(c: str, k: int = 10) -> str:
     return f"{CTES} SELECT q, k AS key, score, CAST(rank AS INTEGER) AS rank FROM (SELECT q, k, round(score, 6) AS score, row_number() OVER (PARTITION BY q ORDER BY round(score, 6) DESC, k) AS rank FROM ({c})) WHERE rank <= {k}"
 
 
+#: Where the register's index was written, by session and folder of tables.
+_indexes: dict[tuple[str, str], str] = {}
+
+
+def _written_index(spark, folder: str, build) -> str:
+    """The path of an index that is built once and then searched by every clause and query."""
+    key = spark.sparkContext.applicationId, folder
+    if key not in _indexes:
+        path = fresh_path(spark, "register-index")
+        S.write_index(build(), path)
+        _indexes[key] = path
+    return _indexes[key]
+
+
 class Register:
     """The register's index and the clauses of every return."""
 
@@ -72,7 +87,7 @@ class Register:
         words = lambda c: F.filter(F.split(F.lower(c), " "), lambda w: w != "")
         self.parts, self.asked = parts, parts.where(ASKED)
         items = {"name": words("p_name"), "type": words("p_type"), "every": words("every")}
-        self.index = S.build_index(parts, "p_partkey", items)
+        self.index = S.open_index(t.spark, _written_index(t.spark, t.folder, lambda: S.build_index(parts, "p_partkey", items)))
         self.terms = {f: S.query_terms(self.asked, "p_partkey", c) for f, c in items.items()}
 
     def match(self, f, boost=1.0):
@@ -115,10 +130,10 @@ _search("Q4_boost", _boosted("s_type", 3), lambda r: r.match("type", 3))
 _search("Q5_fuzzy", FUZZY, lambda r: r.fuzzy("name"))
 
 
-@query("Q6_zero_terms", f"SELECT a.p_partkey AS q, b.p_partkey AS key, 1e0 AS score FROM part a JOIN part b ON a.{ASKED} AND a.p_partkey % 400 = 0")
+@query("Q6_zero_terms", f"SELECT a.p_partkey AS q, b.p_partkey AS key, 1e0 AS score FROM part a JOIN part b ON a.{ASKED} AND a.p_partkey % 1000 = 0")
 def _(t):
     r = Register(t)
-    some = r.terms["name"].where("q % 400 <> 0")
+    some = r.terms["name"].where("q % 1000 <> 0")
     return S.zero_terms(r.asked, "p_partkey", some, r.parts, "p_partkey")
 
 
@@ -173,7 +188,7 @@ def _robust(tie):
 
 _search("T11_robust_return", *_robust(0.5))
 _search("T12_robust_register", *_robust(0.7))
-query("T13_by_id", "SELECT p_partkey AS q, p_partkey AS key FROM part WHERE p_partkey % 40 = 0")(lambda t: Register(t).equal("p_partkey").select("q", "key"))
+query("T13_by_id", "SELECT p_partkey AS q, p_partkey AS key FROM part WHERE p_partkey % 100 = 0")(lambda t: Register(t).equal("p_partkey").select("q", "key"))
 _search("T14_simple", _bool(must=[NAME], should=[BRAND]), lambda r: S.boolean(must=[r.match("name")], should=[r.equal("p_brand")]))
 _search("T15_graded_variant", _bool(must=[NAME], should=["SELECT * FROM code"]), lambda r: S.boolean(must=[r.match("name")], should=[r.codes()]))
 _search("T16_legacy_variant", _gauss(_bool(must=[NAME], filters=[_within(300000)]), 10000), lambda r: S.gauss(S.boolean(must=[r.match("name")], filters=[r.near(300000)]), r.near(300000), 10000))
