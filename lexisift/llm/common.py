@@ -34,6 +34,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what was written under a path of the shared folder."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def materialise(df: DataFrame, name: str, **options) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage is cut, lost executors lose nothing."""
     path = fresh_path(df.sparkSession, name)

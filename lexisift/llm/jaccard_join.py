@@ -10,12 +10,13 @@ a 64-bit digest; copies are told apart again only in the result. The steps:
 2. The texts are read a second time for the sets left: a filter of fixed size finds them, then they are exact.
 3. Links of hubs and neighbours. Each set is held against two others: of the sets that lead its lists, those that have
    least of their own, as what copies were made from has, the one that leads most of them; and the one that stands
-   next to it by size in most of them. Pairs are searched exactly (``InvertedLists``: heap merge of the short lists,
-   binary probes into the long ones). Near copies are now joined in components.
+   next to it by size in most of them. Pairs that survive a bitmap test are searched exactly (``InvertedLists``: heap
+   merge of the short lists, binary probes into the long ones). Near copies are now joined in components. The test is by
+   parity bitmaps: the bits in which two differ are no more than the elements in which the sets differ, so a pair with
+   too many is out for certain.
 4. What is left. Only lists that still hold several components matter, and of their sets only those in enough
-   such lists. In each, pairs of different components are tested by parity bitmaps: the bits in which two differ
-   are no more than the elements in which the sets differ, so a pair with too many is out for certain. Pairs that
-   survive are searched exactly. A long list is split in pairs of blocks, so that no task grows with it.
+   such lists. In each, pairs of different components are tested by bitmaps, and those that survive are searched exactly.
+   A long list is split in pairs of blocks, so that no task grows with it.
 5. The components of all exact links are the result.
 
 Every step but 4 is linear in the sets' sizes; 4 tests pairs of a list only where its members are not joined yet, and
@@ -375,6 +376,21 @@ def near_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def that_survive(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose bitmaps can belong to sets that link; members: d, n, bitmap."""
+
+    def run(batches):
+        for batch in batches:
+            k = batch.num_rows
+            n = np.concatenate([batch.column(c).to_numpy() for c in ("na", "nb")]).astype(np.int64)
+            bitmaps = Bitmaps(batch.column("one").to_pylist() + batch.column("two").to_pylist())
+            kept = np.flatnonzero(bitmaps.test(np.arange(k), np.arange(k, 2 * k), n, percent)) if k else []
+            yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+
+    one, two = (members.select(F.col("d").alias(x), F.col("n").alias(f"n{x}"), F.col("bitmap").alias(y)) for x, y in (("a", "one"), ("b", "two")))
+    return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
+
+
 def exact_links(pairs: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of sets that link; members: d, text. A pair is one row, so no task grows with a group."""
 
@@ -395,13 +411,16 @@ def exact_links(pairs: DataFrame, members: DataFrame, k: int, percent: int) -> D
 
 
 def prefix_lists(entries: DataFrame) -> DataFrame:
-    """h, shingle, d, side: entries (h, d) by lists; a list over LIST_BLOCK is one h for each pair of its blocks."""
-    lists = entries.select("h", "d").join(entries.groupBy("h").agg(F.count("*").alias("m")), "h")
-    short = lists.where(F.col("m") <= LIST_BLOCK).select("h", F.col("h").alias("shingle"), "d", F.lit(-1).alias("side"))
-    long = lists.where(F.col("m") > LIST_BLOCK).withColumn("blocks", F.ceil(F.col("m") / LIST_BLOCK).cast("int"))
-    long = long.withColumn("block", F.pmod(F.xxhash64("d", "h"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    """entries (h, d and more) with shingle and side; a list over LIST_BLOCK is one h for each pair of its blocks.
+
+    Only the numbers of long lists' members are joined, of which there are few.
+    """
+    sizes = entries.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > LIST_BLOCK)
+    marked = entries.withColumn("shingle", F.col("h")).join(sizes, "h", "left").withColumn("blocks", F.ceil(F.coalesce("m", F.lit(1)) / LIST_BLOCK).cast("int"))
+    marked = marked.withColumn("block", F.pmod(F.xxhash64("d", "h"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("block") == F.col("other"), -1).otherwise((F.col("block") > F.col("other")).cast("int"))
-    return short.unionByName(long.select(F.xxhash64("h", F.least("block", "other"), F.greatest("block", "other")).alias("h"), F.col("h").alias("shingle"), "d", side.alias("side")))
+    unit = F.when(F.col("m").isNull(), F.col("h")).otherwise(F.xxhash64("h", F.least("block", "other"), F.greatest("block", "other")))
+    return marked.withColumn("side", side).withColumn("h", unit).drop("m", "blocks", "block", "other")
 
 
 def crossing_pairs(entries: DataFrame, percent: int) -> DataFrame:
@@ -461,13 +480,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k:
     each = F.explode("hs").alias("h")
     size = F.col("n") - F.ceil(F.col("n") * percent / 100) + F.greatest(F.floor(F.col("n") / 16), F.lit(1))
     own = (1 - F.size("hs") / size).cast("float").alias("own")
-    first = materialise(exact_links(near_pairs(kept.select(each, "d", "n", own), percent), members, k, percent), "links")
+    near = that_survive(near_pairs(kept.select(each, "d", "n", own), percent), members, percent)
+    first = materialise(exact_links(near, members, k, percent), "links")
     joined = connected_components(first, "near-copies")
     labelled = kept.join(joined.withColumnRenamed("node", "d"), "d", "left").select("d", "n", F.coalesce("component", "d").alias("component"), "hs")
     left = materialise(in_enough_lists(in_several(labelled.select(each, "d", "n", "component"), "component"), percent, "component"), "crossing-lists")
     firsts = F.array_sort("hs")
-    about = left.select("d", "n", "component", firsts[0].alias("one"), F.coalesce(F.get(firsts, F.lit(1)), firsts[0]).alias("two"))
-    tested = prefix_lists(left.select(each, "d")).join(about.join(members.select("d", "bitmap"), "d"), "d")
+    about = left.join(members.select("d", "bitmap"), "d").select("d", "n", "component", "bitmap", firsts[0].alias("one"), F.coalesce(F.get(firsts, F.lit(1)), firsts[0]).alias("two"), each)
+    tested = prefix_lists(about)
     second = exact_links(materialise(crossing_pairs(tested, percent), "pairs"), members, k, percent)
     found = connected_components(first.unionByName(second), "near-duplicates").withColumnRenamed("node", "d")
     one = read.where("n > 0 AND doc_id IS NOT NULL").groupBy("d").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))

@@ -57,3 +57,21 @@ def test_tiny_tables(spark, tmp_path, rows):
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/embeddings.parquet")
     got = sorted((r["query_id"], r["vec_id"], r["score"]) for r in A.op9_additive_ann(spark, str(tmp_path)).collect())
     assert got == ([(20, 40, 4.0), (40, 20, 4.0)] if len(rows) == 3 else [])
+
+
+def test_distances_by_stored_norms(spark):
+    random = np.random.default_rng(7)
+    x = random.normal(size=(1500, 16)) * random.uniform(0.5, 2, size=(1500, 1))
+    vectors = A.usable(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int"), "vec_id", "embedding")
+    quantiser = A.train(vectors, 1500)
+    found = A.search(A.index(vectors, quantiser, 10), vectors.where("vec_id % 100 = 0"), quantiser, 10, 1500, 15, candidates=300, measure="l2").collect()
+    hits = 0
+    for q in range(0, 1500, 100):
+        own = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q)
+        gaps = ((x - x[q]) ** 2).sum(1)
+        gaps[q] = np.inf
+        assert all(abs(s + gaps[i]) < 1e-9 for _, i, s in own) and [s for _, _, s in own] == sorted((s for _, _, s in own), reverse=True)
+        hits += len({i for _, i, _ in own} & set(np.argsort(gaps)[:10].tolist()))
+    assert hits >= 0.9 * 150
+    with pytest.raises(ValueError):
+        A.search(vectors, vectors, quantiser, 1, 1, 1, measure="other")
