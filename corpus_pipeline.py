@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexisift.llm.common import fresh_path, small_batches, table
+from lexisift.llm.common import fresh_path, remove, small_batches, table, unused
 from lexisift.llm.jaccard_join import near_duplicates
 from lexisift.llm.langid_crf import UNKNOWN, held_out, identify, train
 from lexisift.llm.packing import pack
@@ -41,7 +41,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = near_duplicates(docs)
     gone = found.where("component_id <> doc_id").select("doc_id").distinct()
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    kept = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").withColumn("_row", rank).where("_row = 1")
+    row = unused(docs, "row")
+    kept = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").withColumn(row, rank).where(F.col(row) == 1)
     return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
@@ -63,10 +64,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what each returns is written in the shared folder and read by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; what each returns is written in the shared folder, read by the next, and deleted after it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = fresh_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
