@@ -32,7 +32,7 @@ query("K7_acceptance_features", f"{FINAL}, r AS (SELECT *, row_number() OVER (PA
 
 @query("K7_accepted_answers")
 def _(t):
-    """A fitted acceptance model's decisions and their measures on returns it didn't see; no SQL fits a model.
+    """A fitted acceptance model's decisions, also on returns that it didn't see (held_out); no SQL fits a model.
 
     An answer is right if it is of the type that the return has, which no feature tells alone. Two thirds of the returns are learned from.
     """
@@ -42,8 +42,9 @@ def _(t):
     other = t.part.select(F.col("p_partkey").alias("key"), F.col("p_type").alias("found"))
     rows = rows.join(truth, "q").join(other, "key").withColumn("right", (F.col("own") == F.col("found")).cast("double"))
     learned, held = relational.split(rows, F.col("q") / 100 % 3 < 2)
-    judged = decisions.accept(held, decisions.fit_acceptance(learned, "right"))
-    return judged.select("q", "key", F.round("probability_1", 6).alias("probability"), "accepted", (F.col("right") == 1).alias("right"))
+    both = learned.withColumn("held_out", F.lit(False)).unionByName(held.withColumn("held_out", F.lit(True)))
+    judged = decisions.accept(both, decisions.fit_acceptance(learned, "right"))
+    return judged.select("q", "key", F.round("probability_1", 6).alias("probability"), "accepted", (F.col("right") == 1).alias("right"), "held_out")
 
 
 @query("K8_top1_validator")
