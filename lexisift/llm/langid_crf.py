@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexisift.llm.common import small_batches, table, without
+from lexisift.llm.common import small_batches, table, unused, without
 from lexisift.llm.shingles import _SPACE, mix, text_buffer
 
 BITS = 17
@@ -291,8 +291,9 @@ def identify(df: DataFrame, model: Model, text: str = "text", segments: bool = F
     """
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    rows = without(df, ["lang_pred", "score", "segments", "_words", *["confidence"] * confidence]).withColumn("_words", F.when(F.col(text).rlike(r"\p{L}"), F.col(text)).otherwise(F.lit("")))
-    kept = [f for f in rows.schema.fields if f.name != "_words"]
+    words = unused(df, "words")
+    rows = without(df.withColumn(words, F.when(F.col(text).rlike(r"\p{L}"), F.col(text)).otherwise(F.lit(""))), ["lang_pred", "score", "segments", *["confidence"] * confidence])
+    kept = [f for f in rows.schema.fields if f.name != words]
     more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     spans = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("label", T.StringType())]))
     if segments:
@@ -306,7 +307,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", segments: bool = F
         found = shared.value
         names = np.array([*found.languages, UNKNOWN], dtype=object)
         for batch in batches:
-            column = batch.column("_words")
+            column = batch.column(words)
             groups = np.cumsum(np.array(pc.binary_length(column).to_pylist() or [0])) >> 20
             a = 0
             while a < batch.num_rows:
