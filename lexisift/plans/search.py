@@ -147,9 +147,9 @@ _search("Q13_gauss_decay", _gauss(NAME, 100000), lambda r: S.gauss(r.match("name
 query("Q14_geo_distance", f"{CTES} SELECT q, k AS key, round(distance, 3) AS distance FROM dist WHERE distance <= 30000")(lambda t: Register(t).near(30000).withColumn("distance", F.round("distance", 3)))
 _search("Q15_keyword_fuzzy", "SELECT * FROM kw", lambda r: r.keyword())
 _search("Q16_graded_codes", "SELECT * FROM code", lambda r: r.codes())
-query("Q17_fixed_keywords", "SELECT p_partkey AS key FROM part WHERE list_has_any(string_split(lower(p_type), ' '), ['steel', 'brass'])")(lambda t: S.contains_any(t.part, "p_partkey", F.split(F.lower("p_type"), " "), ["steel", "brass"]))
-query("Q18_highlight", "SELECT p_partkey, array_to_string(list_transform(string_split(p_type, ' '), lambda w: CASE WHEN lower(w) IN ('steel', 'brass') THEN '<em>' || w || '</em>' ELSE w END), ' ') AS marked FROM part")(
-    lambda t: t.part.select("p_partkey", S.highlight(F.col("p_type"), F.array(F.lit("steel"), F.lit("brass"))).alias("marked"))
+query("Q17_fixed_keywords", "SELECT p_partkey AS key FROM part WHERE list_has_any(string_split(lower(p_name), ' '), ['anvil', 'gear'])")(lambda t: S.contains_any(t.part, "p_partkey", F.split(F.lower("p_name"), " "), ["anvil", "gear"]))
+query("Q18_highlight", "SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: CASE WHEN lower(w) IN ('anvil', 'gear') THEN '<em>' || w || '</em>' ELSE w END), ' ') AS marked FROM part")(
+    lambda t: t.part.select("p_partkey", S.highlight(F.col("p_name"), F.array(F.lit("anvil"), F.lit("gear"))).alias("marked"))
 )
 
 

@@ -195,7 +195,7 @@ STEM_CHAIN = f"list_transform(list_filter(regexp_extract_all(replace(strip_accen
 query("X4_stemmed", f"SELECT doc_id, string_agg(s, ' ' ORDER BY s) AS terms FROM (SELECT doc_id, unnest(list_distinct({STEM_CHAIN})) AS s FROM documents) GROUP BY doc_id")(
     lambda t: t.documents.select("doc_id", F.array_join(F.array_sort(X.stemmed(F.col("text"))), " ").alias("terms")).where("terms <> ''")
 )
-_terms("X5_synonyms", "flatten(list_transform(string_split(lower(p_type), ' '), lambda w: CASE WHEN w = 'steel' THEN ['steel', 'iron', 'metal'] ELSE [w] END))", lambda: X.with_synonyms(F.split(F.lower("p_type"), " "), {"steel": ["iron", "metal"]}), "part", "p_partkey")
+_terms("X5_synonyms", "flatten(list_transform(string_split(lower(p_type), ' '), lambda w: CASE WHEN w = 'promo' THEN ['promo', 'offer', 'sale'] ELSE [w] END))", lambda: X.with_synonyms(F.split(F.lower("p_type"), " "), {"promo": ["offer", "sale"]}), "part", "p_partkey")
 _terms("X6_acronym", "(SELECT CASE WHEN length(l) >= 3 THEN [l] ELSE [] END FROM (SELECT array_to_string(list_transform(list_filter(string_split(lower(p_type || ' ' || p_brand), ' '), lambda w: w <> ''), lambda w: left(w, 1)), '') AS l))", lambda: X.acronym(F.concat_ws(" ", "p_type", "p_brand")), "part", "p_partkey")
 _terms("X7_folding", "[replace(strip_accents(text), 'ß', 'ss')]", lambda: F.array(X.fold(F.col("text"))))
 _terms("X8_elision", "['eau ' || n_name]", lambda: F.array(F.concat(X.elide(F.lit("l'eau ")), "n_name")), "nation", "n_nationkey")
