@@ -45,6 +45,8 @@ LEAST_BITS, MOST_BITS = 64, 4096
 PAIRWISE = 8
 #: A longer list of a shingle is tested in pairs of blocks of about so many members.
 LIST_BLOCK = 4096
+#: Sizes of long lists up to this many are broadcast, about 1 MB.
+MOST_BROADCAST = 50_000
 #: Bits of the filter by which the second reading finds the sets it needs: fuller at larger inputs, never wrong.
 FILTER_BITS = 26
 
@@ -413,10 +415,14 @@ def exact_links(pairs: DataFrame, members: DataFrame, k: int, percent: int) -> D
 def prefix_lists(entries: DataFrame) -> DataFrame:
     """entries (h, d and more) with shingle and side; a list over LIST_BLOCK is one h for each pair of its blocks.
 
-    Only the numbers of long lists' members are joined, of which there are few.
+    Only the sizes of long lists are joined; they are broadcast where there are at most MOST_BROADCAST.
     """
-    sizes = entries.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > LIST_BLOCK)
-    marked = entries.withColumn("shingle", F.col("h")).join(sizes, "h", "left").withColumn("blocks", F.ceil(F.coalesce("m", F.lit(1)) / LIST_BLOCK).cast("int"))
+    long = materialise(entries.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > LIST_BLOCK), "long-lists")
+    n = long.count()
+    whole = entries.withColumn("shingle", F.col("h"))
+    if not n:
+        return whole.withColumn("side", F.lit(-1))
+    marked = whole.join(F.broadcast(long) if n <= MOST_BROADCAST else long, "h", "left").withColumn("blocks", F.ceil(F.coalesce("m", F.lit(1)) / LIST_BLOCK).cast("int"))
     marked = marked.withColumn("block", F.pmod(F.xxhash64("d", "h"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("block") == F.col("other"), -1).otherwise((F.col("block") > F.col("other")).cast("int"))
     unit = F.when(F.col("m").isNull(), F.col("h")).otherwise(F.xxhash64("h", F.least("block", "other"), F.greatest("block", "other")))
@@ -485,8 +491,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k:
     joined = connected_components(first, "near-copies")
     labelled = kept.join(joined.withColumnRenamed("node", "d"), "d", "left").select("d", "n", F.coalesce("component", "d").alias("component"), "hs")
     left = materialise(in_enough_lists(in_several(labelled.select(each, "d", "n", "component"), "component"), percent, "component"), "crossing-lists")
-    firsts = F.array_sort("hs")
-    about = left.join(members.select("d", "bitmap"), "d").select("d", "n", "component", "bitmap", firsts[0].alias("one"), F.coalesce(F.get(firsts, F.lit(1)), firsts[0]).alias("two"), each)
+    firsts = F.slice(F.array_sort("hs"), 1, 2)
+    about = left.select("d", "n", "component", "hs", firsts.alias("firsts")).join(members.select("d", "bitmap"), "d")
+    about = about.select("d", "n", "component", "bitmap", F.col("firsts")[0].alias("one"), F.get("firsts", F.size("firsts") - 1).alias("two"), each)
     tested = prefix_lists(about)
     second = exact_links(materialise(crossing_pairs(tested, percent), "pairs"), members, k, percent)
     found = connected_components(first.unionByName(second), "near-duplicates").withColumnRenamed("node", "d")
