@@ -262,27 +262,40 @@ def short_lists(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "h long, d long, n int")
 
 
-def in_several(entries: DataFrame, column: str) -> DataFrame:
-    """The entries (once each) of the lists in which a column has several values; entries: h, d, n and the column."""
-    names = list(dict.fromkeys(["h", "d", "n", column]))
+def of_several_sets(entries: DataFrame) -> DataFrame:
+    """The entries (h, d, n), once each, of the lists that hold several sets. A list streams through, however long it is."""
 
     def run(batches):
-        for some in _runs(batches, "h"):
-            if some is None:
+        last_h = last_d = held = None  # held: the first entry of a list in which nothing else came yet
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            h, d, value = (some.column(c).to_numpy() for c in ("h", "d", column))
-            first = np.concatenate([[True], h[1:] != h[:-1]])
-            run_of = np.cumsum(first) - 1
-            changes = np.concatenate([[False], (value[1:] != value[:-1])]) & ~first
-            several = np.bincount(run_of, weights=changes) > 0
-            once = first | np.concatenate([[False], d[1:] != d[:-1]])
-            keep = np.flatnonzero(several[run_of] & once)
-            if len(keep):
-                yield from some.take(pa.array(keep)).to_batches()
+            h, d = batch.column("h").to_numpy(), batch.column("d").to_numpy()
+            begins = np.concatenate([[h[0] != last_h], h[1:] != h[:-1]])
+            at = np.flatnonzero(begins | np.concatenate([[d[0] != last_d], d[1:] != d[:-1]]))
+            last_h, last_d = h[-1], d[-1]
+            if not len(at):
+                continue
+            run_of = np.cumsum(begins[at])  # 0: the list that the last batch ended in
+            counts = np.bincount(run_of)
+            several = counts > 1
+            several[0] = True
+            if counts[0] and held is not None:
+                yield held
+                held = None
+            if run_of[-1]:
+                held = batch.slice(at[-1], 1) if counts[-1] == 1 else None
+            out = at[several[run_of]]
+            if len(out):
+                yield batch.take(pa.array(out))
+
+    return entries.select("h", "d", "n").repartition("h").sortWithinPartitions("h", "d").mapInArrow(run, "h long, d long, n int")
 
-    order = ["h", column, "d"] if column != "d" else ["h", "d"]
-    fields = ", ".join(f"{c} {'int' if c == 'n' else 'long'}" for c in names)
-    return entries.select(*names).repartition("h").sortWithinPartitions(*order).mapInArrow(run, fields)
+
+def of_several_components(entries: DataFrame) -> DataFrame:
+    """The entries of the lists whose sets are of several components."""
+    ends = entries.groupBy("h").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    return entries.join(ends.where("least <> most").select("h"), "h", "left_semi")
 
 
 def in_enough_lists(entries: DataFrame, percent: int, *more: str) -> DataFrame:
@@ -351,26 +364,30 @@ def near_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """a, b: for each set b at most two others: the hub that it shares most lists with, and its neighbour in most lists.
 
     entries: h, d, n and own, the share of a set's first shingles that no other set has. A list's hub is the set with
-    the least of its own: what copies were made from lacks nothing that they share. Its neighbour stands next before it by size.
+    the least of its own: what copies were made from lacks nothing that they share. Its neighbour stands next before it by size,
+    among the entries of an Arrow batch; any choice is right here, and so no task holds a list.
     """
 
     def run(batches):
-        for some in _runs(batches, "h"):
-            if some is None:
+        last_h, hub = None, (0, 0)
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            h, d, n = (some.column(c).to_numpy() for c in ("h", "d", "n"))
+            h, d, n = (batch.column(c).to_numpy() for c in ("h", "d", "n"))
             n = n.astype(np.int64)
-            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            hub = np.repeat(first, np.diff(np.append(first, len(h))))
-            at = np.flatnonzero((hub != np.arange(len(h))) & near_sizes(n, n[hub], percent))
-            found = [(0, hub[at], at)]
-            by_size = np.lexsort((d, n, hub))
+            begins = np.concatenate([[h[0] != last_h], h[1:] != h[:-1]])
+            run_of, first = np.cumsum(begins), np.flatnonzero(begins)
+            hub_d, hub_n = np.concatenate([[hub[0]], d[first]]), np.concatenate([[hub[1]], n[first]])  # of the list that goes on, and of those that begin
+            last_h, hub = h[-1], (hub_d[-1], hub_n[-1])
+            at = np.flatnonzero(~begins & near_sizes(n, hub_n[run_of], percent))
+            found = [(0, hub_d[run_of[at]], d[at])]
+            by_size = np.lexsort((d, n, run_of))
             one, two = by_size[:-1], by_size[1:]
-            at = np.flatnonzero((hub[one] == hub[two]) & near_sizes(n[one], n[two], percent))
-            found.append((1, one[at], two[at]))
+            at = np.flatnonzero((run_of[one] == run_of[two]) & near_sizes(n[one], n[two], percent))
+            found.append((1, d[one[at]], d[two[at]]))
             for kind, i, j in found:
-                for batch in counted_pairs([np.stack([d[i], d[j]], axis=1)]):
-                    yield batch.append_column("kind", pa.array(np.full(batch.num_rows, kind, np.int32)))
+                for pairs in counted_pairs([np.stack([i, j], axis=1)]):
+                    yield pairs.append_column("kind", pa.array(np.full(pairs.num_rows, kind, np.int32)))
 
     pairs = entries.repartition("h").sortWithinPartitions("h", "own", "d").mapInArrow(run, "a long, b long, c long, kind int")
     often = pairs.groupBy("kind", "a", "b").agg(F.sum("c").alias("c"))
@@ -479,7 +496,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k:
     gets its own n_shingles and a null component. Rows that share a key count as one document per distinct set.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kept = materialise(in_enough_lists(in_several(short_lists(rows.where("doc_id IS NOT NULL"), k, percent), "d"), percent), "short-lists")
+    kept = materialise(in_enough_lists(of_several_sets(short_lists(rows.where("doc_id IS NOT NULL"), k, percent)), percent), "short-lists")
     wanted = docs.sparkSession.sparkContext.broadcast(digest_filter(kept))
     read = materialise(read_again(rows, wanted, k), "sets")
     members = materialise(read.where("text IS NOT NULL").groupBy("d").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.first("text").alias("text")), "members")
@@ -490,7 +507,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k:
     first = materialise(exact_links(near, members, k, percent), "links")
     joined = connected_components(first, "near-copies")
     labelled = kept.join(joined.withColumnRenamed("node", "d"), "d", "left").select("d", "n", F.coalesce("component", "d").alias("component"), "hs")
-    left = materialise(in_enough_lists(in_several(labelled.select(each, "d", "n", "component"), "component"), percent, "component"), "crossing-lists")
+    left = materialise(in_enough_lists(of_several_components(labelled.select(each, "d", "n", "component")), percent, "component"), "crossing-lists")
     firsts = F.slice(F.array_sort("hs"), 1, 2)
     about = left.select("d", "n", "component", "hs", firsts.alias("firsts")).join(members.select("d", "bitmap"), "d")
     about = about.select("d", "n", "component", "bitmap", F.col("firsts")[0].alias("one"), F.get("firsts", F.size("firsts") - 1).alias("two"), each)

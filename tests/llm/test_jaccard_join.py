@@ -147,3 +147,13 @@ def test_long_lists_in_blocks_of_distinct_sets(spark, monkeypatch):
     assert got == brute(rows)
     sizes = [r["count"] for r in seen[0].groupBy("h").count().collect()]
     assert 8 < max(sizes) < 40
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 3)), max_size=25), st.integers(1, 4))
+def test_lists_of_several_sets_stream(spark, rows, size):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+    df = spark.createDataFrame([(h, d, 1) for h, d in rows], "h long, d long, n int").coalesce(1)
+    got = sorted((r["h"], r["d"]) for r in jaccard_join.of_several_sets(df).collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    assert got == sorted(x for x in set(rows) if sum(y[0] == x[0] for y in set(rows)) > 1)
