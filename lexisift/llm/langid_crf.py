@@ -269,10 +269,11 @@ def training_sample(df: DataFrame, text: str = "text", lang: str = "lang", key:
     """
     size = F.char_length(text)
     usable = df.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"), F.greatest(size - longest, F.lit(0)).alias("over"))
-    of_language = Window.partitionBy("lang")
-    rank = F.row_number().over(of_language.orderBy("over", F.xxhash64("key", F.lit(11)), "key"))
-    least = F.min("over").over(of_language.orderBy("over"))
-    chosen = usable.select("lang", "key", "over").withColumn("rank", rank).withColumn("least", least).where((F.col("rank") <= per_language) & ((F.col("over") == 0) | (F.col("least") > 0)))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("over", F.xxhash64("key", F.lit(11)), "key"))
+    # the limit by rank is applied in each task before the shuffle, so no task gets all texts of a language
+    first = usable.select("lang", "key", "over").withColumn("rank", rank).where(F.col("rank") <= per_language)
+    least = usable.groupBy("lang").agg(F.min("over").alias("least"))  # a row for each language
+    chosen = first.join(F.broadcast(least), "lang").where((F.col("over") == 0) | (F.col("least") > 0))
     # the sample's keys are bounded by the number of languages, so they go to every task
     rows = usable.join(F.broadcast(chosen.select("lang", "key", "over").distinct()), ["lang", "key", "over"], "left_semi")
     cut = F.when(F.col("over") == 0, F.col("text")).otherwise(F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, longest))
