@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lexisift.llm.additive_ann import OP9_SQL, op9_additive_ann
 from lexisift.llm.byte_bpe import op10_byte_bpe
 from lexisift.llm.html_density import op4_html_density
+from lexisift.llm.importance_resampling import OP11_SQL, op11_importance_resampling
 from lexisift.llm.jaccard_join import OP7_SQL, op7_jaccard_join
 from lexisift.llm.jpeg_media import op5_jpeg_media
 from lexisift.llm.langid_crf import op8_langid_crf
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid_crf": op8_langid_crf,
     "op9_additive_ann": op9_additive_ann,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_importance_resampling": op11_importance_resampling,
 }
 
 ORACLE: dict[str, str] = {
@@ -35,4 +37,5 @@ ORACLE: dict[str, str] = {
     "op3_secret_scan": OP3_SQL,
     "op7_jaccard_join": OP7_SQL,
     "op9_additive_ann": OP9_SQL,
+    "op11_importance_resampling": OP11_SQL,
 }
