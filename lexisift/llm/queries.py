@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexisift.llm.additive_ann import OP9_SQL, op9_additive_ann
 from lexisift.llm.byte_bpe import op10_byte_bpe
+from lexisift.llm.filter_audit import OP12_SQL, op12_filter_audit
 from lexisift.llm.html_density import op4_html_density
 from lexisift.llm.importance_resampling import OP11_SQL, op11_importance_resampling
 from lexisift.llm.jaccard_join import OP7_SQL, op7_jaccard_join
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_additive_ann": op9_additive_ann,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 ORACLE: dict[str, str] = {
@@ -38,4 +40,5 @@ ORACLE: dict[str, str] = {
     "op7_jaccard_join": OP7_SQL,
     "op9_additive_ann": OP9_SQL,
     "op11_importance_resampling": OP11_SQL,
+    "op12_filter_audit": OP12_SQL,
 }
