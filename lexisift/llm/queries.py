@@ -15,6 +15,7 @@ from lexisift.llm.jaccard_join import OP7_SQL, op7_jaccard_join
 from lexisift.llm.jpeg_media import op5_jpeg_media
 from lexisift.llm.langid_crf import op8_langid_crf
 from lexisift.llm.packing import op6_retrieval_packing
+from lexisift.llm.piecewise_hash import op13_piecewise_hash
 from lexisift.llm.secret_scan import OP3_SQL, op3_secret_scan
 from lexisift.llm.token_counts import op1_token_counts
 from lexisift.llm.warc import OP2_SQL, op2_warc
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_filter_audit": op12_filter_audit,
+    "op13_piecewise_hash": op13_piecewise_hash,
 }
 
 ORACLE: dict[str, str] = {
