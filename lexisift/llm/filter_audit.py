@@ -3,13 +3,14 @@
 Four filters look at a document alone, the fifth (E) fails a text that a smaller id has too, anywhere in the table. So a
 document's failures are known only when all ids have been seen. The audit is incremental: documents come in micro-batches,
 each is turned into its part, the mask of filters it fails, and a hash of its text. State keyed by the hash keeps the
-smallest id so far and what its rows counted for. When a smaller id arrives, the state takes back the mask that the earlier
-rows were counted under and counts them again with E; the counters of parts are sums of such changes, so they're right after
+smallest id so far and what its rows counted for. When a smaller id arrives, the mask that the earlier rows were counted
+under is taken back and they count again with E; the counters of parts are sums of such changes, so they're right after
 every batch, whatever the order in which documents come.
 
 A copied text's rows are reduced in each task before they're dealt out by hash, so a text that a third of all rows hold is a row
-for each task. Every batch's changes are written to the shared folder under the batch's number: a repeated batch overwrites
-its own. The state is in Spark's state store, with its checkpoint in the shared folder.
+for each task. State is a table in the shared folder that only grows: a batch adds rows where a text's smallest id is new
+or met again, and of a text's rows those with its smallest id count. A batch's state and changes are written under its
+number and it reads only what earlier batches wrote, so a repeated batch gives the same again and overwrites its own.
 
 A null text is an empty one, a null part an empty string. A row without an id never fails E and isn't smaller than any other.
 Rows that repeat an id and text fail E or pass it together. A document is good or toxic if any of its labels says so. An empty
@@ -19,15 +20,12 @@ table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import permutations
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
 
 from lexisift.llm.common import fresh_path, small_batches, table
 
@@ -42,11 +40,7 @@ CAPITALS = bytes(range(65, 91))
 HELD = 100_000
 MICRO_BATCHES = 4
 COUNTERS = "part string, good boolean, toxic boolean, mask int, n long"
-_ROCKS = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-}
+STATE = "digest binary, part string, good boolean, toxic boolean, mask int, id long, n long"
 
 
 def failures(text: str) -> int:
@@ -95,71 +89,72 @@ def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def _changes(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """What a text's new rows change in the counters. State: the smallest id, and the rows that have it by part and label."""
-    rows = [r for f in frames for r in f[["part", "good", "toxic", "mask", "id", "n_at", "n_over"]].itertuples(index=False, name=None)]
-    smallest, kept = state.get if state.exists else (None, "[]")
-    holders = {(p, g, t): n for p, g, t, n in json.loads(kept)}
-    mask = int(rows[0][3])  # the same for all rows of a text
-    changes: dict[tuple, int] = {}
-
-    def count(part, good, toxic, m, n):
-        if n:
-            changes[part, good, toxic, m] = changes.get((part, good, toxic, m), 0) + n
-
-    ids = [int(r[4]) for r in rows if not pd.isna(r[4])]
-    least = min([*ids, *([] if smallest is None else [smallest])], default=None)
-    if smallest is not None and least < smallest:
-        for (part, good, toxic), n in holders.items():
-            count(part, good, toxic, mask, -n)
-            count(part, good, toxic, mask | COPY, n)
-        holders = {}
-    for part, good, toxic, _, i, n_at, n_over in rows:
-        part, good, toxic = str(part), bool(good), bool(toxic)
-        first = pd.isna(i) or int(i) == least
-        count(part, good, toxic, mask if first else mask | COPY, int(n_at))
-        count(part, good, toxic, mask | COPY, int(n_over))
-        if first and not pd.isna(i):
-            holders[part, good, toxic] = holders.get((part, good, toxic), 0) + int(n_at)
-    if ids:
-        state.update((least, json.dumps([[*k, n] for k, n in holders.items()])))
-    yield pd.DataFrame([(*k, n) for k, n in changes.items()], columns=["part", "good", "toxic", "mask", "n"])
-
-
-def changes(stream: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", part: str = "lang") -> DataFrame:
-    """The stream of changes to the counters (part, good, toxic, mask) that a stream of documents makes. labels: key, quality, toxic."""
+def written(df: DataFrame, path: str) -> DataFrame:
+    """df as a table at a path that a batch writes anew."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def slim_rows(stream: DataFrame, text: str = "text", key: str = "doc_id", part: str = "lang") -> DataFrame:
+    """(id, part, digest, mask) of documents, a stream or a table."""
     rows = stream.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), F.col(text).alias("text"))
+    return rows.mapInArrow(_slim, "id long, part string, digest binary, mask int")
+
+
+def reduced(rows: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Slim rows with what labels (key, quality, toxic) say of them, reduced in each task to a row for each text, part and kind."""
     # rows without an id match nothing and are spread by their texts
-    slim = rows.mapInArrow(_slim, "id long, part string, digest binary, mask int").withColumn("spread", F.when(F.col("id").isNull(), F.xxhash64("digest")).otherwise(0))
+    rows = rows.withColumn("spread", F.when(F.col("id").isNull(), F.xxhash64("digest")).otherwise(0))
     told = labels.where("quality = 1 OR toxic = 1").groupBy(F.col(key).cast("long").alias("id")).agg(F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"), F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic"))
-    joined = slim.join(told.withColumn("spread", F.lit(0).cast("long")), ["id", "spread"], "left")
+    joined = rows.join(told.withColumn("spread", F.lit(0).cast("long")), ["id", "spread"], "left")
     each = joined.select("digest", "part", F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("toxic", F.lit(False)).alias("toxic"), "mask", "id")
-    reduced = each.mapInArrow(_reduced, "digest binary, part string, good boolean, toxic boolean, mask int, id long, n_at long, n_over long")
-    return reduced.groupBy("digest").applyInPandasWithState(_changes, COUNTERS, "smallest long, holders string", "update", "NoTimeout")
+    return each.mapInArrow(_reduced, "digest binary, part string, good boolean, toxic boolean, mask int, id long, n_at long, n_over long")
+
+
+def update(batch: DataFrame, state: DataFrame) -> DataFrame:
+    """A batch's reduced rows and the state of their texts, each with the smallest ids before (old_least) and after the batch (least).
+
+    state: (digest, part, good, toxic, mask, id, n), the rows that had their text's smallest id at some time.
+    """
+    new = batch.withColumn("old", F.lit(False))
+    old = state.join(batch.select("digest").distinct(), "digest", "left_semi").select("digest", "part", "good", "toxic", "mask", "id", F.col("n").alias("n_at"), F.lit(0).cast("long").alias("n_over"), F.lit(True).alias("old"))
+    text = Window.partitionBy("digest")
+    return new.unionByName(old).withColumns({"least": F.min("id").over(text), "old_least": F.min(F.when(F.col("old"), F.col("id"))).over(text)})
+
+
+def changes(updated: DataFrame) -> DataFrame:
+    """What the rows of update() change in the counters."""
+    change = lambda copy, n: F.struct((F.col("mask").bitwiseOR(F.lit(COPY)) if copy else F.col("mask")).alias("mask"), n.alias("n"))
+    first = F.col("id").isNull() | (F.col("id") == F.col("least"))
+    fresh = F.array(change(False, F.when(first, F.col("n_at")).otherwise(0)), change(True, F.col("n_over") + F.when(first, 0).otherwise(F.col("n_at"))))
+    taken_back = F.col("old") & (F.col("id") == F.col("old_least")) & (F.col("least") < F.col("old_least"))
+    back = F.when(taken_back, F.array(change(False, -F.col("n_at")), change(True, F.col("n_at"))))
+    rows = updated.select("part", "good", "toxic", F.explode(F.when(F.col("old"), back).otherwise(fresh)).alias("c"))
+    return rows.groupBy("part", "good", "toxic", "c.mask").agg(F.sum("c.n").alias("n")).where("n <> 0")
 
 
-def keep_counters(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Run a stream of changes to its end; each batch's sums are written under target, a repeated batch over its own."""
+def keep_counters(stream: DataFrame, labels: DataFrame, root: str, text: str = "text", key: str = "doc_id", part: str = "lang") -> None:
+    """Run a stream of documents to its end; state, counters and checkpoint are kept under root, and a later run goes on from there."""
     spark = stream.sparkSession
-    spark.createDataFrame([], COUNTERS).write.mode("overwrite").parquet(f"{target}/batch=-1")
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.groupBy("part", "good", "toxic", "mask").agg(F.sum("n").alias("n")).where("n <> 0").coalesce(1).write.mode("overwrite").parquet(f"{target}/batch={number}")
+    def write(rows: DataFrame, number: int) -> None:
+        batch = written(reduced(rows, labels, key), f"{root}/rows")
+        earlier = [f"{root}/state/{n}" for n in range(number)]
+        state = spark.read.schema(STATE).parquet(*earlier) if earlier else spark.createDataFrame([], STATE)
+        updated = written(update(batch, state), f"{root}/updated")
+        held = updated.where(~F.col("old") & (F.col("id") == F.col("least"))).groupBy("digest", "part", "good", "toxic", "mask", "id").agg(F.sum("n_at").alias("n"))
+        held.write.mode("overwrite").parquet(f"{root}/state/{number}")
+        changes(updated).coalesce(1).write.mode("overwrite").parquet(f"{root}/counters/{number}")
 
-    before = {k: spark.conf.get(k, None) for k in _ROCKS}
-    for k, v in _ROCKS.items():
-        spark.conf.set(k, v)
-    try:  # the query takes the settings as they are when it starts
-        query = stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    query.awaitTermination()
+    slim = slim_rows(stream, text, key, part)
+    slim.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
 
 
-def counters(spark: SparkSession, target: str) -> DataFrame:
+def counters(spark: SparkSession, root: str) -> DataFrame:
     """The counters after the batches so far: how many documents of a part, good or not, toxic or not, fail just the filters of a mask."""
-    return spark.read.schema(COUNTERS).parquet(target).groupBy("part", "good", "toxic", "mask").agg(F.sum("n").alias("n")).where("n <> 0")
+    spark.createDataFrame([], COUNTERS).write.mode("overwrite").parquet(f"{root}/counters/none")
+    every = spark.read.schema(COUNTERS).option("recursiveFileLookup", True).parquet(f"{root}/counters")
+    return every.groupBy("part", "good", "toxic", "mask").agg(F.sum("n").alias("n")).where("n <> 0")
 
 
 def orders_of(filters: str = FILTERS) -> list[tuple[str, int, int, int]]:
@@ -198,9 +193,9 @@ def audit(spark: SparkSession, path: str, labels: DataFrame, text: str = "text",
     if files.getFileStatus(there).isFile():  # a stream reads folders
         reader, path = reader.option("pathGlobFilter", there.getName()), there.getParent().toString()
     stream = reader.parquet(path)
-    target = fresh_path(spark, "audit")
-    keep_counters(changes(stream, labels, text, key, part), target, fresh_path(spark, "audit-state"))
-    return report(counters(spark, target))
+    root = fresh_path(spark, "audit")
+    keep_counters(stream, labels, root, text, key, part)
+    return report(counters(spark, root))
 
 
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
