@@ -1,7 +1,7 @@
 """Full-text search as joins: postings, BM25, boolean and dis-max combinations, decay and distance.
 
 An index is two tables, postings (field, term, key, tf, length) and terms (field, term, idf), with the number
-of documents and mean length of each field. A clause is a table (q, key, score); a query combines clauses by
+of documents and mean length of each field; lexisift.operators.search_index writes, opens and grows them. A clause is a table (q, key, score); a query combines clauses by
 one aggregation over their union, so that many queries and clauses cost one shuffle.
 """
 
@@ -11,7 +11,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexisift.functions.arrays import haversine
@@ -24,36 +24,49 @@ DEGREE_METRES = 111_195.1
 
 @dataclass
 class Index:
+    """blocks and replaced are what lexisift.operators.search_index keeps beside the postings, if anything."""
+
     postings: DataFrame
     terms: DataFrame
     fields: DataFrame
+    blocks: DataFrame | None = None
+    replaced: DataFrame | None = None
 
 
-def build_index(df: DataFrame, key: str, fields: Mapping[str, Column]) -> Index:
-    """An index of analyzed fields; documents without terms in a field don't count for it."""
+def postings_of(df: DataFrame, key: str, fields: Mapping[str, Column]) -> DataFrame:
+    """(field, term, key, length, tf) of analyzed fields; documents without terms in a field have none."""
     each = df.select(F.col(key).alias("key"), F.inline(F.array(*[F.struct(F.lit(n).alias("field"), a.alias("items")) for n, a in fields.items()]))).where(F.size("items") > 0)
-    postings = each.select("key", "field", F.size("items").alias("length"), F.explode("items").alias("term")).groupBy("field", "term", "key", "length").agg(F.count("*").alias("tf"))
-    sizes = each.groupBy("field").agg(F.count("*").alias("documents"), F.avg(F.size("items")).alias("mean_length"))
-    counts = postings.groupBy("field", "term").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (F.col("documents") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    terms = counts.join(F.broadcast(sizes), "field").select("field", "term", idf.alias("idf"))  # as many rows as fields
-    return Index(postings, terms, sizes)
+    return each.select("key", "field", F.size("items").alias("length"), F.explode("items").alias("term")).groupBy("field", "term", "key", "length").agg(F.count("*").alias("tf"))
 
 
-def write_index(index: Index, path: str) -> None:
-    """Write an index to be searched many times: a folder for each field, its postings in order of their terms.
+def inverse_frequency() -> Column:
+    """BM25's weight of a term that df of so many documents hold."""
+    return F.log(1 + (F.col("documents") - F.col("df") + 0.5) / (F.col("df") + 0.5))
 
-    A search then reads only its fields' folders, and of those only row groups that may hold its terms.
-    """
-    ordered = index.postings.repartitionByRange("field", "term").sortWithinPartitions("field", "term", "key")
-    ordered.write.partitionBy("field").parquet(f"{path}/postings")
-    index.terms.write.partitionBy("field").parquet(f"{path}/terms")
-    index.fields.write.parquet(f"{path}/fields")
 
+def term_part(tf: Column, length: Column, norms: bool = True) -> Column:
+    """What a term's frequency gives in a document of a length, before the term's weight; without norms lengths don't count."""
+    scale = K1 * ((1 - B) + B * length / F.col("mean_length")) if norms else F.lit(K1)
+    return tf * (K1 + 1) / (tf + scale)
 
-def open_index(spark: SparkSession, path: str) -> Index:
-    kinds = {"postings": "term string, key long, length int, tf long, field string", "terms": "term string, idf double, field string", "fields": "field string, documents long, mean_length double"}
-    return Index(*[spark.read.schema(kind).parquet(f"{path}/{name}") for name, kind in kinds.items()])
+
+def build_index(df: DataFrame, key: str, fields: Mapping[str, Column]) -> Index:
+    """An index of analyzed fields; documents without terms in a field don't count for it."""
+    each = df.select(F.inline(F.array(*[F.struct(F.lit(n).alias("field"), F.size(a).alias("length")) for n, a in fields.items()]))).where("length > 0")
+    postings = postings_of(df, key, fields)
+    sizes = each.groupBy("field").agg(F.count("*").alias("documents"), F.avg("length").alias("mean_length"))
+    counts = postings.groupBy("field", "term").agg(F.count("*").alias("df"))
+    terms = counts.join(F.broadcast(sizes), "field").select("field", "term", inverse_frequency().alias("idf"))  # as many rows as fields
+    return Index(postings, terms, sizes)
+
+
+def of_few_terms(index: Index, terms: DataFrame, most: int = 1000) -> Index:
+    """The index narrowed to the terms that are asked for, where they are few: a filter that reaches the scan."""
+    asked = [r[0] for r in terms.select("term").distinct().limit(most + 1).collect()]
+    if len(asked) > most:
+        return index
+    few = F.col("term").isin(asked)
+    return Index(index.postings.where(few), index.terms.where(few), index.fields, None if index.blocks is None else index.blocks.where(few), index.replaced)
 
 
 def query_terms(df: DataFrame, q: str, items: Column) -> DataFrame:
@@ -67,8 +80,7 @@ def match(index: Index, terms: DataFrame, field: str, boost: float = 1.0, norms:
     postings = index.postings.where(F.col("field") == field)
     mean = index.fields.where(F.col("field") == field).select("mean_length")
     hits = rated.join(postings, "term").join(F.broadcast(mean))  # one row
-    scale = K1 * ((1 - B) + B * F.col("length") / F.col("mean_length")) if norms else F.lit(K1)
-    part = F.col("weight") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + scale)
+    part = F.col("weight") * F.col("idf") * term_part(F.col("tf"), F.col("length"), norms)
     return hits.groupBy("q", "key").agg((F.sum(part) * boost).alias("score"))
 
 
@@ -161,6 +173,30 @@ def gauss(clause: DataFrame, distances: DataFrame, scale: float, decay: float =
     return clause.join(distances, ["q", "key"]).select("q", "key", (F.col("score") * factor).alias("score"))
 
 
+def on_candidates(
+    hits: DataFrame, queries: DataFrame, q: str, documents: DataFrame, key: str, should: Sequence[tuple[Column, float]] = (), filters: Sequence[Column] = (), minimum: int = 0,
+    decay: tuple[Column, float] | None = None,
+) -> DataFrame:
+    """Clauses on what other clauses have found already: conditions on a query's columns, named q_..., and a document's.
+
+    Every hit that meets all filters and so many of should stays, with should's scores added and a bell curve of a distance
+    that is a half at its scale. Cheap clauses (equal values, distances) then list no pairs of their own. Hits whose distance is
+    unknown are left out.
+    """
+    asked = queries.select(F.col(q).alias("q"), *[F.col(c).alias(f"q_{c}") for c in queries.columns])
+    rows = hits.select("q", F.col("key").alias("_key"), F.col("score").alias("_score")).join(asked, "q").join(documents, F.col("_key") == F.col(key))
+    holds = [F.coalesce(c, F.lit(False)) for c, _ in should]
+    score = sum((F.when(h, float(b)).otherwise(0.0) for h, (_, b) in zip(holds, should, strict=True)), F.col("_score"))
+    if decay:
+        score = score * F.exp(math.log(0.5) * F.pow(decay[0] / decay[1], 2))
+        filters = [*filters, decay[0].isNotNull()]
+    n = sum((h.cast("int") for h in holds), F.lit(0))
+    kept = rows.where(n >= minimum)
+    for f in filters:
+        kept = kept.where(f)
+    return kept.select("q", F.col("_key").alias("key"), score.alias("score"))
+
+
 def _tagged(kinds: Mapping[str, Sequence[DataFrame]]) -> DataFrame:
     out = None
     for kind, clauses in kinds.items():

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexisift.functions import analyzers as X
+from lexisift.functions.arrays import haversine
 from lexisift.operators import relational
 from lexisift.operators import search as S
+from lexisift.operators import search_index as SI
 from lexisift.plans.registry import query
 from lexisift.sources.shared import fresh_path
+from lexisift.streaming import publication
 
 FIELDS = {"name": "p_name", "type": "p_type", "every": "p_name || ' ' || p_type"}
 ASKED = "p_partkey % 100 = 0"
@@ -65,33 +68,57 @@ def _top(c: str, k: int = 10) -> str:
     return f"{CTES} SELECT q, k AS key, score, CAST(rank AS INTEGER) AS rank FROM (SELECT q, k, round(score, 6) AS score, row_number() OVER (PARTITION BY q ORDER BY round(score, 6) DESC, k) AS rank FROM ({c})) WHERE rank <= {k}"
 
 
-#: Where the register's index was written, by session and folder of tables.
-_indexes: dict[tuple[str, str], str] = {}
+#: Where the register's index was written, by session, folder of tables and version of the register.
+_indexes: dict[tuple[str, ...], str] = {}
 
 
-def _written_index(spark, folder: str, build) -> str:
-    """The path of an index that is built once and then searched by every clause and query."""
-    key = spark.sparkContext.applicationId, folder
-    if key not in _indexes:
-        path = fresh_path(spark, "register-index")
-        S.write_index(build(), path)
+def _written_index(t, build) -> str:
+    """The path of an index that is built once for a version of the register and then searched by every clause and query."""
+    key = t.spark.sparkContext.applicationId, t.folder, SI.table_version(t.spark, f"{t.folder}/part.parquet")
+    if key not in _indexes or not SI.exists(t.spark, f"{_indexes[key]}/fields/_SUCCESS"):
+        path = fresh_path(t.spark, "register-index")
+        SI.write_index(build(), path)
         _indexes[key] = path
     return _indexes[key]
 
 
+def _words(c):
+    return F.filter(F.split(F.lower(c), " "), lambda w: w != "")
+
+
+ITEMS = {"name": "p_name", "type": "p_type", "every": "every"}
+DISTANCE = haversine(F.col("q_lat"), F.col("q_lon"), F.col("lat"), F.col("lon"))
+SAME_BRAND, SAME_SIZE, SAME_KIND = F.col("q_p_brand") == F.col("p_brand"), F.col("q_p_size") == F.col("p_size"), F.left("q_p_type", F.lit(3)) == F.left("p_type", F.lit(3))
+
+
 class Register:
     """The register's index and the clauses of every return."""
 
     def __init__(self, t):
         parts = t.part.withColumns({"lat": F.expr(LAT).cast("double"), "lon": F.expr(LON).cast("double"), "lname": F.lower("p_name"), "every": F.concat_ws(" ", "p_name", "p_type")})
-        words = lambda c: F.filter(F.split(F.lower(c), " "), lambda w: w != "")
         self.parts, self.asked = parts, parts.where(ASKED)
-        items = {"name": words("p_name"), "type": words("p_type"), "every": words("every")}
-        self.index = S.open_index(t.spark, _written_index(t.spark, t.folder, lambda: S.build_index(parts, "p_partkey", items)))
+        items = {f: _words(F.col(c)) for f, c in ITEMS.items()}
+        self.index = SI.open_index(t.spark, _written_index(t, lambda: S.build_index(parts, "p_partkey", items)))
         self.terms = {f: S.query_terms(self.asked, "p_partkey", c) for f, c in items.items()}
+        self.narrowed = {}
+
+    def of(self, f):
+        """The index of the terms that are asked of a field."""
+        if f not in self.narrowed:
+            self.narrowed[f] = S.of_few_terms(self.index, self.terms[f])
+        return self.narrowed[f]
+
+    def best(self, f, boost=1.0, k=10):
+        return SI.top_match(self.of(f), self.terms[f], f, k, boost)
+
+    def best_fuzzy(self, f, k=10):
+        return SI.top_match(self.index, S.fuzzy_terms(self.index, self.terms[f], f), f, k)
+
+    def on(self, hits, **clauses):
+        return S.on_candidates(hits, self.asked, "p_partkey", self.parts, "p_partkey", **clauses)
 
     def match(self, f, boost=1.0):
-        return S.match(self.index, self.terms[f], f, boost)
+        return S.match(self.of(f), self.terms[f], f, boost)
 
     def fuzzy(self, f, boost=1.0):
         return S.match(self.index, S.fuzzy_terms(self.index, self.terms[f], f), f, boost)
@@ -120,14 +147,19 @@ def _search(name: str, sql: str, f, k: int = 10):
     query(name, _top(sql, k))(lambda t: S.top(f(Register(t)), k))
 
 
+def _best(name: str, sql: str, f):
+    """A search whose hits are its best ten already."""
+    query(name, _top(sql))(lambda t: f(Register(t)))
+
+
 NAME, TYPE, EVERY = "SELECT * FROM s_name", "SELECT * FROM s_type", "SELECT * FROM s_every"
 FUZZY = "SELECT * FROM z_name"
 
-_search("Q1_match", NAME, lambda r: r.match("name"))
+_best("Q1_match", NAME, lambda r: r.best("name"))
 _search("Q2_best_fields", _max([_boosted("s_name", 2), TYPE], 0), lambda r: S.dis_max([r.match("name", 2), r.match("type")]))
 _search("Q3_most_fields", _max([_boosted("s_name", 2), TYPE], 1), lambda r: S.dis_max([r.match("name", 2), r.match("type")], 1.0))
-_search("Q4_boost", _boosted("s_type", 3), lambda r: r.match("type", 3))
-_search("Q5_fuzzy", FUZZY, lambda r: r.fuzzy("name"))
+_best("Q4_boost", _boosted("s_type", 3), lambda r: r.best("type", 3))
+_best("Q5_fuzzy", FUZZY, lambda r: r.best_fuzzy("name"))
 
 
 @query("Q6_zero_terms", f"SELECT a.p_partkey AS q, b.p_partkey AS key, 1e0 AS score FROM part a JOIN part b ON a.{ASKED} AND a.p_partkey % 1000 = 0")
@@ -139,11 +171,11 @@ def _(t):
 
 _search("Q7_must", _bool(must=[NAME, TYPE]), lambda r: S.boolean(must=[r.match("name"), r.match("type")]))
 _search("Q8_should_minimum", _bool(should=[NAME, "SELECT * FROM brand", "SELECT * FROM size"], minimum=2), lambda r: S.boolean(should=[r.match("name"), r.equal("p_brand"), r.equal("p_size")], minimum=2))
-_search("Q9_filter", _bool(must=[NAME], filters=["SELECT * FROM brand"]), lambda r: S.boolean(must=[r.match("name")], filters=[r.equal("p_brand")]))
+_search("Q9_filter", _bool(must=[NAME], filters=["SELECT * FROM brand"]), lambda r: r.on(r.match("name"), filters=[SAME_BRAND]))
 _search("Q10_dis_max", _max([NAME, TYPE, "SELECT * FROM brand"], 0.5), lambda r: S.dis_max([r.match("name"), r.match("type"), r.equal("p_brand")], 0.5))
 _search("Q11_term", _boosted("brand", 4), lambda r: r.equal("p_brand", 4))
 _search("Q12_wildcard", "SELECT * FROM kind", lambda r: r.kind())
-_search("Q13_gauss_decay", _gauss(NAME, 100000), lambda r: S.gauss(r.match("name"), r.near(2_000_000), 100000))
+_search("Q13_gauss_decay", _gauss(NAME, 100000), lambda r: r.on(r.match("name"), decay=(DISTANCE, 100000)))
 query("Q14_geo_distance", f"{CTES} SELECT q, k AS key, round(distance, 3) AS distance FROM dist WHERE distance <= 30000")(lambda t: Register(t).near(30000).withColumn("distance", F.round("distance", 3)))
 _search("Q15_keyword_fuzzy", "SELECT * FROM kw", lambda r: r.keyword())
 _search("Q16_graded_codes", "SELECT * FROM code", lambda r: r.codes())
@@ -154,7 +186,7 @@ query("Q18_highlight", "SELECT p_partkey, array_to_string(list_transform(string_
 
 
 def _templates(r):
-    return {"name": S.top(r.match("name")), "type": S.top(r.match("type")), "code": S.top(r.codes())}
+    return {"name": r.best("name"), "type": r.best("type"), "code": S.top(r.codes())}
 
 
 def _union(*parts) -> str:
@@ -163,22 +195,22 @@ def _union(*parts) -> str:
 
 ECHOES = _union(("name", NAME), ("type", TYPE), ("code", "SELECT * FROM code"))
 query("Q19_multi_search", f"{CTES} {ECHOES}")(lambda t: S.echoes(_templates(Register(t))))
-_search("Q20_without_self", f"SELECT * FROM ({NAME}) WHERE q <> k", lambda r: S.without_self(r.match("name")))
+_search("Q20_without_self", f"SELECT * FROM ({NAME}) WHERE q <> k", lambda r: S.without_self(r.best("name", k=11)))
 query("Q21_echo_counts", f"{CTES} SELECT q, key, count(*) AS nb FROM ({ECHOES}) GROUP BY q, key")(lambda t: S.echo_counts(S.echoes(_templates(Register(t)))))
 query("J17_candidate_join", f"{CTES} SELECT q, k AS key FROM s_name")(lambda t: Register(t).match("name").select("q", "key"))
 query("J18_geo_join", f"{CTES} SELECT q, k AS key FROM dist WHERE distance <= 100000")(lambda t: Register(t).near(100000).select("q", "key"))
 
 BRAND, SIZE, KIND, ACRO = "SELECT * FROM brand", "SELECT * FROM size", "SELECT * FROM kind", "SELECT * FROM acro"
-_search("T1_fuzzy_name_and_address", _bool(must=[_max([FUZZY, "SELECT * FROM z_type"], 0)], should=[BRAND, SIZE, KIND], minimum=2), lambda r: S.boolean(must=[S.dis_max([r.fuzzy("name"), r.fuzzy("type")])], should=[r.equal("p_brand"), r.equal("p_size"), r.kind()], minimum=2))
-_search("T2_fuzzy_name_and_point", _gauss(_bool(must=[FUZZY], filters=[_within(50000)]), 10000), lambda r: S.gauss(S.boolean(must=[r.fuzzy("name")], filters=[r.near(50000)]), r.near(50000), 10000))
-_search("T3_exact_name_and_address", _bool(must=["SELECT * FROM kw"], should=[BRAND, SIZE, KIND], minimum=2), lambda r: S.boolean(must=[r.keyword()], should=[r.equal("p_brand"), r.equal("p_size"), r.kind()], minimum=2))
-_search("T4_exact_name_and_point", _gauss(_bool(must=["SELECT * FROM kw"], filters=[_within(80000)]), 20000), lambda r: S.gauss(S.boolean(must=[r.keyword()], filters=[r.near(80000)]), r.near(80000), 20000))
+_search("T1_fuzzy_name_and_address", _bool(must=[_max([FUZZY, "SELECT * FROM z_type"], 0)], should=[BRAND, SIZE, KIND], minimum=2), lambda r: r.on(S.dis_max([r.fuzzy("name"), r.fuzzy("type")]), should=[(SAME_BRAND, 1), (SAME_SIZE, 1), (SAME_KIND, 1)], minimum=2))
+_search("T2_fuzzy_name_and_point", _gauss(_bool(must=[FUZZY], filters=[_within(50000)]), 10000), lambda r: r.on(r.fuzzy("name"), filters=[DISTANCE <= 50000], decay=(DISTANCE, 10000)))
+_search("T3_exact_name_and_address", _bool(must=["SELECT * FROM kw"], should=[BRAND, SIZE, KIND], minimum=2), lambda r: r.on(r.keyword(), should=[(SAME_BRAND, 1), (SAME_SIZE, 1), (SAME_KIND, 1)], minimum=2))
+_search("T4_exact_name_and_point", _gauss(_bool(must=["SELECT * FROM kw"], filters=[_within(80000)]), 20000), lambda r: r.on(r.keyword(), filters=[DISTANCE <= 80000], decay=(DISTANCE, 20000)))
 _search("T5_shoulds_with_acronym", _bool(should=[NAME, TYPE, ACRO, KIND]), lambda r: S.boolean(should=[r.match("name"), r.match("type"), r.acronym(), r.kind()]))
 _search("T6_catch_all", _bool(should=[_boosted("s_every", 10), _boosted("brand", 7), _boosted("kind", 5), SIZE]), lambda r: S.boolean(should=[r.match("every", 10), r.equal("p_brand", 7), r.kind(5), r.equal("p_size")]))
 _search("T7_filtered_domain", _bool(should=[_boosted("acro", 5), _boosted("brand", 10), _boosted("kind", 5), TYPE], filters=[NAME]), lambda r: S.boolean(should=[r.acronym(5), r.equal("p_brand", 10), r.kind(5), r.match("type")], filters=[r.match("name")]))
 _search("T8_catch_all_and_point", _gauss(_bool(should=[_boosted("s_every", 10), _boosted("size", 20)], filters=[_within(100000)], minimum=1), 10000), lambda r: S.gauss(S.boolean(should=[r.match("every", 10), r.equal("p_size", 20)], filters=[r.near(100000)], minimum=1), r.near(100000), 10000))
-_search("T9_name_near", _gauss(_bool(must=[NAME], should=[KIND], filters=[_within(200000)]), 50000), lambda r: S.gauss(S.boolean(must=[r.match("name")], should=[r.kind()], filters=[r.near(200000)]), r.near(200000), 50000))
-_search("T10_catch_all_near", _gauss(_bool(must=[EVERY], filters=[_within(200000)]), 50000), lambda r: S.gauss(S.boolean(must=[r.match("every")], filters=[r.near(200000)]), r.near(200000), 50000))
+_search("T9_name_near", _gauss(_bool(must=[NAME], should=[KIND], filters=[_within(200000)]), 50000), lambda r: r.on(r.match("name"), should=[(SAME_KIND, 1)], filters=[DISTANCE <= 200000], decay=(DISTANCE, 50000)))
+_search("T10_catch_all_near", _gauss(_bool(must=[EVERY], filters=[_within(200000)]), 50000), lambda r: r.on(r.match("every"), filters=[DISTANCE <= 200000], decay=(DISTANCE, 50000)))
 
 
 def _robust(tie):
@@ -189,9 +221,25 @@ def _robust(tie):
 _search("T11_robust_return", *_robust(0.5))
 _search("T12_robust_register", *_robust(0.7))
 query("T13_by_id", "SELECT p_partkey AS q, p_partkey AS key FROM part WHERE p_partkey % 100 = 0")(lambda t: Register(t).equal("p_partkey").select("q", "key"))
-_search("T14_simple", _bool(must=[NAME], should=[BRAND]), lambda r: S.boolean(must=[r.match("name")], should=[r.equal("p_brand")]))
+_search("T14_simple", _bool(must=[NAME], should=[BRAND]), lambda r: r.on(r.match("name"), should=[(SAME_BRAND, 1)]))
 _search("T15_graded_variant", _bool(must=[NAME], should=["SELECT * FROM code"]), lambda r: S.boolean(must=[r.match("name")], should=[r.codes()]))
-_search("T16_legacy_variant", _gauss(_bool(must=[NAME], filters=[_within(300000)]), 10000), lambda r: S.gauss(S.boolean(must=[r.match("name")], filters=[r.near(300000)]), r.near(300000), 10000))
+_search("T16_legacy_variant", _gauss(_bool(must=[NAME], filters=[_within(300000)]), 10000), lambda r: r.on(r.match("name"), filters=[DISTANCE <= 300000], decay=(DISTANCE, 10000)))
+
+
+@query("R1_search_after_publication", _top(NAME))
+def _(t):
+    """The best ten by name after the register was published in three batches, with replaced records and one that came too late."""
+    r = Register(t)
+    records = r.parts.select("p_partkey", "p_name", F.lit(2).alias("published"))
+    draft = records.select("p_partkey", F.concat(F.lit("draft "), F.col("p_name")).alias("p_name"), F.lit(1).alias("published"))
+    third = lambda n: F.col("p_partkey") % 3 == n
+    batches = [draft.where(~third(2)), records.where(~third(0)), records.where(third(0)).union(draft.where(third(1)))]
+    folder = fresh_path(t.spark, "returns")
+    for b in batches:  # a file each, taken in this order
+        b.coalesce(1).write.mode("append").parquet(folder)
+    index = SI.SegmentedIndex(t.spark, fresh_path(t.spark, "published-index"), {"name": _words(F.col("p_name"))}, "p_partkey")
+    publication.publish_to_index(publication.file_stream(t.spark, folder, records.schema), index, fresh_path(t.spark, "index-state"), compact_every=2).awaitTermination()
+    return SI.top_match(index.open(), r.terms["name"], "name")
 
 
 @query("S25_random_document", "SELECT c_custkey FROM customer ORDER BY c_custkey * 7919 % 10007, c_custkey LIMIT 1")

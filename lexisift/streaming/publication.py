@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lexisift.operators.search_index import SegmentedIndex
 from lexisift.sources.shared import fresh_path
 
 
@@ -27,6 +28,20 @@ def publish(stream: DataFrame, target: str, checkpoint: str, key: str) -> Stream
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def publish_to_index(stream: DataFrame, index: SegmentedIndex, checkpoint: str, compact_every: int = 16) -> StreamingQuery:
+    """Take each batch's records into a search index as a segment; what is searched next finds them.
+
+    Every so many batches the segments are compacted. A repeated batch writes its segment anew.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        index.add(batch, number)
+        if (number + 1) % compact_every == 0:
+            index.compact()
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def latest(spark: SparkSession, target: str, key: str) -> DataFrame:
     rows = spark.read.parquet(target).drop("part")
     return rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != key]), F.struct("published", "batch")).alias("r")).select(key, "r.*")
