@@ -83,3 +83,60 @@ def test_wrapping_forms_and_names_in_articles():
     math = "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation encoding='tex'>x=1</annotation></math>"
     assert main_text(f"<body><article><p>{text}Then {math} holds.</article>") == f"{want} Then x=1 holds."
     assert main_text(f"<body><article><p>{text}<map name=m>a<area></map> b</article>") == f"{want} a b"
+
+
+TEXT = "A paragraph of the article that is long enough to be one. " * 4
+WANT = TEXT.strip()
+POST = "Some reader wrote this post, which is as long as a paragraph of the article is. " * 4
+
+
+def test_wrappers_named_like_boilerplate_keep_their_article():
+    for wrapped in (
+        f"<div class='widget'><article><p>{TEXT}</article></div>",
+        f"<section class='social'><main><p>{TEXT}</main></section>",
+        f"<div class='nav'><div class='banner'><article><p>{TEXT}</article></div></div>",
+        f"<div class='sidebar'><article><p>Short words of a teaser in the sidebar.</article></div><div class='promo'><article><p>{TEXT}</article></div>",
+    ):
+        assert main_text(f"<body>{wrapped}<div class='widget'>Weather today</div>") == WANT
+
+
+def test_a_title_in_a_banner_stays_unless_the_article_has_one():
+    assert main_text(f"<body><div id='banner'><p>Since 1899</p><h1>Title</h1></div><article><p>{TEXT}</article>") == f"Title\n\n{WANT}"
+    assert main_text(f"<body><div id='banner'><h1>Site</h1></div><article><h1>Title</h1><p>{TEXT}</article>") == f"Title\n\n{WANT}"
+    assert main_text(f"<body><div id='top'><div><h1>Title</h1></div></div><article><p>{TEXT}</article>") == f"Title\n\n{WANT}"
+    assert main_text(f"<body><div id='top'><h1><a href='/'>Site</a></h1></div><article><p>{TEXT}</article>") == WANT
+
+
+def test_threads_longer_than_the_article_go():
+    posts = "".join(f"<p>{POST}</p>" for _ in range(8))
+    for name in ("user-comments", "comments", "comment-list", "comments-area", "reader-replies", "disqus"):
+        for tag in ("section", "div", "ul"):
+            assert main_text(f"<body><article><p>{TEXT}</article><{tag} class='{name}'>{posts}</{tag}>") == WANT
+            assert main_text(f"<body><article><p>{TEXT}<{tag} class='{name}'>{posts}</{tag}></article>") == WANT
+    each = "".join(f"<div><b>Ann</b> <time>12 May 2020</time><p>{POST}</p></div>" for _ in range(10))
+    assert main_text(f"<body><article><p>{TEXT}</article><div>{each}</div>") == WANT
+    as_articles = "".join(f"<article class='comment'><p>{POST}</p></article>" for _ in range(3))
+    assert main_text(f"<body><article><p>{TEXT}</article>{as_articles}") == WANT
+
+
+def test_all_articles_of_a_page_stay_but_teasers():
+    three = "".join(f"<article><h2>Title {n}</h2><p>{TEXT * n}</article>" for n in (1, 3, 2))
+    teasers = "".join(f"<article><h3><a href='/{n}'>Another story {n}</a></h3><p>What it is about.</article>" for n in range(4))
+    want = [x for n in (1, 3, 2) for x in (f"Title {n}", (TEXT * n).strip())]
+    assert main_text(f"<body>{three}<div>{teasers}</div>").split("\n\n") == want
+    assert main_text(f"<body><div><div>{three}</div></div>{teasers}").split("\n\n") == want
+
+
+def test_phrasing_elements_do_not_cut_blocks():
+    for odd in ("<button>x</button>", "<canvas>x</canvas>", "<input>", "<script>x</script>", "<svg><text>x</text></svg>", "<select><option>x</select>", "<object>x</object>", "<audio><source>x</audio>"):
+        assert main_text(f"<body><article><p>{TEXT}one {odd} two</p><p>three</p></article>") == f"{WANT} one two\n\nthree"
+
+
+def test_paragraphs_and_quotations_named_like_comments_stay():
+    for own in ("<p class='reply'>The board answered.</p>", "<blockquote class='comment'>The board answered.</blockquote>", "<blockquote class='comment'><p>The board answered.</p></blockquote>"):
+        assert main_text(f"<body><article><p>{TEXT}</p>{own}<p>{TEXT}</article>") == f"{WANT}\n\nThe board answered.\n\n{WANT}"
+
+
+def test_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    assert op4_html_density(spark, str(tmp_path)).collect() == []
