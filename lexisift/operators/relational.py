@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexisift.operators.vectors import nearest
 from lexisift.sources.shared import written
 
 #: Multiplier of the deterministic split; a fixed odd number that spreads consecutive keys.
@@ -129,18 +130,31 @@ def grouped_split(df: DataFrame, key: str, percent: int, part: str) -> DataFrame
     return df.withColumn(part, F.when((F.col(key) * SPREAD) % 100 < percent, "train").otherwise("test"))
 
 
-def oversample(df: DataFrame, label: str, key: str, features: str) -> DataFrame:
-    """Smaller classes filled up to the largest with points between two members, picked by rank and round.
+def oversample(df: DataFrame, label: str, key: str, features: str, neighbours: int = 5, seed: int = 0) -> DataFrame:
+    """(label, features, synthetic): df, and its smaller classes filled up to the largest with points between neighbours.
 
-    Each new point lies between a row and the next of its class by key; no class is brought to one task's memory.
+    A new point lies between a member and one of its nearest in the class by Euclidean distance (ties by key). Members take
+    turns in a spread order of their keys; which neighbour and how far between them follow from key, turn and seed by whole-number
+    arithmetic, so the same points come out wherever it runs. The numbering is by range partitions and the neighbours are
+    searched by blocks: no class comes to one task. Keys are unique whole numbers; classes are few; a class of one member
+    is repeated; rows without a label, key or features stay as they are and make no points.
     """
-    sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
+    rows = df.where(F.col(label).isNotNull() & F.col(key).isNotNull() & F.col(features).isNotNull()).select(F.col(label).alias("_label"), F.col(key).cast("long").alias("_key"), F.col(features).alias("_x"))
+    sizes = rows.groupBy("_label").agg(F.count("*").alias("_n"))
     most = sizes.agg(F.max("_n").alias("_most"))
-    ordered = Window.partitionBy(label).orderBy(key)
-    rows = df.withColumn("_i", F.row_number().over(ordered) - 1).withColumn("_next", F.coalesce(F.lead(features).over(ordered), F.col(features)))
-    rows = rows.join(sizes, label).join(F.broadcast(most))  # one row
-    rounds = F.floor((F.col("_most") - F.col("_n") - 1 - F.col("_i")) / F.col("_n")) + 1
-    more = rows.where(F.col("_most") - F.col("_n") > F.col("_i")).withColumn("_round", F.explode(F.sequence(F.lit(1).cast("long"), rounds.cast("long"))))
-    share = F.lit(1.0) / (F.col("_round") + 1)
-    between = F.zip_with(features, "_next", lambda a, b: a + (b - a) * share)
-    return df.select(label, features, F.lit(False).alias("synthetic")).union(more.select(label, between.alias(features), F.lit(True)))
+    placed = numbered(rows.withColumn("_spread", (F.col("_key") * 7919) % 10007), ["_label", "_spread", "_key"], "_place", 0)
+    firsts = placed.groupBy("_label").agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
+    turns = placed.join(F.broadcast(firsts), "_label").join(F.broadcast(most))  # as many rows as classes, and one
+    place, missing = F.col("_place") - F.col("_first"), F.col("_most") - F.col("_n")
+    turns = turns.withColumn("_turns", F.floor((missing - place - 1) / F.col("_n")) + 1).where("_turns > 0")
+    near = nearest(rows, rows, "_key", "_x", neighbours, metric="euclidean", within="_label")
+    lists = near.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", F.col("_key").alias("other")))).alias("_near"))
+    new = turns.join(lists, F.col("_key") == F.col("query_id"), "left").withColumn("_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_turns").cast("long"))))
+    number = F.pmod(F.col("_key") * SPREAD + F.col("_turn") * 97003 + seed, F.lit(1_000_003))
+    size = F.coalesce(F.nullif(F.size("_near"), F.lit(-1)), F.lit(0))
+    new = new.withColumns({"_number": number, "_other": F.when(size > 0, F.get("_near", (number % size).cast("int"))["other"]).otherwise(F.col("_key"))})
+    ends = rows.select(F.col("_key").alias("_other"), F.col("_x").alias("_y"))
+    share = F.floor(F.col("_number") / 7) % 1000 / 1000.0
+    between = F.zip_with("_x", "_y", lambda a, b: a + (b - a) * share)
+    made = new.join(ends, "_other").select(F.col("_label").alias(label), between.alias(features), F.lit(True).alias("synthetic"))
+    return df.select(label, features, F.lit(False).alias("synthetic")).union(made)

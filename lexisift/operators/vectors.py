@@ -9,9 +9,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexisift.sources.shared import written
 
 #: Rows of a block of vectors.
 DATA_BLOCK = 8192
+#: Vectors for each pivot, and pivots at most: they're held by the driver and every task.
+CELL, MOST_PIVOTS = 1024, 4096
+#: Queries of a block that are compared with one copy of its vectors.
+QUERY_CHUNK = 32_768
+#: Rows that are compared with all pivots, or a block, at once.
+ROWS_AT_ONCE = 512
+#: Scores are compared when rounded to six digits.
+MARGIN = 2e-6
 
 
 def doubles(v: Column) -> Column:
@@ -93,45 +102,171 @@ def pairwise(queries: DataFrame, vectors: DataFrame, key: str, vector: str, meas
     return measured(queries, vectors, key, vector, measure).where(F.col(key) < F.col("query_id"))
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int, digits: int = 6, block: int = 1024) -> DataFrame:
-    """query_id, key, similarity, rank: each query's k nearest by cosine, itself excluded, ties by key.
+def _points(df: DataFrame, key: str, vector: str, within: str | None) -> DataFrame:
+    """(kind, key, v) of a table of vectors."""
+    kind = F.coalesce(F.col(within).cast("string"), F.lit("")) if within else F.lit("")
+    return df.select(kind.alias("kind"), F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("v")).where("v IS NOT NULL")
 
-    A group is a block of queries and a block of vectors, each of about a fixed number of rows whatever the tables' sizes;
-    it keeps k of its vectors for each query, and what the groups keep is ranked by a window that itself starts in each task.
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1) - 2 * (x @ y.T), 0))
+
+
+def _in_space(x: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors as points between which distances are taken, and which rows of x those are: zero (by cosine) and non-finite ones go."""
+    length = np.sqrt((x * x).sum(1)) if metric == "cosine" else np.ones(len(x))
+    fine = np.isfinite(x).all(1) & np.isfinite(length) & (length > 0)
+    return x[fine] / length[fine][:, None], np.flatnonzero(fine)
+
+
+def _in_cells(points: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
+    """Points with the cell of their nearest pivot and how far that is."""
+
+    def place(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                x, rows = _in_space(_matrix(part.column("v")), metric)
+                if len(x):
+                    far = _distances(x, pivots)
+                    cell = far.argmin(1)
+                    kept = part.take(pa.array(rows))
+                    v = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), x.ravel())
+                    yield pa.RecordBatch.from_arrays([kept.column("kind"), kept.column("key"), v, pa.array(cell, pa.int32()), pa.array(far[np.arange(len(cell)), cell])], ["kind", "key", "v", "cell", "far"])
+
+    return points.mapInArrow(place, "kind string, key long, v array<double>, cell int, far double")
+
+
+def _searched(sent: DataFrame, data: DataFrame, chunks: DataFrame | None, k: int, digits: int, metric: str) -> DataFrame:
+    """sent's queries (block, kind, key, v) with near: their k best (score, key) of the data of their block, best first.
+
+    Data are sent once, or once for each chunk of a block's queries (block, chunks), where those are many.
+    """
+
+    def search(group: pa.Table) -> pa.Table:
+        asks = group.column("asks").to_numpy()
+        keys, x = group.column("key").to_numpy(), _matrix(group.column("v").combine_chunks())
+        order = np.argsort(keys[~asks], kind="stable")
+        names, there = keys[~asks][order], x[~asks][order]
+        asking = np.flatnonzero(asks)
+        scores, others, sizes = [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+        for at in range(0, len(asking), ROWS_AT_ONCE):
+            rows = asking[at : at + ROWS_AT_ONCE]
+            score = np.round(x[rows] @ there.T if metric == "cosine" else -_exact(x[rows], there), digits)
+            score[keys[rows][:, None] == names] = -np.inf
+            best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+            held = np.take_along_axis(score, best, 1)
+            kept = held > -np.inf
+            scores.append(held[kept])
+            others.append(names[best[kept]])
+            sizes.append(kept.sum(1))
+        own = group.filter(pa.array(asks))
+        pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(scores)), pa.array(np.concatenate(others))], ["score", "key"])
+        near = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()), pairs)
+        return pa.table([own.column("block"), own.column("kind"), own.column("key"), own.column("v"), near], ["block", "kind", "key", "v", "near"])
+
+    one = F.lit(0).cast("long")
+    if chunks is None:
+        sent, data = sent.withColumn("chunk", one), data.withColumn("chunk", one)
+    else:
+        sent = sent.join(F.broadcast(chunks), "block").withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks")).drop("chunks")  # a row for each block
+        data = data.join(F.broadcast(chunks), "block").withColumn("chunk", F.explode(F.sequence(one, F.col("chunks") - 1))).drop("chunks")
+    columns = ["block", "chunk", "kind", "key", "v"]
+    both = sent.select(F.lit(True).alias("asks"), *columns).unionByName(data.select(F.lit(False).alias("asks"), *columns))
+    return both.groupBy("block", "chunk").applyInArrow(search, "block int, kind string, key long, v array<double>, near array<struct<score: double, key: bigint>>")
+
+
+def _exact(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances from differences: equal rows are at 0 exactly."""
+    return np.stack([np.sqrt(((y - row) ** 2).sum(1)) for row in x])
+
+
+def nearest(
+    queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int, digits: int = 6, metric: str = "cosine", within: str | None = None,
+    cell: int = CELL, block: int = DATA_BLOCK, copies: list | None = None,
+) -> DataFrame:
+    """query_id, key, similarity, rank: each query's k nearest by cosine, itself excluded, ties by key; exact.
+
+    metric "euclidean" gives distance instead of similarity. within: a column that a query and its neighbours agree in, with few
+    values. Vectors have one length.
+
+    Pivots, a sample of up to MOST_PIVOTS vectors, split the vectors into cells, and large cells into blocks. A query is first
+    compared with a block of its own cell, which gives a radius that holds k vectors. It's then sent to just the blocks of cells
+    that the radius reaches, by the triangle inequality through a cell's pivot and radius, and through the plane
+    between the query's pivot and the cell's. Vectors stay in their blocks. In data without structure all cells are within
+    reach, and the search is between all blocks. copies, if given, gets the DataFrame of (key, block) that are sent.
     """
     spark = vectors.sparkSession
-    cells = vectors.select(F.col(key).cast("long").alias("key"), doubles(F.col(vector)).alias("v")).where("v IS NOT NULL")
-    n = vectors.count()
-    parts = max(1, -(-n // DATA_BLOCK), min(spark.sparkContext.defaultParallelism, -(-n // 256)))
-    blocks = max(1, -(-queries.count() // block))
-    asked = queries.select(F.col(key).cast("long").alias("key"), doubles(F.col(vector)).alias("v"), F.pmod(F.xxhash64(key), F.lit(blocks)).alias("block")).where("v IS NOT NULL")
-    sent = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select(F.lit(True).alias("asks"), "part", "block", "key", "v")
-    there = cells.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(F.lit(False).alias("asks"), "part", F.col("block").cast("long"), "key", "v")
-
-    def run(group: pa.Table) -> pa.Table:
-        asks = np.array(group.column("asks").to_pylist())
-        keys = group.column("key").to_numpy()
-        x = group.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(keys), -1)
-        out = pa.schema([("query_id", pa.int64()), ("key", pa.int64()), ("similarity", pa.float64())])
-        if not asks.any() or asks.all():
-            return pa.table([pa.array([], f.type) for f in out], schema=out)
-        order = np.argsort(keys[~asks])
-        near, names = x[~asks][order], keys[~asks][order]
-        q = x[asks]
-        lengths = np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(near, axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            score = np.round(q @ near.T / lengths, digits)
-        score[(keys[asks][:, None] == names) | ~np.isfinite(score)] = -np.inf
-        best = np.argsort(-score, axis=1, kind="stable")[:, :k]
-        rows = np.arange(len(q))[:, None]
-        kept = score[rows, best]
-        fine = kept > -np.inf
-        who = np.broadcast_to(keys[asks][:, None], best.shape)
-        return pa.table([pa.array(who[fine]), pa.array(names[best][fine]), pa.array(kept[fine])], schema=out)
-
-    found = sent.unionByName(there).groupBy("part", "block").applyInArrow(run, "query_id long, key long, similarity double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "key"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).withColumnRenamed("key", key)
+    points = _points(vectors, key, vector, within)
+    n = points.count()
+    wanted = min(MOST_PIVOTS, max(1, -(-n // cell), min(spark.sparkContext.defaultParallelism, n // 256)))
+    sample = [r[0] for r in points.orderBy(F.xxhash64("key"), "key").limit(wanted).select("v").collect()]
+    value = "similarity" if metric == "cosine" else "distance"
+    if not n:
+        return spark.createDataFrame([], f"query_id long, key long, {value} double, rank int").withColumnRenamed("key", key)
+    pivots = _in_space(np.array(sample, float), metric)[0]
+    pivots = pivots if len(pivots) else np.zeros((1, len(sample[0])))
+    placed = written(_in_cells(points, pivots, metric), "cells")
+    asked = placed if queries.sameSemantics(vectors) else written(_in_cells(_points(queries, key, vector, within), pivots, metric), "asked")
+    there = placed.groupBy("kind", "cell").agg(F.count("*").alias("n"), F.max("far").alias("radius")).orderBy("kind", "cell").collect()  # a row for each kind and pivot at most
+    blocks, places = [], {}
+    for kind, c, size, radius in there:
+        parts = -(-size // block)
+        places.setdefault(kind, []).append((c, radius, len(blocks), parts))
+        blocks += [(kind, c, len(blocks), parts)]
+        blocks += [None] * (parts - 1)
+    starts = F.broadcast(spark.createDataFrame([b for b in blocks if b], "kind string, cell int, first int, parts int"))
+    own = (F.col("first") + F.pmod(F.xxhash64("key"), "parts")).cast("int").alias("block")
+    data = placed.join(starts, ["kind", "cell"]).select(own, "kind", "key", "v")
+    home = asked.join(starts, ["kind", "cell"], "left").select(own, "kind", "key", "v")
+    many = asked.count() > QUERY_CHUNK if asked is not placed else False
+
+    def chunks(sent: DataFrame) -> DataFrame:
+        return sent.groupBy("block").agg(F.ceil(F.count("*") / QUERY_CHUNK).cast("long").alias("chunks"))
+
+    at_home = home.where("block IS NOT NULL")
+    first = written(_searched(at_home, data, chunks(at_home) if many else None, k, digits, metric).unionByName(home.where("block IS NULL").withColumn("near", F.lit(None).cast("array<struct<score: double, key: bigint>>"))), "at-home")
+
+    def reach(batches):
+        apart = _distances(pivots, pivots)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                x, kinds, homes = _matrix(part.column("v")), part.column("kind").to_pylist(), part.column("block").to_pylist()
+                far = _distances(x, pivots)
+                nearest_pivot = far.argmin(1)
+                rows, to_blocks = [], []
+                for i, reached in enumerate(part.column("reached").to_pylist()):
+                    cells = places.get(kinds[i], [])
+                    c = np.array([p[0] for p in cells], int)
+                    to = far[i, c]
+                    least = to - np.array([p[1] for p in cells])
+                    gap, nearer = apart[nearest_pivot[i], c], far[i, nearest_pivot[i]]
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        plane = np.where(gap > 0, (to**2 - nearer**2) / (2 * gap), 0)
+                    radius = np.inf if reached is None else np.sqrt(max(2 - 2 * (reached - MARGIN), 0)) if metric == "cosine" else MARGIN - reached
+                    hit = np.flatnonzero(np.maximum(least, plane) <= radius + 1e-7)
+                    out = [b for j in hit for b in range(cells[j][2], cells[j][2] + cells[j][3]) if b != homes[i]]
+                    rows += [i] * len(out)
+                    to_blocks += out
+                for a in range(0, len(rows), 16 * ROWS_AT_ONCE):
+                    sent_on = part.select(["kind", "key", "v"]).take(pa.array(rows[a : a + 16 * ROWS_AT_ONCE], pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(to_blocks[a : a + 16 * ROWS_AT_ONCE], pa.int32()), *sent_on.columns], ["block", "kind", "key", "v"])
+
+    kth = F.when(F.size("near") >= k, F.get("near", F.lit(k - 1))["score"])
+    sent = first.select("block", "kind", "key", "v", kth.alias("reached")).mapInArrow(reach, "block int, kind string, key long, v array<double>")
+    if copies is not None:
+        copies.append(sent.select("key", "block"))
+    many = many or n > QUERY_CHUNK
+    rest = _searched(sent, data, chunks(sent) if many else None, k, digits, metric)
+    found = first.select(F.col("key").alias("query_id"), F.inline("near")).unionByName(rest.select(F.col("key").alias("query_id"), F.inline("near")))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "key"))
+    best = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    return best.select("query_id", F.col("key").alias(key), (F.col("score") if metric == "cosine" else -F.col("score")).alias(value), "rank")
 
 
 def label_targets(a: Column, b: Column) -> Column:

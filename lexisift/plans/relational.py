@@ -437,6 +437,21 @@ def _(t):
     return relational.oversample(rows, "toxic", "doc_id", "x").groupBy("toxic").agg(F.count("*").alias("n"))
 
 
+@query(
+    "U9_smote",
+    """WITH d AS (SELECT toxic AS label, l.doc_id AS k, CAST(n_chars AS DOUBLE) AS a, CAST(l.doc_id % 97 AS DOUBLE) AS b FROM labels l JOIN documents USING (doc_id)),
+z AS (SELECT label, count(*) AS n, max(count(*)) OVER () AS most FROM d GROUP BY 1), p AS (SELECT d.*, n, most, row_number() OVER (PARTITION BY label ORDER BY k * 7919 % 10007, k) - 1 AS place FROM d JOIN z USING (label)),
+t AS (SELECT *, unnest(range(1, CAST(floor((most - n - place - 1) / CAST(n AS DOUBLE)) AS BIGINT) + 2)) AS turn FROM p WHERE most - n > place),
+m AS (SELECT DISTINCT k, label, a, b FROM t), r AS (SELECT m.k, o.k AS other, o.a, o.b, row_number() OVER (PARTITION BY m.k ORDER BY round(sqrt((m.a - o.a) * (m.a - o.a) + (m.b - o.b) * (m.b - o.b)), 6), o.k) - 1 AS i FROM m JOIN d o ON m.label = o.label AND m.k <> o.k),
+s AS (SELECT *, (k * 2654435761 + turn * 97003) % 1000003 AS h FROM t)
+SELECT s.label AS toxic, round(s.a + (r.a - s.a) * (h // 7 % 1000 / 1000e0), 6) AS x, round(s.b + (r.b - s.b) * (h // 7 % 1000 / 1000e0), 6) AS y FROM s JOIN r ON s.k = r.k AND r.i = h % 5""",
+)
+def _(t):
+    rows = t.labels.join(t.documents.select("doc_id", "n_chars"), "doc_id").withColumn("x", F.array(F.col("n_chars").cast("double"), (F.col("doc_id") % 97).cast("double")))
+    made = relational.oversample(rows, "toxic", "doc_id", "x").where("synthetic")
+    return made.select("toxic", F.round(F.get("x", F.lit(0)), 6).alias("x"), F.round(F.get("x", F.lit(1)), 6).alias("y"))
+
+
 @query("U10_table_exists", "SELECT true AS there, false AS missing")
 def _(t):
     t.region.createOrReplaceTempView("region_there")
