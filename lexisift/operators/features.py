@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexisift.operators.relational import numbered
+from lexisift.sources.shared import written
 
 PAD = 0
 
@@ -67,20 +68,74 @@ def tf_idf(df: DataFrame, key: str, items: Column, most_terms: int | None = None
 
 def bigrams(df: DataFrame, key: str, items: Column) -> DataFrame:
     """(first, second, n): how often two tokens follow each other."""
-    own = df.select(items.alias("w")).where(F.size("w") > 1)
-    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.struct(F.element_at("w", i).alias("first"), F.element_at("w", i + 1).alias("second")))
-    return own.select(F.inline(pairs)).groupBy("first", "second").agg(F.count("*").alias("n"))
+    return _followed(df, items).where("second IS NOT NULL")
+
+
+def _followed(df: DataFrame, items: Column) -> DataFrame:
+    """(first, second, n): how often a token is followed by another, or, with a null second, ends a document."""
+    own = df.select(items.alias("w")).where(F.size("w") > 0)
+    pairs = F.arrays_zip(F.col("w").alias("first"), F.slice("w", 2, F.size("w")).alias("second"))
+    return own.select(F.inline(pairs).alias("first", "second")).groupBy("first", "second").agg(F.count("*").alias("n"))
 
 
 def phrases(df: DataFrame, key: str, items: Column, least: int = 5, threshold: float = 10.0) -> DataFrame:
-    """(first, second, score) of token pairs that stand together: (n - least) * vocabulary / (n1 * n2) above a threshold."""
-    pairs = bigrams(df, key, items)
-    singles = _tokens(df, key, items).groupBy("token").agg(F.count("*").alias("c"))
+    """(first, second, score) of token pairs that stand together: (n - least) * vocabulary / (n1 * n2) above a threshold.
+
+    Texts are split once; single tokens are counted from the counts of pairs.
+    """
+    followed = written(_followed(df, items), "pairs")
+    pairs = followed.where("second IS NOT NULL")
+    singles = followed.groupBy(F.col("first").alias("token")).agg(F.sum("n").alias("c"))
     size = singles.agg(F.count("*").alias("v")).join(pairs.agg(F.count("*").alias("p"))).select((F.col("v") + F.col("p")).alias("v"))
     one, two = (singles.select(F.col("token").alias(n), F.col("c").alias(f"c_{n}")) for n in ("first", "second"))
     score = (F.col("n") - least) * F.col("v") / (F.col("c_first") * F.col("c_second"))
     return pairs.where(F.col("n") >= least).join(one, "first").join(two, "second").join(F.broadcast(size)).select("first", "second", score.alias("score")).where(F.col("score") > threshold)
 
 
+def with_phrases(df: DataFrame, key: str, items: Column, pairs: DataFrame, out: str, glue: str = "_", space: str = " ") -> DataFrame:
+    """df with its tokens as a text in which pairs (first, second) are one token; from left to right, each token in one pair at most.
+
+    Only places where a pair stands are shuffled. Of places that follow each other without a gap every second one counts,
+    from the first: that is what reading from the left gives. Keys are unique; a null text stays null, an empty one empty.
+    """
+    rows = df.select(F.col(key).alias("key"), items.alias("w"))
+    at = rows.where(F.size("w") > 1).select("key", F.posexplode(F.arrays_zip(F.slice("w", 1, F.size("w") - 1).alias("first"), F.slice("w", 2, F.size("w") - 1).alias("second"))).alias("at", "pair"))
+    places = at.select("key", "at", "pair.first", "pair.second").join(pairs.select("first", "second"), ["first", "second"], "left_semi")
+    own = Window.partitionBy("key").orderBy("at")
+    run = places.withColumn("run", F.col("at") - F.row_number().over(own))
+    run = run.withColumn("start", F.min("at").over(Window.partitionBy("key", "run")))
+    taken = run.where((F.col("at") - F.col("start")) % 2 == 0).groupBy("key").agg(F.array_sort(F.collect_list("at")).alias("taken"))
+    joined = df.withColumn("_w", items).join(taken.withColumnRenamed("key", "_key"), F.col(key) == F.col("_key"), "left")
+    ends = F.transform(F.col("taken"), lambda t: t + 2)
+    before = F.arrays_zip(F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size("taken") - 1)).alias("a"), F.col("taken").alias("b"))
+    pieces = F.transform(before, lambda x: F.concat(F.slice("_w", x["a"] + 1, x["b"] - x["a"]), F.array(F.concat(F.get("_w", x["b"]), F.lit(glue), F.get("_w", x["b"] + 1)))))
+    last = F.element_at(ends, -1)
+    every = F.concat(F.flatten(pieces), F.slice("_w", last + 1, F.size("_w")))
+    return joined.withColumn(out, F.array_join(F.when(F.col("taken").isNull(), F.col("_w")).otherwise(every), space)).drop("_w", "_key", "taken")
+
+
+def overlap_join(left: DataFrame, left_key: str, left_items: Column, right: DataFrame, right_key: str, right_items: Column, least: float) -> DataFrame:
+    """(a, b, overlap): pairs whose multiset overlap over the size of b is at least so much, without comparing all pairs.
+
+    An item's second, third, ... occurrence counts as another item, which makes multisets sets. b can only reach the overlap with
+    an a that shares one of b's rarest |b| - ceil(least * |b|) + 1 items: common items list no pairs. Found pairs are then
+    compared in full. Empty lists overlap with nothing. Keys are unique; 0 < least <= 1.
+    """
+
+    def occurrences(df: DataFrame, key: str, items: Column, name: str) -> DataFrame:
+        counts = df.select(F.col(key).alias(name), F.explode(items).alias("item")).groupBy(name, "item").agg(F.count("*").alias("n"))
+        return counts.select(name, "item", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("i")).select(name, F.struct("item", "i").alias("item"))
+
+    a, b = written(occurrences(left, left_key, left_items, "a"), "left-items"), written(occurrences(right, right_key, right_items, "b"), "right-items")
+    rarity = a.select("item").unionByName(b.select("item")).groupBy("item").agg(F.count("*").alias("df"))
+    own = Window.partitionBy("b")
+    ranked = b.join(rarity, "item").withColumns({"size": F.count("*").over(own), "place": F.row_number().over(own.orderBy("df", "item"))})
+    rare = ranked.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1)
+    pairs = rare.select("b", "item").join(a, "item").select("a", "b").distinct()
+    lists = lambda df, k, c: df.groupBy(k).agg(F.collect_list("item").alias(c))
+    both = pairs.join(lists(a, "a", "x"), "a").join(lists(b, "b", "y"), "b")
+    return both.select("a", "b", (F.size(F.array_intersect("x", "y")) / F.size("y")).alias("overlap")).where(F.col("overlap") >= least - 1e-9)
+
+
 def one_hot(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     return df.select("*", *[(F.coalesce(F.col(column) == v, F.lit(False))).cast("long").alias(f"{column}_{v}") for v in values])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -125,3 +126,53 @@ def value_counts(df: DataFrame, column: str, dropna: bool = True) -> DataFrame:
     counts = (df.where(F.col(column).isNotNull()) if dropna else df).groupBy(column).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("all"))
     return in_ranges(counts, [F.desc("n"), F.col(column)], {"cumulated": F.col("n")}).join(F.broadcast(total)).select(column, "n", (F.col("n") / F.col("all")).alias("share"), (F.col("cumulated") / F.col("all")).alias("cumulated_share"))
+
+
+#: Values that are fetched at once for a rank, and ranges that one pass counts.
+FETCHED, RANGES = 10_000, 64
+
+
+def value_at_rank(df: DataFrame, column: str, rank: int) -> float:
+    """The value at a rank from 0 among a column's non-null values in order; exact, without sorting them in one task.
+
+    Approximate percentiles cut the values into ranges of about equal counts, which are then counted exactly; the search goes
+    on in the range that holds the rank, until it has few values or only one.
+    """
+    rows = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
+    while True:
+        low, high, n = rows.agg(F.min("v"), F.max("v"), F.count("*")).first()
+        if low == high:
+            return low
+        if n <= FETCHED:
+            return rows.orderBy("v").limit(rank + 1).agg(F.max("v")).first()[0]
+        cuts = sorted({*rows.agg(F.percentile_approx("v", [i / RANGES for i in range(1, RANGES)], 10_000)).first()[0]} - {high})
+        counted = rows.agg(*[F.count(F.when(F.col("v") <= c, 1)).alias(f"c{i}") for i, c in enumerate(cuts)]).first() if cuts else []
+        below = [(c, v) for c, v in zip(cuts, counted, strict=True) if v <= rank]
+        above = [c for c, v in zip(cuts, counted, strict=True) if v > rank]
+        start, skipped = below[-1] if below else (None, 0)
+        end = above[0] if above else high
+        narrower = rows.where(F.col("v") <= end) if start is None else rows.where((F.col("v") > start) & (F.col("v") <= end))
+        if start is None and end == high:  # no cut but the largest value: it has most of the rows
+            largest = rows.where(F.col("v") == high).count()
+            if rank >= n - largest:
+                return high
+            narrower = rows.where(F.col("v") < high)
+        rows, rank = narrower, rank - skipped
+
+
+def exact_quantiles(df: DataFrame, column: str, at: Mapping[str, float]) -> dict[str, float | None]:
+    """Quantiles by name, between the two values beside each by its share; None of an empty column."""
+    n = df.where(F.col(column).isNotNull()).count()
+    found: dict[int, float] = {}
+
+    def value(rank: int) -> float:
+        if rank not in found:
+            found[rank] = value_at_rank(df, column, rank)
+        return found[rank]
+
+    out = {}
+    for name, p in at.items():
+        place = p * (n - 1)
+        low = math.floor(place)
+        out[name] = None if not n else value(low) + (value(min(low + 1, n - 1)) - value(low)) * (place - low)
+    return out

@@ -175,9 +175,9 @@ def _(t):
 
 @query("A21_quantiles", "SELECT round(quantile_cont(value, 0.1), 6) AS d1, round(quantile_cont(value, 0.5), 6) AS d5, round(quantile_cont(value, 0.95), 6) AS q95, round((SELECT avg(value) FROM events WHERE value < (SELECT quantile_cont(value, 0.95) FROM events)), 6) AS trimmed FROM events")
 def _(t):
-    q = t.events.agg(*[F.percentile("value", p).alias(n) for n, p in (("d1", 0.1), ("d5", 0.5), ("q95", 0.95))])
-    trimmed = t.events.join(F.broadcast(q.select("q95"))).where(F.col("value") < F.col("q95")).agg(F.round(F.avg("value"), 6).alias("trimmed"))
-    return q.select(*[F.round(c, 6).alias(c) for c in ("d1", "d5", "q95")]).join(F.broadcast(trimmed))
+    q = metrics.exact_quantiles(t.events, "value", {"d1": 0.1, "d5": 0.5, "q95": 0.95})
+    trimmed = t.events.where(F.col("value") < q["q95"]).agg(F.round(F.avg("value"), 6).alias("trimmed"))
+    return trimmed.select(*[F.round(F.lit(v), 6).alias(n) for n, v in q.items()], "trimmed")
 
 
 @query("A22_duration_mean", "SELECT user_id, round(avg(gap), 3) AS mean_seconds FROM (SELECT user_id, epoch_us(ts) / 1e6 - lag(epoch_us(ts) / 1e6) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap FROM events) WHERE gap IS NOT NULL GROUP BY 1")

@@ -10,7 +10,7 @@ from lexisift.operators import features as G
 from lexisift.operators import geocoding, relational
 from lexisift.plans.registry import query
 from lexisift.sources import tables as IO
-from lexisift.sources.shared import fresh_path
+from lexisift.sources.shared import fresh_path, written
 
 WORDS = "SELECT p_partkey AS k, unnest(string_split(lower(p_name), ' ')) AS token, generate_subscripts(string_split(lower(p_name), ' '), 1) - 1 AS pos FROM part"
 FIRST = f"SELECT token, row_number() OVER (ORDER BY k, pos) AS id FROM (SELECT token, arg_min(k, (k, pos)) AS k, arg_min(pos, (k, pos)) AS pos FROM ({WORDS}) GROUP BY token)"
@@ -43,6 +43,26 @@ def _(t):
     return G.phrases(t.documents, "doc_id", T.words(F.lower("text"))).withColumn("score", F.round("score", 6))
 
 
+@query(
+    "G5_phrases_applied",
+    """WITH w AS (SELECT doc_id AS k, list_filter(string_split(lower(text), ' '), lambda w: w <> '') AS w FROM documents), s AS (SELECT token, count(*) AS c FROM (SELECT unnest(w) AS token FROM w) GROUP BY 1),
+b AS (SELECT f, g, count(*) AS n FROM (SELECT unnest(w[:-2]) AS f, unnest(w[2:]) AS g FROM w WHERE len(w) > 1) GROUP BY 1, 2), v AS (SELECT (SELECT count(*) FROM s) + (SELECT count(*) FROM b) AS v),
+p AS (SELECT f, g FROM b JOIN s x ON f = x.token JOIN s y ON g = y.token, v WHERE n >= 5 AND (n - 5) * v / CAST(x.c * y.c AS DOUBLE) > 10),
+t AS (SELECT k, unnest(w) AS f, unnest(list_concat(w[2:], [NULL])) AS g, unnest(range(1, len(w) + 1)) AS i FROM w WHERE len(w) > 0),
+h AS (SELECT k, i, i - row_number() OVER (PARTITION BY k ORDER BY i) AS run FROM t SEMI JOIN p ON t.f = p.f AND t.g = p.g),
+taken AS (SELECT k, i FROM (SELECT k, i, min(i) OVER (PARTITION BY k, run) AS first FROM h) WHERE (i - first) % 2 = 0),
+u AS (SELECT t.k, string_agg(CASE WHEN a.i IS NULL THEN f ELSE f || '_' || g END, ' ' ORDER BY t.i) AS text, count(a.i) AS n FROM t LEFT JOIN taken a ON a.k = t.k AND a.i = t.i LEFT JOIN taken z ON z.k = t.k AND z.i = t.i - 1 WHERE z.i IS NULL GROUP BY t.k)
+SELECT w.k AS doc_id, coalesce(n, 0) AS n_phrases, md5(CASE WHEN w.w IS NULL THEN NULL ELSE coalesce(u.text, '') END) AS text_md5 FROM w LEFT JOIN u ON w.k = u.k""",
+)
+def _(t):
+    """All documents with their phrases as single words; a digest of each whole text is compared."""
+    words = T.words(F.lower("text"))
+    pairs = written(G.phrases(t.documents, "doc_id", words), "phrases")
+    made = G.with_phrases(t.documents.select("doc_id", "text"), "doc_id", words, pairs, "joined")
+    n = F.size(words) - F.size(F.filter(F.split("joined", " "), lambda w: w != ""))
+    return made.select("doc_id", F.greatest(n, F.lit(0)).cast("long").alias("n_phrases"), F.md5("joined").alias("text_md5"))
+
+
 TFIDF = f"""WITH w AS ({WORDS}), tf AS (SELECT k, token, count(*) AS tf FROM w GROUP BY 1, 2), st AS (SELECT token, count(*) AS df, sum(tf) AS total FROM tf GROUP BY 1 ORDER BY total DESC, token LIMIT 1000),
 x AS (SELECT k, token, tf * (ln((1 + (SELECT count(*) FROM part)) / CAST(1 + df AS DOUBLE)) + 1) AS w FROM tf JOIN st USING (token)) SELECT k AS key, token AS term, round(w / sqrt(sum(w * w) OVER (PARTITION BY k)), 6) AS tfidf FROM x"""
 query("G6_tf_idf", TFIDF)(lambda t: G.tf_idf(t.part, "p_partkey", items(), 1000).withColumn("tfidf", F.round("tfidf", 6)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexisift.functions import text as T
+from lexisift.operators import features as G
 from lexisift.operators import ranking, tree
 from lexisift.operators import vectors as V
 from lexisift.plans.registry import query
@@ -111,6 +112,19 @@ def _overlaps(t):
     return a.join(b).select("a", "b", F.round(V.overlap(F.col("x"), F.col("y")), 6).alias("overlap"))
 
 
+NAMED = "list_transform(generate_series(1, length({c}) - 2), lambda i: substring({c}, i, 3))"
+query(
+    "V13_overlap_join",
+    f"WITH c AS (SELECT c_custkey AS k, unnest({NAMED.format(c='c_name')}) AS g FROM customer), s AS (SELECT s_suppkey AS k, unnest({NAMED.format(c='s_name')}) AS g FROM supplier), x AS (SELECT k, g, count(*) AS n FROM c GROUP BY 1, 2), y AS (SELECT k, g, count(*) AS n FROM s GROUP BY 1, 2), z AS (SELECT k, count(*) AS n FROM s GROUP BY 1) SELECT x.k AS c_custkey, y.k AS s_suppkey, round(sum(least(x.n, y.n)) / any_value(z.n), 6) AS overlap FROM x JOIN y ON x.g = y.g JOIN z ON z.k = y.k GROUP BY 1, 2 HAVING sum(least(x.n, y.n)) >= 0.5e0 * any_value(z.n)",
+)(lambda t: _overlapping_names(t))
+
+
+def _overlapping_names(t):
+    """Customers and suppliers whose names share at least half of the supplier's trigrams."""
+    found = G.overlap_join(t.customer, "c_custkey", T.ngrams(F.col("c_name"), 3), t.supplier, "s_suppkey", T.ngrams(F.col("s_name"), 3), 0.5)
+    return found.select(F.col("a").alias("c_custkey"), F.col("b").alias("s_suppkey"), F.round("overlap", 6).alias("overlap"))
+
+
 query("G12_tree", f"{UP} SELECT n.code, n.label, n.parent, CAST(max(hops) AS INTEGER) AS level FROM nodes n JOIN up ON n.code = up.code GROUP BY 1, 2, 3")(lambda t: tree.load_tree(_nodes(t), "code", "label", "parent"))
 query("G13_display", f"{UP}, p AS (SELECT up.code, string_agg(ancestor, '/' ORDER BY hops DESC) AS path, max(hops) AS level FROM up GROUP BY 1) SELECT CAST(row_number() OVER (ORDER BY path) AS INTEGER) AS place, repeat('  ', CAST(level AS INTEGER)) || p.code || ' ' || label AS line FROM p JOIN nodes n ON n.code = p.code")(
     lambda t: tree.display(tree.load_tree(_nodes(t), "code", "label", "parent"), tree.ancestors(_nodes(t)))
