@@ -14,10 +14,10 @@ import struct
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexisift.llm.common import fresh_path, table
+from lexisift.llm.common import fresh_path, materialise, table
 from lexisift.llm.token_counts import open_store
 
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -150,6 +150,8 @@ def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     slim = rows.where(F.octet_length("payload") >= least).select("page_id", "digest").distinct()
     first = slim.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").drop("n")
     revisits = slim.join(first, "digest").where(~F.col("first").eqNullSafe(F.col("page_id"))).select(F.col("page_id").alias("id"), F.col("digest").alias("own"), "first")
+    # written first, so that its size is known: few revisits are broadcast, and payloads are then not shuffled
+    revisits = materialise(revisits, "revisits")
     joined = rows.join(revisits, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("own")), "left")
     return joined.select("page_id", "url", "payload", "digest", F.col("first").alias("refers_to"))
 
@@ -226,8 +228,8 @@ def read_archives(files: DataFrame, folder: str) -> DataFrame:
             if some:
                 yield batch_of(some)
 
-    # a task for each file: by number, since names are too small for Spark to leave them apart
-    return files.select("file").repartition(max(files.count(), 1), "file").mapInArrow(run, FIELDS)
+    numbered = files.select("file", (F.row_number().over(Window.orderBy("file")) - 1).alias("number"))  # a row for each archive
+    return numbered.repartitionById(max(files.count(), 1), "number").select("file").mapInArrow(run, FIELDS)  # and a task
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
