@@ -47,8 +47,7 @@ def stop(items: Column, words: Sequence[str] = T.STOPWORDS) -> Column:
 
 def stemmed(c: Column) -> Column:
     """Letters only, folded, elided, lower case, without stopwords, stemmed, each term once."""
-    items = simple(elide(fold(F.lower(c))))
-    return F.array_distinct(T.light_stemmed_words(stop(items)))
+    return T.light_stems(c)
 
 
 def with_synonyms(items: Column, synonyms: Mapping[str, Sequence[str]]) -> Column:

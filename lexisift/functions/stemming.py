@@ -172,3 +172,36 @@ def each_word(items: Column, rule: Callable[[str], str]) -> Column:
         return pa.ListArray.from_arrays(offsets, made.take(coded.indices), mask=batch.is_null())
 
     return run(items)
+
+
+#: Words whose rule is remembered by a task at once.
+REMEMBERED = 1_000_000
+
+
+def each_text(texts: Column, split: Callable[[str], list[str]], rule: Callable[[str], str | None], once: bool = False, joined: bool = False) -> Column:
+    """A text's words with a rule applied to each, in one Arrow pass over whole texts; words for which it gives None go.
+
+    The rule runs once for each distinct word that a batch or those before it have. once: each result once in a text;
+    joined: a text of the words between spaces, null where none stay, instead of an array. A null text stays null.
+    """
+    known: dict[str, str | None] = {}
+
+    @F.arrow_udf("string" if joined else "array<string>")
+    def run(batch: pa.Array) -> pa.Array:
+        out = []
+        for text in batch.to_pylist():
+            if text is None:
+                out.append(None)
+                continue
+            words = split(text)
+            for w in words:
+                if w not in known:
+                    known[w] = rule(w)
+            made = [m for w in words if (m := known[w]) is not None]
+            made = list(dict.fromkeys(made)) if once else made
+            out.append((" ".join(made) or None) if joined else made)
+            if len(known) > REMEMBERED:
+                known.clear()
+        return pa.array(out, pa.string() if joined else pa.list_(pa.string()))
+
+    return run.asNondeterministic()(texts)  # so that a filter on the result does not run it a second time

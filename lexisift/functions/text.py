@@ -1,18 +1,18 @@
 """Cleaning of short noisy texts, as column functions.
 
-All but the stemmers are built-in expressions; stems are made once for each distinct word of an Arrow batch.
+All but the stemmers are built-in expressions; whole pipelines with stems are one Arrow pass over the texts.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexisift.functions.scalars import null_if_blank
-from lexisift.functions.stemming import each_word, french_stem
+from lexisift.functions.stemming import each_text, each_word, french_stem
 
 #: The signs that cleaning turns into spaces, each into one.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" + "’—°€"
@@ -96,8 +96,7 @@ def clean_keeping_case(c: Column) -> Column:
 
 
 def remove_stopwords(items: Column, stopwords: Sequence[str] = STOPWORDS) -> Column:
-    listed = F.array(*[F.lit(w) for w in stopwords])
-    return F.filter(items, lambda w: ~F.array_contains(listed, w))
+    return F.filter(items, lambda w: ~w.isin(*stopwords))  # a set, where they are more than a few
 
 
 #: Endings that the light stemmer takes off, the longest that fits first, with what replaces it.
@@ -125,10 +124,29 @@ def light_stemmed_words(items: Column) -> Column:
     return each_word(items, light_stem)
 
 
+def _folding(signs: str) -> dict[int, str]:
+    """What Python's translate makes of signs (spaces) and Latin letters with marks (the letters)."""
+    return {**{ord(a): b for a, b in zip(ACCENTED, PLAIN, strict=True)}, **{ord(a): b for a, b in FOLDED.items()}, **{ord(c): " " for c in signs}}
+
+
 def preprocess(c: Column, stem: bool = True) -> Column:
-    """Clean, drop stopwords, stem, and join again; null where nothing stays."""
-    items = remove_stopwords(words(clean(c)))
-    return null_if_blank(F.array_join(stemmed_words(items) if stem else items, " "))
+    """Clean, drop stopwords, stem, and join again; null where nothing stays. One pass over whole texts."""
+    table, stopped = _folding(PUNCTUATION), frozenset(STOPWORDS)
+    return each_text(c, lambda text: [w for w in text.translate(table).lower().split(" ") if w], lambda w: None if w in stopped else french_stem(w) if stem else w, joined=True)
+
+
+def light_stems(c: Column) -> Column:
+    """Words of letters of a folded, lower-case text without elided articles and stopwords, by their light stems, each once."""
+    table, stopped = _folding(""), frozenset(STOPWORDS)
+    elided = re.compile(rf"\b(?:{'|'.join(ELIDED)})['’]")
+    runs = re.compile(r"[^\W\d_]+")  # letters, and numbers that aren't digits
+
+    def split(text: str) -> list[str]:
+        text = text.translate(table)
+        found = runs.findall(elided.sub("", text) if "'" in text or "’" in text else text)
+        return [w for run in found for w in ((run,) if run.isalpha() else "".join(x if x.isalpha() else " " for x in run).split())]
+
+    return each_text(F.lower(c), split, lambda w: None if w in stopped else light_stem(w), once=True)
 
 
 def concatenate(*columns: str, separator: str = " ") -> Column:

@@ -87,8 +87,22 @@ def _words(c):
 
 
 ITEMS = {"name": "p_name", "type": "p_type", "every": "every"}
-DISTANCE = haversine(F.col("q_lat"), F.col("q_lon"), F.col("lat"), F.col("lon"))
-SAME_BRAND, SAME_SIZE, SAME_KIND = F.col("q_p_brand") == F.col("p_brand"), F.col("q_p_size") == F.col("p_size"), F.left("q_p_type", F.lit(3)) == F.left("p_type", F.lit(3))
+
+
+def _distance():
+    return haversine(F.col("q_lat"), F.col("q_lon"), F.col("lat"), F.col("lon"))
+
+
+def _same_brand():
+    return F.col("q_p_brand") == F.col("p_brand")
+
+
+def _same_size():
+    return F.col("q_p_size") == F.col("p_size")
+
+
+def _same_kind():
+    return F.left("q_p_type", F.lit(3)) == F.left("p_type", F.lit(3))
 
 
 class Register:
@@ -171,11 +185,11 @@ def _(t):
 
 _search("Q7_must", _bool(must=[NAME, TYPE]), lambda r: S.boolean(must=[r.match("name"), r.match("type")]))
 _search("Q8_should_minimum", _bool(should=[NAME, "SELECT * FROM brand", "SELECT * FROM size"], minimum=2), lambda r: S.boolean(should=[r.match("name"), r.equal("p_brand"), r.equal("p_size")], minimum=2))
-_search("Q9_filter", _bool(must=[NAME], filters=["SELECT * FROM brand"]), lambda r: r.on(r.match("name"), filters=[SAME_BRAND]))
+_search("Q9_filter", _bool(must=[NAME], filters=["SELECT * FROM brand"]), lambda r: r.on(r.match("name"), filters=[_same_brand()]))
 _search("Q10_dis_max", _max([NAME, TYPE, "SELECT * FROM brand"], 0.5), lambda r: S.dis_max([r.match("name"), r.match("type"), r.equal("p_brand")], 0.5))
 _search("Q11_term", _boosted("brand", 4), lambda r: r.equal("p_brand", 4))
 _search("Q12_wildcard", "SELECT * FROM kind", lambda r: r.kind())
-_search("Q13_gauss_decay", _gauss(NAME, 100000), lambda r: r.on(r.match("name"), decay=(DISTANCE, 100000)))
+_search("Q13_gauss_decay", _gauss(NAME, 100000), lambda r: r.on(r.match("name"), decay=(_distance(), 100000)))
 query("Q14_geo_distance", f"{CTES} SELECT q, k AS key, round(distance, 3) AS distance FROM dist WHERE distance <= 30000")(lambda t: Register(t).near(30000).withColumn("distance", F.round("distance", 3)))
 _search("Q15_keyword_fuzzy", "SELECT * FROM kw", lambda r: r.keyword())
 _search("Q16_graded_codes", "SELECT * FROM code", lambda r: r.codes())
@@ -201,16 +215,16 @@ query("J17_candidate_join", f"{CTES} SELECT q, k AS key FROM s_name")(lambda t:
 query("J18_geo_join", f"{CTES} SELECT q, k AS key FROM dist WHERE distance <= 100000")(lambda t: Register(t).near(100000).select("q", "key"))
 
 BRAND, SIZE, KIND, ACRO = "SELECT * FROM brand", "SELECT * FROM size", "SELECT * FROM kind", "SELECT * FROM acro"
-_search("T1_fuzzy_name_and_address", _bool(must=[_max([FUZZY, "SELECT * FROM z_type"], 0)], should=[BRAND, SIZE, KIND], minimum=2), lambda r: r.on(S.dis_max([r.fuzzy("name"), r.fuzzy("type")]), should=[(SAME_BRAND, 1), (SAME_SIZE, 1), (SAME_KIND, 1)], minimum=2))
-_search("T2_fuzzy_name_and_point", _gauss(_bool(must=[FUZZY], filters=[_within(50000)]), 10000), lambda r: r.on(r.fuzzy("name"), filters=[DISTANCE <= 50000], decay=(DISTANCE, 10000)))
-_search("T3_exact_name_and_address", _bool(must=["SELECT * FROM kw"], should=[BRAND, SIZE, KIND], minimum=2), lambda r: r.on(r.keyword(), should=[(SAME_BRAND, 1), (SAME_SIZE, 1), (SAME_KIND, 1)], minimum=2))
-_search("T4_exact_name_and_point", _gauss(_bool(must=["SELECT * FROM kw"], filters=[_within(80000)]), 20000), lambda r: r.on(r.keyword(), filters=[DISTANCE <= 80000], decay=(DISTANCE, 20000)))
+_search("T1_fuzzy_name_and_address", _bool(must=[_max([FUZZY, "SELECT * FROM z_type"], 0)], should=[BRAND, SIZE, KIND], minimum=2), lambda r: r.on(S.dis_max([r.fuzzy("name"), r.fuzzy("type")]), should=[(_same_brand(), 1), (_same_size(), 1), (_same_kind(), 1)], minimum=2))
+_search("T2_fuzzy_name_and_point", _gauss(_bool(must=[FUZZY], filters=[_within(50000)]), 10000), lambda r: r.on(r.fuzzy("name"), filters=[_distance() <= 50000], decay=(_distance(), 10000)))
+_search("T3_exact_name_and_address", _bool(must=["SELECT * FROM kw"], should=[BRAND, SIZE, KIND], minimum=2), lambda r: r.on(r.keyword(), should=[(_same_brand(), 1), (_same_size(), 1), (_same_kind(), 1)], minimum=2))
+_search("T4_exact_name_and_point", _gauss(_bool(must=["SELECT * FROM kw"], filters=[_within(80000)]), 20000), lambda r: r.on(r.keyword(), filters=[_distance() <= 80000], decay=(_distance(), 20000)))
 _search("T5_shoulds_with_acronym", _bool(should=[NAME, TYPE, ACRO, KIND]), lambda r: S.boolean(should=[r.match("name"), r.match("type"), r.acronym(), r.kind()]))
 _search("T6_catch_all", _bool(should=[_boosted("s_every", 10), _boosted("brand", 7), _boosted("kind", 5), SIZE]), lambda r: S.boolean(should=[r.match("every", 10), r.equal("p_brand", 7), r.kind(5), r.equal("p_size")]))
 _search("T7_filtered_domain", _bool(should=[_boosted("acro", 5), _boosted("brand", 10), _boosted("kind", 5), TYPE], filters=[NAME]), lambda r: S.boolean(should=[r.acronym(5), r.equal("p_brand", 10), r.kind(5), r.match("type")], filters=[r.match("name")]))
 _search("T8_catch_all_and_point", _gauss(_bool(should=[_boosted("s_every", 10), _boosted("size", 20)], filters=[_within(100000)], minimum=1), 10000), lambda r: S.gauss(S.boolean(should=[r.match("every", 10), r.equal("p_size", 20)], filters=[r.near(100000)], minimum=1), r.near(100000), 10000))
-_search("T9_name_near", _gauss(_bool(must=[NAME], should=[KIND], filters=[_within(200000)]), 50000), lambda r: r.on(r.match("name"), should=[(SAME_KIND, 1)], filters=[DISTANCE <= 200000], decay=(DISTANCE, 50000)))
-_search("T10_catch_all_near", _gauss(_bool(must=[EVERY], filters=[_within(200000)]), 50000), lambda r: r.on(r.match("every"), filters=[DISTANCE <= 200000], decay=(DISTANCE, 50000)))
+_search("T9_name_near", _gauss(_bool(must=[NAME], should=[KIND], filters=[_within(200000)]), 50000), lambda r: r.on(r.match("name"), should=[(_same_kind(), 1)], filters=[_distance() <= 200000], decay=(_distance(), 50000)))
+_search("T10_catch_all_near", _gauss(_bool(must=[EVERY], filters=[_within(200000)]), 50000), lambda r: r.on(r.match("every"), filters=[_distance() <= 200000], decay=(_distance(), 50000)))
 
 
 def _robust(tie):
@@ -221,9 +235,9 @@ def _robust(tie):
 _search("T11_robust_return", *_robust(0.5))
 _search("T12_robust_register", *_robust(0.7))
 query("T13_by_id", "SELECT p_partkey AS q, p_partkey AS key FROM part WHERE p_partkey % 100 = 0")(lambda t: Register(t).equal("p_partkey").select("q", "key"))
-_search("T14_simple", _bool(must=[NAME], should=[BRAND]), lambda r: r.on(r.match("name"), should=[(SAME_BRAND, 1)]))
+_search("T14_simple", _bool(must=[NAME], should=[BRAND]), lambda r: r.on(r.match("name"), should=[(_same_brand(), 1)]))
 _search("T15_graded_variant", _bool(must=[NAME], should=["SELECT * FROM code"]), lambda r: S.boolean(must=[r.match("name")], should=[r.codes()]))
-_search("T16_legacy_variant", _gauss(_bool(must=[NAME], filters=[_within(300000)]), 10000), lambda r: r.on(r.match("name"), filters=[DISTANCE <= 300000], decay=(DISTANCE, 10000)))
+_search("T16_legacy_variant", _gauss(_bool(must=[NAME], filters=[_within(300000)]), 10000), lambda r: r.on(r.match("name"), filters=[_distance() <= 300000], decay=(_distance(), 10000)))
 
 
 @query("R1_search_after_publication", _top(NAME))

@@ -9,6 +9,7 @@ from lexisift.functions import arrays as M
 from lexisift.functions import stemming as S
 from lexisift.functions import text as T
 from lexisift.plans.registry import query
+from lexisift.sources import tables as IO
 
 PUNCTUATED = "translate(text, '!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~’—°€', '                                    ')"
 
@@ -94,9 +95,9 @@ stems AS (SELECT doc_id, list(stem ORDER BY place) AS stems FROM each JOIN st US
 
 SPLIT = "list_filter(string_split(lower(text), ' '), lambda w: w <> '')"
 query("F11_stem", f"{_snowball_sql(SPLIT)} SELECT d.doc_id, array_to_string(coalesce(stems, []), ' ') AS text FROM d LEFT JOIN stems USING (doc_id)")(
-    lambda t: t.documents.select("doc_id", F.array_join(T.stemmed_words(T.words(F.lower("text"))), " ").alias("text"))
+    lambda t: IO.spread(t.documents).select("doc_id", F.array_join(T.stemmed_words(T.words(F.lower("text"))), " ").alias("text"))
 )
-query("F12_preprocess", f"{_snowball_sql(CLEANED)} SELECT d.doc_id, nullif(array_to_string(stems, ' '), '') AS text FROM d LEFT JOIN stems USING (doc_id)")(lambda t: t.documents.select("doc_id", T.preprocess(F.col("text")).alias("text")))
+query("F12_preprocess", f"{_snowball_sql(CLEANED)} SELECT d.doc_id, nullif(array_to_string(stems, ' '), '') AS text FROM d LEFT JOIN stems USING (doc_id)")(lambda t: IO.spread(t.documents).select("doc_id", T.preprocess(F.col("text")).alias("text")))
 _one("F13_clean_field", f"nullif(array_to_string({CLEANED}, ' '), '')", lambda: T.preprocess(F.col("text"), stem=False))
 _one("F14_concat_null_propagating", "c_name || ' ' || nullif(c_mktsegment, 'BUILDING')", lambda: F.concat("c_name", F.lit(" "), F.nullif(F.col("c_mktsegment"), F.lit("BUILDING"))), "joined", "customer", "c_custkey")
 _one("F15_join_as_text", "c_name || ' ' || CAST(c_nationkey AS VARCHAR) || ' ' || c_mktsegment", lambda: T.join_as_text("c_name", "c_nationkey", "c_mktsegment"), "joined", "customer", "c_custkey")
@@ -193,7 +194,7 @@ _terms("X2_keyword", "CASE WHEN length(text) <= 256 THEN [text] ELSE [] END", la
 _terms("X3_edge_ngrams", "flatten(list_transform(regexp_extract_all(lower(p_name), '[a-z0-9_]+'), lambda w: list_transform(range(2, least(length(w), 8) + 1), lambda n: left(w, n))))", lambda: X.edge_ngrams(F.col("p_name")), "part", "p_partkey")
 STEM_CHAIN = f"list_transform(list_filter(regexp_extract_all(replace(strip_accents(lower(text)), 'ß', 'ss'), '[\\pL]+'), lambda w: NOT list_contains({STOP_SQL}, w)), lambda w: {_stem_sql('w')})"
 query("X4_stemmed", f"SELECT doc_id, string_agg(s, ' ' ORDER BY s) AS terms FROM (SELECT doc_id, unnest(list_distinct({STEM_CHAIN})) AS s FROM documents) GROUP BY doc_id")(
-    lambda t: t.documents.select("doc_id", F.array_join(F.array_sort(X.stemmed(F.col("text"))), " ").alias("terms")).where("terms <> ''")
+    lambda t: IO.spread(t.documents).select("doc_id", F.array_join(F.sort_array(X.stemmed(F.col("text"))), " ").alias("terms")).where("terms <> ''")
 )
 _terms("X5_synonyms", "flatten(list_transform(string_split(lower(p_type), ' '), lambda w: CASE WHEN w = 'promo' THEN ['promo', 'offer', 'sale'] ELSE [w] END))", lambda: X.with_synonyms(F.split(F.lower("p_type"), " "), {"promo": ["offer", "sale"]}), "part", "p_partkey")
 _terms("X6_acronym", "(SELECT CASE WHEN length(l) >= 3 THEN [l] ELSE [] END FROM (SELECT array_to_string(list_transform(list_filter(string_split(lower(p_type || ' ' || p_brand), ' '), lambda w: w <> ''), lambda w: left(w, 1)), '') AS l))", lambda: X.acronym(F.concat_ws(" ", "p_type", "p_brand")), "part", "p_partkey")

@@ -20,6 +20,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer partitions than cores, such as one file, dealt out over all cores before costly work; others as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_sql(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
     """A SQL query over DataFrames named in it as {name}."""
     return spark.sql(sql, **tables)
