@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from lexisift.llm import additive_ann as A
+from lexisift.llm.common import materialise
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -33,7 +34,8 @@ def test_recall_where_candidates_are_few(spark):
     rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
     vectors = A.usable(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding").repartition(4)
     quantiser = A.train(vectors, 2000)
-    found = A.search(A.index(vectors, quantiser, 20), vectors.where("vec_id % 100 = 0"), quantiser, 20, 4000, 40, candidates=400)
+    indexed = materialise(A.index(vectors, quantiser, 20, 2048), "index-test")
+    found = A.search(indexed, vectors.where("vec_id % 100 = 0"), quantiser, 20, candidates=200, block=2048)
     got = {}
     for r in found.collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
@@ -64,7 +66,8 @@ def test_distances_by_stored_norms(spark):
     x = random.normal(size=(1500, 16)) * random.uniform(0.5, 2, size=(1500, 1))
     vectors = A.usable(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int"), "vec_id", "embedding")
     quantiser = A.train(vectors, 1500)
-    found = A.search(A.index(vectors, quantiser, 10), vectors.where("vec_id % 100 = 0"), quantiser, 10, 1500, 15, candidates=300, measure="l2").collect()
+    indexed = materialise(A.index(vectors, quantiser, 10, 400), "index-test")
+    found = A.search(indexed, vectors.where("vec_id % 100 = 0"), quantiser, 10, candidates=300, measure="l2", block=400).collect()
     hits = 0
     for q in range(0, 1500, 100):
         own = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q)
@@ -74,4 +77,29 @@ def test_distances_by_stored_norms(spark):
         hits += len({i for _, i, _ in own} & set(np.argsort(gaps)[:10].tolist()))
     assert hits >= 0.9 * 150
     with pytest.raises(ValueError):
-        A.search(vectors, vectors, quantiser, 1, 1, 1, measure="other")
+        A.search(vectors, vectors, quantiser, 1, measure="other")
+
+
+@pytest.mark.parametrize(("clusters", "share"), [(0, 1.0), (15, 0.35)])
+def test_shipped_parameters_over_several_blocks(spark, clusters, share):
+    """Recall with the query's own parameters; queries of clustered vectors go to few blocks, vectors to none but theirs."""
+    random = np.random.default_rng(6)
+    x = random.normal(size=(18_000, 32))
+    if clusters:
+        x = x * 0.3 + random.normal(size=(clusters, 32))[random.integers(clusters, size=len(x))] * 3
+    vectors = A.usable(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), "vec_id", "embedding").repartition(4)
+    quantiser, copies = A.train(vectors), []
+    block = A.DATA_BLOCK if not clusters else 1024
+    indexed = materialise(A.index(vectors, quantiser, 20, block), "index-test")
+    asked = vectors.where("vec_id % 300 = 0")
+    got = {}
+    for r in A.search(indexed, asked, quantiser, 20, block=block, copies=copies).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in range(0, len(x), 300):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-score)[:20].tolist()))
+    assert hits >= 0.9 * 20 * 60
+    blocks = sum(-(-r["count"] // block) for r in indexed.groupBy("cell").count().collect())
+    assert copies[0].count() <= share * 60 * blocks
