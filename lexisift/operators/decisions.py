@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexisift.operators import ranking
@@ -49,3 +49,37 @@ def accept(df: DataFrame, model, threshold: float = 0.5, features: Sequence[str]
 def non_codable(df: DataFrame, probability: str, threshold: float = 0.5) -> DataFrame:
     """Whether a return can't be coded; a null probability leaves it undecided."""
     return df.withColumn("non_codable", F.col(probability) >= threshold)
+
+
+def grid_hits(lists: DataFrame, candidates: str, grid: Sequence[tuple[float, float]]) -> list[int]:
+    """For how many lists the best candidate is right, by pair of coefficients; all pairs in one pass, without a row for each.
+
+    candidates: an array of struct(similarity, found, activity, key, right); the best has the largest similarity + beta * found +
+    gamma * activity, ties by the smallest key. Empty and null lists have none.
+    """
+    pairs = F.array(*[F.struct(F.lit(float(b)).alias("beta"), F.lit(float(g)).alias("gamma")) for b, g in grid])
+
+    def best(p: Column) -> Column:
+        rated = F.transform(candidates, lambda c: F.struct((c["similarity"] + p["beta"] * c["found"] + p["gamma"] * c["activity"]).alias("score"), (-c["key"]).alias("key"), c["right"].alias("right")))
+        return F.coalesce(F.array_max(rated)["right"], F.lit(False)).cast("long")
+
+    hits = lists.select(F.posexplode(F.transform(pairs, best)).alias("pair", "hit")).groupBy("pair").agg(F.sum("hit").alias("hits")).collect()  # a row for each pair
+    return [dict(hits).get(i, 0) for i in range(len(grid))]
+
+
+def halving_search(lists: DataFrame, key: str, candidates: str, grid: Sequence[tuple[float, float]], rungs: int = 3, eta: int = 4) -> list[tuple[float, float, int]]:
+    """(beta, gamma, hits) of the coefficients that come through successive halving, best first.
+
+    The first rung scores the whole grid on lists whose key is divisible by eta to the power rungs - 1, each later one the best
+    1 / eta of the pairs before on eta times as many, the last on all lists: samples are nested, and each rung is one
+    aggregation. Ties go to the smaller beta and then gamma; one pair stays at least. key: a whole number.
+    """
+    left = sorted({(float(b), float(g)) for b, g in grid})
+    for rung in range(rungs):
+        share = eta ** (rungs - 1 - rung)
+        hits = grid_hits(lists.where(F.col(key) % share == 0), candidates, left)
+        ranked = sorted(zip(left, hits, strict=True), key=lambda x: (-x[1], x[0]))
+        if rung == rungs - 1:
+            return [(b, g, n) for (b, g), n in ranked]
+        left = sorted(pair for pair, _ in ranked[: max(1, -(-len(left) // eta))])
+    return []

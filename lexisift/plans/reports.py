@@ -66,6 +66,24 @@ query("K11_non_codable", "SELECT doc_id, round(least(n_chars / 5000.0, 1.0), 2)
 query("K12_rows_from_one", "SELECT p_partkey, unnest(string_split(p_type, ' ')) AS word FROM part")(lambda t: t.part.select("p_partkey", F.explode(F.split("p_type", " ")).alias("word")))
 
 
+GRID = [(b / 10, g) for b in range(6) for g in range(-3, 4)]
+_PAIRS = "SELECT b / 10e0 AS beta, CAST(g AS DOUBLE) AS gamma FROM range(0, 6) x(b), range(-3, 4) y(g)"
+_RUNG = "SELECT beta, gamma, count(*) FILTER (best = truth) AS hits FROM (SELECT beta, gamma, l_orderkey, arg_max(l_linenumber, (s, -l_linenumber)) AS best, any_value(truth) AS truth FROM (SELECT c.*, beta, gamma, l_discount + beta * l_tax + gamma * (l_quantity / 50e0) AS s FROM c, {pairs} WHERE l_orderkey % {share} = 0) GROUP BY 1, 2, 3) GROUP BY 1, 2"
+
+
+@query(
+    "K9_parameter_search",
+    f"WITH c AS (SELECT l_orderkey, l_linenumber, l_discount, l_tax, l_quantity, arg_max(l_linenumber, (l_extendedprice, -l_linenumber)) OVER (PARTITION BY l_orderkey) AS truth FROM lineitem), g AS ({_PAIRS}), one AS ({_RUNG.format(pairs='g', share=16)}), two AS (SELECT beta, gamma FROM one ORDER BY hits DESC, beta, gamma LIMIT 11), three AS ({_RUNG.format(pairs='two', share=4)}), four AS (SELECT beta, gamma FROM three ORDER BY hits DESC, beta, gamma LIMIT 3), five AS ({_RUNG.format(pairs='four', share=1)}) SELECT CAST(row_number() OVER (ORDER BY hits DESC, beta, gamma) AS INTEGER) AS rank, beta, gamma, hits FROM five",
+)
+def _(t):
+    """The coefficients of three signals by which the dearest line of an order comes first most often, by successive halving."""
+    rows = t.lineitem.select("l_orderkey", F.struct(F.col("l_extendedprice").alias("price"), (-F.col("l_linenumber")).alias("line")).alias("dear"), F.struct(F.col("l_discount").alias("similarity"), F.col("l_tax").alias("found"), (F.col("l_quantity") / 50).alias("activity"), F.col("l_linenumber").alias("key")).alias("c"))
+    lists = rows.groupBy("l_orderkey").agg(F.max("dear").alias("dear"), F.collect_list("c").alias("c"))
+    candidates = F.transform("c", lambda c: F.struct(c["similarity"].alias("similarity"), c["found"].alias("found"), c["activity"].alias("activity"), c["key"].alias("key"), (c["key"] == -F.col("dear.line")).alias("right")))
+    found = decisions.halving_search(written(lists.select("l_orderkey", candidates.alias("candidates")), "candidate-lists"), "l_orderkey", "candidates", GRID)
+    return t.spark.createDataFrame([(i, b, g, n) for i, (b, g, n) in enumerate(found, 1)], "rank int, beta double, gamma double, hits long")
+
+
 def _events(t):
     path = fresh_path(t.spark, "events")
     rows = t.events.select("event_id", "ts", "user_id", "event_type", "value")

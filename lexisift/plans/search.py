@@ -211,6 +211,8 @@ ECHOES = _union(("name", NAME), ("type", TYPE), ("code", "SELECT * FROM code"))
 query("Q19_multi_search", f"{CTES} {ECHOES}")(lambda t: S.echoes(_templates(Register(t))))
 _search("Q20_without_self", f"SELECT * FROM ({NAME}) WHERE q <> k", lambda r: S.without_self(r.best("name", k=11)))
 query("Q21_echo_counts", f"{CTES} SELECT q, key, count(*) AS nb FROM ({ECHOES}) GROUP BY q, key")(lambda t: S.echo_counts(S.echoes(_templates(Register(t)))))
+NORMLESS = "SELECT q, p.k, sum(weight * idf * tf * 2.2e0 / (tf + 1.2e0)) AS score FROM q_every JOIN p_every p USING (term) JOIN t_every USING (term) GROUP BY q, p.k"
+_best("X14_without_norms", NORMLESS, lambda r: SI.top_match(r.of("every"), r.terms["every"], "every", norms=False))
 query("J17_candidate_join", f"{CTES} SELECT q, k AS key FROM s_name")(lambda t: Register(t).match("name").select("q", "key"))
 query("J18_geo_join", f"{CTES} SELECT q, k AS key FROM dist WHERE distance <= 100000")(lambda t: Register(t).near(100000).select("q", "key"))
 
