@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,6 +57,45 @@ def with_synonyms(items: Column, synonyms: Mapping[str, Sequence[str]]) -> Colum
     return F.flatten(F.transform(items, lambda w: F.concat(F.array(w), F.coalesce(F.try_element_at(table, w), F.array().cast("array<string>")))))
 
 
+def synonym_graph(items: Column, rules: Mapping[str, Sequence[str]]) -> Column:
+    """Words and what stands for runs of them, as array of struct(at, length, term): places from 0, words covered, and term.
+
+    rules: runs of words, between single spaces, with their alternatives, which may be of several words. Texts are read from the
+    left; at each place the longest run that has a rule counts, and reading goes on after it. All words stay, each with length 1.
+    Null words match nothing and give no terms; a null array stays null.
+    """
+    trie: dict = {}
+    for run, alternatives in rules.items():
+        node = trie
+        for word in run.split(" "):
+            node = node.setdefault(word, {})
+        node[None] = tuple(alternatives)  # no word is None
+
+    @F.arrow_udf("array<struct<at: int, length: int, term: string>>")
+    def graph(batch: pa.Array) -> pa.Array:
+        out = []
+        for words in batch.to_pylist():
+            if words is None:
+                out.append(None)
+                continue
+            found = [{"at": i, "length": 1, "term": w} for i, w in enumerate(words) if w is not None]
+            i = 0
+            while i < len(words):
+                node, longest = trie, (1, ())
+                for n, w in enumerate(words[i:], 1):
+                    node = node.get(w) if w is not None else None
+                    if node is None:
+                        break
+                    if None in node:
+                        longest = n, node[None]
+                found += [{"at": i, "length": longest[0], "term": a} for a in longest[1]]
+                i += longest[0]
+            out.append(found)
+        return pa.array(out, pa.list_(pa.struct([("at", pa.int32()), ("length", pa.int32()), ("term", pa.string())])))
+
+    return graph(items)
+
+
 def acronym(c: Column, least: int = 3) -> Column:
     """The first letters of a name's words without articles, as one term of at least so many letters."""
     plain = F.regexp_replace(F.lower(fold(c)), r"\b(le|la|les|de|des|du|en)\b|\b[ld]['’]", " ")

@@ -61,6 +61,13 @@ def split(df: DataFrame, test: Column) -> tuple[DataFrame, DataFrame]:
     return df.where(holds), df.where(~holds)
 
 
+def all_pairs(asked: DataFrame, rows: DataFrame, *spread: str) -> DataFrame:
+    """A stated set of queries against all rows, in blocks: rows are dealt out by columns, each block gets every query once."""
+    blocks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    there = rows.withColumn("_block", F.pmod(F.xxhash64(*spread), F.lit(blocks)).cast("int"))
+    return there.join(asked.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), "_block").drop("_block")
+
+
 def checked_left_join(left: DataFrame, right: DataFrame, key: str, contract: str = "one_to_one") -> DataFrame:
     """A left join that fails while it runs if a side that should have unique keys has not."""
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexisift.functions.arrays import haversine
+from lexisift.operators.relational import all_pairs
 
 K1, B = 1.2, 0.75
 EXPANSIONS = 50
@@ -109,7 +110,7 @@ def fuzzy_terms(index: Index, terms: DataFrame, field: str, prefix: int = 1, exp
 def zero_terms(queries: DataFrame, q: str, terms: DataFrame, documents: DataFrame, key: str, boost: float = 1.0) -> DataFrame:
     """Every document, at a constant score, for the queries that analysis left without terms (a stated query set)."""
     empty = queries.select(F.col(q).alias("q")).distinct().join(terms.select("q").distinct(), "q", "left_anti")
-    return documents.select(F.col(key).alias("key")).join(empty).select("q", "key", F.lit(float(boost)).alias("score"))
+    return all_pairs(empty, documents.select(F.col(key).alias("key")), "key").select("q", "key", F.lit(float(boost)).alias("score"))
 
 
 def term(queries: DataFrame, q: str, documents: DataFrame, key: str, pairs: Sequence[tuple[str, str]], boost: float = 1.0) -> DataFrame:

@@ -197,6 +197,23 @@ query("X4_stemmed", f"SELECT doc_id, string_agg(s, ' ' ORDER BY s) AS terms FROM
     lambda t: IO.spread(t.documents).select("doc_id", F.array_join(F.sort_array(X.stemmed(F.col("text"))), " ").alias("terms")).where("terms <> ''")
 )
 _terms("X5_synonyms", "flatten(list_transform(string_split(lower(p_type), ' '), lambda w: CASE WHEN w = 'promo' THEN ['promo', 'offer', 'sale'] ELSE [w] END))", lambda: X.with_synonyms(F.split(F.lower("p_type"), " "), {"promo": ["offer", "sale"]}), "part", "p_partkey")
+RULES = {"promo": ["offer", "sale"], "small ring": ["ringlet"], "bolt": ["screw"], "old bolt": ["antique screw"], "old bolt promo": ["antique sale", "clearance"], "new": ["fresh"]}
+_RULES_SQL = ", ".join(f"('{run}', {len(run.split())}, '{a}')" for run, every in RULES.items() for a in every)
+query(
+    "X5_synonym_graph",
+    f"""WITH RECURSIVE r(run, n, alt) AS (VALUES {_RULES_SQL}), w AS (SELECT p_partkey AS k, string_split(lower(p_name || ' ' || p_type), ' ') AS w FROM part),
+m AS (SELECT k, i, max(n) AS n FROM (SELECT k, w, unnest(range(1, len(w) + 1)) AS i FROM w), r WHERE array_to_string(w[i:i + n - 1], ' ') = run GROUP BY k, i),
+go AS (SELECT k, CAST(1 AS BIGINT) AS i FROM w UNION ALL SELECT go.k, go.i + coalesce(m.n, 1) FROM go JOIN w ON w.k = go.k LEFT JOIN m ON m.k = go.k AND m.i = go.i WHERE go.i + coalesce(m.n, 1) <= len(w.w)),
+t AS (SELECT k, i - 1 AS p, 1 AS n, w[i] AS term FROM (SELECT k, w, unnest(range(1, len(w) + 1)) AS i FROM w) UNION ALL SELECT go.k, go.i - 1, m.n, alt FROM go JOIN m ON m.k = go.k AND m.i = go.i JOIN w ON w.k = go.k JOIN r ON r.n = m.n AND array_to_string(w.w[go.i:go.i + m.n - 1], ' ') = run)
+SELECT k AS p_partkey, string_agg(term || '@' || p || '+' || n, ' ' ORDER BY p, n, term) AS terms FROM t GROUP BY k""",
+)(lambda t: t.part.select("p_partkey", _graph_terms().alias("terms")))
+
+
+def _graph_terms():
+    graph = X.synonym_graph(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " "), RULES)
+    return F.array_join(F.transform(F.sort_array(graph), lambda g: F.concat(g["term"], F.lit("@"), g["at"].cast("string"), F.lit("+"), g["length"].cast("string"))), " ")
+
+
 _terms("X6_acronym", "(SELECT CASE WHEN length(l) >= 3 THEN [l] ELSE [] END FROM (SELECT array_to_string(list_transform(list_filter(string_split(lower(p_type || ' ' || p_brand), ' '), lambda w: w <> ''), lambda w: left(w, 1)), '') AS l))", lambda: X.acronym(F.concat_ws(" ", "p_type", "p_brand")), "part", "p_partkey")
 _terms("X7_folding", "[replace(strip_accents(text), 'ß', 'ss')]", lambda: F.array(X.fold(F.col("text"))))
 _terms("X8_elision", "['eau ' || n_name]", lambda: F.array(F.concat(X.elide(F.lit("l'eau ")), "n_name")), "nation", "n_nationkey")

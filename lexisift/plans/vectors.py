@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexisift.functions import text as T
 from lexisift.operators import features as G
-from lexisift.operators import ranking, tree
+from lexisift.operators import ranking, relational, tree
 from lexisift.operators import vectors as V
 from lexisift.plans.registry import query
 
@@ -92,8 +92,8 @@ SCORES = "SELECT c_custkey AS q, 's' || s_suppkey AS code, round(s_acctbal / 100
 
 def _scores(t):
     few = t.customer.where("c_custkey % 100 = 0").select(F.col("c_custkey").alias("q"))
-    s = few.join(t.supplier).select("q", F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("code"), F.round(F.col("s_acctbal") / 1000 + F.col("q"), 6).alias("score"))
-    return s.union(few.join(t.nation).select("q", F.concat(F.lit("n"), F.col("n_nationkey").cast("string")), F.col("n_nationkey").cast("double")))
+    s = relational.all_pairs(few, t.supplier, "s_suppkey").select("q", F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("code"), F.round(F.col("s_acctbal") / 1000 + F.col("q"), 6).alias("score"))
+    return s.union(relational.all_pairs(few, t.nation, "n_nationkey").select("q", F.concat(F.lit("n"), F.col("n_nationkey").cast("string")), F.col("n_nationkey").cast("double")))
 
 
 query("V12_propagated_scores", f"{UP}, s AS ({SCORES}) SELECT s.q, s.code, round(any_value(s.score) + coalesce(sum(a.score * power(0.5e0, hops) * 0.3e0), 0), 6) AS score FROM s LEFT JOIN up ON up.code = s.code AND hops > 0 LEFT JOIN s a ON a.q = s.q AND a.code = up.ancestor GROUP BY s.q, s.code")(

@@ -259,3 +259,14 @@ def test_records_published_out_of_order(spark):
     assert spark.read.parquet(target).select("part").distinct().count() == 3
     got = {r["user"]: r["published"] for r in publication.latest(spark, target, "user").collect()}
     assert got == {1: 5, 2: 4, 3: 2}
+
+
+def test_synonym_graph_takes_the_longest_run_from_the_left(spark):
+    rules = {"a": ["x"], "a b": ["y z"], "a b c": ["q"], "c d": ["v", "w"], "b c": ["never after a b"]}
+    cases = {"a b c d": [(0, 3, "q")], "a b d": [(0, 2, "y z")], "a a b": [(0, 1, "x"), (1, 2, "y z")], "b c d": [(0, 2, "never after a b")], "e c d": [(1, 2, "v"), (1, 2, "w")], "e": [], "": []}
+    df = spark.createDataFrame([(t, t.split() or None if t else []) for t in cases] + [("null", None), ("holes", ["a", None, "b", "a"])], "t string, w array<string>")
+    got = {r["t"]: r["g"] for r in df.select("t", analyzers.synonym_graph(F.col("w"), rules).alias("g")).collect()}
+    for t, alternatives in cases.items():
+        words = [(i, 1, w) for i, w in enumerate(t.split())]
+        assert sorted(map(tuple, got[t])) == sorted(words + alternatives)
+    assert got["null"] is None and sorted(map(tuple, got["holes"])) == [(0, 1, "a"), (0, 1, "x"), (2, 1, "b"), (3, 1, "a"), (3, 1, "x")]
