@@ -128,3 +128,34 @@ def _(t):
         F.when(k % 2 == 0, "housenumber").otherwise("street").alias("b_kind"), *[F.lit(1.0).alias(c) for c in ("a_lat", "a_lon", "b_lat", "b_lon")],
     )
     return geocoding.decide(rows).select("s_suppkey", "rule")
+
+
+POINTS = """WITH x AS (SELECT c_custkey, c_custkey % 11 = 0 AS ill, c_custkey % 10 / 10e0 AS sa, c_custkey % 7 / 7e0 AS sb, c_custkey % 4 / 4e0 AS s1, c_custkey % 9 / 9e0 AS s2, c_custkey % 6 / 5e0 AS sp,
+CASE c_custkey % 3 WHEN 0 THEN 'housenumber' WHEN 1 THEN 'street' ELSE 'municipality' END AS ka, CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'housenumber' ELSE 'street' END AS kb,
+CASE WHEN c_custkey % 5 = 0 THEN 'street' ELSE 'housenumber' END AS kn, CAST(c_custkey % 100 AS DOUBLE) / 100 AS p FROM customer),
+r AS (SELECT *, CASE WHEN ill THEN 'no commune' WHEN ka = 'housenumber' AND coalesce(kb, '') = 'housenumber' AND sa > 0.3e0 AND sa >= sb / 1.2e0 THEN 'a housenumber' WHEN ka = 'housenumber' AND sa > 0.3e0 AND coalesce(kb, '') <> 'housenumber' THEN 'a housenumber' WHEN kb = 'housenumber' AND sb > 0.3e0 THEN 'b housenumber'
+WHEN kn = 'housenumber' AND s1 > 0.5e0 AND s2 > 0.3e0 THEN 'between'
+WHEN ka = 'street' AND coalesce(kb, '') = 'street' AND sa > 0.3e0 AND sa >= sb / 1.2e0 THEN 'a street' WHEN ka = 'street' AND sa > 0.3e0 AND coalesce(kb, '') <> 'street' THEN 'a street' WHEN kb = 'street' AND sb > 0.3e0 THEN 'b street'
+WHEN sa > 0.3e0 THEN 'a any' WHEN sb > 0.3e0 THEN 'b any' WHEN sp > 0.7e0 THEN 'point of interest' ELSE 'centre' END AS rule FROM x)
+SELECT c_custkey, rule, CASE WHEN rule = 'no commune' THEN NULL WHEN rule = 'centre' THEN 46e0 WHEN rule = 'between' THEN round((47 + p + 49 - p) / 2, 6) WHEN rule LIKE 'a %' THEN round(45 + p, 6) WHEN rule LIKE 'b %' THEN round(46 + p, 6) ELSE round(50 + p, 6) END AS latitude,
+CASE WHEN rule = 'no commune' THEN NULL WHEN rule = 'centre' THEN 2e0 WHEN rule = 'between' THEN round((3 + p + 5 + p) / 2, 6) WHEN rule LIKE 'a %' THEN round(1 + p, 6) WHEN rule LIKE 'b %' THEN round(2 + p, 6) ELSE round(6 + p, 6) END AS longitude,
+CASE WHEN rule IN ('no commune', 'centre') THEN 0e0 WHEN rule = 'between' THEN round((s1 + s2) / 2, 2) WHEN rule LIKE 'a %' THEN round(sa, 2) WHEN rule LIKE 'b %' THEN round(sb, 2) ELSE round(sp, 2) END AS score,
+CASE WHEN rule = 'no commune' THEN NULL WHEN rule = 'centre' THEN 'municipality' WHEN rule = 'between' THEN 'interpolation' WHEN rule LIKE 'a %' THEN ka WHEN rule LIKE 'b %' THEN kb ELSE 'venue' END AS kind FROM r"""
+
+
+@query("G14_geocoded_points", POINTS)
+def _(t):
+    """Points, scores and kinds of all customers' addresses, with interpolation between numbers and points of interest."""
+    k = F.col("c_custkey")
+    p = (k % 100).cast("double") / 100
+    level = F.when(k % 5 == 0, "street").otherwise("housenumber")
+    rows = t.customer.select(
+        "c_custkey", F.when(k % 11 == 0, "x").otherwise(F.lpad((k % 100000).cast("string"), 5, "0")).alias("commune"), F.lit(46.0).alias("c_lat"), F.lit(2.0).alias("c_lon"),
+        (k % 10 / 10.0).alias("a_score"), F.when(k % 3 == 0, "housenumber").when(k % 3 == 1, "street").otherwise("town").alias("a_kind"), (45 + p).alias("a_lat"), (1 + p).alias("a_lon"),
+        (k % 7 / 7.0).alias("b_score"), F.when(k % 13 == 0, None).when(k % 2 == 0, "housenumber").otherwise("street").alias("b_kind"), (46 + p).alias("b_lat"), (2 + p).alias("b_lon"),
+        (k % 4 / 4.0).alias("before_score"), level.alias("before_kind"), (47 + p).alias("before_lat"), (3 + p).alias("before_lon"),
+        (k % 9 / 9.0).alias("after_score"), level.alias("after_kind"), (49 - p).alias("after_lat"), (5 + p).alias("after_lon"),
+        (k % 6 / 5.0).alias("poi_score"), F.lit("venue").alias("poi_kind"), (50 + p).alias("poi_lat"), (6 + p).alias("poi_lon"),
+    )
+    found = geocoding.decide(rows)
+    return found.select("c_custkey", "rule", F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"), "score", "kind")

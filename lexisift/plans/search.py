@@ -199,6 +199,16 @@ query("Q18_highlight", "SELECT p_partkey, array_to_string(list_transform(string_
 )
 
 
+MARKED = ("the", "der", "les", "que")
+_HITS = "list_contains([" + ", ".join(f"'{w}'" for w in MARKED) + "], lower(x))"
+query(
+    "Q18_fragments",
+    f"""WITH w AS (SELECT doc_id, string_split(text, ' ') AS w FROM documents), f AS (SELECT doc_id, unnest(list_transform(range(0, len(w), 20), lambda i: {{'at': i, 'w': w[i + 1:i + 20]}})) AS f FROM w),
+n AS (SELECT doc_id, f.at AS place, len(list_filter(f.w, lambda x: {_HITS})) AS marks, array_to_string(list_transform(f.w, lambda x: CASE WHEN {_HITS} THEN '<em>' || x || '</em>' ELSE x END), ' ') AS text FROM f)
+SELECT doc_id, CAST(rank AS INTEGER) AS rank, CAST(marks AS INTEGER) AS marks, CAST(place AS INTEGER) AS place, text FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY marks DESC, place) AS rank FROM n WHERE marks > 0) WHERE rank <= 5""",
+)(lambda t: t.documents.select("doc_id", F.posexplode(S.fragments(F.col("text"), MARKED)).alias("i", "f")).select("doc_id", (F.col("i") + 1).alias("rank"), "f.marks", F.col("f.at").alias("place"), "f.text"))
+
+
 def _templates(r):
     return {"name": r.best("name"), "type": r.best("type"), "code": S.top(r.codes())}
 

@@ -270,3 +270,11 @@ def test_synonym_graph_takes_the_longest_run_from_the_left(spark):
         words = [(i, 1, w) for i, w in enumerate(t.split())]
         assert sorted(map(tuple, got[t])) == sorted(words + alternatives)
     assert got["null"] is None and sorted(map(tuple, got["holes"])) == [(0, 1, "a"), (0, 1, "x"), (2, 1, "b"), (3, 1, "a"), (3, 1, "x")]
+
+
+def test_fragments_with_most_marks_first(spark):
+    text = " ".join(["a"] * 20 + ["b"] * 5 + ["X"] + ["b"] * 14 + ["x", "X"] + ["c"] * 9)
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "none here"), (5, "x")], "k int, t string")
+    got = {r["k"]: r["f"] for r in df.select("k", search.fragments(F.col("t"), ["x"]).alias("f")).collect()}
+    assert [(f["marks"], f["at"]) for f in got[1]] == [(2, 40), (1, 20)] and got[1][0]["text"].startswith("<em>x</em> <em>X</em> c c")
+    assert got[2] == got[4] == [] and got[3] is None and [tuple(f) for f in got[5]] == [(1, 0, "<em>x</em>")]
