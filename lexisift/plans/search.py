@@ -248,7 +248,14 @@ _search("T11_robust_return", *_robust(0.5))
 _search("T12_robust_register", *_robust(0.7))
 query("T13_by_id", "SELECT p_partkey AS q, p_partkey AS key FROM part WHERE p_partkey % 100 = 0")(lambda t: Register(t).equal("p_partkey").select("q", "key"))
 _search("T14_simple", _bool(must=[NAME], should=[BRAND]), lambda r: r.on(r.match("name"), should=[(_same_brand(), 1)]))
+_search("T14_three_musts", _bool(must=[NAME, TYPE, EVERY]), lambda r: S.boolean(must=[r.match("name"), r.match("type"), r.match("every")]))
+_search("T14_best_name_and_place", _bool(must=[_max([NAME, EVERY], 0), TYPE], filters=[BRAND]), lambda r: r.on(S.boolean(must=[S.dis_max([r.match("name"), r.match("every")]), r.match("type")]), filters=[_same_brand()]))
+_search("T14_best_name_boosted_place", _bool(must=[_max([_boosted("s_name", 2), EVERY], 0)], should=[_boosted("brand", 3)]), lambda r: r.on(S.dis_max([r.match("name", 2), r.match("every")]), should=[(_same_brand(), 3)]))
 _search("T15_graded_variant", _bool(must=[NAME], should=["SELECT * FROM code"]), lambda r: S.boolean(must=[r.match("name")], should=[r.codes()]))
+_search(
+    "T15_fuzzy_with_graded_codes", _bool(must=[_max([_boosted("z_every", 10), _boosted("z_name", 4)], 1)], should=[_boosted("brand", 7), _boosted("kind", 5), _boosted("size", 2)]),
+    lambda r: r.on(S.dis_max([r.fuzzy("every", 10), r.fuzzy("name", 4)], 1.0), should=[(_same_brand(), 7), (_same_kind(), 5), (_same_size(), 2)]),
+)
 _search("T16_legacy_variant", _gauss(_bool(must=[NAME], filters=[_within(300000)]), 10000), lambda r: r.on(r.match("name"), filters=[_distance() <= 300000], decay=(_distance(), 10000)))
 
 
@@ -271,3 +278,6 @@ def _(t):
 @query("S25_random_document", "SELECT c_custkey FROM customer ORDER BY c_custkey * 7919 % 10007, c_custkey LIMIT 1")
 def _(t):
     return relational.sample_at_most(t.customer, "c_custkey", 1).select("c_custkey")
+
+
+_search("T16_legacy_five_kilometres", _gauss(_bool(must=[NAME], should=[BRAND, SIZE], filters=[_within(60000)], minimum=0), 5000), lambda r: r.on(r.match("name"), should=[(_same_brand(), 1), (_same_size(), 1)], filters=[_distance() <= 60000], decay=(_distance(), 5000)))
