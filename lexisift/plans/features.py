@@ -73,12 +73,12 @@ query("D10_sparse_rows", f"SELECT key, count(*) AS n, round(sum(tfidf), 4) AS to
 
 @query("G7_word_vectors")
 def _(t):
-    """Word vectors by the library's Word2Vec; no SQL gives a trained model."""
+    """Word vectors by the library's Word2Vec over partitions, which are averaged; no SQL gives a trained model."""
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
     rows = t.part.select("p_partkey", items().alias("words"))
-    model = Word2Vec(vectorSize=8, minCount=2, seed=3, inputCol="words", outputCol="vector", maxIter=1, numPartitions=1).fit(rows)
+    model = Word2Vec(vectorSize=8, minCount=2, seed=3, inputCol="words", outputCol="vector", maxIter=1, numPartitions=int(t.spark.conf.get("spark.sql.shuffle.partitions"))).fit(rows)
     vectors = model.getVectors().select("word", vector_to_array("vector").alias("v"))
     return vectors.select("word", F.size("v").cast("long").alias("size"), F.transform("v", lambda x: F.round(x, 6)).alias("vector"))
 
