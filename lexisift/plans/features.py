@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexisift.functions import scalars
 from lexisift.functions import text as T
 from lexisift.operators import features as G
-from lexisift.operators import geocoding, relational
+from lexisift.operators import geocoding, relational, subwords
 from lexisift.plans.registry import query
 from lexisift.sources import tables as IO
 from lexisift.sources.shared import fresh_path, written
@@ -159,3 +159,11 @@ def _(t):
     )
     found = geocoding.decide(rows)
     return found.select("c_custkey", "rule", F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"), "score", "kind")
+
+
+@query("G7_subword_classes")
+def _(t):
+    """The language of every document by words and n-grams, learned from three quarters of the labelled ones; no SQL gives a trained model."""
+    rows = t.documents.select("doc_id", "text", "lang")
+    model = subwords.train(rows.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2), "doc_id", "text", "lang")
+    return subwords.classify(rows, "doc_id", "text", model).select("doc_id", F.col("label").alias("lang"), F.round("score", 6).alias("score"))
