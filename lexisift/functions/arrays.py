@@ -67,7 +67,7 @@ def lookup(c: Column, table: Mapping[str, int], default: int) -> Column:
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Metres between two points given in degrees."""
     h = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * EARTH_METRES * F.asin(F.sqrt(h))
+    return 2 * EARTH_METRES * F.asin(F.least(F.sqrt(h), F.lit(1.0)))
 
 
 def parse_point(c: Column) -> Column:

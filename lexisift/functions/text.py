@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexisift.functions.stemming import each_text, each_word, french_stem
+from lexisift.operators.fuzzy import near_words
 
 #: The signs that cleaning turns into spaces, each into one.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" + "’—°€"
@@ -217,14 +218,8 @@ def strip_type_suffix(c: Column) -> Column:
 
 
 def nearest_words(df: DataFrame, column: str, vocabulary: DataFrame, word: str, most: int) -> DataFrame:
-    """All words of a vocabulary within an edit distance of a column's words, by blocks of first letter and length.
-
-    A word is compared with those of the same first letter whose length differs by at most the distance.
-    """
-    left = df.withColumn("_first", F.left(column, F.lit(1))).withColumn("_length", F.explode(F.sequence(F.greatest(F.char_length(column) - most, F.lit(1)), F.char_length(column) + most)))
-    right = vocabulary.select(F.col(word).alias("candidate"), F.left(word, F.lit(1)).alias("_first"), F.char_length(word).alias("_length")).distinct()
-    joined = left.join(right, ["_first", "_length"]).withColumn("distance", F.levenshtein(column, "candidate", most))
-    return joined.where("distance >= 0").drop("_first", "_length")
+    """All words of a vocabulary with a column's words' first letter and within an edit distance of them: df, candidate, distance."""
+    return df.join(near_words(df, column, vocabulary, word, most).withColumnRenamed("word", column), column)
 
 
 def spell_correct(df: DataFrame, key: str, column: str, vocabulary: DataFrame, word: str, most: int = 1) -> DataFrame:

@@ -14,13 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexisift.functions.arrays import haversine
+from lexisift.functions.arrays import EARTH_METRES, haversine
+from lexisift.operators.fuzzy import near_words
 from lexisift.operators.relational import all_pairs
 
 K1, B = 1.2, 0.75
 EXPANSIONS = 50
-#: Metres of a degree of latitude, and so the most of a degree of longitude.
-DEGREE_METRES = 111_195.1
 
 
 @dataclass
@@ -93,13 +92,11 @@ def edit_allowance(term: Column) -> Column:
 def fuzzy_terms(index: Index, terms: DataFrame, field: str, prefix: int = 1, expansions: int = EXPANSIONS) -> DataFrame:
     """Query terms expanded to near terms of a field's vocabulary, nearest first, with a weight that falls by distance.
 
-    Only terms with the same first characters and a length within the allowance are compared. The cap on
-    expansions is the search feature itself.
+    prefix is how many first characters must be equal; it may be 0. The cap on expansions is the search feature itself.
     """
-    wanted = terms.select("term").distinct().withColumn("allowed", edit_allowance(F.col("term")))
-    left = wanted.withColumn("head", F.left("term", F.lit(prefix))).withColumn("length", F.explode(F.sequence(F.greatest(F.char_length("term") - F.col("allowed"), F.lit(1)), F.char_length("term") + F.col("allowed"))))
-    vocabulary = index.terms.where(F.col("field") == field).select(F.col("term").alias("near"), F.left("term", F.lit(prefix)).alias("head"), F.char_length("term").alias("length"))
-    found = left.join(vocabulary, ["head", "length"]).withColumn("edits", F.levenshtein("term", "near")).where("edits <= allowed")
+    wanted = terms.select("term").where("term <> ''").distinct()
+    vocabulary = index.terms.where((F.col("field") == field) & (F.col("term") != ""))
+    found = near_words(wanted, "term", vocabulary, "term", 2, prefix, edit_allowance(F.col("term"))).select(F.col("word").alias("term"), F.col("candidate").alias("near"), F.col("distance").alias("edits"))
     rank = F.row_number().over(Window.partitionBy("term").orderBy("edits", "near"))
     kept = found.withColumn("rank", rank).where(F.col("rank") <= expansions)
     weight = 1 - F.col("edits") / F.least(F.char_length("term"), F.char_length("near"))
@@ -136,14 +133,13 @@ def graded_codes(queries: DataFrame, q: str, value: str, documents: DataFrame, k
     return left.join(right, "head").select("q", "key", score.alias("score"))
 
 
-def keyword_fuzzy(queries: DataFrame, q: str, value: str, documents: DataFrame, key: str, field: str, boost: float = 1.0) -> DataFrame:
-    """Whole values within the edit allowance, compared by blocks of first character and length."""
-    left = queries.select(F.col(q).alias("q"), F.col(value).alias("v")).withColumn("allowed", edit_allowance(F.col("v"))).withColumn("head", F.left("v", F.lit(1)))
-    left = left.withColumn("length", F.explode(F.sequence(F.greatest(F.char_length("v") - F.col("allowed"), F.lit(1)), F.char_length("v") + F.col("allowed"))))
-    right = documents.select(F.col(key).alias("key"), F.col(field).alias("w"), F.left(field, F.lit(1)).alias("head"), F.char_length(field).alias("length"))
-    edits = F.levenshtein("v", "w")
-    score = boost * (1 - edits / F.least(F.char_length("v"), F.char_length("w")))
-    return left.join(right, ["head", "length"]).where(edits <= F.col("allowed")).select("q", "key", score.alias("score"))
+def keyword_fuzzy(queries: DataFrame, q: str, value: str, documents: DataFrame, key: str, field: str, boost: float = 1.0, prefix: int = 1) -> DataFrame:
+    """Whole values within the edit allowance and with equal first characters; distinct values are compared, empty ones with nothing."""
+    left = queries.select(F.col(q).alias("q"), F.col(value).alias("v")).where("v <> ''")
+    right = documents.select(F.col(key).alias("key"), F.col(field).alias("w")).where("w <> ''")
+    found = near_words(left, "v", right, "w", 2, prefix, edit_allowance(F.col("v"))).select(F.col("word").alias("v"), F.col("candidate").alias("w"), F.col("distance").alias("edits"))
+    score = boost * (1 - F.col("edits") / F.least(F.char_length("v"), F.char_length("w")))
+    return left.join(found, "v").join(right, "w").select("q", "key", score.alias("score"))
 
 
 def contains_any(documents: DataFrame, key: str, items: Column, words: Sequence[str]) -> DataFrame:
@@ -151,21 +147,53 @@ def contains_any(documents: DataFrame, key: str, items: Column, words: Sequence[
     return documents.where(F.arrays_overlap(items, F.array(*[F.lit(w) for w in words]))).select(F.col(key).alias("key"))
 
 
-def near(queries: DataFrame, q: str, documents: DataFrame, key: str, lat: str, lon: str, metres: float, most_latitude: float = 75.0) -> DataFrame:
-    """(q, key, distance) of points within a distance, joined by grid cells of that size instead of all pairs.
+def near(queries: DataFrame, q: str, documents: DataFrame, key: str, lat: str, lon: str, metres: float, block: int = 4096) -> DataFrame:
+    """(q, key, distance) of points within a distance, by cells of about that size instead of all pairs.
 
-    A cell is as high as the distance and, at the latitude bound, at least as wide; a query looks into nine cells.
-    Points beyond the latitude bound or without coordinates are not found.
+    Bands of latitude are at least as high as the distance, and a band's cells at least as wide as the distance is anywhere in it,
+    so a query looks into three bands and three cells of each; cells go round the date line, and a band that touches a pole is
+    one cell. Cells of over block documents or queries (or a 4,096th of all, whichever is more) are dense: their documents and
+    queries are dealt into blocks that meet pair by pair, so no key is larger and there are a few thousand dense cells at
+    most. Points without finite coordinates, or with latitudes outside -90 to 90, are not found.
     """
-    high = metres / DEGREE_METRES * 1.001
-    wide = high / math.cos(math.radians(most_latitude))
-    cell = lambda c, size: F.floor(F.col(c) / size)
-    left = queries.select(F.col(q).alias("q"), F.col(lat).alias("a"), F.col(lon).alias("o")).where(F.abs("a") <= most_latitude)
-    around = F.array(*[F.struct((F.floor(F.col("a") / high) + i).alias("y"), (F.floor(F.col("o") / wide) + j).alias("x")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    left = left.select("q", "a", "o", F.inline(around))
-    right = documents.select(F.col(key).alias("key"), F.col(lat).alias("b"), F.col(lon).alias("p"), cell(lat, high).alias("y"), cell(lon, wide).alias("x"))
+    radius = metres / EARTH_METRES
+    degrees = min(math.degrees(radius) * 1.001, 180.0)
+    bands = max(1, math.floor(180 / degrees)) if degrees > 0 else 1 << 20
+    height = 180 / bands
+
+    def columns(band: Column) -> Column:
+        low = band * height - 90
+        farthest = F.greatest(F.abs(low), F.abs(low + height))
+        width = F.degrees(F.asin(math.sin(radius) / F.cos(F.radians(farthest)))) * 1.001 + 1e-9
+        return F.when(farthest + degrees >= 89.99, 1).otherwise(F.greatest(F.floor(360 / width), F.lit(1))).cast("long")
+
+    def at(o: str, n: Column) -> Column:
+        return F.least(F.floor(F.pmod(F.col(o), F.lit(360.0)) / 360 * n), n - 1).cast("long")
+
+    def points(df: DataFrame, name: str, own: str, a: str, o: str) -> DataFrame:
+        rows = df.select(F.col(own).alias(name), F.col(lat).cast("double").alias(a), F.col(lon).cast("double").alias(o))
+        rows = rows.where(F.col(a).between(-90.0, 90.0) & (F.abs(o) <= 1e9))
+        return rows.withColumn("y", F.least(F.floor((F.col(a) + 90) / height), F.lit(bands - 1)).cast("long"))
+
+    right = points(documents, "key", key, "b", "p").withColumn("x", at("p", columns(F.col("y"))))
+    left = points(queries, "q", q, "a", "o").withColumn("y", F.explode(F.sequence(F.greatest(F.col("y") - 1, F.lit(0)), F.least(F.col("y") + 1, F.lit(bands - 1))))).withColumn("n", columns(F.col("y")))
+    here = at("o", F.col("n"))
+    left = left.withColumn("x", F.explode(F.array_distinct(F.array(*[F.pmod(here + i, F.col("n")) for i in (-1, 0, 1)])))).drop("n")
+
+    def dense(df: DataFrame, parts: str) -> DataFrame:
+        counts = df.groupBy("y", "x").agg(F.count("*").alias("n"))
+        size = counts.agg(F.greatest(F.lit(block), F.ceil(F.sum("n") / 4096)).alias("size"))
+        return counts.join(F.broadcast(size)).where(F.col("n") > F.col("size")).select("y", "x", F.ceil(F.col("n") / F.col("size")).cast("int").alias(parts))
+
+    split = F.broadcast(dense(right, "right").join(dense(left, "left"), ["y", "x"], "full"))  # at most 4,096 cells of each side
+
+    def dealt(df: DataFrame, own: str, mine: str, others: str) -> DataFrame:
+        each = df.join(split, ["y", "x"], "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in (mine, others)})
+        return each.withColumn(mine, F.pmod(F.xxhash64(own), F.col(mine))).withColumn(others, F.explode(F.sequence(F.lit(0).cast("long"), F.col(others).cast("long") - 1)))
+
+    left, right = dealt(left, "q", "left", "right"), dealt(right, "key", "right", "left")
     distance = haversine(F.col("a"), F.col("o"), F.col("b"), F.col("p"))
-    return left.join(right, ["y", "x"]).select("q", "key", distance.alias("distance")).where(F.col("distance") <= metres)
+    return left.join(right, ["y", "x", "left", "right"]).select("q", "key", distance.alias("distance")).where(F.col("distance") <= metres)
 
 
 def gauss(clause: DataFrame, distances: DataFrame, scale: float, decay: float = 0.5) -> DataFrame:

@@ -156,14 +156,18 @@ def test_search_edge_cases(spark):
     assert [r["key"] for r in both.collect()] == [2]
 
 
-def test_geo_cells_find_what_all_pairs_find(spark):
-    points = spark.createDataFrame([(i, -60 + (i * 37 % 1200) / 10, -180 + (i * 113 % 3600) / 10) for i in range(300)], "k long, lat double, lon double")
-    near = search.near(points, "k", points, "k", "lat", "lon", 400_000)
-    a, b = points.toDF("q", "a", "o"), points.toDF("key", "b", "p")
-    every = a.join(b).where(arrays.haversine(F.col("a"), F.col("o"), F.col("b"), F.col("p")) <= 400_000)
-    inside = lambda df: {(r["q"], r["key"]) for r in df.select("q", "key").collect()}
-    missed = inside(every) - inside(near)
-    assert inside(near) <= inside(every) and all(abs(points.where(F.col("k") == q).first()["lon"] - points.where(F.col("k") == k).first()["lon"]) > 300 for q, k in missed)
+@pytest.mark.parametrize("metres, block", [(0, 50), (400_000, 50), (400_000, 100_000), (1_500_000, 30), (9_000_000, 100_000), (25_000_000, 40)])
+def test_geo_cells_find_what_all_pairs_find(spark, metres, block):
+    """Points all over, at the poles and the date line, and a third of all in one place."""
+    rows = [(i, -90 + (i * 37 % 1801) / 10, -180 + (i * 113 % 3600) / 10) for i in range(200)] + [(200 + i, 48 + i % 10 / 100, 2 + i % 7 / 100) for i in range(120)]
+    rows += [(400, 90.0, 0.0), (401, -90.0, 55.0), (402, 10.0, 180.0), (403, 10.0, -180.0), (404, 10.1, -179.9), (405, 9.9, 179.9), (406, 89.5, -100.0), (407, 0.0, -1e-18), (408, 0.0, 540.0)]
+    ill = [(500, None, 1.0), (501, 1.0, None), (502, float("nan"), 1.0), (503, 1.0, float("inf")), (504, 91.0, 1.0)]
+    points = spark.createDataFrame(rows + ill, "k long, lat double, lon double")
+    a, b = points.where("k < 500").toDF("q", "a", "o"), points.where("k < 500").toDF("key", "b", "p")
+    every = a.join(b).where(arrays.haversine(F.col("a"), F.col("o"), F.col("b"), F.col("p")) <= metres)
+    inside = lambda df: sorted((r["q"], r["key"]) for r in df.select("q", "key").collect())
+    assert inside(search.near(points, "k", points, "k", "lat", "lon", metres, block)) == inside(every)
+    assert search.near(points.where("false"), "k", points, "k", "lat", "lon", metres, block).count() == 0
 
 
 def test_features(spark):
