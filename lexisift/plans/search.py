@@ -105,11 +105,24 @@ def _same_kind():
     return F.left("q_p_type", F.lit(3)) == F.left("p_type", F.lit(3))
 
 
+def _same_acronym():
+    return F.col("q_sigle") == F.col("sigle")
+
+
+KIND_OF = "left(p_type, 3)"
+
+
+def _found():
+    """That other clauses have found a candidate, as one of on_candidates' conditions."""
+    return F.col("_score") > 0
+
+
 class Register:
     """The register's index and the clauses of every return."""
 
     def __init__(self, t):
         parts = t.part.withColumns({"lat": F.expr(LAT).cast("double"), "lon": F.expr(LON).cast("double"), "lname": F.lower("p_name"), "every": F.concat_ws(" ", "p_name", "p_type")})
+        parts = parts.withColumn("sigle", F.get(X.acronym(F.col("every")), F.lit(0)))
         self.parts, self.asked = parts, parts.where(ASKED)
         items = {f: _words(F.col(c)) for f, c in ITEMS.items()}
         self.index = SI.open_index(t.spark, _written_index(t, lambda: S.build_index(parts, "p_partkey", items)))
@@ -140,8 +153,10 @@ class Register:
     def equal(self, column, boost=1.0):
         return S.term(self.asked, "p_partkey", self.parts, "p_partkey", [(column, column)], boost)
 
-    def kind(self, boost=1.0):
-        return S.prefix(self.asked, "p_partkey", "p_type", self.parts, "p_partkey", "p_type", 3, boost)
+    def brands(self, clauses):
+        """Equal brands among what clauses and equal values find."""
+        zero = [c.withColumn("score", F.lit(0.0)) for c in clauses]
+        return self.on(S.dis_max([*zero, self.firsts("p_brand")]), should=[(_same_brand(), 1)], minimum=1)
 
     def keyword(self):
         return S.keyword_fuzzy(self.asked, "p_partkey", "lname", self.parts, "p_partkey", "lname")
@@ -149,13 +164,13 @@ class Register:
     def codes(self):
         return S.graded_codes(self.asked, "p_partkey", "p_brand", self.parts, "p_partkey", "p_brand", {7: 2.0, 8: 3.0})
 
+    def firsts(self, *columns):
+        """What the best ten can have by equal values alone."""
+        return S.first_equals(self.asked, "p_partkey", self.parts, "p_partkey", [(F.expr(c), F.expr(c)) for c in columns])
+
     def near(self, metres):
         return S.near(self.asked, "p_partkey", self.parts, "p_partkey", "lat", "lon", metres)
 
-    def acronym(self, boost=1.0):
-        lettered = self.parts.withColumn("sigle", F.get(X.acronym(F.col("every")), F.lit(0)))
-        return S.term(lettered.where(ASKED), "p_partkey", lettered, "p_partkey", [("sigle", "sigle")], boost)
-
 
 def _search(name: str, sql: str, f, k: int = 10):
     query(name, _top(sql, k))(lambda t: S.top(f(Register(t)), k))
@@ -184,11 +199,11 @@ def _(t):
 
 
 _search("Q7_must", _bool(must=[NAME, TYPE]), lambda r: S.boolean(must=[r.match("name"), r.match("type")]))
-_search("Q8_should_minimum", _bool(should=[NAME, "SELECT * FROM brand", "SELECT * FROM size"], minimum=2), lambda r: S.boolean(should=[r.match("name"), r.equal("p_brand"), r.equal("p_size")], minimum=2))
+_search("Q8_should_minimum", _bool(should=[NAME, "SELECT * FROM brand", "SELECT * FROM size"], minimum=2), lambda r: r.on(S.boolean(should=[r.match("name"), r.firsts("p_brand", "p_size")]), should=[(_found(), 0), (_same_brand(), 1), (_same_size(), 1)], minimum=2))
 _search("Q9_filter", _bool(must=[NAME], filters=["SELECT * FROM brand"]), lambda r: r.on(r.match("name"), filters=[_same_brand()]))
-_search("Q10_dis_max", _max([NAME, TYPE, "SELECT * FROM brand"], 0.5), lambda r: S.dis_max([r.match("name"), r.match("type"), r.equal("p_brand")], 0.5))
-_search("Q11_term", _boosted("brand", 4), lambda r: r.equal("p_brand", 4))
-_search("Q12_wildcard", "SELECT * FROM kind", lambda r: r.kind())
+_search("Q10_dis_max", _max([NAME, TYPE, "SELECT * FROM brand"], 0.5), lambda r: S.dis_max([r.match("name"), r.match("type"), r.brands([r.match("name"), r.match("type")])], 0.5))
+_search("Q11_term", _boosted("brand", 4), lambda r: r.on(r.firsts("p_brand"), should=[(_same_brand(), 4)]))
+_search("Q12_wildcard", "SELECT * FROM kind", lambda r: r.on(r.firsts(KIND_OF), should=[(_same_kind(), 1)]))
 _search("Q13_gauss_decay", _gauss(NAME, 100000), lambda r: r.on(r.match("name"), decay=(_distance(), 100000)))
 query("Q14_geo_distance", f"{CTES} SELECT q, k AS key, round(distance, 3) AS distance FROM dist WHERE distance <= 30000")(lambda t: Register(t).near(30000).withColumn("distance", F.round("distance", 3)))
 _search("Q15_keyword_fuzzy", "SELECT * FROM kw", lambda r: r.keyword())
@@ -231,17 +246,26 @@ _search("T1_fuzzy_name_and_address", _bool(must=[_max([FUZZY, "SELECT * FROM z_t
 _search("T2_fuzzy_name_and_point", _gauss(_bool(must=[FUZZY], filters=[_within(50000)]), 10000), lambda r: r.on(r.fuzzy("name"), filters=[_distance() <= 50000], decay=(_distance(), 10000)))
 _search("T3_exact_name_and_address", _bool(must=["SELECT * FROM kw"], should=[BRAND, SIZE, KIND], minimum=2), lambda r: r.on(r.keyword(), should=[(_same_brand(), 1), (_same_size(), 1), (_same_kind(), 1)], minimum=2))
 _search("T4_exact_name_and_point", _gauss(_bool(must=["SELECT * FROM kw"], filters=[_within(80000)]), 20000), lambda r: r.on(r.keyword(), filters=[_distance() <= 80000], decay=(_distance(), 20000)))
-_search("T5_shoulds_with_acronym", _bool(should=[NAME, TYPE, ACRO, KIND]), lambda r: S.boolean(should=[r.match("name"), r.match("type"), r.acronym(), r.kind()]))
-_search("T6_catch_all", _bool(should=[_boosted("s_every", 10), _boosted("brand", 7), _boosted("kind", 5), SIZE]), lambda r: S.boolean(should=[r.match("every", 10), r.equal("p_brand", 7), r.kind(5), r.equal("p_size")]))
-_search("T7_filtered_domain", _bool(should=[_boosted("acro", 5), _boosted("brand", 10), _boosted("kind", 5), TYPE], filters=[NAME]), lambda r: S.boolean(should=[r.acronym(5), r.equal("p_brand", 10), r.kind(5), r.match("type")], filters=[r.match("name")]))
-_search("T8_catch_all_and_point", _gauss(_bool(should=[_boosted("s_every", 10), _boosted("size", 20)], filters=[_within(100000)], minimum=1), 10000), lambda r: S.gauss(S.boolean(should=[r.match("every", 10), r.equal("p_size", 20)], filters=[r.near(100000)], minimum=1), r.near(100000), 10000))
+_search("T5_shoulds_with_acronym", _bool(should=[NAME, TYPE, ACRO, KIND]), lambda r: r.on(S.boolean(should=[r.match("name"), r.match("type"), r.firsts("sigle", KIND_OF)]), should=[(_same_acronym(), 1), (_same_kind(), 1)]))
+_search("T6_catch_all", _bool(should=[_boosted("s_every", 10), _boosted("brand", 7), _boosted("kind", 5), SIZE]), lambda r: r.on(S.boolean(should=[r.match("every", 10), r.firsts("p_brand", KIND_OF, "p_size")]), should=[(_same_brand(), 7), (_same_kind(), 5), (_same_size(), 1)]))
+_search("T7_filtered_domain", _bool(should=[_boosted("acro", 5), _boosted("brand", 10), _boosted("kind", 5), TYPE], filters=[NAME]), lambda r: r.on(S.boolean(should=[r.match("type")], filters=[r.match("name")]), should=[(_same_acronym(), 5), (_same_brand(), 10), (_same_kind(), 5)]))
+_search("T8_catch_all_and_point", _gauss(_bool(should=[_boosted("s_every", 10), _boosted("size", 20)], filters=[_within(100000)], minimum=1), 10000), lambda r: r.on(S.boolean(should=[r.match("every", 10)], filters=[r.near(100000)]), should=[(_found(), 0), (_same_size(), 20)], minimum=1, decay=(_distance(), 10000)))
 _search("T9_name_near", _gauss(_bool(must=[NAME], should=[KIND], filters=[_within(200000)]), 50000), lambda r: r.on(r.match("name"), should=[(_same_kind(), 1)], filters=[_distance() <= 200000], decay=(_distance(), 50000)))
 _search("T10_catch_all_near", _gauss(_bool(must=[EVERY], filters=[_within(200000)]), 50000), lambda r: r.on(r.match("every"), filters=[_distance() <= 200000], decay=(_distance(), 50000)))
 
 
 def _robust(tie):
     sql = _max([_bool(should=[NAME, BRAND, KIND], filters=[_within(50000)], minimum=2), _bool(should=[NAME, TYPE, BRAND, SIZE, KIND], filters=[KIND], minimum=4)], tie)
-    return sql, lambda r: S.dis_max([S.boolean(should=[r.match("name"), r.equal("p_brand"), r.kind()], filters=[r.near(50000)], minimum=2), S.boolean(should=[r.match("name"), r.match("type"), r.equal("p_brand"), r.equal("p_size"), r.kind()], filters=[r.kind()], minimum=4)], tie)
+
+    def search(r):
+        """The second clause needs three of name, type, brand and size, so a text clause finds all of its candidates."""
+        near = r.on(S.boolean(should=[r.match("name")], filters=[r.near(50000)]), should=[(_found(), 0), (_same_brand(), 1), (_same_kind(), 1)], minimum=2)
+        texts = [r.match("name"), r.match("type")]
+        more = [(_same_brand(), 1), (_same_size(), 1), (_same_kind(), 1)]
+        alike = S.dis_max([r.on(S.boolean(must=texts), should=more, filters=[_same_kind()], minimum=2), r.on(S.boolean(should=texts), should=more, filters=[_same_kind()], minimum=3)])
+        return S.dis_max([near, alike], tie)
+
+    return sql, search
 
 
 _search("T11_robust_return", *_robust(0.5))

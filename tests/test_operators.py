@@ -282,3 +282,18 @@ def test_fragments_with_most_marks_first(spark):
     got = {r["k"]: r["f"] for r in df.select("k", search.fragments(F.col("t"), ["x"]).alias("f")).collect()}
     assert [(f["marks"], f["at"]) for f in got[1]] == [(2, 40), (1, 20)] and got[1][0]["text"].startswith("<em>x</em> <em>X</em> c c")
     assert got[2] == got[4] == [] and got[3] is None and [tuple(f) for f in got[5]] == [(1, 0, "<em>x</em>")]
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_best_by_equal_values_equals_all_pairs(spark, k):
+    """Few values, so that groups are far larger than k; nulls equal nothing."""
+    rows = [(i, i % 3 if i % 11 else None, "xy"[i % 2] if i % 13 else None) for i in range(120)]
+    docs = spark.createDataFrame(rows, "k long, a long, b string")
+    asked = docs.where("k % 9 = 0")
+    text = spark.createDataFrame([(q, key, 0.5 + key % 4) for q in range(0, 120, 9) for key in range(q % 7, 120, 17)], "q long, key long, score double")
+    found = search.boolean(should=[text, search.first_equals(asked, "k", docs, "k", [(F.col("a"), F.col("a")), (F.col("b"), F.col("b"))], k)])
+    same = [(F.col(f"q_{c}") == F.col(c), n) for c, n in (("a", 2.0), ("b", 1.0))]
+    fast = search.top(search.on_candidates(found, asked, "k", docs, "k", should=[(F.col("_score") > 0, 0.0), *same], minimum=1), k)
+    slow = search.top(search.boolean(should=[text, search.term(asked, "k", docs, "k", [("a", "a")], 2.0), search.term(asked, "k", docs, "k", [("b", "b")], 1.0)]), k)
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))
+    assert search.first_equals(asked, "k", docs, "k", [(F.col("a"), F.col("a"))], k).groupBy("q").count().agg(F.max("count")).first()[0] <= k
