@@ -18,10 +18,11 @@ FINAL = f"{CTES}, e AS ({ECHO}), c AS (SELECT q, key, count(*) AS nb FROM e GROU
 
 def _candidates(t):
     r = Register(t)
-    found = S.without_self(S.echoes({"name": S.top(r.match("name")), "type": S.top(r.match("type")), "code": S.top(r.codes())}))
-    sizes = found.select("q", "key").distinct().join(r.parts.select(F.col("p_partkey").alias("q"), F.col("p_size").alias("qs")), "q").join(r.parts.select(F.col("p_partkey").alias("key"), F.col("p_size").alias("ks")), "key")
+    found = written(S.without_self(S.echoes({"name": S.top(r.match("name")), "type": S.top(r.match("type")), "code": S.top(r.codes())})), "echoes")
+    both = found.select("q", "key").distinct().join(r.parts.select(F.col("p_partkey").alias("q"), F.col("p_size").alias("qs"), F.col("p_brand").alias("qb")), "q")
+    sizes = both.join(r.parts.select(F.col("p_partkey").alias("key"), F.col("p_size").alias("ks"), F.col("p_brand").alias("kb")), "key")
     similar = sizes.select("q", "key", F.round(1.0 / (1 + F.abs(F.col("qs") - F.col("ks"))), 6).alias("similarity"))
-    return decisions.score_candidates(found, similar, r.equal("p_brand").withColumnRenamed("score", "activity"), 0.1, 0.3)
+    return decisions.score_candidates(found, similar, sizes.where("qb = kb").select("q", "key", F.lit(1.0).alias("activity")), 0.1, 0.3)
 
 
 query("Flow1_candidates", f"{FINAL} SELECT q, key, similarity, nb, activity, final, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY final DESC, key) AS rank FROM f) WHERE rank <= 10")(_candidates)

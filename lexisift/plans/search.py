@@ -109,6 +109,11 @@ def _same_acronym():
     return F.col("q_sigle") == F.col("sigle")
 
 
+def _codes():
+    """A code's beginning and the whole of it, as conditions on candidates."""
+    return [(F.left("q_p_brand", F.lit(7)) == F.left("p_brand", F.lit(7)), 2), (_same_brand(), 3)]
+
+
 KIND_OF = "left(p_type, 3)"
 
 
@@ -151,6 +156,7 @@ class Register:
         return S.match(self.index, S.fuzzy_terms(self.index, self.terms[f], f), f, boost)
 
     def equal(self, column, boost=1.0):
+        """All pairs of equal value: for values that few records share."""
         return S.term(self.asked, "p_partkey", self.parts, "p_partkey", [(column, column)], boost)
 
     def brands(self, clauses):
@@ -162,7 +168,8 @@ class Register:
         return S.keyword_fuzzy(self.asked, "p_partkey", "lname", self.parts, "p_partkey", "lname")
 
     def codes(self):
-        return S.graded_codes(self.asked, "p_partkey", "p_brand", self.parts, "p_partkey", "p_brand", {7: 2.0, 8: 3.0})
+        """What the best ten by graded codes can have."""
+        return self.on(self.firsts("left(p_brand, 7)", "p_brand"), should=_codes())
 
     def firsts(self, *columns):
         """What the best ten can have by equal values alone."""
@@ -275,7 +282,7 @@ _search("T14_simple", _bool(must=[NAME], should=[BRAND]), lambda r: r.on(r.match
 _search("T14_three_musts", _bool(must=[NAME, TYPE, EVERY]), lambda r: S.boolean(must=[r.match("name"), r.match("type"), r.match("every")]))
 _search("T14_best_name_and_place", _bool(must=[_max([NAME, EVERY], 0), TYPE], filters=[BRAND]), lambda r: r.on(S.boolean(must=[S.dis_max([r.match("name"), r.match("every")]), r.match("type")]), filters=[_same_brand()]))
 _search("T14_best_name_boosted_place", _bool(must=[_max([_boosted("s_name", 2), EVERY], 0)], should=[_boosted("brand", 3)]), lambda r: r.on(S.dis_max([r.match("name", 2), r.match("every")]), should=[(_same_brand(), 3)]))
-_search("T15_graded_variant", _bool(must=[NAME], should=["SELECT * FROM code"]), lambda r: S.boolean(must=[r.match("name")], should=[r.codes()]))
+_search("T15_graded_variant", _bool(must=[NAME], should=["SELECT * FROM code"]), lambda r: r.on(r.match("name"), should=_codes()))
 _search(
     "T15_fuzzy_with_graded_codes", _bool(must=[_max([_boosted("z_every", 10), _boosted("z_name", 4)], 1)], should=[_boosted("brand", 7), _boosted("kind", 5), _boosted("size", 2)]),
     lambda r: r.on(S.dis_max([r.fuzzy("every", 10), r.fuzzy("name", 4)], 1.0), should=[(_same_brand(), 7), (_same_kind(), 5), (_same_size(), 2)]),

@@ -297,3 +297,10 @@ def test_best_by_equal_values_equals_all_pairs(spark, k):
     slow = search.top(search.boolean(should=[text, search.term(asked, "k", docs, "k", [("a", "a")], 2.0), search.term(asked, "k", docs, "k", [("b", "b")], 1.0)]), k)
     assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))
     assert search.first_equals(asked, "k", docs, "k", [(F.col("a"), F.col("a"))], k).groupBy("q").count().agg(F.max("count")).first()[0] <= k
+
+
+def test_clauses_of_beginnings_list_all_pairs(spark):
+    docs = spark.createDataFrame([(1, "abcd"), (2, "abce"), (3, "abd"), (4, None), (5, "")], "k long, c string")
+    hits = lambda df: {(r["q"], r["key"]): r["score"] for r in df.where("q = 1").collect()}
+    assert hits(search.prefix(docs, "k", "c", docs, "k", "c", 3, 2.0)) == {(1, 1): 2.0, (1, 2): 2.0}
+    assert hits(search.graded_codes(docs, "k", "c", docs, "k", "c", {2: 1.0, 3: 2.0, 4: 4.0})) == {(1, 1): 7.0, (1, 2): 3.0, (1, 3): 1.0}
