@@ -323,7 +323,7 @@ def fragments(c: Column, words: Sequence[str], size: int = 20, most: int = 5, be
     """The best fragments of a text, each of so many words and with those of a fixed list marked: array of struct(marks, at, text).
 
     Fragments with more marked words come first, then earlier ones; those without any are left out. at is the place of a fragment's
-    first word, from 0. Words stand between single spaces and are compared in lower case. The number is the feature's own cap.
+    first word, from 0; null for a null text. Words stand between single spaces and are compared in lower case. The number is the feature's own cap.
     """
     items = F.split(c, " ")
     starts = F.sequence(F.lit(0), F.greatest(F.size(items) - 1, F.lit(0)), F.lit(size))
@@ -331,4 +331,5 @@ def fragments(c: Column, words: Sequence[str], size: int = 20, most: int = 5, be
     cut = F.transform(starts, lambda i: F.struct(F.size(F.filter(F.slice(items, i + 1, size), hit)).alias("marks"), i.alias("at")))
     best = F.slice(F.sort_array(F.transform(F.filter(cut, lambda f: f["marks"] > 0), lambda f: F.struct((-f["marks"]).alias("fewer"), f["at"].alias("at")))), 1, most)
     marked = lambda w: F.when(hit(w), F.concat(F.lit(before), w, F.lit(after))).otherwise(w)
-    return F.transform(best, lambda f: F.struct((-f["fewer"]).alias("marks"), f["at"].alias("at"), F.array_join(F.transform(F.slice(items, f["at"] + 1, size), marked), " ").alias("text")))
+    found = F.transform(best, lambda f: F.struct((-f["fewer"]).alias("marks"), f["at"].alias("at"), F.array_join(F.transform(F.slice(items, f["at"] + 1, size), marked), " ").alias("text")))
+    return F.when(c.isNotNull(), found)
