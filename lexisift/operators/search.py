@@ -202,6 +202,12 @@ def gauss(clause: DataFrame, distances: DataFrame, scale: float, decay: float =
     return clause.join(distances, ["q", "key"]).select("q", "key", (F.col("score") * factor).alias("score"))
 
 
+def beside(hits: DataFrame, queries: DataFrame, q: str, documents: DataFrame, key: str) -> DataFrame:
+    """Hits as q, _key and _score with the query's columns, named q_..., and the document's."""
+    asked = queries.select(F.col(q).alias("q"), *[F.col(c).alias(f"q_{c}") for c in queries.columns])
+    return hits.select("q", F.col("key").alias("_key"), F.col("score").alias("_score")).join(asked, "q").join(documents, F.col("_key") == F.col(key))
+
+
 def on_candidates(
     hits: DataFrame, queries: DataFrame, q: str, documents: DataFrame, key: str, should: Sequence[tuple[Column, float]] = (), filters: Sequence[Column] = (), minimum: int = 0,
     decay: tuple[Column, float] | None = None,
@@ -212,8 +218,7 @@ def on_candidates(
     that is a half at its scale. Cheap clauses (equal values, distances) then list no pairs of their own. Hits whose distance is
     unknown are left out.
     """
-    asked = queries.select(F.col(q).alias("q"), *[F.col(c).alias(f"q_{c}") for c in queries.columns])
-    rows = hits.select("q", F.col("key").alias("_key"), F.col("score").alias("_score")).join(asked, "q").join(documents, F.col("_key") == F.col(key))
+    rows = beside(hits, queries, q, documents, key)
     holds = [F.coalesce(c, F.lit(False)) for c, _ in should]
     score = sum((F.when(h, float(b)).otherwise(0.0) for h, (_, b) in zip(holds, should, strict=True)), F.col("_score"))
     if decay:

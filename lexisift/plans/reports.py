@@ -18,7 +18,7 @@ FINAL = f"{CTES}, e AS ({ECHO}), c AS (SELECT q, key, count(*) AS nb FROM e GROU
 
 def _candidates(t):
     r = Register(t)
-    found = written(S.without_self(S.echoes({"name": S.top(r.match("name")), "type": S.top(r.match("type")), "code": S.top(r.codes())})), "echoes")
+    found = written(S.without_self(S.echoes({"name": r.best("name"), "type": r.best("type"), "code": S.top(r.codes())})), "echoes")
     both = found.select("q", "key").distinct().join(r.parts.select(F.col("p_partkey").alias("q"), F.col("p_size").alias("qs"), F.col("p_brand").alias("qb")), "q")
     sizes = both.join(r.parts.select(F.col("p_partkey").alias("key"), F.col("p_size").alias("ks"), F.col("p_brand").alias("kb")), "key")
     similar = sizes.select("q", "key", F.round(1.0 / (1 + F.abs(F.col("qs") - F.col("ks"))), 6).alias("similarity"))

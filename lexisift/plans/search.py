@@ -8,6 +8,7 @@ from lexisift.functions import analyzers as X
 from lexisift.functions.arrays import haversine
 from lexisift.operators import relational
 from lexisift.operators import search as S
+from lexisift.operators import search_classes as C
 from lexisift.operators import search_index as SI
 from lexisift.plans.registry import query
 from lexisift.sources.shared import fresh_path
@@ -77,7 +78,7 @@ def _written_index(t, build) -> str:
     key = t.spark.sparkContext.applicationId, t.folder, SI.table_version(t.spark, f"{t.folder}/part.parquet")
     if key not in _indexes or not SI.exists(t.spark, f"{_indexes[key]}/fields/_SUCCESS"):
         path = fresh_path(t.spark, "register-index")
-        SI.write_index(build(), path)
+        build(path)
         _indexes[key] = path
     return _indexes[key]
 
@@ -122,51 +123,98 @@ def _found():
     return F.col("_score") > 0
 
 
+#: Classes of records by what clauses read of them; a text is all of it.
+CLASSES = {"c_name": ["w_name"], "c_type": ["w_type"], "c_every": ["w_every"], "c_lname": ["lname"], "text": ["p_name", "p_type"]}
+
+
 class Register:
-    """The register's index and the clauses of every return."""
+    """The register's index and the clauses of every return; hits of clauses are those of classes of equal records."""
 
     def __init__(self, t):
         parts = t.part.withColumns({"lat": F.expr(LAT).cast("double"), "lon": F.expr(LON).cast("double"), "lname": F.lower("p_name"), "every": F.concat_ws(" ", "p_name", "p_type")})
         parts = parts.withColumn("sigle", F.get(X.acronym(F.col("every")), F.lit(0)))
-        self.parts, self.asked = parts, parts.where(ASKED)
-        items = {f: _words(F.col(c)) for f, c in ITEMS.items()}
-        self.index = SI.open_index(t.spark, _written_index(t, lambda: S.build_index(parts, "p_partkey", items)))
-        self.terms = {f: S.query_terms(self.asked, "p_partkey", c) for f, c in items.items()}
+        self.items = {f: _words(F.col(c)) for f, c in ITEMS.items()}
+        path = _written_index(t, lambda path: self._write(parts, path))
+        self.parts = t.spark.read.parquet(f"{path}/documents")
+        self.texts = t.spark.read.parquet(f"{path}/texts")
+        self.asked = self.parts.where(ASKED)
+        self.asked_texts = self.asked.select(*self.texts.columns).distinct()
+        self.index = SI.open_index(t.spark, path)
+        self.terms = {f: S.query_terms(self.asked, "p_partkey", c) for f, c in self.items.items()}
+        self.class_terms = {f: S.query_terms(self.asked.select(f"c_{f}", c.alias("w")).distinct(), f"c_{f}", F.col("w")) for f, c in self.items.items()}
         self.narrowed = {}
 
+    def _write(self, parts, path):
+        classes = C.with_classes(parts.withColumns({f"w_{f}": c for f, c in self.items.items()}), "p_partkey", CLASSES)
+        classes.drop(*[f"w_{f}" for f in self.items]).write.parquet(f"{path}/documents")
+        documents = parts.sparkSession.read.parquet(f"{path}/documents")
+        documents.select(*CLASSES).distinct().write.parquet(f"{path}/texts")
+        SI.write_index(C.build_class_index(documents, {f: (f"c_{f}", c) for f, c in self.items.items()}), path)
+
     def of(self, f):
         """The index of the terms that are asked of a field."""
         if f not in self.narrowed:
-            self.narrowed[f] = S.of_few_terms(self.index, self.terms[f])
+            self.narrowed[f] = S.of_few_terms(self.index, self.class_terms[f])
         return self.narrowed[f]
 
-    def best(self, f, boost=1.0, k=10):
-        return SI.top_match(self.of(f), self.terms[f], f, k, boost)
+    def _of_texts(self, hits, by):
+        return C.widened(hits, self.asked_texts.select(by, "text").distinct(), self.texts.select(by, "text").distinct(), by, "text")
 
-    def best_fuzzy(self, f, k=10):
-        return SI.top_match(self.index, S.fuzzy_terms(self.index, self.terms[f], f), f, k)
+    def names(self, boost=1.0):
+        """Hits of classes by name."""
+        return S.match(self.of("name"), self.class_terms["name"], "name", boost)
 
-    def on(self, hits, **clauses):
-        return S.on_candidates(hits, self.asked, "p_partkey", self.parts, "p_partkey", **clauses)
+    def fuzzy_names(self):
+        return S.match(self.index, S.fuzzy_terms(self.index, self.class_terms["name"], "name"), "name")
 
     def match(self, f, boost=1.0):
-        return S.match(self.of(f), self.terms[f], f, boost)
+        """Hits of texts by a field."""
+        return self._of_texts(S.match(self.of(f), self.class_terms[f], f, boost), f"c_{f}")
 
     def fuzzy(self, f, boost=1.0):
-        return S.match(self.index, S.fuzzy_terms(self.index, self.terms[f], f), f, boost)
+        return self._of_texts(S.match(self.index, S.fuzzy_terms(self.index, self.class_terms[f], f), f, boost), f"c_{f}")
+
+    def keyword(self):
+        """Hits of classes by whole names in lower case."""
+        names = lambda df: df.select("c_lname", "lname").distinct()
+        return S.keyword_fuzzy(names(self.asked), "c_lname", "lname", names(self.parts), "c_lname", "lname")
+
+    def top(self, hits, by="text", **clauses):
+        return C.top(hits, by, self.asked, "p_partkey", self.parts, "p_partkey", **clauses)
+
+    def top_near(self, hits, scale, by="c_name", **clauses):
+        return C.top_near(hits, by, self.asked, "p_partkey", self.parts, "p_partkey", _distance(), scale, **clauses)
+
+    def best(self, f, boost=1.0, k=10, norms=True):
+        return self.top(SI.top_match(self.of(f), self.class_terms[f], f, k, boost, norms).drop("rank"), f"c_{f}", k=k)
+
+    def best_fuzzy(self, f, k=10):
+        return self.top(SI.top_match(self.index, S.fuzzy_terms(self.index, self.class_terms[f], f), f, k).drop("rank"), f"c_{f}", k=k)
+
+    def _same(self, equal, metres):
+        """Queries and records by class and equal values, and by the query's point where they are to be near."""
+        asked, there = C.named(self.asked, "p_partkey", "q", "text", equal, "lat", "lon"), C.named(self.parts, "p_partkey", "key", "text", equal, "lat", "lon")
+        return (asked, there, []) if metres is None else (*C.near_queries(asked, there, metres), ["here"])
+
+    def candidates(self, hits, equal, metres=None):
+        asked, there, always = self._same(equal, metres)
+        return C.candidates(hits, asked, there, [f"e{i}" for i in range(len(equal))], always)
+
+    def alone(self, equal, metres):
+        """What equal values bring within a distance, whatever the texts."""
+        asked, there, always = self._same(equal, metres)
+        return C.alone(asked, there, [f"e{i}" for i in range(len(equal))], always)
+
+    def beside(self, hits):
+        return S.beside(hits, self.asked, "p_partkey", self.parts, "p_partkey")
+
+    def on(self, hits, **clauses):
+        return S.on_candidates(hits, self.asked, "p_partkey", self.parts, "p_partkey", **clauses)
 
     def equal(self, column, boost=1.0):
         """All pairs of equal value: for values that few records share."""
         return S.term(self.asked, "p_partkey", self.parts, "p_partkey", [(column, column)], boost)
 
-    def brands(self, clauses):
-        """Equal brands among what clauses and equal values find."""
-        zero = [c.withColumn("score", F.lit(0.0)) for c in clauses]
-        return self.on(S.dis_max([*zero, self.firsts("p_brand")]), should=[(_same_brand(), 1)], minimum=1)
-
-    def keyword(self):
-        return S.keyword_fuzzy(self.asked, "p_partkey", "lname", self.parts, "p_partkey", "lname")
-
     def codes(self):
         """What the best ten by graded codes can have."""
         return self.on(self.firsts("left(p_brand, 7)", "p_brand"), should=_codes())
@@ -188,12 +236,29 @@ def _best(name: str, sql: str, f):
     query(name, _top(sql))(lambda t: f(Register(t)))
 
 
+def _dis_max_of_three(r):
+    """An equal brand is a third clause: records that have it are scored with it, and all without it, which is never more."""
+    texts = [r.match("name"), r.match("type")]
+    found = S.dis_max(texts, 0.5)
+    branded = S.dis_max([*texts, found.withColumn("score", F.lit(1.0))], 0.5)
+    alone = r.on(r.firsts("p_brand"), should=[(_same_brand(), 1)], minimum=1)
+    tops = [r.top(found), r.top(branded, equal=["p_brand"], filters=[_same_brand()]), alone]
+    return S.top(S.dis_max([x.select("q", "key", "score") for x in tops]))
+
+
+def _candidate_pairs(r):
+    """All pairs that have a word of their names in common: of classes, then of their records."""
+    hits = r.names().select(F.col("q").alias("asked"), F.col("key").alias("c_name"))
+    asked = r.asked.select(F.col("p_partkey").alias("q"), F.col("c_name").alias("asked"))
+    return hits.join(asked, "asked").join(r.parts.select("c_name", F.col("p_partkey").alias("key")), "c_name").select("q", "key")
+
+
 NAME, TYPE, EVERY = "SELECT * FROM s_name", "SELECT * FROM s_type", "SELECT * FROM s_every"
 FUZZY = "SELECT * FROM z_name"
 
 _best("Q1_match", NAME, lambda r: r.best("name"))
-_search("Q2_best_fields", _max([_boosted("s_name", 2), TYPE], 0), lambda r: S.dis_max([r.match("name", 2), r.match("type")]))
-_search("Q3_most_fields", _max([_boosted("s_name", 2), TYPE], 1), lambda r: S.dis_max([r.match("name", 2), r.match("type")], 1.0))
+_best("Q2_best_fields", _max([_boosted("s_name", 2), TYPE], 0), lambda r: r.top(S.dis_max([r.match("name", 2), r.match("type")])))
+_best("Q3_most_fields", _max([_boosted("s_name", 2), TYPE], 1), lambda r: r.top(S.dis_max([r.match("name", 2), r.match("type")], 1.0)))
 _best("Q4_boost", _boosted("s_type", 3), lambda r: r.best("type", 3))
 _best("Q5_fuzzy", FUZZY, lambda r: r.best_fuzzy("name"))
 
@@ -205,15 +270,15 @@ def _(t):
     return S.zero_terms(r.asked, "p_partkey", some, r.parts, "p_partkey")
 
 
-_search("Q7_must", _bool(must=[NAME, TYPE]), lambda r: S.boolean(must=[r.match("name"), r.match("type")]))
-_search("Q8_should_minimum", _bool(should=[NAME, "SELECT * FROM brand", "SELECT * FROM size"], minimum=2), lambda r: r.on(S.boolean(should=[r.match("name"), r.firsts("p_brand", "p_size")]), should=[(_found(), 0), (_same_brand(), 1), (_same_size(), 1)], minimum=2))
-_search("Q9_filter", _bool(must=[NAME], filters=["SELECT * FROM brand"]), lambda r: r.on(r.match("name"), filters=[_same_brand()]))
-_search("Q10_dis_max", _max([NAME, TYPE, "SELECT * FROM brand"], 0.5), lambda r: S.dis_max([r.match("name"), r.match("type"), r.brands([r.match("name"), r.match("type")])], 0.5))
+_best("Q7_must", _bool(must=[NAME, TYPE]), lambda r: r.top(S.boolean(must=[r.match("name"), r.match("type")])))
+_best("Q8_should_minimum", _bool(should=[NAME, "SELECT * FROM brand", "SELECT * FROM size"], minimum=2), lambda r: r.top(r.names(), "c_name", equal=["p_brand", "p_size"], should=[(_found(), 0), (_same_brand(), 1), (_same_size(), 1)], minimum=2, bare=True))
+_best("Q9_filter", _bool(must=[NAME], filters=["SELECT * FROM brand"]), lambda r: r.top(r.names(), "c_name", equal=["p_brand"], filters=[_same_brand()]))
+_best("Q10_dis_max", _max([NAME, TYPE, "SELECT * FROM brand"], 0.5), _dis_max_of_three)
 _search("Q11_term", _boosted("brand", 4), lambda r: r.on(r.firsts("p_brand"), should=[(_same_brand(), 4)]))
 _search("Q12_wildcard", "SELECT * FROM kind", lambda r: r.on(r.firsts(KIND_OF), should=[(_same_kind(), 1)]))
-_search("Q13_gauss_decay", _gauss(NAME, 100000), lambda r: r.on(r.match("name"), decay=(_distance(), 100000)))
+_best("Q13_gauss_decay", _gauss(NAME, 100000), lambda r: r.top_near(r.names(), 100000))
 query("Q14_geo_distance", f"{CTES} SELECT q, k AS key, round(distance, 3) AS distance FROM dist WHERE distance <= 30000")(lambda t: Register(t).near(30000).withColumn("distance", F.round("distance", 3)))
-_search("Q15_keyword_fuzzy", "SELECT * FROM kw", lambda r: r.keyword())
+_best("Q15_keyword_fuzzy", "SELECT * FROM kw", lambda r: r.top(r.keyword(), "c_lname"))
 _search("Q16_graded_codes", "SELECT * FROM code", lambda r: r.codes())
 query("Q17_fixed_keywords", "SELECT p_partkey AS key FROM part WHERE list_has_any(string_split(lower(p_name), ' '), ['anvil', 'gear'])")(lambda t: S.contains_any(t.part, "p_partkey", F.split(F.lower("p_name"), " "), ["anvil", "gear"]))
 query("Q18_highlight", "SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: CASE WHEN lower(w) IN ('anvil', 'gear') THEN '<em>' || w || '</em>' ELSE w END), ' ') AS marked FROM part")(
@@ -244,33 +309,43 @@ query("Q19_multi_search", f"{CTES} {ECHOES}")(lambda t: S.echoes(_templates(Regi
 _search("Q20_without_self", f"SELECT * FROM ({NAME}) WHERE q <> k", lambda r: S.without_self(r.best("name", k=11)))
 query("Q21_echo_counts", f"{CTES} SELECT q, key, count(*) AS nb FROM ({ECHOES}) GROUP BY q, key")(lambda t: S.echo_counts(S.echoes(_templates(Register(t)))))
 NORMLESS = "SELECT q, p.k, sum(weight * idf * tf * 2.2e0 / (tf + 1.2e0)) AS score FROM q_every JOIN p_every p USING (term) JOIN t_every USING (term) GROUP BY q, p.k"
-_best("X14_without_norms", NORMLESS, lambda r: SI.top_match(r.of("every"), r.terms["every"], "every", norms=False))
-query("J17_candidate_join", f"{CTES} SELECT q, k AS key FROM s_name")(lambda t: Register(t).match("name").select("q", "key"))
+_best("X14_without_norms", NORMLESS, lambda r: r.best("every", norms=False))
+query("J17_candidate_join", f"{CTES} SELECT q, k AS key FROM s_name")(lambda t: _candidate_pairs(Register(t)))
 query("J18_geo_join", f"{CTES} SELECT q, k AS key FROM dist WHERE distance <= 100000")(lambda t: Register(t).near(100000).select("q", "key"))
 
 BRAND, SIZE, KIND, ACRO = "SELECT * FROM brand", "SELECT * FROM size", "SELECT * FROM kind", "SELECT * FROM acro"
-_search("T1_fuzzy_name_and_address", _bool(must=[_max([FUZZY, "SELECT * FROM z_type"], 0)], should=[BRAND, SIZE, KIND], minimum=2), lambda r: r.on(S.dis_max([r.fuzzy("name"), r.fuzzy("type")]), should=[(_same_brand(), 1), (_same_size(), 1), (_same_kind(), 1)], minimum=2))
-_search("T2_fuzzy_name_and_point", _gauss(_bool(must=[FUZZY], filters=[_within(50000)]), 10000), lambda r: r.on(r.fuzzy("name"), filters=[_distance() <= 50000], decay=(_distance(), 10000)))
-_search("T3_exact_name_and_address", _bool(must=["SELECT * FROM kw"], should=[BRAND, SIZE, KIND], minimum=2), lambda r: r.on(r.keyword(), should=[(_same_brand(), 1), (_same_size(), 1), (_same_kind(), 1)], minimum=2))
-_search("T4_exact_name_and_point", _gauss(_bool(must=["SELECT * FROM kw"], filters=[_within(80000)]), 20000), lambda r: r.on(r.keyword(), filters=[_distance() <= 80000], decay=(_distance(), 20000)))
-_search("T5_shoulds_with_acronym", _bool(should=[NAME, TYPE, ACRO, KIND]), lambda r: r.on(S.boolean(should=[r.match("name"), r.match("type"), r.firsts("sigle", KIND_OF)]), should=[(_same_acronym(), 1), (_same_kind(), 1)]))
-_search("T6_catch_all", _bool(should=[_boosted("s_every", 10), _boosted("brand", 7), _boosted("kind", 5), SIZE]), lambda r: r.on(S.boolean(should=[r.match("every", 10), r.firsts("p_brand", KIND_OF, "p_size")]), should=[(_same_brand(), 7), (_same_kind(), 5), (_same_size(), 1)]))
-_search("T7_filtered_domain", _bool(should=[_boosted("acro", 5), _boosted("brand", 10), _boosted("kind", 5), TYPE], filters=[NAME]), lambda r: r.on(S.boolean(should=[r.match("type")], filters=[r.match("name")]), should=[(_same_acronym(), 5), (_same_brand(), 10), (_same_kind(), 5)]))
-_search("T8_catch_all_and_point", _gauss(_bool(should=[_boosted("s_every", 10), _boosted("size", 20)], filters=[_within(100000)], minimum=1), 10000), lambda r: r.on(S.boolean(should=[r.match("every", 10)], filters=[r.near(100000)]), should=[(_found(), 0), (_same_size(), 20)], minimum=1, decay=(_distance(), 10000)))
-_search("T9_name_near", _gauss(_bool(must=[NAME], should=[KIND], filters=[_within(200000)]), 50000), lambda r: r.on(r.match("name"), should=[(_same_kind(), 1)], filters=[_distance() <= 200000], decay=(_distance(), 50000)))
-_search("T10_catch_all_near", _gauss(_bool(must=[EVERY], filters=[_within(200000)]), 50000), lambda r: r.on(r.match("every"), filters=[_distance() <= 200000], decay=(_distance(), 50000)))
+_best("T1_fuzzy_name_and_address", _bool(must=[_max([FUZZY, "SELECT * FROM z_type"], 0)], should=[BRAND, SIZE, KIND], minimum=2), lambda r: r.top(S.dis_max([r.fuzzy("name"), r.fuzzy("type")]), equal=["p_brand", "p_size"], should=[(_same_brand(), 1), (_same_size(), 1), (_same_kind(), 1)], minimum=2))
+_best("T2_fuzzy_name_and_point", _gauss(_bool(must=[FUZZY], filters=[_within(50000)]), 10000), lambda r: r.top_near(r.fuzzy_names(), 10000, metres=50000))
+_best("T3_exact_name_and_address", _bool(must=["SELECT * FROM kw"], should=[BRAND, SIZE, KIND], minimum=2), lambda r: r.top(r.keyword(), "c_lname", equal=["p_brand", "p_size", KIND_OF], should=[(_same_brand(), 1), (_same_size(), 1), (_same_kind(), 1)], minimum=2))
+_best("T4_exact_name_and_point", _gauss(_bool(must=["SELECT * FROM kw"], filters=[_within(80000)]), 20000), lambda r: r.top_near(r.keyword(), 20000, "c_lname", metres=80000))
+_best("T5_shoulds_with_acronym", _bool(should=[NAME, TYPE, ACRO, KIND]), lambda r: r.top(S.boolean(should=[r.match("name"), r.match("type")]), equal=["sigle", KIND_OF], should=[(_same_acronym(), 1), (_same_kind(), 1)], bare=True))
+_best("T6_catch_all", _bool(should=[_boosted("s_every", 10), _boosted("brand", 7), _boosted("kind", 5), SIZE]), lambda r: r.top(r.match("every", 10), equal=["p_brand", KIND_OF, "p_size"], should=[(_same_brand(), 7), (_same_kind(), 5), (_same_size(), 1)], bare=True))
+_best("T7_filtered_domain", _bool(should=[_boosted("acro", 5), _boosted("brand", 10), _boosted("kind", 5), TYPE], filters=[NAME]), lambda r: r.top(S.boolean(should=[r.match("type")], filters=[r.match("name")]), equal=["p_brand"], should=[(_same_acronym(), 5), (_same_brand(), 10), (_same_kind(), 5)]))
+_best("T8_catch_all_and_point", _gauss(_bool(should=[_boosted("s_every", 10), _boosted("size", 20)], filters=[_within(100000)], minimum=1), 10000), lambda r: r.top_near(r.match("every", 10), 10000, "text", metres=100000, equal=["p_size"], should=[(_found(), 0), (_same_size(), 20)], minimum=1, bare=True))
+_best("T9_name_near", _gauss(_bool(must=[NAME], should=[KIND], filters=[_within(200000)]), 50000), lambda r: r.top_near(r.names(), 50000, metres=200000, equal=[KIND_OF], should=[(_same_kind(), 1)]))
+_best("T10_catch_all_near", _gauss(_bool(must=[EVERY], filters=[_within(200000)]), 50000), lambda r: r.top_near(r.match("every"), 50000, "text", metres=200000))
 
 
 def _robust(tie):
     sql = _max([_bool(should=[NAME, BRAND, KIND], filters=[_within(50000)], minimum=2), _bool(should=[NAME, TYPE, BRAND, SIZE, KIND], filters=[KIND], minimum=4)], tie)
 
     def search(r):
-        """The second clause needs three of name, type, brand and size, so a text clause finds all of its candidates."""
-        near = r.on(S.boolean(should=[r.match("name")], filters=[r.near(50000)]), should=[(_found(), 0), (_same_brand(), 1), (_same_kind(), 1)], minimum=2)
-        texts = [r.match("name"), r.match("type")]
-        more = [(_same_brand(), 1), (_same_size(), 1), (_same_kind(), 1)]
-        alike = S.dis_max([r.on(S.boolean(must=texts), should=more, filters=[_same_kind()], minimum=2), r.on(S.boolean(should=texts), should=more, filters=[_same_kind()], minimum=3)])
-        return S.dis_max([near, alike], tie)
+        """A score never falls where more of brand, size, kind and nearness agrees, so choices of these bring all that can be best; a text's class tells its kind."""
+        zero = F.lit(0.0)
+        each = r.match("name").select("q", "key", F.col("score").alias("name"), zero.alias("type")).unionByName(r.match("type").select("q", "key", zero.alias("name"), F.col("score").alias("type")))
+        texts = each.groupBy("q", "key").agg(F.struct(F.sum("name").alias("name"), F.sum("type").alias("type")).alias("score"))
+        found = r.candidates(texts, ["p_brand", "p_size"]).unionByName(r.candidates(texts, ["p_brand", "p_size"], 50000))
+        none = F.struct(zero.alias("name"), zero.alias("type")).alias("score")
+        found = found.unionByName(r.alone(["p_brand", KIND_OF], 50000).select("q", "key", none)).groupBy("q", "key").agg(F.max("score").alias("score"))
+        holds = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+        by, near = F.col("_score.name"), holds(_distance() <= 50000) == 1
+        brand, size, kind = holds(_same_brand()), holds(_same_size()), holds(_same_kind())
+        text = by + F.col("_score.type")
+        first = F.when(near & (holds(by > 0) + brand + kind >= 2), by + brand + kind)
+        second = F.when((kind == 1) & (holds(by > 0) + holds(F.col("_score.type") > 0) + brand + size + kind >= 4), text + brand + size + kind)
+        rows = r.beside(found).select("q", F.col("_key").alias("key"), first.alias("first"), second.alias("second"))
+        best = F.greatest("first", "second")
+        return rows.where(best.isNotNull()).select("q", "key", (best + tie * (F.coalesce("first", zero) + F.coalesce("second", zero) - best)).alias("score"))
 
     return sql, search
 
@@ -278,16 +353,16 @@ def _robust(tie):
 _search("T11_robust_return", *_robust(0.5))
 _search("T12_robust_register", *_robust(0.7))
 query("T13_by_id", "SELECT p_partkey AS q, p_partkey AS key FROM part WHERE p_partkey % 100 = 0")(lambda t: Register(t).equal("p_partkey").select("q", "key"))
-_search("T14_simple", _bool(must=[NAME], should=[BRAND]), lambda r: r.on(r.match("name"), should=[(_same_brand(), 1)]))
-_search("T14_three_musts", _bool(must=[NAME, TYPE, EVERY]), lambda r: S.boolean(must=[r.match("name"), r.match("type"), r.match("every")]))
-_search("T14_best_name_and_place", _bool(must=[_max([NAME, EVERY], 0), TYPE], filters=[BRAND]), lambda r: r.on(S.boolean(must=[S.dis_max([r.match("name"), r.match("every")]), r.match("type")]), filters=[_same_brand()]))
-_search("T14_best_name_boosted_place", _bool(must=[_max([_boosted("s_name", 2), EVERY], 0)], should=[_boosted("brand", 3)]), lambda r: r.on(S.dis_max([r.match("name", 2), r.match("every")]), should=[(_same_brand(), 3)]))
-_search("T15_graded_variant", _bool(must=[NAME], should=["SELECT * FROM code"]), lambda r: r.on(r.match("name"), should=_codes()))
-_search(
+_best("T14_simple", _bool(must=[NAME], should=[BRAND]), lambda r: r.top(r.names(), "c_name", equal=["p_brand"], should=[(_same_brand(), 1)]))
+_best("T14_three_musts", _bool(must=[NAME, TYPE, EVERY]), lambda r: r.top(S.boolean(must=[r.match("name"), r.match("type"), r.match("every")])))
+_best("T14_best_name_and_place", _bool(must=[_max([NAME, EVERY], 0), TYPE], filters=[BRAND]), lambda r: r.top(S.boolean(must=[S.dis_max([r.match("name"), r.match("every")]), r.match("type")]), equal=["p_brand"], filters=[_same_brand()]))
+_best("T14_best_name_boosted_place", _bool(must=[_max([_boosted("s_name", 2), EVERY], 0)], should=[_boosted("brand", 3)]), lambda r: r.top(S.dis_max([r.match("name", 2), r.match("every")]), equal=["p_brand"], should=[(_same_brand(), 3)]))
+_best("T15_graded_variant", _bool(must=[NAME], should=["SELECT * FROM code"]), lambda r: r.top(r.names(), "c_name", equal=["left(p_brand, 7)", "p_brand"], should=_codes()))
+_best(
     "T15_fuzzy_with_graded_codes", _bool(must=[_max([_boosted("z_every", 10), _boosted("z_name", 4)], 1)], should=[_boosted("brand", 7), _boosted("kind", 5), _boosted("size", 2)]),
-    lambda r: r.on(S.dis_max([r.fuzzy("every", 10), r.fuzzy("name", 4)], 1.0), should=[(_same_brand(), 7), (_same_kind(), 5), (_same_size(), 2)]),
+    lambda r: r.top(S.dis_max([r.fuzzy("every", 10), r.fuzzy("name", 4)], 1.0), equal=["p_brand", "p_size"], should=[(_same_brand(), 7), (_same_kind(), 5), (_same_size(), 2)]),
 )
-_search("T16_legacy_variant", _gauss(_bool(must=[NAME], filters=[_within(300000)]), 10000), lambda r: r.on(r.match("name"), filters=[_distance() <= 300000], decay=(_distance(), 10000)))
+_best("T16_legacy_variant", _gauss(_bool(must=[NAME], filters=[_within(300000)]), 10000), lambda r: r.top_near(r.names(), 10000, metres=300000))
 
 
 @query("R1_search_after_publication", _top(NAME))
@@ -311,4 +386,4 @@ def _(t):
     return relational.sample_at_most(t.customer, "c_custkey", 1).select("c_custkey")
 
 
-_search("T16_legacy_five_kilometres", _gauss(_bool(must=[NAME], should=[BRAND, SIZE], filters=[_within(60000)], minimum=0), 5000), lambda r: r.on(r.match("name"), should=[(_same_brand(), 1), (_same_size(), 1)], filters=[_distance() <= 60000], decay=(_distance(), 5000)))
+_best("T16_legacy_five_kilometres", _gauss(_bool(must=[NAME], should=[BRAND, SIZE], filters=[_within(60000)], minimum=0), 5000), lambda r: r.top_near(r.names(), 5000, metres=60000, equal=["p_brand", "p_size"], should=[(_same_brand(), 1), (_same_size(), 1)]))
