@@ -385,7 +385,8 @@ def _(t):
         b.coalesce(1).write.mode("append").parquet(folder)
     index = SI.SegmentedIndex(t.spark, fresh_path(t.spark, "published-index"), {"name": _words(F.col("p_name"))}, "p_partkey")
     publication.publish_to_index(publication.file_stream(t.spark, folder, records.schema), index, fresh_path(t.spark, "index-state"), compact_every=2).awaitTermination()
-    return SI.top_match(index.open(), r.terms["name"], "name")
+    best = SI.top_match(index.open(), r.class_terms["name"], "name").withColumnRenamed("q", "c_name")
+    return r.asked.select("c_name", F.col("p_partkey").alias("q")).join(best, "c_name").select("q", "key", "score", "rank")
 
 
 @query("S25_random_document", "SELECT c_custkey FROM customer ORDER BY c_custkey * 7919 % 10007, c_custkey LIMIT 1")
