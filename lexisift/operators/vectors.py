@@ -15,6 +15,8 @@ from lexisift.sources.shared import written
 DATA_BLOCK = 8192
 #: Vectors for each pivot, and pivots at most: they're held by the driver and every task.
 CELL, MOST_PIVOTS = 1024, 4096
+#: Rows of an area: blocks that a query is sent to at once.
+AREA = 32_768
 #: Queries of a block that are compared with one copy of its vectors.
 QUERY_CHUNK = 32_768
 #: Rows that are compared with all pivots, or a block, at once.
@@ -142,9 +144,9 @@ def _in_cells(points: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
 
 
 def _searched(sent: DataFrame, data: DataFrame, chunks: DataFrame | None, k: int, digits: int, metric: str) -> DataFrame:
-    """sent's queries (block, kind, key, v) with near: their k best (score, key) of the data of their block, best first.
+    """sent's queries (block, kind, key, v, parts) with near: their k best (score, key) of the data (block, part, ...) of their block, best first.
 
-    Data are sent once, or once for each chunk of a block's queries (block, chunks), where those are many.
+    parts: which parts of the block a query searches; null for all. Data are sent once, or once for each chunk of a block's queries (block, chunks), where those are many.
     """
 
     def search(group: pa.Table) -> pa.Table:
@@ -152,12 +154,18 @@ def _searched(sent: DataFrame, data: DataFrame, chunks: DataFrame | None, k: int
         keys, x = group.column("key").to_numpy(), _matrix(group.column("v").combine_chunks())
         order = np.argsort(keys[~asks], kind="stable")
         names, there = keys[~asks][order], x[~asks][order]
+        owns, wants = group.column("part").to_numpy()[~asks][order], group.column("parts").filter(pa.array(asks)).to_pylist()
+        places_of = {p: np.flatnonzero(owns == p) for p in np.unique(owns).tolist()}
+        most = max(1, ROWS_AT_ONCE * DATA_BLOCK // max(len(names), DATA_BLOCK))
         asking = np.flatnonzero(asks)
         scores, others, sizes = [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
-        for at in range(0, len(asking), ROWS_AT_ONCE):
-            rows = asking[at : at + ROWS_AT_ONCE]
+        for at in range(0, len(asking), most):
+            rows = asking[at : at + most]
             score = np.round(x[rows] @ there.T if metric == "cosine" else -_exact(x[rows], there), digits)
             score[keys[rows][:, None] == names] = -np.inf
+            for i, parts in enumerate(wants[at : at + most]):
+                for p in places_of.keys() - parts if parts is not None else ():
+                    score[i, places_of[p]] = -np.inf
             best = np.argsort(-score, axis=1, kind="stable")[:, :k]
             held = np.take_along_axis(score, best, 1)
             kept = held > -np.inf
@@ -176,7 +184,8 @@ def _searched(sent: DataFrame, data: DataFrame, chunks: DataFrame | None, k: int
         sent = sent.join(F.broadcast(chunks), "block").withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks")).drop("chunks")  # a row for each block
         data = data.join(F.broadcast(chunks), "block").withColumn("chunk", F.explode(F.sequence(one, F.col("chunks") - 1))).drop("chunks")
     columns = ["block", "chunk", "kind", "key", "v"]
-    both = sent.select(F.lit(True).alias("asks"), *columns).unionByName(data.select(F.lit(False).alias("asks"), *columns))
+    no_part, no_parts = F.lit(-1).alias("part"), F.lit(None).cast("array<int>").alias("parts")
+    both = sent.select(F.lit(True).alias("asks"), *columns, no_part, "parts").unionByName(data.select(F.lit(False).alias("asks"), *columns, "part", no_parts))
     return both.groupBy("block", "chunk").applyInArrow(search, "block int, kind string, key long, v array<double>, near array<struct<score: double, key: bigint>>")
 
 
@@ -198,7 +207,7 @@ def nearest(
     compared with a block of its own cell, which gives a radius that holds k vectors. It's then sent to just the blocks of cells
     that the radius reaches, by the triangle inequality through a cell's pivot and radius, and through the plane
     between the query's pivot and the cell's. Vectors stay in their blocks. In data without structure all cells are within
-    reach, and the search is between all blocks. copies, if given, gets the DataFrame of (key, block) that are sent.
+    reach, and the search is between all blocks. A query is sent once to an area of blocks, with the list of those it is to search there. copies, if given, gets the DataFrame of (key, block) that are sent.
     """
     spark = vectors.sparkSession
     points = _points(vectors, key, vector, within)
@@ -213,12 +222,24 @@ def nearest(
     placed = written(_in_cells(points, pivots, metric), "cells")
     asked = placed if queries.sameSemantics(vectors) else written(_in_cells(_points(queries, key, vector, within), pivots, metric), "asked")
     there = placed.groupBy("kind", "cell").agg(F.count("*").alias("n"), F.max("far").alias("radius")).orderBy("kind", "cell").collect()  # a row for each kind and pivot at most
-    blocks, places = [], {}
+    blocks, places, sizes = [], {}, {(kind, c): size for kind, c, size, _ in there}
     for kind, c, size, radius in there:
         parts = -(-size // block)
         places.setdefault(kind, []).append((c, radius, len(blocks), parts))
         blocks += [(kind, c, len(blocks), parts)]
         blocks += [None] * (parts - 1)
+    areas, held = [], 0
+    for b in blocks:  # a cell's blocks are about equal
+        if b:
+            size = -(-sizes[b[0], b[1]] // b[3])
+        if not areas or held + size > AREA or b and b[0] != kind_of_area:
+            areas.append((areas[-1] + 1) if areas else 0)
+            held = 0
+        else:
+            areas.append(areas[-1])
+        kind_of_area = b[0] if b else kind_of_area
+        held += size
+    area_of = np.array(areas, int)
     starts = F.broadcast(spark.createDataFrame([b for b in blocks if b], "kind string, cell int, first int, parts int"))
     own = (F.col("first") + F.pmod(F.xxhash64("key"), "parts")).cast("int").alias("block")
     data = placed.join(starts, ["kind", "cell"]).select(own, "kind", "key", "v")
@@ -229,7 +250,7 @@ def nearest(
         return sent.groupBy("block").agg(F.ceil(F.count("*") / QUERY_CHUNK).cast("long").alias("chunks"))
 
     at_home = home.where("block IS NOT NULL")
-    first = written(_searched(at_home, data, chunks(at_home) if many else None, k, digits, metric).unionByName(home.where("block IS NULL").withColumn("near", F.lit(None).cast("array<struct<score: double, key: bigint>>"))), "at-home")
+    first = written(_searched(at_home.withColumn("parts", F.lit(None).cast("array<int>")), data.withColumn("part", F.lit(0)), chunks(at_home) if many else None, k, digits, metric).unionByName(home.where("block IS NULL").withColumn("near", F.lit(None).cast("array<struct<score: double, key: bigint>>"))), "at-home")
 
     def reach(batches):
         apart = _distances(pivots, pivots)
@@ -239,7 +260,7 @@ def nearest(
                 x, kinds, homes = _matrix(part.column("v")), part.column("kind").to_pylist(), part.column("block").to_pylist()
                 far = _distances(x, pivots)
                 nearest_pivot = far.argmin(1)
-                rows, to_blocks = [], []
+                rows, to_areas, parts = [], [], []
                 for i, reached in enumerate(part.column("reached").to_pylist()):
                     cells = places.get(kinds[i], [])
                     c = np.array([p[0] for p in cells], int)
@@ -251,18 +272,24 @@ def nearest(
                     radius = np.inf if reached is None else np.sqrt(max(2 - 2 * (reached - MARGIN), 0)) if metric == "cosine" else MARGIN - reached
                     hit = np.flatnonzero(np.maximum(least, plane) <= radius + 1e-7)
                     out = [b for j in hit for b in range(cells[j][2], cells[j][2] + cells[j][3]) if b != homes[i]]
-                    rows += [i] * len(out)
-                    to_blocks += out
+                    by_area = {}
+                    for b in out:
+                        by_area.setdefault(int(area_of[b]), []).append(b)
+                    rows += [i] * len(by_area)
+                    to_areas += by_area.keys()
+                    parts += by_area.values()
                 for a in range(0, len(rows), 16 * ROWS_AT_ONCE):
-                    sent_on = part.select(["kind", "key", "v"]).take(pa.array(rows[a : a + 16 * ROWS_AT_ONCE], pa.int64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(to_blocks[a : a + 16 * ROWS_AT_ONCE], pa.int32()), *sent_on.columns], ["block", "kind", "key", "v"])
+                    some = slice(a, a + 16 * ROWS_AT_ONCE)
+                    sent_on = part.select(["kind", "key", "v"]).take(pa.array(rows[some], pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(to_areas[some], pa.int32()), *sent_on.columns, pa.array(parts[some], pa.list_(pa.int32()))], ["block", "kind", "key", "v", "parts"])
 
     kth = F.when(F.size("near") >= k, F.get("near", F.lit(k - 1))["score"])
-    sent = first.select("block", "kind", "key", "v", kth.alias("reached")).mapInArrow(reach, "block int, kind string, key long, v array<double>")
+    sent = first.select("block", "kind", "key", "v", kth.alias("reached")).mapInArrow(reach, "block int, kind string, key long, v array<double>, parts array<int>")
     if copies is not None:
-        copies.append(sent.select("key", "block"))
+        copies.append(sent.select("key", F.explode("parts").alias("block")))
     many = many or n > QUERY_CHUNK
-    rest = _searched(sent, data, chunks(sent) if many else None, k, digits, metric)
+    in_areas = data.join(F.broadcast(spark.createDataFrame([(b, int(a)) for b, a in enumerate(area_of)], "part int, area int")), F.col("part") == F.col("block"))  # a row for each block
+    rest = _searched(sent, in_areas.select(F.col("area").alias("block"), "kind", "key", "v", "part"), chunks(sent) if many else None, k, digits, metric)
     found = first.select(F.col("key").alias("query_id"), F.inline("near")).unionByName(rest.select(F.col("key").alias("query_id"), F.inline("near")))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "key"))
     best = found.withColumn("rank", rank).where(F.col("rank") <= k)
