@@ -11,7 +11,7 @@ from lexisift.operators import search as S
 from lexisift.operators import search_classes as C
 from lexisift.operators import search_index as SI
 from lexisift.plans.registry import query
-from lexisift.sources.shared import fresh_path
+from lexisift.sources.shared import fresh_path, written
 from lexisift.streaming import publication
 
 FIELDS = {"name": "p_name", "type": "p_type", "every": "p_name || ' ' || p_type"}
@@ -131,8 +131,7 @@ class Register:
     """The register's index and the clauses of every return; hits of clauses are those of classes of equal records."""
 
     def __init__(self, t):
-        parts = t.part.withColumns({"lat": F.expr(LAT).cast("double"), "lon": F.expr(LON).cast("double"), "lname": F.lower("p_name"), "every": F.concat_ws(" ", "p_name", "p_type")})
-        parts = parts.withColumn("sigle", F.get(X.acronym(F.col("every")), F.lit(0)))
+        parts = t.part.withColumns({"lat": F.expr(LAT).cast("double"), "lon": F.expr(LON).cast("double")})
         self.items = {f: _words(F.col(c)) for f, c in ITEMS.items()}
         path = _written_index(t, lambda path: self._write(parts, path))
         self.parts = t.spark.read.parquet(f"{path}/documents")
@@ -145,11 +144,14 @@ class Register:
         self.narrowed = {}
 
     def _write(self, parts, path):
-        classes = C.with_classes(parts.withColumns({f"w_{f}": c for f, c in self.items.items()}), "p_partkey", CLASSES)
-        classes.drop(*[f"w_{f}" for f in self.items]).write.parquet(f"{path}/documents")
-        documents = parts.sparkSession.read.parquet(f"{path}/documents")
-        documents.select(*CLASSES).distinct().write.parquet(f"{path}/texts")
-        SI.write_index(C.build_class_index(documents, {f: (f"c_{f}", c) for f, c in self.items.items()}), path)
+        """All words and classes follow from a text, so they are found among the distinct texts; records are read for their counts and joined once."""
+        counted = parts.groupBy(*CLASSES["text"]).agg(F.min("p_partkey").alias("p_partkey"), F.count("*").alias("n"))
+        texts = written(counted, "texts").withColumns({"lname": F.lower("p_name"), "every": F.concat_ws(" ", "p_name", "p_type")})
+        texts = texts.withColumns({"sigle": F.get(X.acronym(F.col("every")), F.lit(0)), **{f"w_{f}": c for f, c in self.items.items()}})
+        texts = written(C.with_classes(texts, "p_partkey", CLASSES), "text-classes")
+        C.joined(parts, texts.drop("p_partkey", "n", *[f"w_{f}" for f in self.items]), CLASSES["text"]).write.parquet(f"{path}/documents")
+        texts.select(*CLASSES).write.parquet(f"{path}/texts")
+        SI.write_index(C.build_class_index(texts, {f: (f"c_{f}", F.col(f"w_{f}")) for f in self.items}, "n"), path)
 
     def of(self, f):
         """The index of the terms that are asked of a field."""
