@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +24,10 @@ QUERY_CHUNK = 32_768
 ROWS_AT_ONCE = 512
 #: Scores are compared when rounded to six digits.
 MARGIN = 2e-6
+#: Vectors and queries of a tile that all pairs are measured in.
+TILE, TILE_QUERIES = 1024, 2048
+#: Rows of a tile's result that are handed over at once.
+ROWS_BACK = 65_536
 
 
 def doubles(v: Column) -> Column:
@@ -86,19 +91,90 @@ MEASURES: dict[str, Callable[[Column, Column], Column]] = {
 }
 
 
-def measured(queries: DataFrame, vectors: DataFrame, key: str, vector: str, measure: str | Callable[[Column, Column], Column], block: int = DATA_BLOCK) -> DataFrame:
+def _cosines(x: np.ndarray, y: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    wx, wy = (x, y) if weights is None else (x * weights, y * weights)
+    sizes = np.outer(np.sqrt((wx * x).sum(1)), np.sqrt((wy * y).sum(1)))
+    return (wx @ y.T) / sizes, sizes == 0
+
+
+def _by_row(f: Callable[[np.ndarray], np.ndarray]) -> Callable[..., tuple[np.ndarray, np.ndarray | None]]:
+    """Measures that f makes of the differences of a row and all of y."""
+    return lambda x, y: (np.stack([f(y - row) for row in x]), None)
+
+
+def _cosine_distances(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    values, missing = _cosines(x, y)
+    return 1 - values, missing
+
+
+#: MEASURES between all rows of two matrices, with those pairs that have none.
+MATRICES: dict[str, Callable[..., tuple[np.ndarray, np.ndarray | None]]] = {
+    "cosine": _cosines, "cosine_distance": _cosine_distances, "dot": lambda x, y: (x @ y.T, None), "euclidean": _by_row(lambda d: np.sqrt((d * d).sum(1))),
+    "manhattan": _by_row(lambda d: np.abs(d).sum(1)), "chebyshev": _by_row(lambda d: np.abs(d).max(1)),
+}
+
+
+def measured(
+    queries: DataFrame, vectors: DataFrame, key: str, vector: str, measure: str | Callable[[Column, Column], Column], block: int = DATA_BLOCK, weights: Sequence[float] | None = None,
+) -> DataFrame:
     """query_id, key, value: a measure of a stated set of queries (one row makes it vector x matrix) with all vectors.
 
-    Vectors are dealt into blocks of about so many rows, each of which gets every query once: an equi-join by block.
-    Keys may repeat; null vectors have null values.
+    A measure by name is taken between tiles of vectors and of queries, as matrices (weights: of a cosine's dimensions). Pairs with a null, empty or
+    incomplete vector, or of another than the commonest length, and measures that are column functions, are compared row by row: vectors are dealt into
+    blocks of about so many rows, each of which gets every query once. Keys may repeat; null vectors have null values.
     """
-    f = MEASURES[measure] if isinstance(measure, str) else measure
+    if not isinstance(measure, str):
+        return _by_pair(queries, vectors, key, vector, measure, block)
+    f = MEASURES[measure] if weights is None else lambda x, y: weighted_cosine(x, y, F.array(*[F.lit(float(w)) for w in weights]))
+    length = F.when(~F.exists(vector, lambda v: v.isNull()) & (F.size(vector) > 0), F.size(vector)).alias("length")
+    counts = vectors.select(length, F.lit(0).alias("asks")).unionByName(queries.select(length, F.lit(1).alias("asks"))).groupBy("length").agg(F.count("*").alias("n"), F.sum("asks").alias("asks"))
+    common = counts.orderBy(F.col("length").isNull(), F.desc("n"), "length").limit(2).collect()
+    if not common or common[0]["length"] is None:
+        return _by_pair(queries, vectors, key, vector, f, block)
+    plain = F.coalesce(length == common[0]["length"], F.lit(False))
+    found = _by_tile(queries.where(plain), vectors.where(plain), key, vector, measure, common[0]["n"] - common[0]["asks"], common[0]["asks"], weights)
+    if len(common) == 1:
+        return found
+    odd = _by_pair(queries.where(~plain), vectors, key, vector, f, block).unionByName(_by_pair(queries.where(plain), vectors.where(~plain), key, vector, f, block))
+    return found.unionByName(odd)
+
+
+def _by_pair(queries: DataFrame, vectors: DataFrame, key: str, vector: str, f: Callable[[Column, Column], Column], block: int) -> DataFrame:
     blocks = max(1, -(-vectors.count() // block))
     there = vectors.select(F.col(key).alias("key"), F.col(vector).alias("y")).withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
     asked = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("x"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     return there.join(asked, "block").select("query_id", F.col("key").alias(key), f(F.col("x"), F.col("y")).alias("value"))
 
 
+def _by_tile(queries: DataFrame, vectors: DataFrame, key: str, vector: str, measure: str, n: int, asks: int, weights: Sequence[float] | None) -> DataFrame:
+    """measured, of n vectors and so many queries of one length, all of them complete."""
+    f, more = MATRICES[measure], () if weights is None else (np.array(weights, float),)
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        asked = group.column("asks")
+        own, there = group.filter(asked), group.filter(pc.invert(asked))
+        a, b = len(own), len(there)
+        keys = own.column("key").take(pa.array(np.repeat(np.arange(a), b))), there.column("key").take(pa.array(np.tile(np.arange(b), a)))
+        if a and b:
+            with np.errstate(all="ignore"):
+                values, missing = f(*(_matrix(side.column("v").combine_chunks()) for side in (own, there)), *more)
+            values = pa.array(values.ravel(), pa.float64(), mask=None if missing is None else missing.ravel())
+        else:
+            values = pa.array([], pa.float64())
+        out = pa.table([*keys, values], ["query_id", key, "value"])
+        return pa.Table.from_batches(out.to_batches(max_chunksize=ROWS_BACK), out.schema)
+
+    tiles, chunks = max(1, -(-n // TILE)), max(1, -(-asks // TILE_QUERIES))
+    columns = lambda df, is_asked: df.select(F.lit(is_asked).alias("asks"), F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("v"))
+    dealt = lambda among: F.pmod(F.xxhash64("v", "key"), F.lit(among)).cast("int")
+    every = lambda among: F.explode(F.sequence(F.lit(0), F.lit(among - 1)))
+    there, asked = columns(vectors, False), columns(queries, True)
+    there = there.withColumn("tile", dealt(tiles)).withColumn("chunk", every(chunks))
+    asked = asked.withColumn("chunk", dealt(chunks)).withColumn("tile", every(tiles))
+    return there.unionByName(asked).groupBy("tile", "chunk").applyInArrow(compare, f"query_id {queries.schema[key].dataType.simpleString()}, `{key}` {vectors.schema[key].dataType.simpleString()}, value double")
+
+
 def pairwise(queries: DataFrame, vectors: DataFrame, key: str, vector: str, measure: str | Callable[[Column, Column], Column]) -> DataFrame:
     """query_id, key, value of each pair once: of the queries with all vectors of smaller keys."""
     return measured(queries, vectors, key, vector, measure).where(F.col(key) < F.col("query_id"))

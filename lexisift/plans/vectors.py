@@ -15,18 +15,18 @@ VEC = "WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM em
 ASKED = "a.vec_id % 100 = 0"
 
 
-def _measured(t, measure, name, column="embedding"):
-    rows = V.measured(t.embeddings.where("vec_id % 100 = 0"), t.embeddings, "vec_id", column, measure)
+def _measured(t, measure, name, column="embedding", weights=None):
+    rows = V.measured(t.embeddings.where("vec_id % 100 = 0"), t.embeddings, "vec_id", column, measure, weights=weights)
     return rows.select(F.col("query_id").alias("a"), F.col("vec_id").alias("b"), F.col("value").alias(name))
 
 
-def _rounded(t, measure, name="s"):
-    return _measured(t, measure, name).withColumn(name, F.round(name, 6))
+def _rounded(t, measure, name="s", weights=None):
+    return _measured(t, measure, name, weights=weights).withColumn(name, F.round(name, 6))
 
 
 PAIRS = f"{VEC} SELECT a.vec_id AS a, b.vec_id AS b, {{e}} FROM v a JOIN v b ON {ASKED}"
 query("V1_weighted_cosine", PAIRS.format(e="round(sum_w(a.e, b.e), 6) AS s").replace("sum_w(a.e, b.e)", "list_dot_product(list_transform(list_zip(a.e, range(1, 65)), lambda z: z[1] * z[2]), b.e) / sqrt(list_dot_product(list_transform(list_zip(a.e, range(1, 65)), lambda z: z[1] * z[2]), a.e) * list_dot_product(list_transform(list_zip(b.e, range(1, 65)), lambda z: z[1] * z[2]), b.e))"))(
-    lambda t: _rounded(t, lambda x, y: V.weighted_cosine(x, y, F.sequence(F.lit(1), F.lit(64))))
+    lambda t: _rounded(t, "cosine", weights=range(1, 65))
 )
 query("V2_vector_to_matrix", f"{VEC} SELECT b.vec_id AS b, round(list_cosine_similarity(a.e, b.e), 6) AS s FROM v a JOIN v b ON a.vec_id = 0 AND b.vec_id <> 0")(
     lambda t: V.measured(t.embeddings.where("vec_id = 0"), t.embeddings.where("vec_id <> 0"), "vec_id", "embedding", "cosine").select(F.col("vec_id").alias("b"), F.round("value", 6).alias("s"))

@@ -99,3 +99,24 @@ def test_oversampled_points_lie_between_neighbours(spark):
     assert [y for y, _ in sorted(made)] == [y for y, _ in sorted(want)]
     assert np.allclose(np.array([x for _, x in sorted(made)]), np.array([x for _, x in sorted(want)]))
     assert relational.oversample(df.where("false"), "y", "k", "x").collect() == []
+
+
+@pytest.mark.parametrize("measure", [*vectors.MEASURES, "weighted"])
+def test_tiles_of_pairs_have_the_values_of_single_pairs(spark, measure, monkeypatch):
+    """Null, zero, empty and incomplete vectors, other lengths and repeated keys among them, over several tiles."""
+    monkeypatch.setattr(vectors, "TILE", 7)
+    monkeypatch.setattr(vectors, "TILE_QUERIES", 3)
+    rng = np.random.default_rng(5)
+    odd = [None, [], [1.0, None, 2.0], [0.0, 0.0, 0.0], [1.0], [1.0, 2.0, 3.0, 4.0], [float("inf"), 1.0, 0.0], [float("nan"), 1.0, 2.0]]
+    rows = [(i // 2, v) for i, v in enumerate([x.tolist() for x in rng.normal(size=(30, 3))] + odd)]
+    df = spark.createDataFrame(rows, "k long, v array<double>").repartition(3)
+    weights = [1.0, 2.0, 3.0] if measure == "weighted" else None
+    f = vectors.MEASURES[measure] if weights is None else lambda x, y: vectors.weighted_cosine(x, y, F.array(*[F.lit(w) for w in weights]))
+    found = lambda m, **more: sorted((r[0], r[1], "none" if r[2] is None else str(r[2])) for r in vectors.measured(df.where("k % 3 = 0"), df, "k", "v", m, **more).withColumn("value", F.round("value", 9)).collect())
+    assert found(measure if weights is None else "cosine", weights=weights) == found(f)
+
+
+def test_pairs_by_name_are_not_compared_in_rows(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], "k long, v array<double>")
+    plan = vectors.measured(df, df, "k", "v", "cosine")._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with" not in plan and "Join" not in plan
