@@ -11,6 +11,8 @@ from lexisift.operators.relational import numbered
 from lexisift.sources.shared import written
 
 PAD = 0
+#: Keys of rows with equal items that are kept in one list.
+KEYS_TOGETHER = 1024
 
 
 def _tokens(df: DataFrame, key: str, items: Column) -> DataFrame:
@@ -119,14 +121,22 @@ def overlap_join(left: DataFrame, left_key: str, left_items: Column, right: Data
 
     An item's second, third, ... occurrence counts as another item, which makes multisets sets. b can only reach the overlap with
     an a that shares one of b's rarest |b| - ceil(least * |b|) + 1 items: common items list no pairs. Found pairs are then
-    compared in full. Empty lists overlap with nothing. Keys are unique; 0 < least <= 1.
+    compared in full. Rows with equal multisets are compared once, and their keys put in at the end, without a shuffle of the
+    pairs of keys. Empty lists overlap with nothing. Keys are unique; 0 < least <= 1.
     """
 
-    def occurrences(df: DataFrame, key: str, items: Column, name: str) -> DataFrame:
-        counts = df.select(F.col(key).alias(name), F.explode(items).alias("item")).groupBy(name, "item").agg(F.count("*").alias("n"))
-        return counts.select(name, "item", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("i")).select(name, F.struct("item", "i").alias("item"))
-
-    a, b = written(occurrences(left, left_key, left_items, "a"), "left-items"), written(occurrences(right, right_key, right_items, "b"), "right-items")
+    def classes(df: DataFrame, key: str, items: Column, name: str) -> tuple[DataFrame, DataFrame]:
+        """(name, items) of each different multiset, named by its smallest key, and lists (name, keys) of up to KEYS_TOGETHER keys that have it."""
+        rows = written(df.select(F.col(key).alias("key"), F.array_sort(items).alias("sorted")).where(F.size("sorted") > 0), f"{name}-rows")
+        firsts = written(rows.groupBy("sorted").agg(F.min("key").alias(name)), f"{name}-classes")
+        members = rows.join(firsts, "sorted").select(name, "key", F.pmod(F.xxhash64("key"), F.lit(1 << 16)).alias("_part"))
+        sizes = members.groupBy(name).agg(F.ceil(F.count("*") / KEYS_TOGETHER).alias("_parts"))
+        keys = members.join(sizes, name).groupBy(name, F.pmod("_part", "_parts").alias("_part")).agg(F.collect_list("key").alias("keys")).select(name, "keys")
+        counts = firsts.select(name, F.explode("sorted").alias("item")).groupBy(name, "item").agg(F.count("*").alias("n"))
+        every = counts.select(name, "item", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("i")).select(name, F.struct("item", "i").alias("item"))
+        return written(every, f"{name}-items"), written(keys, f"{name}-keys")
+
+    (a, keys_a), (b, keys_b) = classes(left, left_key, left_items, "a"), classes(right, right_key, right_items, "b")
     rarity = a.select("item").unionByName(b.select("item")).groupBy("item").agg(F.count("*").alias("df"))
     own = Window.partitionBy("b")
     ranked = b.join(rarity, "item").withColumns({"size": F.count("*").over(own), "place": F.row_number().over(own.orderBy("df", "item"))})
@@ -134,7 +144,10 @@ def overlap_join(left: DataFrame, left_key: str, left_items: Column, right: Data
     pairs = rare.select("b", "item").join(a, "item").select("a", "b").distinct()
     lists = lambda df, k, c: df.groupBy(k).agg(F.collect_list("item").alias(c))
     both = pairs.join(lists(a, "a", "x"), "a").join(lists(b, "b", "y"), "b")
-    return both.select("a", "b", (F.size(F.array_intersect("x", "y")) / F.size("y")).alias("overlap")).where(F.col("overlap") >= least - 1e-9)
+    met = both.select("a", "b", (F.size(F.array_intersect("x", "y")) / F.size("y")).alias("overlap")).where(F.col("overlap") >= least - 1e-9)
+    met = written(met, "overlaps")
+    listed = met.join(keys_a, "a").select("b", F.col("keys").alias("as"), "overlap").join(keys_b, "b").select("as", "keys", "overlap")
+    return listed.select(F.explode("as").alias("a"), "keys", "overlap").select("a", F.explode("keys").alias("b"), "overlap")
 
 
 def one_hot(df: DataFrame, column: str, values: Sequence) -> DataFrame:

@@ -66,3 +66,13 @@ def test_exact_quantiles(spark, monkeypatch):
         got = metrics.exact_quantiles(df, "v", at)
         assert [got[n] for n in at] == pytest.approx([float(np.quantile(values, p)) for p in at.values()], rel=1e-12)
     assert metrics.exact_quantiles(spark.createDataFrame([(None,)], "v double"), "v", {"a": 0.5}) == {"a": None}
+
+
+def test_equal_items_are_compared_once(spark):
+    """Many copies give all their pairs, from classes: no pair of keys is shuffled."""
+    a = spark.createDataFrame([(i, ["x", "y", f"z{i % 2}"]) for i in range(300)], "k long, x array<string>")
+    b = spark.createDataFrame([(i, ["y", "x"]) for i in range(40)], "k long, x array<string>")
+    found = features.overlap_join(a, "k", F.col("x"), b, "k", F.col("x"), 1.0)
+    assert found.count() == found.distinct().count() == 300 * 40
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" not in plan and plan.lstrip().startswith("Project") and "explode" in plan.split("Join")[0]
