@@ -145,7 +145,7 @@ def overlap_join(left: DataFrame, left_key: str, left_items: Column, right: Data
     lists = lambda df, k, c: df.groupBy(k).agg(F.collect_list("item").alias(c))
     both = pairs.join(lists(a, "a", "x"), "a").join(lists(b, "b", "y"), "b")
     met = both.select("a", "b", (F.size(F.array_intersect("x", "y")) / F.size("y")).alias("overlap")).where(F.col("overlap") >= least - 1e-9)
-    met = written(met, "overlaps")
+    met = written(met, "overlaps").repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")  # few rows, of which many come
     listed = met.join(keys_a, "a").select("b", F.col("keys").alias("as"), "overlap").join(keys_b, "b").select("as", "keys", "overlap")
     return listed.select(F.explode("as").alias("a"), "keys", "overlap").select("a", F.explode("keys").alias("b"), "overlap")
 

@@ -13,6 +13,8 @@ from lexisift.sources.shared import written
 
 #: Multiplier of the deterministic split; a fixed odd number that spreads consecutive keys.
 SPREAD = 2654435761
+#: Rows that one list of a join holds.
+LISTED = 1024
 
 
 def columns_like(df: DataFrame, pattern: str) -> DataFrame:
@@ -61,11 +63,28 @@ def split(df: DataFrame, test: Column) -> tuple[DataFrame, DataFrame]:
     return df.where(holds), df.where(~holds)
 
 
-def all_pairs(asked: DataFrame, rows: DataFrame, *spread: str) -> DataFrame:
-    """A stated set of queries against all rows, in blocks: rows are dealt out by columns, each block gets every query once."""
+def in_lists(df: DataFrame, by: Sequence[str], name: str, size: int = LISTED) -> DataFrame:
+    """(by, name): the other columns of each group's rows as structs in lists of about so many."""
+    others = [c for c in df.columns if c not in by]
+    largest = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    part = F.pmod(F.xxhash64(*others), F.lit(max(1, -(-largest // size)))).alias("_part")
+    return df.groupBy(*by, part).agg(F.collect_list(F.struct(*others)).alias(name)).drop("_part")
+
+
+def with_lists(rows: DataFrame, lists: DataFrame, by: Sequence[str], name: str, *spread: str) -> DataFrame:
+    """rows with each element of the lists that have their values of by: pairs are made after the join, so none is shuffled or sorted.
+
+    Rows are dealt into blocks by columns, and each block gets every list once. Partitions are by number: what is read is small beside the pairs.
+    """
     blocks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    there = rows.withColumn("_block", F.pmod(F.xxhash64(*spread), F.lit(blocks)).cast("int"))
-    return there.join(asked.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), "_block").drop("_block")
+    there = rows.withColumn("_block", F.pmod(F.xxhash64(*spread), F.lit(blocks)).cast("int")).repartition(blocks, *by, "_block")
+    met = there.join(lists.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), [*by, "_block"])
+    return met.select(*rows.columns, F.explode(name).alias("_one")).select(*rows.columns, "_one.*")
+
+
+def all_pairs(asked: DataFrame, rows: DataFrame, *spread: str) -> DataFrame:
+    """A stated set of queries against all rows, in blocks: rows are dealt out by columns, each block gets every query once, in lists."""
+    return with_lists(rows, in_lists(asked, [], "_asked"), [], "_asked", *spread)
 
 
 def checked_left_join(left: DataFrame, right: DataFrame, key: str, contract: str = "one_to_one") -> DataFrame:

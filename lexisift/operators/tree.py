@@ -55,6 +55,13 @@ def propagate(scores: DataFrame, up: DataFrame, key: str, alpha: float, rate: fl
     return scores.join(passed, [key, "code"], "left").select(key, "code", (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"))
 
 
+def passed_down(scores: DataFrame, up: DataFrame, key: str, alpha: float, rate: float = 0.5) -> DataFrame:
+    """(key, parent, more): what propagate adds to each child of a node, from scores (key, code, score) of the nodes above. It's the same for all of its children."""
+    weight = F.pow(F.lit(rate), F.col("hops") + 1)
+    reached = scores.withColumnRenamed("code", "ancestor").join(up.withColumnRenamed("code", "parent"), "ancestor")
+    return reached.groupBy(key, "parent").agg(F.sum(F.col("score") * weight * alpha).alias("more"))
+
+
 def display(tree: DataFrame, up: DataFrame, root: str | None = None) -> DataFrame:
     """place, line: a tree (or one node's part of it) in pre-order, indented by level."""
     path = up.groupBy("code").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("hops")).alias("h"), F.col("ancestor").alias("a")))), lambda x: x["a"]), "/").alias("path"))

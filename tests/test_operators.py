@@ -304,3 +304,28 @@ def test_clauses_of_beginnings_list_all_pairs(spark):
     hits = lambda df: {(r["q"], r["key"]): r["score"] for r in df.where("q = 1").collect()}
     assert hits(search.prefix(docs, "k", "c", docs, "k", "c", 3, 2.0)) == {(1, 1): 2.0, (1, 2): 2.0}
     assert hits(search.graded_codes(docs, "k", "c", docs, "k", "c", {2: 1.0, 3: 2.0, 4: 4.0})) == {(1, 1): 7.0, (1, 2): 3.0, (1, 3): 1.0}
+
+
+def test_pairs_are_made_after_their_join(spark):
+    from lexisift.operators import relational
+
+    few, many = spark.range(0, 5000).toDF("q"), spark.range(0, 300).select(F.col("id").alias("k"), F.col("id").cast("string").alias("s"))
+    found = relational.all_pairs(few, many, "k")
+    assert found.columns == ["k", "s", "q"] and found.count() == found.distinct().count() == 5000 * 300
+    assert "explode" in found._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    grouped = relational.in_lists(spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "g string, v int"), ["g"], "l")
+    pairs = relational.with_lists(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, g string"), grouped, ["g"], "l", "k")
+    assert sorted(map(tuple, pairs.collect())) == [(1, "a", 1), (1, "a", 2), (2, "b", 3)]
+
+
+def test_passed_down_is_what_propagate_adds_to_children(spark):
+    from lexisift.operators import tree
+
+    nodes = spark.createDataFrame([("r", None), ("m", "r"), ("n", "m"), ("x", "n"), ("y", "m"), ("o", None)], "code string, parent string")
+    scores = spark.createDataFrame([(q, c, float(q + i)) for q in (1, 2) for i, c in enumerate("rmno")], "q int, code string, score double")
+    up = tree.ancestors(nodes)
+    zero = scores.select("q").distinct().crossJoin(nodes.where("code IN ('x', 'y')").select("code")).selectExpr("q", "code", "0D AS score")
+    want = {(r["q"], r["code"]): r["score"] for r in tree.propagate(scores.union(zero), up, "q", 0.3).collect()}
+    more = {(r["q"], r["parent"]): r["more"] for r in tree.passed_down(scores, up, "q", 0.3).collect()}
+    for q in (1, 2):
+        assert abs(more[q, "n"] - want[q, "x"]) < 1e-12 and abs(more[q, "m"] - want[q, "y"]) < 1e-12
