@@ -231,6 +231,12 @@ def on_candidates(
     return kept.select("q", F.col("_key").alias("key"), score.alias("score"))
 
 
+def first_keys(df: DataFrame, group: Sequence[str], k: int) -> DataFrame:
+    """The rows with the k smallest keys of each group; nulls are one value."""
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy("key"))
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
+
+
 def first_equals(queries: DataFrame, q: str, documents: DataFrame, key: str, values: Sequence[tuple[Column, Column]], k: int = 10) -> DataFrame:
     """(q, key, score 0) of what equal values can bring into a query's best k, without listing all pairs of equal value.
 
@@ -238,21 +244,25 @@ def first_equals(queries: DataFrame, q: str, documents: DataFrame, key: str, val
     are joined to the queries that have it. A document beyond these, found by nothing else, stands behind k others that match
     at least as much and have smaller keys: so with these and the hits of all other clauses as candidates, on_candidates and
     top give the best k exactly, as long as each clause only adds to the score and nothing else filters. Nulls equal nothing. There
-    should be few values: a row is made for each choice of them.
+    should be few values: a row is made for each choice of them, of documents that are among the k first of those equal in
+    all values (no other is among the k first by some).
     """
     names = [f"v{i}" for i in range(len(values))]
     choices = F.array(*[F.lit(c) for c in range(1, 1 << len(values))])
 
-    def chosen(df: DataFrame, own: str, name: str, side: int) -> DataFrame:
-        rows = df.select(F.col(own).alias(name), *[v[side].alias(n) for n, v in zip(names, values, strict=True)]).withColumn("choice", F.explode(choices))
+    def valued(df: DataFrame, own: str, name: str, side: int) -> DataFrame:
+        return df.select(F.col(own).alias(name), *[v[side].alias(n) for n, v in zip(names, values, strict=True)])
+
+    def chosen(rows: DataFrame, name: str) -> DataFrame:
+        rows = rows.withColumn("choice", F.explode(choices))
         inside = [F.col("choice").bitwiseAND(F.lit(1 << i)) > 0 for i in range(len(names))]
         for n, i in zip(names, inside, strict=True):
             rows = rows.where(~i | F.col(n).isNotNull())
         return rows.select(name, "choice", *[F.when(i, F.col(n)).alias(n) for n, i in zip(names, inside, strict=True)])
 
-    rank = F.row_number().over(Window.partitionBy("choice", *names).orderBy("key"))
-    firsts = chosen(documents, key, "key", 1).withColumn("rank", rank).where(F.col("rank") <= k).drop("rank").alias("d")
-    asked = chosen(queries, q, "q", 0).alias("a")
+    firsts = first_keys(valued(documents, key, "key", 1), names, k)
+    firsts = first_keys(chosen(firsts, "key"), ["choice", *names], k).alias("d")
+    asked = chosen(valued(queries, q, "q", 0), "q").alias("a")
     same = F.col("a.choice") == F.col("d.choice")
     for n in names:
         same = same & F.col(f"a.{n}").eqNullSafe(F.col(f"d.{n}"))
