@@ -6,7 +6,7 @@ import pytest
 from lexisift.plans import registry
 from lexisift.plans import search as P
 
-QUERIES = ["Q21_echo_counts", "Q4_boost", "Q20_without_self"]
+QUERIES = ["Q21_echo_counts", "Q4_boost", "Q20_without_self", "Q1_match"]
 FEW, MANY = 3, 15
 
 
