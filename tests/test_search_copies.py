@@ -6,7 +6,7 @@ import pytest
 from lexisift.plans import registry
 from lexisift.plans import search as P
 
-QUERIES = ["Q21_echo_counts", "Q4_boost", "Q20_without_self", "Q1_match", "Q15_keyword_fuzzy", "T3_exact_name_and_address", "Q5_fuzzy"]
+QUERIES = ["Q21_echo_counts", "Q4_boost", "Q20_without_self", "Q1_match", "Q15_keyword_fuzzy", "T3_exact_name_and_address", "Q5_fuzzy", "T4_exact_name_and_point"]
 FEW, MANY = 3, 15
 
 
