@@ -203,9 +203,12 @@ def gauss(clause: DataFrame, distances: DataFrame, scale: float, decay: float =
 
 
 def beside(hits: DataFrame, queries: DataFrame, q: str, documents: DataFrame, key: str) -> DataFrame:
-    """Hits as q, _key and _score with the query's columns, named q_..., and the document's."""
+    """Hits as q, _key and _score with the query's columns, named q_..., and the document's.
+
+    Documents are joined first: where hits are a table that Spark knows to be small, documents are then not shuffled.
+    """
     asked = queries.select(F.col(q).alias("q"), *[F.col(c).alias(f"q_{c}") for c in queries.columns])
-    return hits.select("q", F.col("key").alias("_key"), F.col("score").alias("_score")).join(asked, "q").join(documents, F.col("_key") == F.col(key))
+    return hits.select("q", F.col("key").alias("_key"), F.col("score").alias("_score")).join(documents, F.col("_key") == F.col(key)).join(asked, "q")
 
 
 def on_candidates(
