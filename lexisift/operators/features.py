@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +16,8 @@ from lexisift.sources.shared import written
 PAD = 0
 #: Keys of rows with equal items that are kept in one list.
 KEYS_TOGETHER = 1024
+#: Multisets of a tile that overlaps are counted in, and those that are asked of it.
+OVERLAP_TILE, OVERLAP_CHUNK = 4096, 2048
 
 
 def _tokens(df: DataFrame, key: str, items: Column) -> DataFrame:
@@ -116,36 +121,69 @@ def with_phrases(df: DataFrame, key: str, items: Column, pairs: DataFrame, out:
     return joined.withColumn(out, F.array_join(F.when(F.col("taken").isNull(), F.col("_w")).otherwise(every), space)).drop("_w", "_key", "taken")
 
 
-def overlap_join(left: DataFrame, left_key: str, left_items: Column, right: DataFrame, right_key: str, right_items: Column, least: float) -> DataFrame:
-    """(a, b, overlap): pairs whose multiset overlap over the size of b is at least so much, without comparing all pairs.
-
-    An item's second, third, ... occurrence counts as another item, which makes multisets sets. b can only reach the overlap with
-    an a that shares one of b's rarest |b| - ceil(least * |b|) + 1 items: common items list no pairs. Found pairs are then
-    compared in full. Rows with equal multisets are compared once, and their keys put in at the end, without a shuffle of the
-    pairs of keys. Empty lists overlap with nothing. Keys are unique; 0 < least <= 1.
+def _tiles_of_overlaps(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """(a, b, overlap) of rows (a, sorted) and (b, sorted) of sorted items, between tiles of both: counted along the tile's lists of rows that have an item."""
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        items, asks = group.column("items").combine_chunks(), group.column("asks").to_numpy()
+        sizes, place = pc.list_value_length(items).to_numpy(), np.arange(len(items.flatten()))
+        row, ends_of = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes)
+        codes = items.flatten().dictionary_encode().indices.fill_null(-1).to_numpy()
+        first = np.append(True, (row[1:] != row[:-1]) | (codes[1:] != codes[:-1]))
+        nth = place - np.maximum.accumulate(np.where(first, place, 0))
+        codes = np.where(codes < 0, -1, codes.astype(np.int64) * (nth.max() + 1) + nth)
+        there = ~asks[row] & (codes >= 0)
+        order = np.argsort(codes[there], kind="stable")
+        listed, held = codes[there][order], (np.cumsum(~asks) - 1)[row[there]][order]
+        starts, ends = (np.searchsorted(listed, np.maximum(codes, 0), side) for side in ("left", "right"))
+        ends[codes < 0] = starts[codes < 0]
+        hits, shares, found = [np.zeros(0, int)], [np.zeros(0)], [0] * int(asks.sum())
+        for i, at in enumerate(np.flatnonzero(asks)):
+            own = range(ends_of[at] - sizes[at], ends_of[at])
+            n = np.bincount(np.concatenate([held[starts[p] : ends[p]] for p in own]), minlength=1)
+            hit = np.flatnonzero((n > 0) & (n / sizes[at] >= least - 1e-9))
+            hits.append(hit)
+            shares.append(n[hit] / sizes[at])
+            found[i] = len(hit)
+        keys_a, keys_b = group.column("a").filter(pa.array(~asks)), group.column("b").filter(pa.array(asks))
+        out = [keys_a.take(pa.array(np.concatenate(hits))), keys_b.take(pa.array(np.repeat(np.arange(len(found)), found))), pa.array(np.concatenate(shares))]
+        return pa.table(out, ["a", "b", "overlap"])
+
+    spark = a.sparkSession
+    tile = max(256, min(OVERLAP_TILE, -(-a.count() // (2 * spark.sparkContext.defaultParallelism))))
+    tiles, chunks = max(1, -(-a.count() // tile)), max(1, -(-b.count() // OVERLAP_CHUNK))
+    dealt = lambda key, among: F.pmod(F.xxhash64(key), F.lit(among)).cast("int")
+    every = lambda among: F.explode(F.sequence(F.lit(0), F.lit(among - 1)))
+    items, kinds = F.col("sorted").cast("array<string>").alias("items"), (a.schema["a"].dataType.simpleString(), b.schema["b"].dataType.simpleString())
+    there = a.select("a", F.lit(None).cast(kinds[1]).alias("b"), items, F.lit(False).alias("asks"), dealt("a", tiles).alias("tile"), every(chunks).alias("chunk"))
+    asked = b.select(F.lit(None).cast(kinds[0]).alias("a"), "b", items, F.lit(True).alias("asks"), every(tiles).alias("tile"), dealt("b", chunks).alias("chunk"))
+    return there.unionByName(asked).groupBy("tile", "chunk").applyInArrow(compare, f"a {kinds[0]}, b {kinds[1]}, overlap double")
+
+
+def overlap_join(left: DataFrame, left_key: str, left_items: Column, right: DataFrame, right_key: str, right_items: Column, least: float, digits: int | None = None) -> DataFrame:
+    """(a, b, overlap): pairs whose multiset overlap over the size of b is at least so much, rounded to digits if given.
+
+    An item's second, third, ... occurrence counts as another item, which makes multisets sets. Rows with equal multisets are
+    compared once, in tiles, by counting along lists of what has an item, so the work is that of the shared items. Their keys are put in
+    at the end, without a shuffle of the pairs of keys and without work on each. Empty lists overlap with nothing, nor do null items. Keys are
+    unique; 0 < least <= 1.
     """
 
     def classes(df: DataFrame, key: str, items: Column, name: str) -> tuple[DataFrame, DataFrame]:
-        """(name, items) of each different multiset, named by its smallest key, and lists (name, keys) of up to KEYS_TOGETHER keys that have it."""
-        rows = written(df.select(F.col(key).alias("key"), F.array_sort(items).alias("sorted")).where(F.size("sorted") > 0), f"{name}-rows")
+        """(name, sorted) of each different multiset, named by its smallest key, and lists (name, keys) of up to KEYS_TOGETHER keys that have it."""
+        dealt = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)  # a small file is one task, and its items are work
+        rows = written(dealt.select(F.col(key).alias("key"), F.sort_array(items).alias("sorted")), f"{name}-rows").where(F.size("sorted") > 0)  # made once, not for the test too
         firsts = written(rows.groupBy("sorted").agg(F.min("key").alias(name)), f"{name}-classes")
         members = rows.join(firsts, "sorted").select(name, "key", F.pmod(F.xxhash64("key"), F.lit(1 << 16)).alias("_part"))
         sizes = members.groupBy(name).agg(F.ceil(F.count("*") / KEYS_TOGETHER).alias("_parts"))
         keys = members.join(sizes, name).groupBy(name, F.pmod("_part", "_parts").alias("_part")).agg(F.collect_list("key").alias("keys")).select(name, "keys")
-        counts = firsts.select(name, F.explode("sorted").alias("item")).groupBy(name, "item").agg(F.count("*").alias("n"))
-        every = counts.select(name, "item", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("i")).select(name, F.struct("item", "i").alias("item"))
-        return written(every, f"{name}-items"), written(keys, f"{name}-keys")
+        return firsts, written(keys, f"{name}-keys")
 
     (a, keys_a), (b, keys_b) = classes(left, left_key, left_items, "a"), classes(right, right_key, right_items, "b")
-    rarity = a.select("item").unionByName(b.select("item")).groupBy("item").agg(F.count("*").alias("df"))
-    own = Window.partitionBy("b")
-    ranked = b.join(rarity, "item").withColumns({"size": F.count("*").over(own), "place": F.row_number().over(own.orderBy("df", "item"))})
-    rare = ranked.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1)
-    pairs = rare.select("b", "item").join(a, "item").select("a", "b").distinct()
-    lists = lambda df, k, c: df.groupBy(k).agg(F.collect_list("item").alias(c))
-    both = pairs.join(lists(a, "a", "x"), "a").join(lists(b, "b", "y"), "b")
-    met = both.select("a", "b", (F.size(F.array_intersect("x", "y")) / F.size("y")).alias("overlap")).where(F.col("overlap") >= least - 1e-9)
-    met = written(met, "overlaps").repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")  # few rows, of which many come
+    met = _tiles_of_overlaps(a, b, least)
+    met = written(met if digits is None else met.withColumn("overlap", F.round("overlap", digits)), "overlaps")
+    met = met.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")  # few rows, of which many come
     listed = met.join(keys_a, "a").select("b", F.col("keys").alias("as"), "overlap").join(keys_b, "b").select("as", "keys", "overlap")
     return listed.select(F.explode("as").alias("a"), "keys", "overlap").select("a", F.explode("keys").alias("b"), "overlap")
 

@@ -130,8 +130,8 @@ query(
 
 def _overlapping_names(t):
     """Customers and suppliers whose names share at least half of the supplier's trigrams."""
-    found = G.overlap_join(t.customer, "c_custkey", T.ngrams(F.col("c_name"), 3), t.supplier, "s_suppkey", T.ngrams(F.col("s_name"), 3), 0.5)
-    return found.select(F.col("a").alias("c_custkey"), F.col("b").alias("s_suppkey"), F.round("overlap", 6).alias("overlap"))
+    found = G.overlap_join(t.customer, "c_custkey", T.ngrams(F.col("c_name"), 3), t.supplier, "s_suppkey", T.ngrams(F.col("s_name"), 3), 0.5, 6)
+    return found.select(F.col("a").alias("c_custkey"), F.col("b").alias("s_suppkey"), "overlap")
 
 
 query("G12_tree", f"{UP} SELECT n.code, n.label, n.parent, CAST(max(hops) AS INTEGER) AS level FROM nodes n JOIN up ON n.code = up.code GROUP BY 1, 2, 3")(lambda t: tree.load_tree(_nodes(t), "code", "label", "parent"))

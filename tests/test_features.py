@@ -76,3 +76,32 @@ def test_equal_items_are_compared_once(spark):
     assert found.count() == found.distinct().count() == 300 * 40
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "array_intersect" not in plan and plan.lstrip().startswith("Project") and "explode" in plan.split("Join")[0]
+
+
+def test_overlaps_are_counted_and_rounded_before_keys_are_put_in(spark, tmp_path):
+    from lexisift.plans import registry
+
+    names = [("customer", "c", [f"Customer#{i:05d}" for i in range(30)] * 4), ("supplier", "s", [f"Supplier#{i:05d}" for i in range(20)] * 3)]
+    for table, c, rows in names:
+        spark.createDataFrame(list(enumerate(rows)), f"{c}_{'cust' if c == 'c' else 'supp'}key long, {c}_name string").write.parquet(f"{tmp_path}/{table}.parquet")
+    found = registry.queries()["V13_overlap_join"](spark, str(tmp_path))
+    above = found._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "explode" in above and "round(" not in above
+    grams = lambda w: Counter(w[i : i + 3] for i in range(len(w) - 2))
+    want = {}
+    for i, x in enumerate(names[0][2]):
+        for j, y in enumerate(names[1][2]):
+            if (o := (grams(x) & grams(y)).total() / grams(y).total()) >= 0.5:
+                want[i, j] = round(o, 6)
+    assert want and {(r[0], r[1]): r[2] for r in found.collect()} == pytest.approx(want)
+
+
+def test_tiles_of_overlaps_give_each_pair_once(spark, monkeypatch):
+    """Tiles and chunks of a few multisets, with null items, which overlap with nothing."""
+    monkeypatch.setattr(features, "OVERLAP_CHUNK", 3)
+    rng = random.Random(8)
+    a, b = ([[rng.choice(["a", "b", "c", None]) for _ in range(rng.randrange(5))] for _ in range(n)] for n in (400, 12))
+    table = lambda rows: spark.createDataFrame(list(enumerate(rows)), "k long, x array<string>")
+    got = [(r["a"], r["b"], r["overlap"]) for r in features.overlap_join(table(a), "k", F.col("x"), table(b), "k", F.col("x"), 0.5).collect()]
+    shared = lambda x, y: sum((Counter(v for v in x if v) & Counter(v for v in y if v)).values())
+    assert sorted(got) == sorted((i, j, shared(x, y) / len(y)) for i, x in enumerate(a) for j, y in enumerate(b) if y and shared(x, y) / len(y) >= 0.5)
