@@ -74,11 +74,14 @@ def in_lists(df: DataFrame, by: Sequence[str], name: str, size: int = LISTED) ->
 def with_lists(rows: DataFrame, lists: DataFrame, by: Sequence[str], name: str, *spread: str) -> DataFrame:
     """rows with each element of the lists that have their values of by: pairs are made after the join, so none is shuffled or sorted.
 
-    Rows are dealt into blocks by columns, and each block gets every list once. Partitions are by number: what is read is small beside the pairs.
+    Rows are dealt into blocks by columns, and each block gets every list once: a few blocks for each core, whatever the number of partitions. Partitions are
+    by number: what is read is small beside the pairs. Lists are merged, not broadcast: copies for all blocks are larger than Spark takes them for.
     """
-    blocks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    there = rows.withColumn("_block", F.pmod(F.xxhash64(*spread), F.lit(blocks)).cast("int")).repartition(blocks, *by, "_block")
-    met = there.join(lists.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), [*by, "_block"])
+    spark = rows.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = min(partitions, 2 * spark.sparkContext.defaultParallelism)
+    there = rows.withColumn("_block", F.pmod(F.xxhash64(*spread), F.lit(blocks)).cast("int")).repartition(partitions, *by, "_block")
+    met = there.join(lists.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).hint("merge"), [*by, "_block"])
     return met.select(*rows.columns, F.explode(name).alias("_one")).select(*rows.columns, "_one.*")
 
 

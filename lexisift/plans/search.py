@@ -256,10 +256,11 @@ def _dis_max_of_three(r):
 
 
 def _candidate_pairs(r):
-    """All pairs that have a word of their names in common: of classes, then of their records."""
+    """All pairs that have a word of their names in common: of classes, then of their records, which get lists of what asks for their class."""
     hits = r.names().select(F.col("q").alias("asked"), F.col("key").alias("c_name"))
     asked = r.asked.select(F.col("p_partkey").alias("q"), F.col("c_name").alias("asked"))
-    return hits.join(asked, "asked").join(r.parts.select("c_name", F.col("p_partkey").alias("key")), "c_name").select("q", "key")
+    lists = relational.in_lists(written(hits.join(asked, "asked").select("c_name", "q"), "asked-of-classes"), ["c_name"], "asked")
+    return relational.with_lists(r.parts.select("c_name", F.col("p_partkey").alias("key")), lists, ["c_name"], "asked", "key").select("q", "key")
 
 
 NAME, TYPE, EVERY = "SELECT * FROM s_name", "SELECT * FROM s_type", "SELECT * FROM s_every"
