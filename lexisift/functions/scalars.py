@@ -65,3 +65,11 @@ def map_lookup(c: Column, entries: Mapping[str, object], default: object = None)
     table = F.create_map(*[x for k, v in entries.items() for x in (F.lit(k), F.lit(v))])
     found = F.try_element_at(table, c)
     return found if default is None else F.coalesce(found, F.lit(default))
+
+
+def rounded(c: Column, digits: int = 6) -> Column:
+    """A double rounded half away from zero after scaling, as SQL's round does it, without the decimals that Spark's round makes of each value."""
+    size = F.abs(c) * float(10**digits)
+    whole = F.floor(size)
+    near = F.signum(c) * (whole + F.when(size - whole >= 0.5, 1).otherwise(0)).cast("double") / float(10**digits)
+    return F.when(size < 2.0**52, near).otherwise(F.round(c, digits))

@@ -329,3 +329,26 @@ def test_passed_down_is_what_propagate_adds_to_children(spark):
     more = {(r["q"], r["parent"]): r["more"] for r in tree.passed_down(scores, up, "q", 0.3).collect()}
     for q in (1, 2):
         assert abs(more[q, "n"] - want[q, "x"]) < 1e-12 and abs(more[q, "m"] - want[q, "y"]) < 1e-12
+
+
+def test_rounded_is_what_sql_rounds_to(spark):
+    import duckdb
+
+    values = [0.0, 0.5e-6, 1.5e-6, 2.5e-6, -2.5e-6, 1234.5678905, 1234567.1234565, -0.1234564999, 9e15, 1e300, float("inf"), *[i * 0.00001234567 + i for i in range(-300, 300)]]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in [*values, None]], "v double").coalesce(1).select(scalars.rounded(F.col("v"))).collect()]
+    assert got == [duckdb.execute("SELECT round(CAST(? AS DOUBLE), 6)", [v]).fetchone()[0] for v in values] + [None]
+    assert str(spark.createDataFrame([(float("nan"),)], "v double").select(scalars.rounded(F.col("v"))).first()[0]) == "nan"
+
+
+def test_lists_of_pairs_are_not_broadcast(spark):
+    """Their copies for all blocks are much larger than Spark takes them for."""
+    pairs = relational.all_pairs(spark.range(0, 50).toDF("q"), spark.range(0, 30).toDF("k"), "k")
+    assert pairs.count() == 1500 and "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_candidate_pairs_are_made_of_lists(spark):
+    from lexisift.plans import registry
+
+    pairs = registry.queries()["J17_candidate_join"](spark, "/root/testdata/sf0.001")
+    above = pairs._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "explode" in above and pairs.count() == pairs.distinct().count() > 0
