@@ -17,9 +17,9 @@ DATA_BLOCK = 8192
 #: Vectors for each pivot, and pivots at most: they're held by the driver and every task.
 CELL, MOST_PIVOTS = 1024, 4096
 #: Rows of an area: blocks that a query is sent to at once.
-AREA = 32_768
-#: Queries of a block that are compared with one copy of its vectors.
-QUERY_CHUNK = 32_768
+AREA = 65_536
+#: Queries of a block that are compared with one copy of its vectors, at most and, where there are few groups of them for the cores, at least.
+QUERY_CHUNK, LEAST_CHUNK = 65_536, 2048
 #: Rows that are compared with all pivots, or a block, at once.
 ROWS_AT_ONCE = 512
 #: Scores are compared when rounded to six digits.
@@ -220,9 +220,11 @@ def _in_cells(points: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
 
 
 def _searched(sent: DataFrame, data: DataFrame, chunks: DataFrame | None, k: int, digits: int, metric: str) -> DataFrame:
-    """sent's queries (block, kind, key, v, parts) with near: their k best (score, key) of the data (block, part, ...) of their block, best first.
+    """sent's queries (block, kind, key, v, parts, home, reached) with near: their k best (score, key) of the data (block, part, ...) of their block, best first.
 
-    parts: which parts of the block a query searches; null for all. Data are sent once, or once for each chunk of a block's queries (block, chunks), where those are many.
+    parts: which parts of the block a query searches; null for all but its home. reached: a score that k others have; lower ones are left out. By cosine,
+    single precision tells which scores can be among the best, and only those are taken in double precision. Data are sent once, or once for
+    each chunk of a block's queries (block, chunks), where those are many.
     """
 
     def search(group: pa.Table) -> pa.Table:
@@ -230,25 +232,48 @@ def _searched(sent: DataFrame, data: DataFrame, chunks: DataFrame | None, k: int
         keys, x = group.column("key").to_numpy(), _matrix(group.column("v").combine_chunks())
         order = np.argsort(keys[~asks], kind="stable")
         names, there = keys[~asks][order], x[~asks][order]
-        owns, wants = group.column("part").to_numpy()[~asks][order], group.column("parts").filter(pa.array(asks)).to_pylist()
-        places_of = {p: np.flatnonzero(owns == p) for p in np.unique(owns).tolist()}
+        parts, owns = np.unique(group.column("part").to_numpy()[~asks][order], return_inverse=True)
+        number = {p: i for i, p in enumerate(parts.tolist())}
+        own = group.filter(pa.array(asks))
+        wants, homes = own.column("parts"), own.column("home").to_numpy()
+        reached = own.column("reached").fill_null(-np.inf).to_numpy()
         most = max(1, ROWS_AT_ONCE * DATA_BLOCK // max(len(names), DATA_BLOCK))
-        asking = np.flatnonzero(asks)
+        asking, cosine = np.flatnonzero(asks), metric == "cosine"
+        off = 10.0**-digits + (x.shape[1] + 8) * 2.0**-22 if cosine else 10.0**-digits  # rounding, and single precision on vectors of length one
+        single = there.astype(np.float32) if cosine else None
         scores, others, sizes = [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
-        for at in range(0, len(asking), most):
-            rows = asking[at : at + most]
-            score = np.round(x[rows] @ there.T if metric == "cosine" else -_exact(x[rows], there), digits)
-            score[keys[rows][:, None] == names] = -np.inf
-            for i, parts in enumerate(wants[at : at + most]):
-                for p in places_of.keys() - parts if parts is not None else ():
-                    score[i, places_of[p]] = -np.inf
-            best = np.argsort(-score, axis=1, kind="stable")[:, :k]
-            held = np.take_along_axis(score, best, 1)
-            kept = held > -np.inf
-            scores.append(held[kept])
-            others.append(names[best[kept]])
-            sizes.append(kept.sum(1))
-        own = group.filter(pa.array(asks))
+        for at in range(0, len(asking) if len(names) else 0, most):
+            rows, some = asking[at : at + most], slice(at, at + most)
+            rough = x[rows].astype(np.float32) @ single.T if cosine else -_exact(x[rows], there)
+            least = reached[some] - off
+            free = np.isneginf(least)
+            if free.any() and len(names) > k:
+                ends = rough if free.all() else rough[free]
+                least[free] = np.partition(ends, len(names) - k - 1, axis=1)[:, len(names) - k - 1] - 2 * off  # k others, and the query itself
+            allowed = np.ones((len(rows), len(parts)), bool)
+            for i, (part, home) in enumerate(zip(wants[some].to_pylist(), homes[some].tolist(), strict=True)):
+                if part is not None:
+                    allowed[i] = False
+                    allowed[i, [number[p] for p in part]] = True
+                elif home in number:
+                    allowed[i, number[home]] = False
+            if not allowed.all():
+                free &= ~allowed.all(1)
+                least[free] = -np.inf  # the best may be of parts that it doesn't search
+            i, j = np.nonzero(rough >= least.astype(rough.dtype)[:, None])
+            kept = allowed[i, owns[j]] & (keys[rows[i]] != names[j])
+            i, j = i[kept], j[kept]
+            exact = np.concatenate([np.zeros(0), *[(x[rows[i[a : a + ROWS_BACK]]] * there[j[a : a + ROWS_BACK]]).sum(1) for a in range(0, len(i), ROWS_BACK)]]) if cosine else rough[i, j]
+            score = np.round(exact, digits)
+            best = np.lexsort((j, -score, i))
+            i, j, score = i[best], j[best], score[best]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            kept = (place < k) & (score >= reached[some][i])
+            scores.append(score[kept])
+            others.append(names[j[kept]])
+            sizes.append(np.bincount(i[kept], minlength=len(rows)))
+        if not len(names):
+            sizes.append(np.zeros(len(asking), np.int64))
         pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(scores)), pa.array(np.concatenate(others))], ["score", "key"])
         near = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()), pairs)
         return pa.table([own.column("block"), own.column("kind"), own.column("key"), own.column("v"), near], ["block", "kind", "key", "v", "near"])
@@ -260,8 +285,8 @@ def _searched(sent: DataFrame, data: DataFrame, chunks: DataFrame | None, k: int
         sent = sent.join(F.broadcast(chunks), "block").withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks")).drop("chunks")  # a row for each block
         data = data.join(F.broadcast(chunks), "block").withColumn("chunk", F.explode(F.sequence(one, F.col("chunks") - 1))).drop("chunks")
     columns = ["block", "chunk", "kind", "key", "v"]
-    no_part, no_parts = F.lit(-1).alias("part"), F.lit(None).cast("array<int>").alias("parts")
-    both = sent.select(F.lit(True).alias("asks"), *columns, no_part, "parts").unionByName(data.select(F.lit(False).alias("asks"), *columns, "part", no_parts))
+    nothing = [F.lit(None).cast("array<int>").alias("parts"), F.lit(-1).alias("home"), F.lit(None).cast("double").alias("reached")]
+    both = sent.select(F.lit(True).alias("asks"), *columns, F.lit(-1).alias("part"), "parts", "home", "reached").unionByName(data.select(F.lit(False).alias("asks"), *columns, "part", *nothing))
     return both.groupBy("block", "chunk").applyInArrow(search, "block int, kind string, key long, v array<double>, near array<struct<score: double, key: bigint>>")
 
 
@@ -320,50 +345,54 @@ def nearest(
     own = (F.col("first") + F.pmod(F.xxhash64("key"), "parts")).cast("int").alias("block")
     data = placed.join(starts, ["kind", "cell"]).select(own, "kind", "key", "v")
     home = asked.join(starts, ["kind", "cell"], "left").select(own, "kind", "key", "v")
-    many = asked.count() > QUERY_CHUNK if asked is not placed else False
+    asking = n if asked is placed else asked.count()
+    chunk = min(QUERY_CHUNK, max(LEAST_CHUNK, -(-asking * (int(area_of.max(initial=0)) + 1) // (4 * spark.sparkContext.defaultParallelism))))  # some groups for each core
+    many = asked is not placed and asking > chunk
 
     def chunks(sent: DataFrame) -> DataFrame:
-        return sent.groupBy("block").agg(F.ceil(F.count("*") / QUERY_CHUNK).cast("long").alias("chunks"))
+        return sent.groupBy("block").agg(F.ceil(F.count("*") / chunk).cast("long").alias("chunks"))
 
     at_home = home.where("block IS NOT NULL")
-    first = written(_searched(at_home.withColumn("parts", F.lit(None).cast("array<int>")), data.withColumn("part", F.lit(0)), chunks(at_home) if many else None, k, digits, metric).unionByName(home.where("block IS NULL").withColumn("near", F.lit(None).cast("array<struct<score: double, key: bigint>>"))), "at-home")
+    first = written(_searched(at_home.withColumns({"parts": F.lit(None).cast("array<int>"), "home": F.lit(-1), "reached": F.lit(None).cast("double")}), data.withColumn("part", F.lit(0)), chunks(at_home) if many else None, k, digits, metric).unionByName(home.where("block IS NULL").withColumn("near", F.lit(None).cast("array<struct<score: double, key: bigint>>"))), "at-home")
 
     def reach(batches):
-        apart = _distances(pivots, pivots)
+        apart, cells_of = _distances(pivots, pivots), {}
+        for kind, cells in places.items():
+            c, radius, firsts, parts = (np.array(column) for column in zip(*cells, strict=True))
+            cells_of[kind] = c, radius, np.repeat(np.arange(len(c)), parts), np.concatenate([np.arange(f, f + p) for f, p in zip(firsts, parts, strict=True)])
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                x, kinds, homes = _matrix(part.column("v")), part.column("kind").to_pylist(), part.column("block").to_pylist()
-                far = _distances(x, pivots)
-                nearest_pivot = far.argmin(1)
-                rows, to_areas, parts = [], [], []
-                for i, reached in enumerate(part.column("reached").to_pylist()):
-                    cells = places.get(kinds[i], [])
-                    c = np.array([p[0] for p in cells], int)
-                    to = far[i, c]
-                    least = to - np.array([p[1] for p in cells])
-                    gap, nearer = apart[nearest_pivot[i], c], far[i, nearest_pivot[i]]
+                of_kind = np.array(part.column("kind").to_pylist(), object)
+                for kind in set(of_kind) & cells_of.keys():
+                    own = part.take(pa.array(np.flatnonzero(of_kind == kind)))
+                    c, radius, cell_of, block_no = cells_of[kind]
+                    far = _distances(_matrix(own.column("v")), pivots)
+                    nearest_pivot, to = far.argmin(1), far[:, c]
+                    gap, nearer = apart[nearest_pivot][:, c], far.min(1)[:, None]
+                    reached = own.column("reached").to_numpy(zero_copy_only=False).astype(float)
                     with np.errstate(divide="ignore", invalid="ignore"):
                         plane = np.where(gap > 0, (to**2 - nearer**2) / (2 * gap), 0)
-                    radius = np.inf if reached is None else np.sqrt(max(2 - 2 * (reached - MARGIN), 0)) if metric == "cosine" else MARGIN - reached
-                    hit = np.flatnonzero(np.maximum(least, plane) <= radius + 1e-7)
-                    out = [b for j in hit for b in range(cells[j][2], cells[j][2] + cells[j][3]) if b != homes[i]]
-                    by_area = {}
-                    for b in out:
-                        by_area.setdefault(int(area_of[b]), []).append(b)
-                    rows += [i] * len(by_area)
-                    to_areas += by_area.keys()
-                    parts += by_area.values()
-                for a in range(0, len(rows), 16 * ROWS_AT_ONCE):
-                    some = slice(a, a + 16 * ROWS_AT_ONCE)
-                    sent_on = part.select(["kind", "key", "v"]).take(pa.array(rows[some], pa.int64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(to_areas[some], pa.int32()), *sent_on.columns, pa.array(parts[some], pa.list_(pa.int32()))], ["block", "kind", "key", "v", "parts"])
+                    within_reach = np.sqrt(np.maximum(2 - 2 * (reached - MARGIN), 0)) if metric == "cosine" else MARGIN - reached
+                    within_reach = np.where(np.isnan(reached), np.inf, within_reach)
+                    at_home = own.column("block").fill_null(-1).to_numpy()[:, None] == block_no
+                    hit = (np.maximum(to - radius, plane) <= within_reach[:, None] + 1e-7)[:, cell_of] & ~at_home
+                    for area in np.unique(area_of[block_no]).tolist():
+                        there = area_of[block_no] == area
+                        rows, whole = np.flatnonzero(hit[:, there].any(1)), (hit | at_home)[:, there].all(1)
+                        parts = [None if whole[i] else block_no[there & hit[i]].tolist() for i in rows]
+                        sent_on = own.take(pa.array(rows))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([area] * len(rows), pa.int32()), *(sent_on.column(n) for n in ("kind", "key", "v")), pa.array(parts, pa.list_(pa.int32())), sent_on.column("block").fill_null(-1), sent_on.column("reached")],
+                            ["block", "kind", "key", "v", "parts", "home", "reached"],
+                        )
 
     kth = F.when(F.size("near") >= k, F.get("near", F.lit(k - 1))["score"])
-    sent = first.select("block", "kind", "key", "v", kth.alias("reached")).mapInArrow(reach, "block int, kind string, key long, v array<double>, parts array<int>")
+    sent = first.select("block", "kind", "key", "v", kth.alias("reached")).mapInArrow(reach, "block int, kind string, key long, v array<double>, parts array<int>, home int, reached double")
     if copies is not None:
-        copies.append(sent.select("key", F.explode("parts").alias("block")))
-    many = many or n > QUERY_CHUNK
+        in_area = F.filter(F.array(*[F.array(*[F.lit(b) for b in np.flatnonzero(area_of == a).tolist()]) for a in range(int(area_of.max()) + 1)])[F.col("block")], lambda b: b != F.col("home"))
+        copies.append(sent.select("key", F.explode(F.coalesce("parts", in_area)).alias("block")))
+    many = many or asking > chunk
     in_areas = data.join(F.broadcast(spark.createDataFrame([(b, int(a)) for b, a in enumerate(area_of)], "part int, area int")), F.col("part") == F.col("block"))  # a row for each block
     rest = _searched(sent, in_areas.select(F.col("area").alias("block"), "kind", "key", "v", "part"), chunks(sent) if many else None, k, digits, metric)
     found = first.select(F.col("key").alias("query_id"), F.inline("near")).unionByName(rest.select(F.col("key").alias("query_id"), F.inline("near")))

@@ -120,3 +120,21 @@ def test_pairs_by_name_are_not_compared_in_rows(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], "k long, v array<double>")
     plan = vectors.measured(df, df, "k", "v", "cosine")._jdf.queryExecution().optimizedPlan().toString()
     assert "zip_with" not in plan and "Join" not in plan
+
+
+def test_scores_that_others_reach_are_not_handed_on(spark):
+    """Only what comes up to the score that k others have is found in the other blocks, and not in the query's home."""
+    there = spark.createDataFrame([(0, "", i, [math.cos(i / 10), math.sin(i / 10)], i % 2) for i in range(10)], "block int, kind string, key long, v array<double>, part int")
+    asked = [(0, "", 100, [1.0, 0.0], None, 1, 0.9), (0, "", 101, [1.0, 0.0], [1], 0, 0.9), (0, "", 102, [1.0, 0.0], None, -1, None)]
+    sent = spark.createDataFrame(asked, "block int, kind string, key long, v array<double>, parts array<int>, home int, reached double")
+    got = {r["key"]: [n["key"] for n in r["near"]] for r in vectors._searched(sent, there, None, 4, 6, "cosine").collect()}
+    assert got == {100: [0, 2, 4], 101: [1, 3], 102: [0, 1, 2, 3]}
+
+
+def test_single_precision_decides_no_rank(spark):
+    """Near copies, whose scores differ in the sixth digit."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(6, 16))
+    rows = [(i, [float(v) for v in base[i % 6] + rng.normal(size=16) * 2e-3], "x") for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    same(found(vectors.nearest(df, df, "k", "v", 5, cell=50, block=64)), brute(rows, rows, 5, "cosine", None))
