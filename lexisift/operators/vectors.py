@@ -260,7 +260,7 @@ def _searched(sent: DataFrame, data: DataFrame, chunks: DataFrame | None, k: int
             if not allowed.all():
                 free &= ~allowed.all(1)
                 least[free] = -np.inf  # the best may be of parts that it doesn't search
-            i, j = np.nonzero(rough >= least.astype(rough.dtype)[:, None])
+            i, j = np.divmod(np.flatnonzero(rough >= least.astype(rough.dtype)[:, None]), len(names))
             kept = allowed[i, owns[j]] & (keys[rows[i]] != names[j])
             i, j = i[kept], j[kept]
             exact = np.concatenate([np.zeros(0), *[(x[rows[i[a : a + ROWS_BACK]]] * there[j[a : a + ROWS_BACK]]).sum(1) for a in range(0, len(i), ROWS_BACK)]]) if cosine else rough[i, j]
